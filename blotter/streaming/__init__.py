@@ -1,0 +1,12 @@
+"""Incident counts over a stream of document files (Structured Streaming).
+
+The batch jobs read a collection once.  When incident files keep arriving in
+a folder, the same cleaning and counting run incrementally: the counts per
+category (or per group and category) are kept in the streaming state store
+and updated by each micro-batch; ``foreachBatch`` turns the complete counts
+into the ranked output and rewrites the result table.
+"""
+
+from blotter.streaming.counts import rank_each_batch, start_counts, stream_counts
+
+__all__ = ["rank_each_batch", "start_counts", "stream_counts"]

@@ -1,0 +1,51 @@
+"""Builders for small incident fixtures."""
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from blotter import schema as S
+from blotter.sources.incidents import clean_incidents
+
+RAW_TEXT_SCHEMA = T.StructType(
+    [
+        T.StructField(S.F_ID, T.LongType()),
+        T.StructField(S.F_TYPE, T.StringType()),
+        T.StructField(S.F_DISTRICT, T.StringType()),
+        T.StructField(S.F_LOCATION, T.StringType()),
+        T.StructField(S.F_ARREST, T.StringType()),
+        T.StructField(S.F_DATE, T.StringType()),
+        T.StructField(S.F_YEAR, T.StringType()),
+    ]
+)
+
+
+def raw_rows(spark, rows):
+    """rows: tuples (id, type, district, location, arrest, date, year) of text."""
+    return spark.createDataFrame(rows, RAW_TEXT_SCHEMA)
+
+
+def clean_rows(spark, rows):
+    return clean_incidents(raw_rows(spark, rows))
+
+
+def json_incidents(spark, tmp_dir, docs):
+    """Write documents as JSON lines and read them with the raw (variant) schema."""
+    import json
+    import os
+
+    from blotter.sources.incidents import read_incidents
+
+    path = os.path.join(tmp_dir, "docs")
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, "part-0.json"), "w") as f:
+        for d in docs:
+            f.write(json.dumps(d) + "\n")
+    return read_incidents(spark, path, "json")
+
+
+def sorted_rows(df, *cols):
+    return [tuple(r) for r in df.select(*cols).orderBy(*cols).collect()]
+
+
+def col_values(df, col):
+    return [r[0] for r in df.select(F.col(col)).collect()]

@@ -1,0 +1,46 @@
+"""The counting stream over arriving document files."""
+
+import json
+import os
+
+from blotter.sources import clean_incidents, stream_incidents
+from blotter.streaming import start_counts, stream_counts
+
+
+def _write(path, name, docs):
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, name), "w") as f:
+        for d in docs:
+            f.write(json.dumps(d) + "\n")
+
+
+def test_stream_counts_accumulate(spark, tmp_out):
+    src = os.path.join(tmp_out, "incoming")
+    _write(src, "a.json", [{"Primary Type": "THEFT"}, {"Primary Type": " THEFT "}, {"Primary Type": ""}])
+    counts = stream_counts(clean_incidents(stream_incidents(spark, src)), ["primary_type"])
+    q = start_counts(counts, "theft_counts", checkpoint_location=os.path.join(tmp_out, "ck"))
+    try:
+        q.processAllAvailable()
+        assert {r.primary_type: r.NumberOfEvents for r in spark.table("theft_counts").collect()} == {"THEFT": 2}
+        _write(src, "b.json", [{"Primary Type": "BATTERY"}, {"Primary Type": "THEFT"}])
+        q.processAllAvailable()
+        got = {r.primary_type: r.NumberOfEvents for r in spark.table("theft_counts").collect()}
+        assert got == {"THEFT": 3, "BATTERY": 1}
+    finally:
+        q.stop()
+
+
+def test_stream_ranked_snapshot(spark, tmp_out):
+    src = os.path.join(tmp_out, "incoming2")
+    out = os.path.join(tmp_out, "ranked")
+    _write(src, "a.json", [{"Primary Type": "THEFT", "District": 1}, {"Primary Type": "BATTERY", "District": 1},
+                           {"Primary Type": "THEFT", "District": 2}])
+    counts = stream_counts(clean_incidents(stream_incidents(spark, src)), ["district", "primary_type"])
+    q = start_counts(counts, "by_district", output_path=out, group=["district"], key="primary_type",
+                     checkpoint_location=os.path.join(tmp_out, "ck2"))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    rows = sorted((r.district, r.primary_type, r.NumberOfEvents, r.rk) for r in spark.read.parquet(out).collect())
+    assert rows == [("1", "BATTERY", 1, 1), ("1", "THEFT", 1, 2), ("2", "THEFT", 1, 1)]
