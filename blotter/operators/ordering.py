@@ -34,10 +34,17 @@ def _as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _slices(df: DataFrame, slices: int | None) -> int:
-    if slices:
-        return slices
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+# Largest table joined by broadcast after its row count was checked.
+BROADCAST_ROWS = 2_000_000
+
+
+def join_checked(big: DataFrame, small: DataFrame, cond, how: str = "inner", max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Join ``small`` by broadcast only when its counted size is under
+    ``max_rows``; otherwise a shuffle join (AQE splits skewed partitions).
+    ``small`` should be cheap to count (checkpointed or aggregated)."""
+    if small.count() <= max_rows:
+        small = F.broadcast(small)
+    return big.join(small, cond, how)
 
 
 def lay_out(
@@ -50,9 +57,11 @@ def lay_out(
     sequence, and checkpoint the result."""
     ensure_checkpoint_dir(df.sparkSession)
     sort_keys = [F.col(g).asc_nulls_first() for g in partition_by] + [_as_col(o) for o in order]
+    # Without an explicit slice count AQE sizes the range exchange from the
+    # data (coalescing only merges neighbouring ranges, so order is kept).
+    ranged = df.repartitionByRange(slices, *sort_keys) if slices else df.repartitionByRange(*sort_keys)
     laid = (
-        df.repartitionByRange(_slices(df, slices), *sort_keys)
-        .sortWithinPartitions(*sort_keys)
+        ranged.sortWithinPartitions(*sort_keys)
         .withColumn(_SLICE, F.spark_partition_id())
         .withColumn(_SEQ, F.monotonically_increasing_id())
     )
@@ -70,11 +79,14 @@ def _offsets(stats: DataFrame, partition_by: Sequence[str], amount: str) -> Data
 
 def _attach(laid: DataFrame, stats: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     keys = [_SLICE, *partition_by]
+    cond = [laid[k].eqNullSafe(stats[k]) for k in keys]
     if not partition_by:
         # One row per slice: the size is bounded by the slice count.
-        stats = F.broadcast(stats)
-    cond = [laid[k].eqNullSafe(stats[k]) for k in keys]
-    return laid.join(stats, cond, "inner").drop(*[stats[k] for k in keys])
+        joined = laid.join(F.broadcast(stats), cond, "inner")
+    else:
+        # At most slices + groups rows; broadcast after counting them.
+        joined = join_checked(laid, stats, cond)
+    return joined.drop(*[stats[k] for k in keys])
 
 
 def with_positions(

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blotter.functions.text import safe_double
-from blotter.operators.ordering import with_positions, with_running_total
+from blotter.operators.ordering import join_checked, with_positions, with_running_total
 
 # The evaluation points of the density report (districts 1..25)
 # and the default bandwidth of MLlib's KernelDensity.
@@ -97,11 +97,12 @@ def average_ranks(df: DataFrame, col: str, name: str) -> DataFrame:
     """Add ``name`` = rank of ``col`` (1 = smallest) with ties given their
     average rank.  Ranks come from the histogram of distinct values: the
     running count over the sorted histogram gives the last rank of each tie
-    group; the histogram is joined back on the value."""
+    group; the histogram is joined back on the value, by broadcast when its
+    counted size allows (a hot value then never lands in one task)."""
     hist = df.groupBy(col).agg(F.count(F.lit(1)).alias("__cnt"))
     cum = with_running_total(hist, [F.col(col).asc()], "__cnt", name="__cum")
-    ranks = cum.select(col, (F.col("__cum") - (F.col("__cnt") - F.lit(1)) / F.lit(2.0)).alias(name))
-    return df.join(ranks, on=col, how="inner")
+    ranks = cum.select(F.col(col).alias("__val"), (F.col("__cum") - (F.col("__cnt") - F.lit(1)) / F.lit(2.0)).alias(name))
+    return join_checked(df, ranks, F.col(col) == F.col("__val")).drop("__val")
 
 
 def correlation(pairs: DataFrame, method: str = "pearson") -> DataFrame:
