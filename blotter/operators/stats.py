@@ -1,8 +1,8 @@
 """Statistics over a numeric field of the incidents (the district number).
 
 Samples are DataFrames ``(incident_id, year, v)``; every statistic returns a
-DataFrame.  Nothing is collected to the driver except the single result row
-of MLlib's Kolmogorov-Smirnov test.
+DataFrame.  Nothing reaches the driver except scalars: the size and the
+statistic of the Kolmogorov-Smirnov test.
 """
 
 from __future__ import annotations
@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from blotter.functions.numeric import normal_cdf
 from blotter.functions.text import safe_double
+from blotter.operators.kolmogorov import ks_p_value
 from blotter.operators.ordering import join_checked, with_positions, with_running_total
 
 # The evaluation points of the density report (districts 1..25)
@@ -158,27 +160,24 @@ def kernel_density(
     return out.withColumn("label", label)
 
 
-def ks_test(
-    sample: DataFrame,
-    value_col: str = "v",
-    dist: str = "norm",
-    params: Sequence[float] = (0.0, 1.0),
-) -> DataFrame:
-    """One-sample, two-sided Kolmogorov-Smirnov test against a theoretical
-    distribution, by MLlib's distributed implementation.
+def ks_statistic(sample: DataFrame, value_col: str = "v", mean: float = 0.0, sd: float = 1.0) -> tuple[float | None, int]:
+    """(D, n) of the one-sample two-sided KS test against Normal(mean, sd),
+    from the histogram of distinct values: with the running count ``cum`` of
+    each value and ``c`` its own count, D = max(cum/n - F(v), F(v) - (cum-c)/n).
+    The sample is scanned once and never sorted; F is evaluated once per
+    distinct value.  Only the two numbers reach the driver."""
+    hist = sample.groupBy(value_col).agg(F.count(F.lit(1)).alias("__c"))
+    n = hist.agg(F.sum("__c")).first()[0] or 0
+    if n == 0:
+        return None, 0
+    cum = with_running_total(hist, [F.col(value_col).asc()], "__c", name="__cum")
+    cdf = normal_cdf(F.col(value_col), mean, sd)
+    nn = F.lit(float(n))
+    gap = F.greatest(F.col("__cum") / nn - cdf, cdf - (F.col("__cum") - F.col("__c")) / nn)
+    return cum.agg(F.max(gap)).first()[0], int(n)
 
-    Returns one row ``(method, statistic, p_value, null_hypothesis, conclusion, summary)``.
-    An empty sample gives NULL statistic and p-value.
-    """
-    from pyspark.ml.stat import KolmogorovSmirnovTest
 
-    spark = sample.sparkSession
-    values = sample.select(F.col(value_col).cast("double").alias("v"))
-    if values.isEmpty():
-        base = spark.createDataFrame([(None, None)], "statistic double, p_value double")
-    else:
-        res = KolmogorovSmirnovTest.test(values, "v", dist, *[float(p) for p in params])
-        base = res.select(F.col("statistic").alias("statistic"), F.col("pValue").alias("p_value"))
+def _ks_report(base: DataFrame) -> DataFrame:
     p = F.col("p_value")
     conclusion = (
         F.when(p.isNull(), F.lit(None))
@@ -203,3 +202,45 @@ def ks_test(
         F.col("conclusion"),
     )
     return out.withColumn("summary", summary)
+
+
+def ks_test(
+    sample: DataFrame,
+    value_col: str = "v",
+    dist: str = "norm",
+    params: Sequence[float] = (0.0, 1.0),
+    method: str = "histogram",
+) -> DataFrame:
+    """One-sample, two-sided Kolmogorov-Smirnov test against a normal distribution.
+
+    ``method="histogram"`` (default) computes the statistic from the value
+    histogram (no sort of the sample) and the p-value from the exact
+    distribution of D_n (``blotter.operators.kolmogorov``).
+    ``method="mllib"`` runs MLlib's implementation, which sorts the whole
+    sample; its p-value for n > 140 uses a different asymptotic series, so
+    far-tail p-values may differ in the last digits.
+
+    Returns one row ``(method, statistic, p_value, null_hypothesis, conclusion, summary)``;
+    an empty sample gives NULL statistic and p-value.
+    """
+    if dist != "norm":
+        raise ValueError("only the normal distribution ('norm') is supported")
+    mean, sd = (float(p) for p in (list(params) + [0.0, 1.0][len(params):])[:2])
+    spark = sample.sparkSession
+    schema = "statistic double, p_value double"
+    if method == "histogram":
+        d, n = ks_statistic(sample, value_col, mean, sd)
+        p = None if d is None else float(ks_p_value(d, n))
+        base = spark.createDataFrame([(d, p)], schema)
+    elif method == "mllib":
+        from pyspark.ml.stat import KolmogorovSmirnovTest
+
+        values = sample.select(F.col(value_col).cast("double").alias("v"))
+        if values.isEmpty():
+            base = spark.createDataFrame([(None, None)], schema)
+        else:
+            res = KolmogorovSmirnovTest.test(values, "v", dist, mean, sd)
+            base = res.select(F.col("statistic").alias("statistic"), F.col("pValue").alias("p_value"))
+    else:
+        raise ValueError(f"unknown KS method {method!r}; use 'histogram' or 'mllib'")
+    return _ks_report(base)

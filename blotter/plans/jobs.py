@@ -186,10 +186,14 @@ def district_density(
 
 
 def district_ks(
-    incidents: DataFrame, year: int = 2017, dist: str = "norm", params: Sequence[float] = (0.0, 1.0)
+    incidents: DataFrame,
+    year: int = 2017,
+    dist: str = "norm",
+    params: Sequence[float] = (0.0, 1.0),
+    method: str = "histogram",
 ) -> DataFrame:
     """Kolmogorov-Smirnov test of the district numbers of one year against a distribution."""
-    return stats.ks_test(stats.district_sample(incidents, year), "v", dist, params)
+    return stats.ks_test(stats.district_sample(incidents, year), "v", dist, params, method)
 
 
 # --------------------------------------------------------------------------

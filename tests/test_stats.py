@@ -131,14 +131,48 @@ def _brute_ks(values, mean, sd):
     return max(max((i + 1) / n - c, c - i / n) for i, c in enumerate(cdf))
 
 
+@pytest.mark.parametrize("method", ["histogram", "mllib"])
 @pytest.mark.parametrize("params", [(0.0, 1.0), (13.0, 7.2)])
-def test_ks_statistic_matches_brute_force(spark, dirty, params):
+def test_ks_statistic_matches_brute_force(spark, dirty, params, method):
     sample = stats.district_sample(dirty, B)
     values = [r.v for r in sample.collect()]
-    res = stats.ks_test(sample, "v", "norm", params).first()
+    res = stats.ks_test(sample, "v", "norm", params, method).first()
     assert res.statistic == pytest.approx(_brute_ks(values, *params), abs=1e-12)
 
 
+@pytest.mark.parametrize("size", [30, 120, 400])
+def test_ks_p_value_matches_mllib_when_moderate(spark, dirty, size):
+    # a sample whose p-value is not vanishing: district numbers against N(13, 7.2)
+    sample = stats.district_sample(dirty, B).orderBy("incident_id").limit(size)
+    sample = spark.createDataFrame(sample.collect(), sample.schema)
+    hist = stats.ks_test(sample, "v", "norm", (13.0, 7.2), "histogram").first()
+    ml = stats.ks_test(sample, "v", "norm", (13.0, 7.2), "mllib").first()
+    assert hist.statistic == pytest.approx(ml.statistic, abs=1e-12)
+    assert hist.p_value == pytest.approx(ml.p_value, abs=2e-3 if size > 140 else 1e-9)
+
+
+def test_normal_cdf_expression(spark):
+    from blotter.functions.numeric import normal_cdf
+
+    xs = [-9.0, -8.0, -3.5, -1.0, -1e-9, 0.0, 0.3, 1.0, 2.5, 7.9, 12.0]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = [r[0] for r in df.select(normal_cdf("x")).collect()]
+    for x, g in zip(xs, got):
+        assert g == pytest.approx(0.5 * math.erfc(-x / math.sqrt(2.0)), abs=1e-14)
+
+
+def test_ks_distribution_helper():
+    from blotter.operators.kolmogorov import ks_cdf
+
+    assert ks_cdf(0.001, 100) == 0.0
+    assert ks_cdf(1.0, 10) == 1.0
+    # known value: P(D_10 < 0.274) is about 0.6284 (MTW paper tables / exact method)
+    assert 0.0 < ks_cdf(0.274, 10) < 1.0
+    # monotone in d
+    vals = [ks_cdf(d, 50) for d in (0.05, 0.1, 0.15, 0.2, 0.3)]
+    assert vals == sorted(vals)
+
+
 def test_ks_against_standard_normal(spark, dirty):
     res = jobs.district_ks(dirty, B).first()
     assert res.p_value < 1e-6
