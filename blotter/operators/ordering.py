@@ -84,7 +84,10 @@ def _attach(laid: DataFrame, stats: DataFrame, partition_by: Sequence[str]) -> D
         # One row per slice: the size is bounded by the slice count.
         joined = laid.join(F.broadcast(stats), cond, "inner")
     else:
-        # At most slices + groups rows; broadcast after counting them.
+        # At most slices + groups rows: made concrete once, then counted and
+        # broadcast when small enough.
+        stats = stats.checkpoint(eager=True)
+        cond = [laid[k].eqNullSafe(stats[k]) for k in keys]
         joined = join_checked(laid, stats, cond)
     return joined.drop(*[stats[k] for k in keys])
 

@@ -95,16 +95,31 @@ def equalized_sample(pairs: DataFrame, year_a: int, year_b: int) -> DataFrame:
     ).select("year", "pos", "v")
 
 
-def average_ranks(df: DataFrame, col: str, name: str) -> DataFrame:
-    """Add ``name`` = rank of ``col`` (1 = smallest) with ties given their
-    average rank.  Ranks come from the histogram of distinct values: the
-    running count over the sorted histogram gives the last rank of each tie
-    group; the histogram is joined back on the value, by broadcast when its
-    counted size allows (a hot value then never lands in one task)."""
-    hist = df.groupBy(col).agg(F.count(F.lit(1)).alias("__cnt"))
-    cum = with_running_total(hist, [F.col(col).asc()], "__cnt", name="__cum")
-    ranks = cum.select(F.col(col).alias("__val"), (F.col("__cum") - (F.col("__cnt") - F.lit(1)) / F.lit(2.0)).alias(name))
-    return join_checked(df, ranks, F.col(col) == F.col("__val")).drop("__val")
+def average_ranks(df: DataFrame, cols: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Add, for each column in ``cols``, its rank (1 = smallest) with ties
+    given their average rank, under the matching name in ``names``.
+
+    Ranks come from the histograms of distinct values of all columns, laid
+    out once: the running count over each sorted histogram gives the last
+    rank of every tie group.  Each histogram is joined back on the value, by
+    broadcast when its counted size allows (a hot value then never lands in
+    one task)."""
+    hists = [
+        df.groupBy(F.col(c).alias("__val")).agg(F.count(F.lit(1)).alias("__cnt")).withColumn("__which", F.lit(c))
+        for c in cols
+    ]
+    hist = hists[0]
+    for h in hists[1:]:
+        hist = hist.unionByName(h)
+    cum = with_running_total(hist, [F.col("__val").asc()], "__cnt", name="__cum", partition_by=["__which"])
+    ranks = cum.select(
+        "__which", "__val", (F.col("__cum") - (F.col("__cnt") - F.lit(1)) / F.lit(2.0)).alias("__rank")
+    ).checkpoint(eager=True)
+    out = df
+    for c, name in zip(cols, names):
+        r = ranks.where(F.col("__which") == c).select(F.col("__val").alias(f"__v_{name}"), F.col("__rank").alias(name))
+        out = join_checked(out, r, F.col(c) == F.col(f"__v_{name}")).drop(f"__v_{name}")
+    return out
 
 
 def correlation(pairs: DataFrame, method: str = "pearson") -> DataFrame:
@@ -113,7 +128,7 @@ def correlation(pairs: DataFrame, method: str = "pearson") -> DataFrame:
         x, y = F.col("a"), F.col("b")
         src = pairs
     elif method == "spearman":
-        src = average_ranks(average_ranks(pairs, "a", "ra"), "b", "rb")
+        src = average_ranks(pairs, ["a", "b"], ["ra", "rb"])
         x, y = F.col("ra"), F.col("rb")
     else:
         raise ValueError(f"unknown correlation method {method!r}; use 'pearson' or 'spearman'")
