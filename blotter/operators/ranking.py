@@ -106,6 +106,11 @@ def nested_ranked_lists(
     """
     item_key = item_key or key
     counts = count_by(df, group, key, count_col="__n")
+    if top is not None:
+        # Keep only the first k categories of each group before collecting,
+        # so a list never grows past k entries.
+        w = Window.partitionBy(group).orderBy(*_count_order("__n", key, DESC))
+        counts = counts.withColumn("__rk", F.row_number().over(w)).where(F.col("__rk") <= top).drop("__rk")
     packed = F.struct(
         (-F.col("__n")).alias("__neg"),
         F.col(key).alias("__key"),
@@ -116,8 +121,6 @@ def nested_ranked_lists(
         F.col("__sorted"),
         lambda x: F.struct(x["__key"].alias(item_key), x["__cnt"].alias(item_count)),
     )
-    if top is not None:
-        items = F.slice(items, 1, top)
     out = lists.select(F.col(group).alias(group_name or group), items.alias(list_name))
     return out
 

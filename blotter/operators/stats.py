@@ -182,10 +182,10 @@ def ks_statistic(sample: DataFrame, value_col: str = "v", mean: float = 0.0, sd:
     The sample is scanned once and never sorted; F is evaluated once per
     distinct value.  Only the two numbers reach the driver."""
     hist = sample.groupBy(value_col).agg(F.count(F.lit(1)).alias("__c"))
-    n = hist.agg(F.sum("__c")).first()[0] or 0
+    cum = with_running_total(hist, [F.col(value_col).asc()], "__c", name="__cum").checkpoint(eager=True)
+    n = cum.agg(F.max("__cum")).first()[0] or 0
     if n == 0:
         return None, 0
-    cum = with_running_total(hist, [F.col(value_col).asc()], "__c", name="__cum")
     cdf = normal_cdf(F.col(value_col), mean, sd)
     nn = F.lit(float(n))
     gap = F.greatest(F.col("__cum") / nn - cdf, cdf - (F.col("__cum") - F.col("__c")) / nn)
