@@ -1,6 +1,12 @@
 """Readers, writers and adapters."""
 
-from blotter.sources.incidents import clean_incidents, read_incidents, stream_incidents
+from blotter.sources.incidents import (
+    clean_incidents,
+    read_clean_incidents,
+    read_incidents,
+    store_clean_incidents,
+    stream_incidents,
+)
 from blotter.sources.calls import parse_calls, read_call_lines
 from blotter.sources.sinks import write_lines, write_result
 from blotter.sources import tables
@@ -8,6 +14,8 @@ from blotter.sources import tables
 __all__ = [
     "clean_incidents",
     "read_incidents",
+    "read_clean_incidents",
+    "store_clean_incidents",
     "stream_incidents",
     "parse_calls",
     "read_call_lines",

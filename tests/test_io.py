@@ -67,3 +67,18 @@ def test_text_lines(spark, tmp_out):
     write_lines(dens.orderBy("point_index").coalesce(1), "label", path)
     text = sorted(r.value for r in spark.read.text(path).collect())
     assert text[0].startswith("Distretto n.1: ") and text[1].startswith("Distretto n.2: ")
+
+
+def test_stored_clean_incidents_prune_years(spark, tmp_out):
+    from blotter.operators import stats
+    from blotter.sources import read_clean_incidents, store_clean_incidents, tables
+
+    path = os.path.join(tmp_out, "clean")
+    inc = tables.incidents_dirty(spark, "/root/testdata/sf0.001")
+    store_clean_incidents(inc, path)
+    back = read_clean_incidents(spark, path)
+    assert back.columns == inc.columns
+    sample = stats.district_sample(back, [1996, 1997])
+    plan = sample._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "1996" in plan
+    assert sorted(map(tuple, sample.collect())) == sorted(map(tuple, stats.district_sample(inc, [1996, 1997]).collect()))
