@@ -15,6 +15,11 @@ order is laid out across many tasks instead:
 4. add the offset back to every row.
 
 Only step 3 works on a small table; everything else is one pass per slice.
+
+Callers that order an aggregate (categories, histograms) may pass
+``small_rows``: the input is checkpointed and counted first, and when it has
+at most that many rows the order is one ordinary window in one task - a
+bounded amount of work that saves the layout jobs.
 """
 
 from __future__ import annotations
@@ -36,6 +41,22 @@ def _as_col(c: Column | str) -> Column:
 
 # Largest table joined by broadcast after its row count was checked.
 BROADCAST_ROWS = 2_000_000
+# Largest counted input ordered by a single window in one task.
+SMALL_ROWS = 1_000_000
+
+
+def _checked_small(df: DataFrame, small_rows: int | None) -> tuple[DataFrame, bool]:
+    """(df, is_small): with ``small_rows`` set, ``df`` is checkpointed and counted."""
+    if not small_rows:
+        return df, False
+    ensure_checkpoint_dir(df.sparkSession)
+    concrete = df.checkpoint(eager=True)
+    return concrete, concrete.count() <= small_rows
+
+
+def _window(partition_by: Sequence[str], order: Sequence[Column | str]):
+    cols = [_as_col(o) for o in order]
+    return Window.partitionBy(*partition_by).orderBy(*cols) if partition_by else Window.orderBy(*cols)
 
 
 def join_checked(big: DataFrame, small: DataFrame, cond, how: str = "inner", max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -98,10 +119,14 @@ def with_positions(
     name: str = "pos",
     partition_by: Sequence[str] = (),
     slices: int | None = None,
+    small_rows: int | None = None,
 ) -> DataFrame:
     """Add ``name`` = 1-based row number within each ``partition_by`` group in
     ``order``.  ``order`` must make rows unique for the numbering to be
     deterministic (end it with a unique key)."""
+    df, small = _checked_small(df, small_rows)
+    if small:
+        return df.withColumn(name, F.row_number().over(_window(partition_by, order)).cast("long"))
     laid = lay_out(df, order, partition_by, slices)
     stats = laid.groupBy(_SLICE, *partition_by).agg(
         F.min(_SEQ).alias("__first"), F.count(F.lit(1)).alias("__rows")
@@ -119,9 +144,14 @@ def with_running_total(
     name: str = "running",
     partition_by: Sequence[str] = (),
     slices: int | None = None,
+    small_rows: int | None = None,
 ) -> DataFrame:
     """Add ``name`` = sum of ``weight`` over all rows up to and including this
     one in ``order`` (within each ``partition_by`` group)."""
+    df, small = _checked_small(df, small_rows)
+    if small:
+        frame = _window(partition_by, order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(name, F.sum(weight).over(frame))
     laid = lay_out(df, order, partition_by, slices)
     local = Window.partitionBy(_SLICE, *partition_by).orderBy(_SEQ).rowsBetween(Window.unboundedPreceding, 0)
     laid = laid.withColumn("__local", F.sum(weight).over(local))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blotter.functions.text import non_empty
-from blotter.operators.ordering import with_positions
+from blotter.operators.ordering import SMALL_ROWS, with_positions
 
 DESC = "desc"
 ASC = "asc"
@@ -45,17 +45,19 @@ def ranked_counts(
     count_col: str = "n",
     rank_col: str | None = "rk",
     top: int | None = None,
+    small_rows: int | None = SMALL_ROWS,
 ) -> DataFrame:
     """Count rows per ``key`` and rank the categories by count (ties: key ascending).
 
-    The rank is computed over the aggregated categories with ordered
-    positions spread over many tasks; ``top`` keeps the first k ranks.
+    The rank is computed over the aggregated categories: by one window when
+    their counted number is at most ``small_rows``, otherwise with ordered
+    positions spread over many tasks.  ``top`` keeps the first k ranks.
     """
     counts = count_by(df, key, count_col=count_col)
     if rank_col is None and top is None:
         return counts.orderBy(*_count_order(count_col, key, direction))
     rk = rank_col or "__rk"
-    ranked = with_positions(counts, _count_order(count_col, key, direction), name=rk)
+    ranked = with_positions(counts, _count_order(count_col, key, direction), name=rk, small_rows=small_rows)
     if top is not None:
         ranked = ranked.where(F.col(rk) <= top)
     if rank_col is None:

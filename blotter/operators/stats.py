@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from blotter.functions.numeric import normal_cdf
 from blotter.functions.text import safe_double
 from blotter.operators.kolmogorov import ks_p_value
-from blotter.operators.ordering import join_checked, with_positions, with_running_total
+from blotter.operators.ordering import SMALL_ROWS, join_checked, with_positions, with_running_total
 
 # The evaluation points of the density report (districts 1..25)
 # and the default bandwidth of MLlib's KernelDensity.
@@ -111,7 +111,9 @@ def average_ranks(df: DataFrame, cols: Sequence[str], names: Sequence[str]) -> D
     hist = hists[0]
     for h in hists[1:]:
         hist = hist.unionByName(h)
-    cum = with_running_total(hist, [F.col("__val").asc()], "__cnt", name="__cum", partition_by=["__which"])
+    cum = with_running_total(
+        hist, [F.col("__val").asc()], "__cnt", name="__cum", partition_by=["__which"], small_rows=SMALL_ROWS
+    )
     ranks = cum.select(
         "__which", "__val", (F.col("__cum") - (F.col("__cnt") - F.lit(1)) / F.lit(2.0)).alias("__rank")
     ).checkpoint(eager=True)
@@ -123,7 +125,8 @@ def average_ranks(df: DataFrame, cols: Sequence[str], names: Sequence[str]) -> D
 
 
 def correlation(pairs: DataFrame, method: str = "pearson") -> DataFrame:
-    """One row ``(r, n)``: correlation of columns ``a`` and ``b``; NULL for no pairs."""
+    """One row ``(r, n, report)``: correlation of columns ``a`` and ``b`` over
+    ``n`` pairs (NULL for no pairs), and the printed form of the result."""
     if method == "pearson":
         x, y = F.col("a"), F.col("b")
         src = pairs
@@ -132,7 +135,9 @@ def correlation(pairs: DataFrame, method: str = "pearson") -> DataFrame:
         x, y = F.col("ra"), F.col("rb")
     else:
         raise ValueError(f"unknown correlation method {method!r}; use 'pearson' or 'spearman'")
-    return src.agg(F.corr(x, y).alias("r"), F.count(F.lit(1)).alias("n"))
+    out = src.agg(F.corr(x, y).alias("r"), F.count(F.lit(1)).alias("n"))
+    report = F.concat(F.lit("Correlation is: "), F.coalesce(F.col("r").cast("string"), F.lit("NaN")))
+    return out.withColumn("report", report)
 
 
 def kernel_density(
@@ -182,7 +187,8 @@ def ks_statistic(sample: DataFrame, value_col: str = "v", mean: float = 0.0, sd:
     The sample is scanned once and never sorted; F is evaluated once per
     distinct value.  Only the two numbers reach the driver."""
     hist = sample.groupBy(value_col).agg(F.count(F.lit(1)).alias("__c"))
-    cum = with_running_total(hist, [F.col(value_col).asc()], "__c", name="__cum").checkpoint(eager=True)
+    cum = with_running_total(hist, [F.col(value_col).asc()], "__c", name="__cum", small_rows=SMALL_ROWS)
+    cum = cum.checkpoint(eager=True)
     n = cum.agg(F.max("__cum")).first()[0] or 0
     if n == 0:
         return None, 0

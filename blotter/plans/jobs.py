@@ -169,7 +169,7 @@ def district_correlation(
     incidents: DataFrame, year_a: int = 2015, year_b: int = 2016, method: str = "pearson"
 ) -> DataFrame:
     """Correlation of the district numbers of two years, paired by position
-    (incident order) and cut to the shorter year: one row ``(r, n)``."""
+    (incident order) and cut to the shorter year: one row ``(r, n, report)``."""
     sample = stats.district_sample(incidents, [year_a, year_b])
     pairs = stats.positional_pairs(sample, year_a, year_b)
     return stats.correlation(pairs, method)

@@ -12,7 +12,6 @@ re-plans it at run time; at large scale it stays a shuffle join.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from blotter import schema as S
 from blotter.functions.calendar import DATE_TEXT_PATTERN
@@ -31,25 +30,24 @@ def _orders_with_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(customers, orders.o_custkey == customers.c_custkey, "inner")
 
 
-def _arrest() -> F.Column:
-    return F.when(F.col("o_orderstatus") == "F", F.lit("true")).otherwise(F.lit("false"))
+_ARREST = "CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END"
+_DATE = f"date_format(o_orderdate, '{DATE_TEXT_PATTERN}')"
 
 
-def _date_text() -> F.Column:
-    return F.date_format(F.col("o_orderdate"), DATE_TEXT_PATTERN)
+def _q(name: str) -> str:
+    return f"`{name}`"
 
 
 def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Well-formed incident documents: District and Year are numbers."""
-    src = _orders_with_customers(spark, sf_dir)
-    return src.select(
-        F.col("o_orderkey").alias(S.F_ID),
-        F.col("o_orderpriority").alias(S.F_TYPE),
-        (F.col("c_nationkey") + 1).alias(S.F_DISTRICT),
-        F.col("c_mktsegment").alias(S.F_LOCATION),
-        _arrest().alias(S.F_ARREST),
-        _date_text().alias(S.F_DATE),
-        F.year("o_orderdate").alias(S.F_YEAR),
+    return _orders_with_customers(spark, sf_dir).selectExpr(
+        f"o_orderkey AS {_q(S.F_ID)}",
+        f"o_orderpriority AS {_q(S.F_TYPE)}",
+        f"c_nationkey + 1 AS {_q(S.F_DISTRICT)}",
+        f"c_mktsegment AS {_q(S.F_LOCATION)}",
+        f"{_ARREST} AS {_q(S.F_ARREST)}",
+        f"{_DATE} AS {_q(S.F_DATE)}",
+        f"year(o_orderdate) AS {_q(S.F_YEAR)}",
     )
 
 
@@ -58,30 +56,25 @@ def raw_incidents_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     blank and tab-padded types, NULLs, text districts ("abc", "-1", "NaN",
     zero-padded), blank locations, dates without '/', missing years.  The
     mess is injected by a rule on the order key, every order is kept."""
-    src = _orders_with_customers(spark, sf_dir)
-    k = F.col("o_orderkey")
-    district = (F.col("c_nationkey") + 1).cast("string")
-    none = F.lit(None).cast("string")
-    return src.select(
-        k.alias(S.F_ID),
-        F.when(k % 89 == 0, F.lit(""))
-        .when(k % 83 == 0, F.concat(F.lit("\t"), F.col("o_orderpriority"), F.lit(" ")))
-        .when(k % 79 == 0, none)
-        .when(k % 73 == 0, F.lit("A|B"))
-        .otherwise(F.col("o_orderpriority"))
-        .alias(S.F_TYPE),
-        F.when(k % 101 == 0, F.lit(""))
-        .when(k % 103 == 0, F.lit("abc"))
-        .when(k % 107 == 0, F.lit("-1"))
-        .when(k % 109 == 0, none)
-        .when(k % 113 == 0, F.concat(F.lit("0"), district))
-        .when(k % 127 == 0, F.lit("NaN"))
-        .otherwise(district)
-        .alias(S.F_DISTRICT),
-        F.when(k % 71 == 0, F.lit("   ")).otherwise(F.col("c_mktsegment")).alias(S.F_LOCATION),
-        _arrest().alias(S.F_ARREST),
-        F.when(k % 67 == 0, F.lit("no date")).otherwise(_date_text()).alias(S.F_DATE),
-        F.when(k % 61 == 0, F.lit(None).cast("int")).otherwise(F.year("o_orderdate")).alias(S.F_YEAR),
+    n = "CAST(c_nationkey + 1 AS STRING)"
+    return _orders_with_customers(spark, sf_dir).selectExpr(
+        f"o_orderkey AS {_q(S.F_ID)}",
+        "CASE WHEN o_orderkey % 89 = 0 THEN '' "
+        "WHEN o_orderkey % 83 = 0 THEN concat(char(9), o_orderpriority, ' ') "
+        "WHEN o_orderkey % 79 = 0 THEN NULL "
+        "WHEN o_orderkey % 73 = 0 THEN 'A|B' "
+        f"ELSE o_orderpriority END AS {_q(S.F_TYPE)}",
+        "CASE WHEN o_orderkey % 101 = 0 THEN '' "
+        "WHEN o_orderkey % 103 = 0 THEN 'abc' "
+        "WHEN o_orderkey % 107 = 0 THEN '-1' "
+        "WHEN o_orderkey % 109 = 0 THEN NULL "
+        f"WHEN o_orderkey % 113 = 0 THEN concat('0', {n}) "
+        "WHEN o_orderkey % 127 = 0 THEN 'NaN' "
+        f"ELSE {n} END AS {_q(S.F_DISTRICT)}",
+        f"CASE WHEN o_orderkey % 71 = 0 THEN '   ' ELSE c_mktsegment END AS {_q(S.F_LOCATION)}",
+        f"{_ARREST} AS {_q(S.F_ARREST)}",
+        f"CASE WHEN o_orderkey % 67 = 0 THEN 'no date' ELSE {_DATE} END AS {_q(S.F_DATE)}",
+        f"CASE WHEN o_orderkey % 61 = 0 THEN NULL ELSE year(o_orderdate) END AS {_q(S.F_YEAR)}",
     )
 
 
@@ -89,23 +82,18 @@ def raw_incidents_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incident documents whose District is a JSON integer, a JSON decimal
     (n + 0.25) or JSON text (zero-padded below 10), rotating by order key -
     the shape a schemaless document store hands over."""
-    src = _orders_with_customers(spark, sf_dir)
-    n = (F.col("c_nationkey") + 1).cast("string")
-    k = F.col("o_orderkey")
-    padded = F.when(F.col("c_nationkey") + 1 < 10, F.concat(F.lit("0"), n)).otherwise(n)
-    district = (
-        F.when(k % 3 == 0, F.parse_json(n))
-        .when(k % 3 == 1, F.parse_json(F.concat(n, F.lit(".25"))))
-        .otherwise(F.parse_json(F.concat(F.lit('"'), padded, F.lit('"'))))
-    )
-    return src.select(
-        k.alias(S.F_ID),
-        F.col("o_orderpriority").alias(S.F_TYPE),
-        district.alias(S.F_DISTRICT),
-        F.col("c_mktsegment").alias(S.F_LOCATION),
-        _arrest().alias(S.F_ARREST),
-        _date_text().alias(S.F_DATE),
-        F.parse_json(F.year("o_orderdate").cast("string")).alias(S.F_YEAR),
+    n = "CAST(c_nationkey + 1 AS STRING)"
+    padded = f"CASE WHEN c_nationkey + 1 < 10 THEN concat('0', {n}) ELSE {n} END"
+    return _orders_with_customers(spark, sf_dir).selectExpr(
+        f"o_orderkey AS {_q(S.F_ID)}",
+        f"o_orderpriority AS {_q(S.F_TYPE)}",
+        f"CASE WHEN o_orderkey % 3 = 0 THEN parse_json({n}) "
+        f"WHEN o_orderkey % 3 = 1 THEN parse_json(concat({n}, '.25')) "
+        f"ELSE parse_json(concat('\"', {padded}, '\"')) END AS {_q(S.F_DISTRICT)}",
+        f"c_mktsegment AS {_q(S.F_LOCATION)}",
+        f"{_ARREST} AS {_q(S.F_ARREST)}",
+        f"{_DATE} AS {_q(S.F_DATE)}",
+        f"parse_json(CAST(year(o_orderdate) AS STRING)) AS {_q(S.F_YEAR)}",
     )
 
 
@@ -123,16 +111,9 @@ def incidents_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def call_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Call-log lines: 8 comma-joined fields, the call time in field 7."""
-    ev = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "value", "ts")
-    line = F.concat_ws(
-        ",",
-        F.col("event_id").cast("string"),
-        F.col("event_type"),
-        F.col("user_id").cast("string"),
-        F.col("value").cast("string"),
-        F.lit("x"),
-        F.lit("x"),
-        F.lit("x"),
-        F.date_format(F.col("ts"), DATE_TEXT_PATTERN),
+    ev = table(spark, sf_dir, "events")
+    return ev.selectExpr(
+        "concat_ws(',', CAST(event_id AS STRING), event_type, CAST(user_id AS STRING), "
+        "CAST(value AS STRING), 'x', 'x', 'x', "
+        f"date_format(ts, '{DATE_TEXT_PATTERN}')) AS value"
     )
-    return ev.select(line.alias("value"))

@@ -149,9 +149,19 @@ def test_ranked_counts_many_categories_across_slices(spark):
     # 5,000 categories with many ties: the distributed rank must equal a plain window.
     df = spark.range(20000).select((F.col("id") % 5000).cast("string").alias("k"),
                                    F.col("id")).where(~((F.col("id") % 7 == 0) & (F.col("id") > 10000)))
-    got = ranked_counts(df, "k", count_col="n")
+    got = ranked_counts(df, "k", count_col="n", small_rows=0)  # force the distributed path
     from pyspark.sql import Window
     expect = df.groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn(
         "rk", F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("k").asc())).cast("long"))
     assert got.exceptAll(expect.select(*got.columns)).count() == 0
     assert got.count() == 5000
+
+
+def test_ranked_counts_small_and_distributed_paths_agree(spark):
+    from blotter.sources import tables
+
+    inc = tables.incidents_dirty(spark, "/root/testdata/sf0.001")
+    for key in ("primary_type", "district", "location"):
+        small = ranked_counts(inc, key, small_rows=10**6)
+        spread = ranked_counts(inc, key, small_rows=0)
+        assert sorted(map(tuple, small.collect())) == sorted(map(tuple, spread.collect()))

@@ -209,3 +209,19 @@ def test_infinite_value_gives_nan_correlation(spark):
 def test_correlation_rejects_unknown_method(spark, dirty):
     with pytest.raises(ValueError):
         jobs.district_correlation(dirty, A, B, "kendall")
+
+
+def test_spearman_small_and_distributed_ranks_agree(spark, dirty, monkeypatch):
+    import blotter.operators.stats as st
+
+    small = jobs.district_correlation(dirty, A, B, "spearman").first().r
+    monkeypatch.setattr(st, "SMALL_ROWS", 0)
+    spread = jobs.district_correlation(dirty, A, B, "spearman").first().r
+    assert small == pytest.approx(spread, abs=1e-12)
+
+
+def test_running_total_small_path(spark):
+    df = spark.range(500).select((F.col("id") % 7).alias("g"), F.col("id").alias("k"), (F.col("id") % 3).alias("w"))
+    a = with_running_total(df, [F.col("k").asc()], "w", name="cum", partition_by=["g"], small_rows=10**6)
+    b = with_running_total(df, [F.col("k").asc()], "w", name="cum", partition_by=["g"], slices=4)
+    assert a.exceptAll(b.select(*a.columns)).count() == 0 and a.count() == 500
