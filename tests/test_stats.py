@@ -225,3 +225,22 @@ def test_running_total_small_path(spark):
     a = with_running_total(df, [F.col("k").asc()], "w", name="cum", partition_by=["g"], small_rows=10**6)
     b = with_running_total(df, [F.col("k").asc()], "w", name="cum", partition_by=["g"], slices=4)
     assert a.exceptAll(b.select(*a.columns)).count() == 0 and a.count() == 500
+
+
+def test_positions_property(spark):
+    # Random groups/keys, random slice counts: the layout always equals a window.
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=6, deadline=None)
+    @given(
+        rows=st.lists(st.tuples(st.integers(0, 3), st.integers(-50, 50)), min_size=0, max_size=60, unique=True),
+        slices=st.integers(1, 5),
+    )
+    def check(rows, slices):
+        df = spark.createDataFrame(rows, "g int, k int") if rows else spark.createDataFrame([], "g int, k int")
+        got = with_positions(df, [F.col("k").desc()], name="pos", partition_by=["g"], slices=slices)
+        expect = df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy(F.col("k").desc())).cast("long"))
+        assert sorted(map(tuple, got.select("g", "k", "pos").collect())) == sorted(map(tuple, expect.collect()))
+
+    check()
