@@ -157,22 +157,22 @@ def kernel_density(
     if bandwidth <= 0:
         raise ValueError("bandwidth must be positive")
     h = float(bandwidth)
-    hist = sample.groupBy(value_col).agg(F.count(F.lit(1)).alias("__c"))
-    z = lambda p: (F.lit(float(p)) - F.col(value_col)) / F.lit(h)
+    pts = [float(p) for p in points]
+    hist = sample.groupBy(F.col(value_col).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+
+    def num(x: float) -> str:
+        return f"CAST('{x!r}' AS DOUBLE)"
+
+    # One SQL expression per point keeps plan construction cheap for many points.
     sums = hist.agg(
-        F.sum("__c").alias("__n"),
-        *[F.sum(F.col("__c") * F.exp(F.lit(-0.5) * z(p) * z(p))).alias(f"__k{i}") for i, p in enumerate(points)],
+        F.expr("sum(__c) AS __n"),
+        *[F.expr(f"sum(__c * exp(-0.5 * pow(({num(p)} - __v) / {num(h)}, 2))) AS __k{i}") for i, p in enumerate(pts)],
     )
-    norm = F.col("__n") * F.lit(h * math.sqrt(2.0 * math.pi))
-    rows = [
-        F.struct(
-            F.lit(i + 1).cast("int").alias("point_index"),
-            F.lit(float(p)).alias("point"),
-            (F.col(f"__k{i}") / norm).alias("density"),
-        )
-        for i, p in enumerate(points)
-    ]
-    out = sums.select(F.inline(F.array(*rows)))
+    norm = f"(__n * {num(h * math.sqrt(2.0 * math.pi))})"
+    rows = ", ".join(
+        f"named_struct('point_index', {i + 1}, 'point', {num(p)}, 'density', __k{i} / {norm})" for i, p in enumerate(pts)
+    )
+    out = sums.selectExpr(f"inline(array({rows}))")
     label = F.concat(
         F.lit("Distretto n."), F.col("point_index").cast("string"), F.lit(": "),
         F.coalesce(F.col("density").cast("string"), F.lit("NaN")),
