@@ -7,6 +7,21 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+# Settings meant for a large cluster run (pass them with spark-submit --conf).
+# Partitions are sized by AQE from a large initial count; scans read 256 MB
+# splits; skewed joins are split; checkpoints are cleaned once unreferenced.
+# spark.checkpoint.dir must name a shared folder (HDFS, S3, ABFS, ...).
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "blotter") -> SparkSession:
     """A local session configured the way the tests and the bench expect."""

@@ -244,3 +244,19 @@ def test_positions_property(spark):
         assert sorted(map(tuple, got.select("g", "k", "pos").collect())) == sorted(map(tuple, expect.collect()))
 
     check()
+
+
+def test_layout_splits_a_hot_group(spark):
+    # One group holds a third of the rows: the range layout spreads it over
+    # several slices instead of one task.
+    from blotter.operators.ordering import lay_out
+
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50 + 1).alias("g"), F.col("id").alias("k")
+    )
+    laid = lay_out(df, [F.col("k").asc()], partition_by=["g"], slices=6)
+    sizes = [r[1] for r in laid.groupBy("__slice").count().collect()]
+    assert len(sizes) == 6
+    assert max(sizes) <= 2 * (sum(sizes) / len(sizes))
+    hot = laid.where(F.col("g") == 0).select("__slice").distinct().count()
+    assert hot >= 2
