@@ -98,11 +98,12 @@ def _offsets(stats: DataFrame, partition_by: Sequence[str], amount: str) -> Data
     return stats.withColumn("__before", F.coalesce(F.sum(amount).over(before), F.lit(0)))
 
 
-def _attach(laid: DataFrame, stats: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+def _attach(laid: DataFrame, stats: DataFrame, partition_by: Sequence[str], bounded: bool = False) -> DataFrame:
     keys = [_SLICE, *partition_by]
     cond = [laid[k].eqNullSafe(stats[k]) for k in keys]
-    if not partition_by:
-        # One row per slice: the size is bounded by the slice count.
+    if not partition_by or bounded:
+        # At most one row per slice and known group: bounded by the slice
+        # count plus the number of groups the caller vouched for.
         joined = laid.join(F.broadcast(stats), cond, "inner")
     else:
         # At most slices + groups rows: made concrete once, then counted and
@@ -120,10 +121,13 @@ def with_positions(
     partition_by: Sequence[str] = (),
     slices: int | None = None,
     small_rows: int | None = None,
+    max_groups: int | None = None,
 ) -> DataFrame:
     """Add ``name`` = 1-based row number within each ``partition_by`` group in
     ``order``.  ``order`` must make rows unique for the numbering to be
-    deterministic (end it with a unique key)."""
+    deterministic (end it with a unique key).  ``max_groups``, when the caller
+    knows it (e.g. the years it filtered on), bounds the offset table so it is
+    broadcast without being counted first."""
     df, small = _checked_small(df, small_rows)
     if small:
         return df.withColumn(name, F.row_number().over(_window(partition_by, order)).cast("long"))
@@ -132,7 +136,8 @@ def with_positions(
         F.min(_SEQ).alias("__first"), F.count(F.lit(1)).alias("__rows")
     )
     stats = _offsets(stats, partition_by, "__rows")
-    joined = _attach(laid, stats, partition_by)
+    bounded = max_groups is not None and max_groups <= 1024
+    joined = _attach(laid, stats, partition_by, bounded)
     pos = (F.col("__before") + (F.col(_SEQ) - F.col("__first")) + F.lit(1)).cast("long")
     return joined.withColumn(name, pos).drop(_SLICE, _SEQ, "__first", "__rows", "__before")
 

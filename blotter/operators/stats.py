@@ -61,10 +61,14 @@ def sample_counts(sample: DataFrame, year_a: int, year_b: int) -> DataFrame:
     return counts.withColumn("n_min", F.least("n_a", "n_b"))
 
 
-def positioned_sample(sample: DataFrame) -> DataFrame:
+def positioned_sample(sample: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
     """Add ``pos``: 1-based position of each value inside its year, in
-    ``incident_id`` order, computed across many tasks (not one per year)."""
-    return with_positions(sample, [F.col("incident_id").asc()], name="pos", partition_by=["year"])
+    ``incident_id`` order, computed across many tasks (not one per year).
+    ``years``: the years the sample was filtered on, if known."""
+    return with_positions(
+        sample, [F.col("incident_id").asc()], name="pos", partition_by=["year"],
+        max_groups=len(years) if years is not None else None,
+    )
 
 
 def positional_pairs(sample: DataFrame, year_a: int, year_b: int) -> DataFrame:
@@ -74,7 +78,7 @@ def positional_pairs(sample: DataFrame, year_a: int, year_b: int) -> DataFrame:
     is the cut of the longer sample to ``n_min`` values.  The pairing is one
     aggregation on ``pos`` (two rows per key), not a join.
     """
-    positioned = positioned_sample(sample.where(F.col("year").isin(year_a, year_b)))
+    positioned = positioned_sample(sample.where(F.col("year").isin(year_a, year_b)), [year_a, year_b])
     pairs = positioned.groupBy("pos").agg(
         F.max(F.when(F.col("year") == year_a, F.col("v"))).alias("a"),
         F.max(F.when(F.col("year") == year_b, F.col("v"))).alias("b"),
