@@ -22,6 +22,8 @@ from blotter.operators.ordering import SMALL_ROWS, with_positions
 
 DESC = "desc"
 ASC = "asc"
+# Largest k served by a top-k selection instead of a full ranking.
+TOP_K_ROWS = 100_000
 
 
 def _count_order(count_col: str, key: str, direction: str) -> list[Column]:
@@ -54,10 +56,17 @@ def ranked_counts(
     positions spread over many tasks.  ``top`` keeps the first k ranks.
     """
     counts = count_by(df, key, count_col=count_col)
+    order = _count_order(count_col, key, direction)
     if rank_col is None and top is None:
-        return counts.orderBy(*_count_order(count_col, key, direction))
+        return counts.orderBy(*order)
     rk = rank_col or "__rk"
-    ranked = with_positions(counts, _count_order(count_col, key, direction), name=rk, small_rows=small_rows)
+    if top is not None and top <= TOP_K_ROWS:
+        # Top-k: each task keeps its best k categories and one task merges
+        # them (TakeOrderedAndProject); the rank is numbered over k rows.
+        best = counts.orderBy(*order).limit(top)
+        ranked = best.withColumn(rk, F.row_number().over(Window.orderBy(*order)).cast("long"))
+        return ranked.drop(rk) if rank_col is None else ranked
+    ranked = with_positions(counts, order, name=rk, small_rows=small_rows)
     if top is not None:
         ranked = ranked.where(F.col(rk) <= top)
     if rank_col is None:

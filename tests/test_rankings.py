@@ -165,3 +165,14 @@ def test_ranked_counts_small_and_distributed_paths_agree(spark):
         small = ranked_counts(inc, key, small_rows=10**6)
         spread = ranked_counts(inc, key, small_rows=0)
         assert sorted(map(tuple, small.collect())) == sorted(map(tuple, spread.collect()))
+
+
+def test_top_k_uses_take_ordered(spark):
+    from blotter.sources import tables
+
+    inc = tables.incidents_dirty(spark, "/root/testdata/sf0.001")
+    top = ranked_counts(inc, "district", count_col="n", top=3)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan or "Limit" in plan
+    full = ranked_counts(inc, "district", count_col="n")
+    assert sorted(map(tuple, top.collect())) == sorted(map(tuple, full.where("rk <= 3").collect()))
