@@ -6,6 +6,11 @@
     python -m blotter district_correlation --input crimes.json --output out/corr \\
         --param year_a=2015 --param year_b=2016 --param method=pearson
     python -m blotter calls_timestamp_text --input calls.csv --output out/calls_text
+    python -m blotter all --input crimes.json --output out/
+
+``all`` parses the documents once into a year-partitioned Parquet copy
+(``<output>/clean``) and runs every incident job from it, each into
+``<output>/<job>``.
 
 Parameters are passed as ``--param name=value`` (numbers are parsed; lists
 are comma-separated).  The session comes from ``spark-submit`` / the
@@ -16,13 +21,19 @@ from __future__ import annotations
 
 import argparse
 import ast
+import os
 import sys
 
 from pyspark.sql import SparkSession
 
 from blotter.plans import jobs
 from blotter.sources.calls import read_call_lines
-from blotter.sources.incidents import clean_incidents, read_incidents
+from blotter.sources.incidents import (
+    clean_incidents,
+    read_clean_incidents,
+    read_incidents,
+    store_clean_incidents,
+)
 from blotter.sources.sinks import write_lines, write_result
 
 CALL_JOBS = {"calls_day_of_week", "calls_timestamp_text"}
@@ -39,7 +50,7 @@ def _value(text: str):
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="python -m blotter", description=__doc__.split("\n\n")[0])
-    ap.add_argument("job", choices=sorted([*jobs.JOBS, *CALL_JOBS]))
+    ap.add_argument("job", choices=sorted([*jobs.JOBS, *CALL_JOBS, "all"]))
     ap.add_argument("--input", required=True)
     ap.add_argument("--input-format", default="json")
     ap.add_argument("--output", required=True)
@@ -59,6 +70,13 @@ def main(argv: list[str] | None = None) -> int:
             write_result(jobs.calls_day_of_week(lines, **params), args.output, args.output_format, args.mode)
         return 0
     incidents = clean_incidents(read_incidents(spark, args.input, args.input_format))
+    if args.job == "all":
+        clean_path = os.path.join(args.output, "clean")
+        store_clean_incidents(incidents, clean_path, mode=args.mode)
+        stored = read_clean_incidents(spark, clean_path)
+        for name, job in jobs.JOBS.items():
+            write_result(job(stored), os.path.join(args.output, name), args.output_format, args.mode)
+        return 0
     result = jobs.JOBS[args.job](incidents, **params)
     write_result(result, args.output, args.output_format, args.mode)
     return 0

@@ -28,3 +28,28 @@ def test_cli_density_params(spark, tmp_out):
     assert main(["district_density", "--input", src, "--output", out, "--output-format", "json",
                  "--param", "year=2017", "--param", "points=1.0,2.0,3.0"]) == 0
     assert spark.read.json(out).count() == 3
+
+
+def test_cli_all_jobs(spark, tmp_out):
+    src = os.path.join(tmp_out, "in3")
+    os.makedirs(src)
+    docs = [
+        {"Primary Type": "THEFT", "District": 1, "Location Description": "STREET", "Arrest": "true",
+         "Date": "01/02/2016 01:00:00 PM", "Year": 2016, "incident_id": 1},
+        {"Primary Type": "BATTERY", "District": "2", "Location Description": "HOUSE", "Arrest": "false",
+         "Date": "02/02/2017 01:00:00 PM", "Year": 2017, "incident_id": 2},
+        {"Primary Type": "THEFT", "District": 3.0, "Location Description": "STREET", "Arrest": "false",
+         "Date": "03/02/2017 01:00:00 PM", "Year": 2017, "incident_id": 3},
+    ]
+    with open(os.path.join(src, "a.json"), "w") as f:
+        for d in docs:
+            f.write(json.dumps(d) + "\n")
+    out = os.path.join(tmp_out, "all")
+    assert main(["all", "--input", src, "--output", out]) == 0
+    from blotter.plans import jobs
+
+    for name in jobs.JOBS:
+        assert os.path.isdir(os.path.join(out, name)), name
+    by_month = {r.YearAndMonth: [x.TypeOfCrime for x in r.CrimesInOrder]
+                for r in spark.read.parquet(os.path.join(out, "crimes_by_month")).collect()}
+    assert by_month == {"2016/01": ["THEFT"], "2017/02": ["BATTERY"], "2017/03": ["THEFT"]}
