@@ -100,18 +100,22 @@ def _offsets(stats: DataFrame, partition_by: Sequence[str], amount: str) -> Data
 
 def _attach(laid: DataFrame, stats: DataFrame, partition_by: Sequence[str], bounded: bool = False) -> DataFrame:
     keys = [_SLICE, *partition_by]
-    cond = [laid[k].eqNullSafe(stats[k]) for k in keys]
+    # Give the offset table its own key names: it derives from ``laid``, and
+    # a join of two lineages of one table must not mix up their columns.
+    renamed = {k: f"__k{i}" for i, k in enumerate(keys)}
+    stats = stats.select(*[F.col(c).alias(renamed.get(c, c)) for c in stats.columns])
+    if partition_by and not bounded:
+        # At most slices + groups rows: made concrete once, then counted and
+        # broadcast when small enough.
+        stats = stats.checkpoint(eager=True)
+    cond = [laid[k].eqNullSafe(stats[renamed[k]]) for k in keys]
     if not partition_by or bounded:
         # At most one row per slice and known group: bounded by the slice
         # count plus the number of groups the caller vouched for.
         joined = laid.join(F.broadcast(stats), cond, "inner")
     else:
-        # At most slices + groups rows: made concrete once, then counted and
-        # broadcast when small enough.
-        stats = stats.checkpoint(eager=True)
-        cond = [laid[k].eqNullSafe(stats[k]) for k in keys]
         joined = join_checked(laid, stats, cond)
-    return joined.drop(*[stats[k] for k in keys])
+    return joined.drop(*renamed.values())
 
 
 def with_positions(
@@ -139,7 +143,7 @@ def with_positions(
     bounded = max_groups is not None and max_groups <= 1024
     joined = _attach(laid, stats, partition_by, bounded)
     pos = (F.col("__before") + (F.col(_SEQ) - F.col("__first")) + F.lit(1)).cast("long")
-    return joined.withColumn(name, pos).drop(_SLICE, _SEQ, "__first", "__rows", "__before")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], pos.alias(name))
 
 
 def with_running_total(
@@ -163,6 +167,4 @@ def with_running_total(
     stats = laid.groupBy(_SLICE, *partition_by).agg(F.sum(weight).alias("__total"))
     stats = _offsets(stats, partition_by, "__total")
     joined = _attach(laid, stats, partition_by)
-    return joined.withColumn(name, F.col("__before") + F.col("__local")).drop(
-        _SLICE, _SEQ, "__local", "__total", "__before"
-    )
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__before") + F.col("__local")).alias(name))

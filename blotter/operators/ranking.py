@@ -83,18 +83,24 @@ def grouped_ranked_counts(
     count_col: str = "n",
     rank_col: str = "rk",
     top: int | None = None,
+    small_rows: int | None = SMALL_ROWS,
 ) -> DataFrame:
     """Count rows per (group, key); rank keys inside each group by count.
 
-    The window runs on the pre-aggregated (group, key) pairs, partitioned by
-    group; a group holds at most one row per distinct category.
+    Ranks are numbered over the pre-aggregated (group, key) pairs: with
+    ``top``, a window with a ``row_number() <= k`` filter, which Spark turns
+    into a per-group limit applied before the shuffle; otherwise one window
+    partitioned by group when the counted pairs are at most ``small_rows``,
+    and beyond that the range layout, which splits a group with very many
+    categories over several tasks.
     """
     counts = count_by(df, group, key, count_col=count_col)
-    w = Window.partitionBy(group).orderBy(*_count_order(count_col, key, direction))
-    ranked = counts.withColumn(rank_col, F.row_number().over(w).cast("long"))
+    order = _count_order(count_col, key, direction)
     if top is not None:
-        ranked = ranked.where(F.col(rank_col) <= top)
-    return ranked
+        w = Window.partitionBy(group).orderBy(*order)
+        ranked = counts.withColumn(rank_col, F.row_number().over(w).cast("long"))
+        return ranked.where(F.col(rank_col) <= top)
+    return with_positions(counts, order, name=rank_col, partition_by=[group], small_rows=small_rows)
 
 
 def nested_ranked_lists(

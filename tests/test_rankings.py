@@ -176,3 +176,15 @@ def test_top_k_uses_take_ordered(spark):
     assert "TakeOrderedAndProject" in plan or "Limit" in plan
     full = ranked_counts(inc, "district", count_col="n")
     assert sorted(map(tuple, top.collect())) == sorted(map(tuple, full.where("rk <= 3").collect()))
+
+
+def test_grouped_ranking_paths_agree(spark):
+    from blotter.operators.ranking import grouped_ranked_counts
+    from blotter.sources import tables
+
+    inc = tables.incidents_dirty(spark, "/root/testdata/sf0.001")
+    small = grouped_ranked_counts(inc, "district", "primary_type", small_rows=10**6)
+    spread = grouped_ranked_counts(inc, "district", "primary_type", small_rows=0)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, spread.collect()))
+    top = grouped_ranked_counts(inc, "district", "primary_type", top=2)
+    assert sorted(map(tuple, top.collect())) == sorted(map(tuple, small.where("rk <= 2").collect()))
