@@ -135,7 +135,8 @@ def correlation(pairs: DataFrame, method: str = "pearson") -> DataFrame:
         x, y = F.col("a"), F.col("b")
         src = pairs
     elif method == "spearman":
-        src = average_ranks(pairs, ["a", "b"], ["ra", "rb"])
+        # The pairs feed two histograms and two joins: materialise them once.
+        src = average_ranks(pairs.checkpoint(eager=True), ["a", "b"], ["ra", "rb"])
         x, y = F.col("ra"), F.col("rb")
     else:
         raise ValueError(f"unknown correlation method {method!r}; use 'pearson' or 'spearman'")
