@@ -17,6 +17,7 @@ from blotter.functions.numeric import normal_cdf
 from blotter.functions.text import safe_double
 from blotter.operators.kolmogorov import ks_p_value
 from blotter.operators.ordering import SMALL_ROWS, join_checked, with_positions, with_running_total
+from blotter.session import ensure_checkpoint_dir
 
 # The evaluation points of the density report (districts 1..25)
 # and the default bandwidth of MLlib's KernelDensity.
@@ -136,6 +137,7 @@ def correlation(pairs: DataFrame, method: str = "pearson") -> DataFrame:
         src = pairs
     elif method == "spearman":
         # The pairs feed two histograms and two joins: materialise them once.
+        ensure_checkpoint_dir(pairs.sparkSession)
         src = average_ranks(pairs.checkpoint(eager=True), ["a", "b"], ["ra", "rb"])
         x, y = F.col("ra"), F.col("rb")
     else:
