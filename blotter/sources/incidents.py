@@ -53,6 +53,7 @@ def clean_incidents(raw: DataFrame) -> DataFrame:
     * ``year`` is the integer year, NULL when the field is not a whole number.
 
     Missing fields become NULL; the queries drop rows whose keys are NULL.
+    Call it directly on the scan when the documents carry no ``incident_id``.
     """
     def canon(name):
         return canonical_text(raw, name) if name in raw.columns else F.lit(None).cast("string")
@@ -61,8 +62,12 @@ def clean_incidents(raw: DataFrame) -> DataFrame:
         return source_text(raw, name) if name in raw.columns else F.lit(None).cast("string")
 
     year_text = canon(S.F_YEAR)
+    # Without an id column the documents' input order (file split, offset)
+    # stands in for it - the closest thing to a physical position, and stable
+    # across task retries because it is taken right at the scan.
+    ident = _field(raw, S.F_ID).cast("long") if S.F_ID in raw.columns else F.monotonically_increasing_id()
     return raw.select(
-        _field(raw, S.F_ID).cast("long").alias("incident_id"),
+        ident.alias("incident_id"),
         java_trim(_field(raw, S.F_TYPE)).alias("primary_type"),
         canon(S.F_DISTRICT).alias("district"),
         text(S.F_DISTRICT).alias("district_text"),

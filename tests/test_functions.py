@@ -99,3 +99,9 @@ def test_no_python_udf_in_cleaning_plan(spark):
                                "`Location Description` string, Arrest string, Date string, Year string")
     plan = clean_incidents(df).select(F.col("*"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_clean_incidents_without_id_uses_input_order(spark):
+    df = spark.createDataFrame([("A",), ("B",), ("C",)], "`Primary Type` string")
+    ids = [r.incident_id for r in clean_incidents(df).collect()]
+    assert len(set(ids)) == 3 and all(i is not None for i in ids)
