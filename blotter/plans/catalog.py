@@ -21,7 +21,7 @@ from blotter.functions.text import safe_double, year_month
 from blotter.operators import stats
 from blotter.plans import jobs
 from blotter.sources import tables
-from blotter.sources.calls import field
+from blotter.sources.calls import csv_field, field
 
 YEAR_A, YEAR_B, YEAR_ONE = 1999, 2000, 2000
 KS_STANDARDIZED = (13.0, 7.2)
@@ -124,6 +124,12 @@ def q_calls_day_of_week(spark, sf_dir):
     return out.select("event_id", "day_of_week")
 
 
+def q_calls_day_of_week_quoted(spark, sf_dir):
+    lines = tables.call_lines_quoted(spark, sf_dir)
+    out = jobs.calls_day_of_week(lines, keep=[csv_field("value", 0).try_cast("long").alias("event_id")], quoted=True)
+    return out.select("event_id", "day_of_week")
+
+
 def q_calls_timestamp_text(spark, sf_dir):
     lines = tables.call_lines(spark, sf_dir)
     out = jobs.calls_day_of_week(lines, keep=[field("value", 0).try_cast("long").alias("event_id")])
@@ -153,6 +159,7 @@ def queries() -> dict[str, Query]:
             "district_ks": _ks((0.0, 1.0)),
             "district_ks_standardized": _ks(KS_STANDARDIZED),
             "calls_day_of_week": q_calls_day_of_week,
+            "calls_day_of_week_quoted": q_calls_day_of_week_quoted,
             "calls_timestamp_text": q_calls_timestamp_text,
         }
     )
@@ -339,6 +346,10 @@ FROM pts, h GROUP BY point_index, point"""
     sql["district_ks"] = "WITH " + _ks_sql(0.0, 1.0)
     sql["district_ks_standardized"] = "WITH " + _ks_sql(*KS_STANDARDIZED)
     sql["calls_day_of_week"] = f"""WITH {_CALLS}
+SELECT event_id, CAST(dayofweek(t) + 1 AS BIGINT) AS day_of_week FROM parsed WHERE t IS NOT NULL"""
+    # The quoted field does not change the answer: the time of every event.
+    sql["calls_day_of_week_quoted"] = f"""WITH parsed AS (
+  SELECT event_id, try_strptime(strftime(ts, {_DATE_FMT}), {_DATE_FMT}) AS t FROM events)
 SELECT event_id, CAST(dayofweek(t) + 1 AS BIGINT) AS day_of_week FROM parsed WHERE t IS NOT NULL"""
     sql["calls_timestamp_text"] = f"""WITH {_CALLS}
 SELECT event_id, strftime(t, '%a %b %d %H:%M:%S') || ' UTC ' || strftime(t, '%Y') AS text

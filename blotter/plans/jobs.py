@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from blotter.functions.calendar import CALL_TIME_PATTERN
 from blotter.functions.text import month_prefix, non_empty
 from blotter.operators import ranking, stats
-from blotter.sources.calls import field, parse_calls
+from blotter.sources.calls import csv_field, field, parse_calls
 
 # --------------------------------------------------------------------------
 # Flat rankings
@@ -207,9 +207,13 @@ def calls_day_of_week(
     pattern: str = CALL_TIME_PATTERN,
     line_col: str = "value",
     keep: list[Column] | None = None,
+    quoted: bool = False,
 ) -> DataFrame:
-    """Call time and its day of week (1 = Sunday) for every line whose time parses."""
-    return parse_calls(lines, field(line_col, time_field), pattern, keep)
+    """Call time and its day of week (1 = Sunday) for every line whose time
+    parses.  Lines are split on every comma, as a plain split does; with
+    ``quoted`` they are read as CSV, so quoted commas stay inside their field."""
+    time_col = csv_field(line_col, time_field) if quoted else field(line_col, time_field)
+    return parse_calls(lines, time_col, pattern, keep)
 
 
 def calls_timestamp_text(lines: DataFrame, time_field: int = 7, pattern: str = CALL_TIME_PATTERN) -> DataFrame:

@@ -25,6 +25,15 @@ def field(line: Column | str, index: int, sep: str = ",") -> Column:
     return F.get(F.split(col, sep), index)
 
 
+def csv_field(line: Column | str, index: int, sep: str = ",") -> Column:
+    """The ``index``-th field of a CSV line, quote-aware (a quoted separator
+    stays inside its field); NULL when the line is short.  Built-in
+    ``from_csv``, so it runs on a column of lines without a file reader."""
+    col = F.col(line) if isinstance(line, str) else line
+    schema = ", ".join(f"c{i} STRING" for i in range(index + 1))
+    return F.from_csv(col, schema, {"sep": sep}).getField(f"c{index}")
+
+
 def parse_calls(
     lines: DataFrame,
     time_col: Column,

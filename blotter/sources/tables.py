@@ -117,3 +117,14 @@ def call_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(value AS STRING), 'x', 'x', 'x', "
         f"date_format(ts, '{DATE_TEXT_PATTERN}')) AS value"
     )
+
+
+def call_lines_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Call-log lines whose second field is quoted and holds a comma
+    (``"<event_type>, <user_id>"``), so a plain split shifts the time column."""
+    ev = table(spark, sf_dir, "events")
+    return ev.selectExpr(
+        "concat_ws(',', CAST(event_id AS STRING), concat('\"', event_type, ', ', CAST(user_id AS STRING), '\"'), "
+        "CAST(value AS STRING), 'x', 'x', 'x', 'x', "
+        f"date_format(ts, '{DATE_TEXT_PATTERN}')) AS value"
+    )

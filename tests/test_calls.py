@@ -53,3 +53,15 @@ def test_quoted_comma_with_csv_reader(spark, tmp_out):
     # the plain split used for reference-exact lines shifts the column instead
     shifted = parse_calls(read_call_lines(spark, path), field("value", 7))
     assert shifted.count() == 0
+
+
+def test_quoted_lines_from_driver_tables(spark):
+    from blotter.sources import tables
+    from blotter.sources.calls import csv_field
+
+    lines = tables.call_lines_quoted(spark, "/root/testdata/sf0.001")
+    n = lines.count()
+    assert jobs.calls_day_of_week(lines, quoted=True).count() == n
+    assert jobs.calls_day_of_week(lines).count() == 0  # the plain split shifts the time column
+    first = lines.select(csv_field("value", 1).alias("f")).first().f
+    assert ", " in first
