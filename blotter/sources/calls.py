@@ -44,7 +44,14 @@ def parse_calls(
     Lines whose time does not parse (header, junk, 13th month) are dropped."""
     ts = parse_call_time(time_col, pattern)
     out = lines.select(*(keep or []), ts.alias("call_time"))
-    return out.where(F.col("call_time").isNotNull()).select(
+    # Drop unparsed lines with a generator instead of a filter: a filter on
+    # the parsed column would be pushed below the projection and parse every
+    # line twice; an empty/NULL array simply yields no row.
+    names = out.columns
+    kept = out.select(
+        F.inline(F.when(F.col("call_time").isNotNull(), F.array(F.struct(*[F.col(f"`{c}`") for c in names]))))
+    )
+    return kept.select(
         "*",
         day_of_week("call_time").cast("long").alias("day_of_week"),
         timestamp_text("call_time").alias("call_time_text"),
