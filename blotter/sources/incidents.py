@@ -12,20 +12,21 @@ from blotter.functions.text import canonical_text, java_trim, source_text
 
 def read_incidents(
     spark: SparkSession,
-    path: str,
+    path: str | None,
     fmt: str = "json",
     schema: T.StructType | str | None = None,
     **options: str,
 ) -> DataFrame:
     """Scan an incident collection.  ``fmt`` is any Spark data source (json,
-    parquet, csv, orc, or a document-store connector present on the classpath).
-    JSON gets the declared raw schema so District/Year keep their JSON type."""
+    parquet, csv, orc, or a document-store connector present on the classpath,
+    configured through ``options`` with ``path=None``).  JSON gets the
+    declared raw schema so District/Year keep their JSON type."""
     reader = spark.read.format(fmt).options(**options)
     if schema is None and fmt == "json":
         schema = S.RAW_INCIDENT_SCHEMA
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(path)
+    return reader.load(path) if path is not None else reader.load()
 
 
 def stream_incidents(

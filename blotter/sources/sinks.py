@@ -10,18 +10,22 @@ from pyspark.sql import functions as F
 
 def write_result(
     df: DataFrame,
-    path: str,
+    path: str | None,
     fmt: str = "parquet",
     mode: str = "errorifexists",
     partition_by: Sequence[str] = (),
     **options: str,
 ) -> None:
     """Write a result with any Spark data source.  Nested lists of structs are
-    native in parquet, orc and json.  ``mode`` defaults to refusing to overwrite."""
+    native in parquet, orc and json.  ``mode`` defaults to refusing to overwrite.
+    A store connector takes its target from ``options`` with ``path=None``."""
     writer = df.write.format(fmt).mode(mode).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    if path is None:
+        writer.save()
+    else:
+        writer.save(path)
 
 
 def write_lines(df: DataFrame, line: Column | str, path: str, mode: str = "errorifexists") -> None:
