@@ -82,3 +82,9 @@ def test_stored_clean_incidents_prune_years(spark, tmp_out):
     plan = sample._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "1996" in plan
     assert sorted(map(tuple, sample.collect())) == sorted(map(tuple, stats.district_sample(inc, [1996, 1997]).collect()))
+
+
+def test_connector_style_options_without_path(spark, tmp_out):
+    path = os.path.join(tmp_out, "opt")
+    write_result(spark.range(4), None, "parquet", path=path)
+    assert read_incidents(spark, None, "parquet", path=path).count() == 4
