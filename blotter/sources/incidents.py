@@ -13,6 +13,7 @@ from blotter.functions.text import canonical_text, java_trim, source_text
 def read_incidents(
     spark: SparkSession,
     path: str | None,
+    /,
     fmt: str = "json",
     schema: T.StructType | str | None = None,
     **options: str,

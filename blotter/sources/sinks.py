@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 def write_result(
     df: DataFrame,
     path: str | None,
+    /,
     fmt: str = "parquet",
     mode: str = "errorifexists",
     partition_by: Sequence[str] = (),
