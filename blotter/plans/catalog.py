@@ -30,8 +30,8 @@ DIGITS = 10
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.incidents_dirty(spark, sf_dir)
+def _dirty(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
+    return tables.incidents_dirty(spark, sf_dir, years)
 
 
 # ---------------------------------------------------------------------------
@@ -74,16 +74,16 @@ def q_clean_year_month(spark, sf_dir):
 
 
 def q_sample_district(spark, sf_dir):
-    return stats.district_sample(_dirty(spark, sf_dir), [YEAR_A, YEAR_B])
+    return stats.district_sample(_dirty(spark, sf_dir, [YEAR_A, YEAR_B]), [YEAR_A, YEAR_B])
 
 
 def q_sample_counts(spark, sf_dir):
-    sample = stats.district_sample(_dirty(spark, sf_dir), [YEAR_A, YEAR_B])
+    sample = stats.district_sample(_dirty(spark, sf_dir, [YEAR_A, YEAR_B]), [YEAR_A, YEAR_B])
     return stats.sample_counts(sample, YEAR_A, YEAR_B)
 
 
 def _pairs(spark, sf_dir):
-    sample = stats.district_sample(_dirty(spark, sf_dir), [YEAR_A, YEAR_B])
+    sample = stats.district_sample(_dirty(spark, sf_dir, [YEAR_A, YEAR_B]), [YEAR_A, YEAR_B])
     return stats.positional_pairs(sample, YEAR_A, YEAR_B)
 
 
@@ -97,20 +97,20 @@ def q_sample_equalized(spark, sf_dir):
 
 def _rounded_corr(method: str) -> Query:
     def run(spark, sf_dir):
-        out = jobs.district_correlation(_dirty(spark, sf_dir), YEAR_A, YEAR_B, method)
+        out = jobs.district_correlation(_dirty(spark, sf_dir, [YEAR_A, YEAR_B]), YEAR_A, YEAR_B, method)
         return out.select(F.round("r", DIGITS).alias("r"), "n")
 
     return run
 
 
 def q_district_density(spark, sf_dir):
-    out = jobs.district_density(_dirty(spark, sf_dir), YEAR_ONE)
+    out = jobs.district_density(_dirty(spark, sf_dir, [YEAR_ONE]), YEAR_ONE)
     return out.select("point_index", "point", F.round("density", DIGITS).alias("density"))
 
 
 def _ks(params) -> Query:
     def run(spark, sf_dir):
-        inc = _dirty(spark, sf_dir)
+        inc = _dirty(spark, sf_dir, [YEAR_ONE])
         sample = stats.district_sample(inc, YEAR_ONE)
         res = stats.ks_test(sample, "v", "norm", params)
         return res.select(F.round("statistic", DIGITS).alias("statistic"))

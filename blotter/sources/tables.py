@@ -22,10 +22,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _orders_with_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _year_ranges(years) -> str:
+    """``o_orderdate`` range predicate covering the given years (runs of
+    consecutive years become one range), which Parquet can use to skip data."""
+    ys = sorted(set(int(y) for y in years))
+    runs, start = [], ys[0]
+    for prev, cur in zip(ys, ys[1:] + [None]):
+        if cur != prev + 1:
+            runs.append((start, prev))
+            start = cur
+    parts = [
+        f"(o_orderdate >= TIMESTAMP_NTZ '{a:04d}-01-01 00:00:00' AND o_orderdate < TIMESTAMP_NTZ '{b + 1:04d}-01-01 00:00:00')"
+        for a, b in runs
+    ]
+    return " OR ".join(parts)
+
+
+def _orders_with_customers(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
     )
+    if years:
+        # The incident year is year(o_orderdate) (or NULL): a caller that only
+        # wants some years can skip the other dates at the scan.
+        orders = orders.where(_year_ranges(years))
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     return orders.join(customers, orders.o_custkey == customers.c_custkey, "inner")
 
@@ -51,13 +71,13 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_incidents_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_incidents_dirty(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
     """Incident documents with the messy values the cleaning must handle:
     blank and tab-padded types, NULLs, text districts ("abc", "-1", "NaN",
     zero-padded), blank locations, dates without '/', missing years.  The
     mess is injected by a rule on the order key, every order is kept."""
     n = "CAST(c_nationkey + 1 AS STRING)"
-    return _orders_with_customers(spark, sf_dir).selectExpr(
+    return _orders_with_customers(spark, sf_dir, years).selectExpr(
         f"o_orderkey AS {_q(S.F_ID)}",
         "CASE WHEN o_orderkey % 89 = 0 THEN '' "
         "WHEN o_orderkey % 83 = 0 THEN concat(char(9), o_orderpriority, ' ') "
@@ -101,8 +121,9 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_incidents(raw_incidents(spark, sf_dir))
 
 
-def incidents_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_incidents(raw_incidents_dirty(spark, sf_dir))
+def incidents_dirty(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
+    """Cleaned dirty incidents; ``years`` (optional) lets the scan skip other dates."""
+    return clean_incidents(raw_incidents_dirty(spark, sf_dir, years))
 
 
 def incidents_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,3 +71,15 @@ def test_scan_is_pruned_and_aggregate_is_partial(spark):
 def test_positions_do_not_use_a_global_window(spark):
     plan = _plan(E.queries()["sample_positional_pairs"](spark, SF))
     assert "row_number" not in plan
+
+
+def test_statistics_push_year_ranges_to_the_scan(spark):
+    plan = _plan(E.queries()["sample_district"](spark, SF))
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(o_orderdate" in plan
+
+
+def test_year_ranges_runs():
+    from blotter.sources.tables import _year_ranges
+
+    r = _year_ranges([2000, 1999, 2003])
+    assert r.count("OR") == 1 and "1999-01-01" in r and "2001-01-01" in r and "2004-01-01" in r
