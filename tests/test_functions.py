@@ -105,3 +105,36 @@ def test_clean_incidents_without_id_uses_input_order(spark):
     df = spark.createDataFrame([("A",), ("B",), ("C",)], "`Primary Type` string")
     ids = [r.incident_id for r in clean_incidents(df).collect()]
     assert len(set(ids)) == 3 and all(i is not None for i in ids)
+
+
+def test_java_trim_property(spark):
+    # Java's trim strips every char <= U+0020 at both ends; compare with Python on random text.
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from blotter.functions.text import JAVA_BLANKS
+
+    alphabet = st.sampled_from(list(JAVA_BLANKS[:4]) + [" ", "\t", "\n", "\x1f", "a", "B", "|", "é", " ", "/"])
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.text(alphabet=alphabet, max_size=12), min_size=1, max_size=40))
+    def check(values):
+        df = spark.createDataFrame([(v,) for v in values], "s string")
+        got = [r[0] for r in df.select(java_trim("s"), ).collect()]
+        assert got == [v.strip(JAVA_BLANKS) for v in values]
+
+    check()
+
+
+def test_month_prefix_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.text(alphabet="01/ab ", max_size=10), min_size=1, max_size=40))
+    def check(values):
+        df = spark.createDataFrame([(v,) for v in values], "s string")
+        got = [r[0] for r in df.select(month_prefix("s")).collect()]
+        assert got == [v[: v.index("/")] if "/" in v else None for v in values]
+
+    check()
