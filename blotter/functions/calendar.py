@@ -27,6 +27,13 @@ def day_of_week(ts: Column | str) -> Column:
     return F.dayofweek(_c(ts))
 
 
-def timestamp_text(ts: Column | str) -> Column:
-    """The timestamp written the way java.util.Date prints itself."""
-    return F.date_format(_c(ts), JAVA_DATE_TEXT)
+def timestamp_text(ts: Column | str, zone_label: str | None = None) -> Column:
+    """The timestamp written the way java.util.Date prints itself, in the
+    session time zone.  ``zone_label`` names the zone explicitly instead (for
+    times recorded in a known zone), so the text does not depend on the
+    session setting."""
+    if zone_label is None:
+        return F.date_format(_c(ts), JAVA_DATE_TEXT)
+    return F.concat(
+        F.date_format(_c(ts), "EEE MMM dd HH:mm:ss "), F.lit(zone_label), F.date_format(_c(ts), " yyyy")
+    )

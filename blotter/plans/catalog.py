@@ -131,8 +131,10 @@ def q_calls_day_of_week_quoted(spark, sf_dir):
 
 
 def q_calls_timestamp_text(spark, sf_dir):
+    # The event times of the driver tables are UTC wall-clock times; naming the
+    # zone keeps the text independent of the session time zone.
     lines = tables.call_lines(spark, sf_dir)
-    out = jobs.calls_day_of_week(lines, keep=[field("value", 0).try_cast("long").alias("event_id")])
+    out = jobs.calls_day_of_week(lines, keep=[field("value", 0).try_cast("long").alias("event_id")], zone_label="UTC")
     return out.select("event_id", F.col("call_time_text").alias("text"))
 
 

@@ -208,17 +208,21 @@ def calls_day_of_week(
     line_col: str = "value",
     keep: list[Column] | None = None,
     quoted: bool = False,
+    zone_label: str | None = None,
 ) -> DataFrame:
     """Call time and its day of week (1 = Sunday) for every line whose time
     parses.  Lines are split on every comma, as a plain split does; with
     ``quoted`` they are read as CSV, so quoted commas stay inside their field."""
     time_col = csv_field(line_col, time_field) if quoted else field(line_col, time_field)
-    return parse_calls(lines, time_col, pattern, keep)
+    return parse_calls(lines, time_col, pattern, keep, zone_label)
 
 
-def calls_timestamp_text(lines: DataFrame, time_field: int = 7, pattern: str = CALL_TIME_PATTERN) -> DataFrame:
+def calls_timestamp_text(
+    lines: DataFrame, time_field: int = 7, pattern: str = CALL_TIME_PATTERN, zone_label: str | None = None
+) -> DataFrame:
     """The call time as text, one line per call (what the original program wrote)."""
-    return calls_day_of_week(lines, time_field, pattern).select(F.col("call_time_text").alias("value"))
+    out = calls_day_of_week(lines, time_field, pattern, zone_label=zone_label)
+    return out.select(F.col("call_time_text").alias("value"))
 
 
 JOBS = {

@@ -39,9 +39,11 @@ def parse_calls(
     time_col: Column,
     pattern: str = CALL_TIME_PATTERN,
     keep: list[Column] | None = None,
+    zone_label: str | None = None,
 ) -> DataFrame:
-    """Parse the call time, add its day of week (1 = Sunday) and its text form.
-    Lines whose time does not parse (header, junk, 13th month) are dropped."""
+    """Parse the call time, add its day of week (1 = Sunday) and its text form
+    (``zone_label``: see ``timestamp_text``).  Lines whose time does not parse
+    (header, junk, 13th month) are dropped."""
     ts = parse_call_time(time_col, pattern)
     out = lines.select(*(keep or []), ts.alias("call_time"))
     # Drop unparsed lines with a generator instead of a filter: a filter on
@@ -54,5 +56,5 @@ def parse_calls(
     return kept.select(
         "*",
         day_of_week("call_time").cast("long").alias("day_of_week"),
-        timestamp_text("call_time").alias("call_time_text"),
+        timestamp_text("call_time", zone_label).alias("call_time_text"),
     )

@@ -65,3 +65,16 @@ def test_quoted_lines_from_driver_tables(spark):
     assert jobs.calls_day_of_week(lines).count() == 0  # the plain split shifts the time column
     first = lines.select(csv_field("value", 1).alias("f")).first().f
     assert ", " in first
+
+
+def test_timestamp_text_independent_of_session_zone(spark):
+    import __spark_entry__ as E
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        la = sorted(map(tuple, E.queries()["calls_timestamp_text"](spark, "/root/testdata/sf0.001").collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    utc = sorted(map(tuple, E.queries()["calls_timestamp_text"](spark, "/root/testdata/sf0.001").collect()))
+    assert la == utc and utc[0][1].endswith(utc[0][1][-4:]) and " UTC " in utc[0][1]
