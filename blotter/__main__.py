@@ -6,6 +6,7 @@
     python -m blotter district_correlation --input crimes.json --output out/corr \\
         --param year_a=2015 --param year_b=2016 --param method=pearson
     python -m blotter calls_timestamp_text --input calls.csv --output out/calls_text
+    python -m blotter district_density --input crimes.json --output out/kde --output-format text
     python -m blotter all --input crimes.json --output out/
 
 ``all`` parses the documents once into a year-partitioned Parquet copy
@@ -37,6 +38,8 @@ from blotter.sources.incidents import (
 from blotter.sources.sinks import write_lines, write_result
 
 CALL_JOBS = {"calls_day_of_week", "calls_timestamp_text"}
+# Columns holding the printed form of a statistic, for --output-format text.
+REPORT_COLUMNS = ("label", "summary", "report")
 
 
 def _value(text: str):
@@ -78,6 +81,14 @@ def main(argv: list[str] | None = None) -> int:
             write_result(job(stored), os.path.join(args.output, name), args.output_format, args.mode)
         return 0
     result = jobs.JOBS[args.job](incidents, **params)
+    if args.output_format == "text":
+        # Report lines, as the statistics programs printed them.
+        column = next((c for c in REPORT_COLUMNS if c in result.columns), None)
+        if column is None:
+            raise SystemExit(f"{args.job} has no report column; choose another --output-format")
+        ordered = result.orderBy("point_index") if "point_index" in result.columns else result
+        write_lines(ordered.coalesce(1), column, args.output, args.mode)
+        return 0
     write_result(result, args.output, args.output_format, args.mode)
     return 0
 

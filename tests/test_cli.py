@@ -53,3 +53,15 @@ def test_cli_all_jobs(spark, tmp_out):
     by_month = {r.YearAndMonth: [x.TypeOfCrime for x in r.CrimesInOrder]
                 for r in spark.read.parquet(os.path.join(out, "crimes_by_month")).collect()}
     assert by_month == {"2016/01": ["THEFT"], "2017/02": ["BATTERY"], "2017/03": ["THEFT"]}
+
+
+def test_cli_density_report_lines(spark, tmp_out):
+    src = os.path.join(tmp_out, "in4")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        for d in [1, 2, 2, 3]:
+            f.write(json.dumps({"Primary Type": "T", "District": d, "Year": 2017}) + "\n")
+    out = os.path.join(tmp_out, "kde_txt")
+    assert main(["district_density", "--input", src, "--output", out, "--output-format", "text"]) == 0
+    lines = [r.value for r in spark.read.text(out).collect()]
+    assert len(lines) == 25 and lines[0].startswith("Distretto n.1: ") and lines[-1].startswith("Distretto n.25: ")
