@@ -188,3 +188,12 @@ def test_grouped_ranking_paths_agree(spark):
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, spread.collect()))
     top = grouped_ranked_counts(inc, "district", "primary_type", top=2)
     assert sorted(map(tuple, top.collect())) == sorted(map(tuple, small.where("rk <= 2").collect()))
+
+
+def test_grouped_top_k_limits_before_the_shuffle(spark):
+    from blotter.operators.ranking import grouped_ranked_counts
+    from blotter.sources import tables
+
+    inc = tables.incidents_dirty(spark, "/root/testdata/sf0.001")
+    df = grouped_ranked_counts(inc, "district", "primary_type", top=2)
+    assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString()
