@@ -88,3 +88,16 @@ def test_connector_style_options_without_path(spark, tmp_out):
     path = os.path.join(tmp_out, "opt")
     write_result(spark.range(4), None, "parquet", path=path)
     assert read_incidents(spark, None, "parquet", path=path).count() == 4
+
+
+def test_nested_documents_as_json_lines(spark, tmp_out):
+    import json as _json
+
+    inc = clean_incidents(json_incidents(spark, tmp_out, DOCS))
+    path = os.path.join(tmp_out, "docs_out")
+    write_result(jobs.crimes_by_district(inc).coalesce(1), path, "json")
+    docs = sorted((_json.loads(r.value) for r in spark.read.text(path).collect()), key=lambda d: d["DistrictNumber"])
+    assert docs == [
+        {"DistrictNumber": "1", "ListOfCrimes": [{"TypeOfCrime": "THEFT", "NumberOfEvents": 2}]},
+        {"DistrictNumber": "2", "ListOfCrimes": [{"TypeOfCrime": "BATTERY", "NumberOfEvents": 1}]},
+    ]
