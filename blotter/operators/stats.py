@@ -23,6 +23,8 @@ from blotter.session import ensure_checkpoint_dir
 # and the default bandwidth of MLlib's KernelDensity.
 DEFAULT_DENSITY_POINTS = tuple(float(i) for i in range(1, 26))
 DEFAULT_BANDWIDTH = 1.0
+# Up to this many points the kernel sums are columns of one aggregate.
+WIDE_POINTS = 64
 # Names printed by the Kolmogorov-Smirnov test summary.
 KS_METHOD = "Kolmogorov-Smirnov test"
 KS_NULL_HYPOTHESIS = "Sample follows theoretical distribution"
@@ -170,7 +172,9 @@ def kernel_density(
     def num(x: float) -> str:
         return f"CAST('{x!r}' AS DOUBLE)"
 
-    # One SQL expression per point keeps plan construction cheap for many points.
+    if len(pts) > WIDE_POINTS:
+        return _kernel_density_long(hist, pts, h)
+    # One SQL expression per point keeps plan construction cheap.
     sums = hist.agg(
         F.expr("sum(__c) AS __n"),
         *[F.expr(f"sum(__c * exp(-0.5 * pow(({num(p)} - __v) / {num(h)}, 2))) AS __k{i}") for i, p in enumerate(pts)],
@@ -187,6 +191,32 @@ def kernel_density(
     return out.withColumn("label", label)
 
 
+def _kernel_density_long(hist: DataFrame, pts: list[float], h: float) -> DataFrame:
+    """Many points: every histogram row meets every point through an in-row
+    array (no join), the kernel terms are summed per point with a partial
+    aggregate, and the sample size comes from the same pass."""
+    points = F.array(*[F.struct(F.lit(i + 1).alias("point_index"), F.lit(p).alias("point")) for i, p in enumerate(pts)])
+    terms = hist.select("__c", "__v", F.inline(points)).select(
+        "point_index",
+        "point",
+        "__c",
+        (F.col("__c") * F.exp(F.lit(-0.5) * F.pow((F.col("point") - F.col("__v")) / F.lit(h), 2))).alias("__k"),
+    )
+    sums = terms.groupBy("point_index", "point").agg(F.sum("__k").alias("__k"), F.sum("__c").alias("__n"))
+    density = F.col("__k") / (F.col("__n") * F.lit(h * math.sqrt(2.0 * math.pi)))
+    out = sums.select(F.col("point_index").cast("int"), "point", density.alias("density"))
+    label = F.concat(
+        F.lit("Distretto n."), F.col("point_index").cast("string"), F.lit(": "),
+        F.coalesce(F.col("density").cast("string"), F.lit("NaN")),
+    )
+    # An empty sample has no histogram rows: keep one NULL row per point.
+    all_points = hist.sparkSession.createDataFrame(
+        [(i + 1, p) for i, p in enumerate(pts)], "point_index int, point double"
+    )
+    full = all_points.join(out.drop("point"), "point_index", "left")
+    return full.select("point_index", "point", "density").withColumn("label", label)
+
+
 def ks_statistic(sample: DataFrame, value_col: str = "v", mean: float = 0.0, sd: float = 1.0) -> tuple[float | None, int]:
     """(D, n) of the one-sample two-sided KS test against Normal(mean, sd),
     from the histogram of distinct values: with the running count ``cum`` of

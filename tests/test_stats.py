@@ -260,3 +260,18 @@ def test_layout_splits_a_hot_group(spark):
     assert max(sizes) <= 2 * (sum(sizes) / len(sizes))
     hot = laid.where(F.col("g") == 0).select("__slice").distinct().count()
     assert hot >= 2
+
+
+def test_density_many_points_path_agrees(spark, dirty):
+    sample = stats.district_sample(dirty, B)
+    pts = [0.5 * i for i in range(1, 101)]  # 100 points: the long form
+    long_form = {r.point_index: r.density for r in stats.kernel_density(sample, pts).collect()}
+    wide = {}
+    for chunk in range(0, 100, 25):
+        part = stats.kernel_density(sample, pts[chunk:chunk + 25]).collect()
+        wide.update({chunk + r.point_index: r.density for r in part})
+    assert len(long_form) == 100
+    for i in range(1, 101):
+        assert long_form[i] == pytest.approx(wide[i], abs=1e-14)
+    empty = stats.kernel_density(sample.where("v < 0"), pts).collect()
+    assert len(empty) == 100 and all(r.density is None for r in empty)
