@@ -1,10 +1,11 @@
 """Distribution of the one-sample Kolmogorov-Smirnov statistic (driver-side scalar).
 
-``ks_cdf(d, n)`` = P(D_n < d).  Exact values come from the matrix method of
-Marsaglia, Tsang and Wang (J. Stat. Software 8(18), 2003); far in the right
-tail their closed-form approximation is used, and for samples too large for
-the matrix method, the limiting Kolmogorov distribution with Stephens'
-finite-sample correction.  Only two numbers (d, n) reach this code.
+``ks_cdf(d, n)`` = P(D_n < d).  Values come from the exact matrix method of
+Marsaglia, Tsang and Wang (J. Stat. Software 8(18), 2003) while its matrix
+(side 2*floor(n*d)+1) stays small; beyond that, far in the right tail their
+closed-form approximation is used, elsewhere the limiting Kolmogorov
+distribution with Stephens' finite-sample correction.  Only two numbers
+(d, n) reach this code.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import math
 import numpy as np
 
 # The matrix method is used while the matrix side 2*floor(n*d)+1 stays below this.
-MAX_MATRIX = 1201
+MAX_MATRIX = 801
 
 
 def _matrix_power_scaled(h: np.ndarray, n: int) -> tuple[np.ndarray, int]:
@@ -55,7 +56,9 @@ def _exact(d: float, n: int) -> float:
     diff = i - j + 1
     fact = np.ones((m, m))
     pos = diff > 0
-    fact[pos] = np.exp(np.vectorize(math.lgamma)(diff[pos] + 1.0))
+    with np.errstate(over="ignore"):
+        # (i-j+1)! overflows to inf for large matrices: those entries are 0.
+        fact[pos] = np.exp(np.vectorize(math.lgamma)(diff[pos] + 1.0))
     H = H / fact
     Q, e = _matrix_power_scaled(H, n)
     s = Q[k - 1, k - 1]
@@ -89,11 +92,11 @@ def ks_cdf(d: float, n: int) -> float:
         return 1.0
     if d >= 1.0 - 1.0 / n:
         return 1.0 - 2.0 * (1.0 - d) ** n
+    if 2 * int(n * d) + 1 <= MAX_MATRIX:
+        return _exact(d, n)
     s = d * d * n
     if s > 7.24 or (s > 3.76 and n > 99):
         return 1.0 - 2.0 * math.exp(-(2.000071 + 0.331 / math.sqrt(n) + 1.409 / n) * s)
-    if 2 * int(n * d) + 1 <= MAX_MATRIX:
-        return _exact(d, n)
     rn = math.sqrt(n)
     return 1.0 - _kolmogorov_q((rn + 0.12 + 0.11 / rn) * d)
 

@@ -275,3 +275,17 @@ def test_density_many_points_path_agrees(spark, dirty):
         assert long_form[i] == pytest.approx(wide[i], abs=1e-14)
     empty = stats.kernel_density(sample.where("v < 0"), pts).collect()
     assert len(empty) == 100 and all(r.density is None for r in empty)
+
+
+def test_ks_summary_text_equals_mllib_printout(spark):
+    from pyspark.mllib.stat import Statistics
+
+    inc = tables.incidents_dirty(spark, "/root/testdata/sf0.001")
+    sample = stats.district_sample(inc, 1996)
+    vals = [r.v for r in sample.collect()]
+    printed = str(Statistics.kolmogorovSmirnovTest(spark.sparkContext.parallelize(vals, 3), "norm", 13.0, 7.2))
+    ours = stats.ks_test(sample, "v", "norm", (13.0, 7.2), "mllib").first()
+    assert ours.summary == printed
+    hist = stats.ks_test(sample, "v", "norm", (13.0, 7.2)).first()
+    assert hist.statistic == pytest.approx(ours.statistic, abs=1e-12)
+    assert hist.p_value == pytest.approx(ours.p_value, rel=1e-3, abs=1e-9)
