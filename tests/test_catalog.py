@@ -83,3 +83,12 @@ def test_year_ranges_runs():
 
     r = _year_ranges([2000, 1999, 2003])
     assert r.count("OR") == 1 and "1999-01-01" in r and "2001-01-01" in r and "2004-01-01" in r
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_declared_table_schemas_match_files(spark, sf):
+    from blotter.sources.tables import TABLE_SCHEMAS, table
+
+    for name in TABLE_SCHEMAS:
+        inferred = spark.read.parquet(f"{sf}/{name}.parquet").schema.simpleString()
+        assert table(spark, sf, name).schema.simpleString() == inferred
