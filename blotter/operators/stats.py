@@ -123,7 +123,7 @@ def average_ranks(df: DataFrame, cols: Sequence[str], names: Sequence[str]) -> D
     )
     ranks = cum.select(
         "__which", "__val", (F.col("__cum") - (F.col("__cnt") - F.lit(1)) / F.lit(2.0)).alias("__rank")
-    ).checkpoint(eager=True)
+    )
     out = df
     for c, name in zip(cols, names):
         r = ranks.where(F.col("__which") == c).select(F.col("__val").alias(f"__v_{name}"), F.col("__rank").alias(name))
