@@ -289,3 +289,13 @@ def test_ks_summary_text_equals_mllib_printout(spark):
     hist = stats.ks_test(sample, "v", "norm", (13.0, 7.2)).first()
     assert hist.statistic == pytest.approx(ours.statistic, abs=1e-12)
     assert hist.p_value == pytest.approx(ours.p_value, rel=1e-3, abs=1e-9)
+
+
+def test_spearman_without_broadcast_joins(spark, dirty, monkeypatch):
+    # Force the shuffle-join side of every size-checked join.
+    import blotter.operators.ordering as od
+
+    expect = jobs.district_correlation(dirty, A, B, "spearman").first().r
+    monkeypatch.setattr(od.join_checked, "__defaults__", ("inner", 0))
+    got = jobs.district_correlation(dirty, A, B, "spearman").first().r
+    assert got == pytest.approx(expect, abs=1e-12)
