@@ -50,7 +50,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     system).  Only a local-mode session without one gets a private folder, as
     tests do; a cluster session without one is a configuration error.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:
+        # Spark Connect: the server session owns its checkpoint folder.
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current
