@@ -32,11 +32,18 @@ def _count_order(count_col: str, key: str, direction: str) -> list[Column]:
 
 
 def count_by(df: DataFrame, *keys: str, count_col: str = "n") -> DataFrame:
-    """Rows per distinct key combination, dropping rows whose keys are NULL or empty."""
+    """Rows per distinct key combination, not counting rows whose keys are
+    NULL or empty.
+
+    The non-empty test is folded into the count (groups left with no counted
+    row are dropped afterwards) instead of filtering rows first: a row filter
+    would be pushed below the projection that computes the keys and evaluate
+    the key expressions (trims, date parsing, ...) a second time per row."""
     cond = F.lit(True)
     for k in keys:
         cond = cond & non_empty(k)
-    return df.where(cond).groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
+    counts = df.groupBy(*keys).agg(F.count(F.when(cond, F.lit(1))).alias(count_col))
+    return counts.where(F.col(count_col) > 0)
 
 
 def ranked_counts(
