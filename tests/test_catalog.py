@@ -92,3 +92,17 @@ def test_declared_table_schemas_match_files(spark, sf):
     for name in TABLE_SCHEMAS:
         inferred = spark.read.parquet(f"{sf}/{name}.parquet").schema.simpleString()
         assert table(spark, sf, name).schema.simpleString() == inferred
+
+
+def test_key_expressions_evaluated_once(spark):
+    # The month key parses the date text; no pushed-down filter repeats it.
+    from blotter.operators.ranking import count_by
+    from blotter.plans import jobs
+    from blotter.sources import tables
+
+    spec = jobs.NESTED["crimes_by_month"]
+    src = jobs._grouping_input(tables.incidents_dirty(spark, SF), spec)
+    plan = _plan(count_by(src, spec.group_name, spec.item_key))
+    assert plan.count("date_format(") == 1
+    calls = _plan(E.queries()["calls_day_of_week"](spark, SF))
+    assert calls.count("gettimestamp(") == 1
