@@ -28,6 +28,11 @@ WIDE_POINTS = 64
 # Names printed by the Kolmogorov-Smirnov test summary.
 KS_METHOD = "Kolmogorov-Smirnov test"
 KS_NULL_HYPOTHESIS = "Sample follows theoretical distribution"
+# The printed forms of the density report lines
+# ("Distretto n.<i>: <density>") and of the correlation.
+DENSITY_LABEL_PREFIX = "Distretto n."
+DENSITY_LABEL_SEPARATOR = ": "
+CORRELATION_REPORT_PREFIX = "Correlation is: "
 
 
 def valid_number(v: Column) -> Column:
@@ -145,7 +150,7 @@ def correlation(pairs: DataFrame, method: str = "pearson") -> DataFrame:
     else:
         raise ValueError(f"unknown correlation method {method!r}; use 'pearson' or 'spearman'")
     out = src.agg(F.corr(x, y).alias("r"), F.count(F.lit(1)).alias("n"))
-    report = F.concat(F.lit("Correlation is: "), F.coalesce(F.col("r").cast("string"), F.lit("NaN")))
+    report = F.concat(F.lit(CORRELATION_REPORT_PREFIX), F.coalesce(F.col("r").cast("string"), F.lit("NaN")))
     return out.withColumn("report", report)
 
 
@@ -184,11 +189,15 @@ def kernel_density(
         f"named_struct('point_index', {i + 1}, 'point', {num(p)}, 'density', __k{i} / {norm})" for i, p in enumerate(pts)
     )
     out = sums.selectExpr(f"inline(array({rows}))")
-    label = F.concat(
-        F.lit("Distretto n."), F.col("point_index").cast("string"), F.lit(": "),
+    label = _density_label()
+    return out.withColumn("label", label)
+
+
+def _density_label() -> Column:
+    return F.concat(
+        F.lit(DENSITY_LABEL_PREFIX), F.col("point_index").cast("string"), F.lit(DENSITY_LABEL_SEPARATOR),
         F.coalesce(F.col("density").cast("string"), F.lit("NaN")),
     )
-    return out.withColumn("label", label)
 
 
 def _kernel_density_long(hist: DataFrame, pts: list[float], h: float) -> DataFrame:
@@ -205,10 +214,7 @@ def _kernel_density_long(hist: DataFrame, pts: list[float], h: float) -> DataFra
     sums = terms.groupBy("point_index", "point").agg(F.sum("__k").alias("__k"), F.sum("__c").alias("__n"))
     density = F.col("__k") / (F.col("__n") * F.lit(h * math.sqrt(2.0 * math.pi)))
     out = sums.select(F.col("point_index").cast("int"), "point", density.alias("density"))
-    label = F.concat(
-        F.lit("Distretto n."), F.col("point_index").cast("string"), F.lit(": "),
-        F.coalesce(F.col("density").cast("string"), F.lit("NaN")),
-    )
+    label = _density_label()
     # An empty sample has no histogram rows: keep one NULL row per point.
     all_points = hist.sparkSession.createDataFrame(
         [(i + 1, p) for i, p in enumerate(pts)], "point_index int, point double"
