@@ -28,6 +28,13 @@ WIDE_POINTS = 64
 # Names printed by the Kolmogorov-Smirnov test summary.
 KS_METHOD = "Kolmogorov-Smirnov test"
 KS_NULL_HYPOTHESIS = "Sample follows theoretical distribution"
+# p <= 0.01, <= 0.05, <= 0.1, otherwise
+KS_CONCLUSIONS = (
+    "Very strong presumption against null hypothesis",
+    "Strong presumption against null hypothesis",
+    "Low presumption against null hypothesis",
+    "No presumption against null hypothesis",
+)
 # The printed forms of the density report lines
 # ("Distretto n.<i>: <density>") and of the correlation.
 DENSITY_LABEL_PREFIX = "Distretto n."
@@ -243,12 +250,13 @@ def ks_statistic(sample: DataFrame, value_col: str = "v", mean: float = 0.0, sd:
 
 def _ks_report(base: DataFrame) -> DataFrame:
     p = F.col("p_value")
+    very, strong, low, none = KS_CONCLUSIONS
     conclusion = (
         F.when(p.isNull(), F.lit(None))
-        .when(p <= 0.01, F.lit("Very strong presumption against null hypothesis"))
-        .when(p <= 0.05, F.lit("Strong presumption against null hypothesis"))
-        .when(p <= 0.1, F.lit("Low presumption against null hypothesis"))
-        .otherwise(F.lit("No presumption against null hypothesis"))
+        .when(p <= 0.01, F.lit(very))
+        .when(p <= 0.05, F.lit(strong))
+        .when(p <= 0.1, F.lit(low))
+        .otherwise(F.lit(none))
     )
     out = base.select(
         F.lit(KS_METHOD).alias("method"),
