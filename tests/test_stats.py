@@ -285,7 +285,14 @@ def test_ks_summary_text_equals_mllib_printout(spark):
     vals = [r.v for r in sample.collect()]
     printed = str(Statistics.kolmogorovSmirnovTest(spark.sparkContext.parallelize(vals, 3), "norm", 13.0, 7.2))
     ours = stats.ks_test(sample, "v", "norm", (13.0, 7.2), "mllib").first()
-    assert ours.summary == printed
+    # Same text; the numbers may differ in the last digits because MLlib sums
+    # per-partition offsets, and the partitioning of the two inputs differs.
+    import re
+
+    number = r"[-+]?[0-9]+(?:\.[0-9]+)?(?:E-?[0-9]+)?"
+    assert re.sub(number, "#", ours.summary) == re.sub(number, "#", printed)
+    for a, b in zip(re.findall(number, ours.summary), re.findall(number, printed)):
+        assert float(a) == pytest.approx(float(b), rel=1e-9, abs=1e-15)
     hist = stats.ks_test(sample, "v", "norm", (13.0, 7.2)).first()
     assert hist.statistic == pytest.approx(ours.statistic, abs=1e-12)
     assert hist.p_value == pytest.approx(ours.p_value, rel=1e-3, abs=1e-9)
