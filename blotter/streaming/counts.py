@@ -9,18 +9,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from blotter.functions.text import non_empty
 from blotter.operators.ordering import with_positions
+from blotter.operators.ranking import count_by
 from blotter.session import ensure_checkpoint_dir
 
 
 def stream_counts(incidents: DataFrame, keys: Sequence[str], count_col: str = "NumberOfEvents") -> DataFrame:
     """Running count per key combination of a (streaming) cleaned incident
-    DataFrame; rows whose keys are NULL or empty are dropped."""
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & non_empty(k)
-    return incidents.where(cond).groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
+    DataFrame; rows whose keys are NULL or empty are not counted (the same
+    counting as the batch rankings)."""
+    return count_by(incidents, *keys, count_col=count_col)
 
 
 def rank_each_batch(
