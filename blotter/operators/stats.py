@@ -237,8 +237,9 @@ def ks_statistic(sample: DataFrame, value_col: str = "v", mean: float = 0.0, sd:
     The sample is scanned once and never sorted; F is evaluated once per
     distinct value.  Only the two numbers reach the driver."""
     hist = sample.groupBy(value_col).agg(F.count(F.lit(1)).alias("__c"))
+    # The running counts read a checkpointed histogram (or layout): the two
+    # scalar passes below do not go back to the sample.
     cum = with_running_total(hist, [F.col(value_col).asc()], "__c", name="__cum", small_rows=SMALL_ROWS)
-    cum = cum.checkpoint(eager=True)
     n = cum.agg(F.max("__cum")).first()[0] or 0
     if n == 0:
         return None, 0
