@@ -65,3 +65,18 @@ def test_cli_density_report_lines(spark, tmp_out):
     assert main(["district_density", "--input", src, "--output", out, "--output-format", "text"]) == 0
     lines = [r.value for r in spark.read.text(out).collect()]
     assert len(lines) == 25 and lines[0].startswith("Distretto n.1: ") and lines[-1].startswith("Distretto n.25: ")
+
+
+def test_cli_calls(spark, tmp_out):
+    src = os.path.join(tmp_out, "calls")
+    os.makedirs(src)
+    with open(os.path.join(src, "part-0.csv"), "w") as f:
+        f.write("CAD,Event,Date,Clearance,Type,Group,Initial,Time\n")
+        f.write("1,a,b,c,d,e,f,12/25/2016 12:00:00 AM\n")
+        f.write('2,"x, y",b,c,d,e,f,07/06/2017 03:49:31 PM\n')
+    text_out = os.path.join(tmp_out, "calls_text")
+    assert main(["calls_timestamp_text", "--input", src, "--output", text_out]) == 0
+    assert [r.value for r in spark.read.text(text_out).collect()] == ["Sun Dec 25 00:00:00 UTC 2016"]
+    dow_out = os.path.join(tmp_out, "calls_dow")
+    assert main(["calls_day_of_week", "--input", src, "--output", dow_out, "--param", "quoted=True"]) == 0
+    assert sorted(r.day_of_week for r in spark.read.parquet(dow_out).collect()) == [1, 5]
