@@ -11,6 +11,7 @@ from scripts.compare_oracle import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
 NAMES = sorted(E.queries())
+DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
 
 
 @pytest.fixture(scope="module")
@@ -37,6 +38,10 @@ def test_query_matches_oracle(spark, duck, name):
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
     assert rows_of(df.columns, rows) == rows_of(ocols, orows)
+    # column types agree too
+    duck_types = {d[0]: d[1] for d in duck.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    spark_types = {f.name: DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == duck_types
 
 
 def test_entry_smoke(spark):
