@@ -306,3 +306,27 @@ def test_spearman_without_broadcast_joins(spark, dirty, monkeypatch):
     monkeypatch.setattr(od.join_checked, "__defaults__", ("inner", 0))
     got = jobs.district_correlation(dirty, A, B, "spearman").first().r
     assert got == pytest.approx(expect, abs=1e-12)
+
+
+def test_running_total_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=5, deadline=None)
+    @given(
+        rows=st.lists(st.tuples(st.integers(0, 2), st.integers(-30, 30), st.integers(0, 9)),
+                      min_size=1, max_size=50, unique_by=lambda r: (r[0], r[1])),
+        slices=st.integers(1, 4),
+    )
+    def check(rows, slices):
+        df = spark.createDataFrame(rows, "g int, k int, w int")
+        got = with_running_total(df, [F.col("k").asc()], "w", name="cum", partition_by=["g"], slices=slices)
+        expect = {}
+        for g in {r[0] for r in rows}:
+            total = 0
+            for _, k, w in sorted(r for r in rows if r[0] == g):
+                total += w
+                expect[(g, k)] = total
+        assert {(r.g, r.k): r.cum for r in got.collect()} == expect
+
+    check()
