@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from blotter.operators.ordering import with_positions  # noqa: E402
-from blotter.operators.ranking import ranked_counts  # noqa: E402
+from blotter.operators.ranking import grouped_ranked_counts, ranked_counts  # noqa: E402
 from blotter.operators.stats import correlation, positional_pairs  # noqa: E402
 from blotter.session import local_session  # noqa: E402
 
@@ -42,6 +42,11 @@ def main(rows: int) -> None:
     top = timed("  top-3 of the ranking", lambda: [tuple(r) for r in ranked.where("rk <= 3").orderBy("rk").collect()])
     assert top[0][0] == "HOT"
     timed("  rank is 1..m", lambda: ranked.agg(F.min("rk"), F.max("rk"), F.count(F.lit(1))).first())
+    grouped = timed("grouped_ranked_counts (year, category) pairs",
+                    lambda: grouped_ranked_counts(base, "year", "k", count_col="n", small_rows=1_000_000))
+    timed("  rank 1 per year", lambda: sorted(map(tuple, grouped.where("rk = 1").select("year", "k", "n").collect())))
+    timed("  ranks are 1..m in every year",
+          lambda: grouped.groupBy("year").agg(F.max("rk"), F.count(F.lit(1))).orderBy("year").collect())
     pos = timed("positions per year (hot year = 1/3)",
                 lambda: with_positions(base, [F.col("incident_id").asc()], name="pos", partition_by=["year"]))
     timed("  max position per year", lambda: sorted(map(tuple, pos.groupBy("year").agg(F.max("pos")).collect())))
