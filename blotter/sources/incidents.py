@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blotter import schema as S
+from blotter.functions.calendar import DATE_TEXT_PATTERN
 from blotter.functions.text import canonical_text, java_trim, source_text
 
 
@@ -64,6 +65,12 @@ def clean_incidents(raw: DataFrame) -> DataFrame:
         return source_text(raw, name) if name in raw.columns else F.lit(None).cast("string")
 
     year_text = canon(S.F_YEAR)
+    # A typed timestamp/date column (e.g. from Parquet) gets the document's text form.
+    date_type = raw.schema[S.F_DATE].dataType if S.F_DATE in raw.columns else None
+    if isinstance(date_type, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        date_text = F.date_format(F.col(f"`{S.F_DATE}`"), DATE_TEXT_PATTERN)
+    else:
+        date_text = java_trim(_field(raw, S.F_DATE))
     # Without an id column the documents' input order (file split, offset)
     # stands in for it - the closest thing to a physical position, and stable
     # across task retries because it is taken right at the scan.
@@ -75,7 +82,7 @@ def clean_incidents(raw: DataFrame) -> DataFrame:
         text(S.F_DISTRICT).alias("district_text"),
         java_trim(_field(raw, S.F_LOCATION)).alias("location"),
         java_trim(_field(raw, S.F_ARREST).cast("string")).alias("arrest"),
-        java_trim(_field(raw, S.F_DATE)).alias("date_text"),
+        date_text.alias("date_text"),
         year_text.alias("year_text"),
         year_text.try_cast("int").alias("year"),
     )

@@ -138,3 +138,14 @@ def test_month_prefix_property(spark):
         assert got == [v[: v.index("/")] if "/" in v else None for v in values]
 
     check()
+
+
+def test_clean_incidents_typed_date(spark):
+    import datetime
+
+    df = spark.createDataFrame(
+        [(1, "THEFT", datetime.datetime(2016, 1, 2, 13, 5, 0), 2016)],
+        "incident_id long, `Primary Type` string, Date timestamp_ntz, Year int",
+    )
+    r = clean_incidents(df).first()
+    assert r.date_text == "01/02/2016 01:05:00 PM"
