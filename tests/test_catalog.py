@@ -7,10 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from blotter.plans import catalog
 from scripts.compare_oracle import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
+NAMES = sorted(catalog.queries())
 DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
 
 
@@ -26,7 +27,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(catalog.oracle_sql()) == set(catalog.queries())
+    assert set(NAMES) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
