@@ -6,24 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blotter.llm import exact_dedup, mixing
+from blotter.llm import exact_dedup, minhash, mixing, quality, toxicity
 from blotter.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = quality.document_statistics(table(spark, sf_dir, "documents"))
+    return quality.quality_scores(stats, quality.train(stats, table(spark, sf_dir, "labels")))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity_scores(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_quality": op1_quality,
         "op5_mixing": op5_mixing,
+        "op8_toxicity": op8_toxicity,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_minhash": op10_minhash,
     }
 
 
@@ -31,4 +48,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op5_mixing": mixing.ORACLE,
         "op9_exact_dedup": exact_dedup.ORACLE,
+        "op10_minhash": minhash.ORACLE,
     }
