@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from blotter.llm import exact_dedup, minhash, mixing, quality, toxicity
+from blotter.llm import chat, exact_dedup, licenses, minhash, mixing, packing, quality, spans, topk, toxicity
 from blotter.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,10 +18,31 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(stats, quality.train(stats, table(spark, sf_dir, "labels")))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_format(table(spark, sf_dir, "conversations"))
+
+
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op7_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return spans.span_dedup(docs).select("doc_id", "sentences_removed", "words_removed", "text")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.toxicity_scores(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -37,7 +59,12 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
+        "op2_packing": op2_packing,
+        "op3_chat": op3_chat,
+        "op4_topk": op4_topk,
         "op5_mixing": op5_mixing,
+        "op6_licenses": op6_licenses,
+        "op7_spans": op7_spans,
         "op8_toxicity": op8_toxicity,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_minhash": op10_minhash,
@@ -46,6 +73,8 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_chat": chat.ORACLE,
+        "op4_topk": topk.ORACLE,
         "op5_mixing": mixing.ORACLE,
         "op9_exact_dedup": exact_dedup.ORACLE,
         "op10_minhash": minhash.ORACLE,
