@@ -7,7 +7,6 @@ sources    readers for incident documents and call logs, writers for results,
            and adapters that derive incidents/calls from the driver tables
 operators  counting/ranking, ordered positions, statistics
 plans      the fourteen jobs as parameterised functions, and the query catalog
-streaming  the same cleaning + counting over a file stream
 """
 
-__all__ = ["functions", "sources", "operators", "plans", "streaming", "session"]
+__all__ = ["functions", "sources", "operators", "plans", "session"]

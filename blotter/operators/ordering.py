@@ -2,24 +2,22 @@
 
 ``row_number() over (order by ...)`` with no PARTITION BY moves every row into
 one task, and ``partition by year`` moves a whole year into one task.  Here the
-order is laid out across many tasks instead:
-
-1. range-partition on (group, order) and sort inside each slice, so slices are
-   consecutive runs of the global order and rows of one group are contiguous;
-2. tag every row with its slice and a per-slice sequence number and write the
-   layout to the reliable checkpoint folder, so that a lost executor cannot
+order is laid out across many tasks instead, at every size:
+
+1. the input is written once, so that it is evaluated once although a range
+   exchange reads it twice (to sample it and to deal it out);
+2. it is range-partitioned on (group, order) and sorted inside each slice:
+   slices are consecutive runs of the global order, and rows of one group are
+   contiguous;
+3. every row is tagged with its slice and a sequence number, and the layout (only
+   the columns that are kept) is written to the shared checkpoint folder, so that a lost executor cannot
    re-create a slice with different content after its size was counted;
-3. count rows (or sum weights) per (slice, group) - at most
-   ``slices + groups`` rows - and turn the counts into the start offset of
-   each (slice, group);
-4. add the offset back to every row.
-
-Only step 3 works on a small table; everything else is one pass per slice.
+4. rows are counted (or weights summed) per (slice, group) - at most
+   ``slices + groups`` rows - and the counts become the start offset of each
+   (slice, group), which is added back to every row.
 
-Callers that order an aggregate (categories, histograms) may pass
-``small_rows``: the input is checkpointed and counted first, and when it has
-at most that many rows the order is one ordinary window in one task - a
-bounded amount of work that saves the layout jobs.
+Joins are plain equi-joins: Spark broadcasts a side whose measured size allows
+it and splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -29,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from blotter.session import ensure_checkpoint_dir
+from blotter.session import write_out
 
 _SLICE = "__slice"
 _SEQ = "__seq"
@@ -39,83 +37,41 @@ def _as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Largest table joined by broadcast after its row count was checked.
-BROADCAST_ROWS = 2_000_000
-# Largest counted input ordered by a single window in one task.
-SMALL_ROWS = 1_000_000
-
-
-def _checked_small(df: DataFrame, small_rows: int | None) -> tuple[DataFrame, bool]:
-    """(df, is_small): with ``small_rows`` set, ``df`` is checkpointed and counted."""
-    if not small_rows:
-        return df, False
-    ensure_checkpoint_dir(df.sparkSession)
-    concrete = df.checkpoint(eager=True)
-    return concrete, concrete.count() <= small_rows
-
-
-def _window(partition_by: Sequence[str], order: Sequence[Column | str]):
-    cols = [_as_col(o) for o in order]
-    return Window.partitionBy(*partition_by).orderBy(*cols) if partition_by else Window.orderBy(*cols)
-
-
-def join_checked(big: DataFrame, small: DataFrame, cond, how: str = "inner", max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join ``small`` by broadcast only when its counted size is under
-    ``max_rows``; otherwise a shuffle join (AQE splits skewed partitions).
-    ``small`` should be cheap to count (checkpointed or aggregated)."""
-    if small.count() <= max_rows:
-        small = F.broadcast(small)
-    return big.join(small, cond, how)
-
-
 def lay_out(
     df: DataFrame,
     order: Sequence[Column | str],
     partition_by: Sequence[str] = (),
     slices: int | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Range-partition and sort ``df`` by (partition_by, order), tag slice and
-    sequence, and checkpoint the result."""
-    ensure_checkpoint_dir(df.sparkSession)
-    sort_keys = [F.col(g).asc_nulls_first() for g in partition_by] + [_as_col(o) for o in order]
+    sequence, and write the result with the columns ``keep`` (default: all)."""
+    kept = list(dict.fromkeys([*partition_by, *(df.columns if keep is None else keep)]))
+    source = write_out(df, "ordered-input")
+    sort_keys = [F.col(f"`{g}`").asc_nulls_first() for g in partition_by] + [_as_col(o) for o in order]
     # Without an explicit slice count AQE sizes the range exchange from the
     # data (coalescing only merges neighbouring ranges, so order is kept).
-    ranged = df.repartitionByRange(slices, *sort_keys) if slices else df.repartitionByRange(*sort_keys)
-    laid = (
-        ranged.sortWithinPartitions(*sort_keys)
-        .withColumn(_SLICE, F.spark_partition_id())
-        .withColumn(_SEQ, F.monotonically_increasing_id())
-    )
-    return laid.checkpoint(eager=True)
+    ranged = source.repartitionByRange(slices, *sort_keys) if slices else source.repartitionByRange(*sort_keys)
+    tags = (F.spark_partition_id().alias(_SLICE), F.monotonically_increasing_id().alias(_SEQ))
+    laid = ranged.sortWithinPartitions(*sort_keys).select("*", *tags).select(*[F.col(f"`{c}`") for c in kept], _SLICE, _SEQ)
+    return write_out(laid, "layout")
 
 
 def _offsets(stats: DataFrame, partition_by: Sequence[str], amount: str) -> DataFrame:
-    before = (
-        Window.partitionBy(*partition_by).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        if partition_by
-        else Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    # At most one row per slice and one per group; ordered within a group, or
+    # over the slices when there is no group.
+    before = Window.partitionBy(*(partition_by or [F.lit(0)])).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     return stats.withColumn("__before", F.coalesce(F.sum(amount).over(before), F.lit(0)))
 
 
-def _attach(laid: DataFrame, stats: DataFrame, partition_by: Sequence[str], bounded: bool = False) -> DataFrame:
+def _attach(laid: DataFrame, stats: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     keys = [_SLICE, *partition_by]
     # Give the offset table its own key names: it derives from ``laid``, and
     # a join of two lineages of one table must not mix up their columns.
     renamed = {k: f"__k{i}" for i, k in enumerate(keys)}
-    stats = stats.select(*[F.col(c).alias(renamed.get(c, c)) for c in stats.columns])
-    if partition_by and not bounded:
-        # At most slices + groups rows: made concrete once, then counted and
-        # broadcast when small enough.
-        stats = stats.checkpoint(eager=True)
-    cond = [laid[k].eqNullSafe(stats[renamed[k]]) for k in keys]
-    if not partition_by or bounded:
-        # At most one row per slice and known group: bounded by the slice
-        # count plus the number of groups the caller vouched for.
-        joined = laid.join(F.broadcast(stats), cond, "inner")
-    else:
-        joined = join_checked(laid, stats, cond)
-    return joined.drop(*renamed.values())
+    stats = stats.select(*[F.col(f"`{c}`").alias(renamed.get(c, c)) for c in stats.columns])
+    cond = [laid[f"`{k}`"].eqNullSafe(stats[renamed[k]]) for k in keys]
+    return laid.join(stats, cond, "inner").drop(*renamed.values())
 
 
 def with_positions(
@@ -124,26 +80,18 @@ def with_positions(
     name: str = "pos",
     partition_by: Sequence[str] = (),
     slices: int | None = None,
-    small_rows: int | None = None,
-    max_groups: int | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``name`` = 1-based row number within each ``partition_by`` group in
     ``order``.  ``order`` must make rows unique for the numbering to be
-    deterministic (end it with a unique key).  ``max_groups``, when the caller
-    knows it (e.g. the years it filtered on), bounds the offset table so it is
-    broadcast without being counted first."""
-    df, small = _checked_small(df, small_rows)
-    if small:
-        return df.withColumn(name, F.row_number().over(_window(partition_by, order)).cast("long"))
-    laid = lay_out(df, order, partition_by, slices)
-    stats = laid.groupBy(_SLICE, *partition_by).agg(
-        F.min(_SEQ).alias("__first"), F.count(F.lit(1)).alias("__rows")
-    )
-    stats = _offsets(stats, partition_by, "__rows")
-    bounded = max_groups is not None and max_groups <= 1024
-    joined = _attach(laid, stats, partition_by, bounded)
+    deterministic (end it with a unique key).
+    The result holds the columns ``keep`` (default: all) and ``name``."""
+    keep = list(df.columns if keep is None else keep)
+    laid = lay_out(df, order, partition_by, slices, keep)
+    stats = laid.groupBy(_SLICE, *partition_by).agg(F.min(_SEQ).alias("__first"), F.count(F.lit(1)).alias("__rows"))
+    joined = _attach(laid, _offsets(stats, partition_by, "__rows"), partition_by)
     pos = (F.col("__before") + (F.col(_SEQ) - F.col("__first")) + F.lit(1)).cast("long")
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], pos.alias(name))
+    return joined.select(*[F.col(f"`{c}`") for c in keep], pos.alias(name))
 
 
 def with_running_total(
@@ -153,18 +101,12 @@ def with_running_total(
     name: str = "running",
     partition_by: Sequence[str] = (),
     slices: int | None = None,
-    small_rows: int | None = None,
 ) -> DataFrame:
     """Add ``name`` = sum of ``weight`` over all rows up to and including this
     one in ``order`` (within each ``partition_by`` group)."""
-    df, small = _checked_small(df, small_rows)
-    if small:
-        frame = _window(partition_by, order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(name, F.sum(weight).over(frame))
     laid = lay_out(df, order, partition_by, slices)
     local = Window.partitionBy(_SLICE, *partition_by).orderBy(_SEQ).rowsBetween(Window.unboundedPreceding, 0)
     laid = laid.withColumn("__local", F.sum(weight).over(local))
     stats = laid.groupBy(_SLICE, *partition_by).agg(F.sum(weight).alias("__total"))
-    stats = _offsets(stats, partition_by, "__total")
-    joined = _attach(laid, stats, partition_by)
+    joined = _attach(laid, _offsets(stats, partition_by, "__total"), partition_by)
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__before") + F.col("__local")).alias(name))

@@ -14,16 +14,14 @@ distinct categories, never records.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blotter.functions.text import non_empty
-from blotter.operators.ordering import SMALL_ROWS, with_positions
+from blotter.operators.ordering import with_positions
 
 DESC = "desc"
 ASC = "asc"
-# Largest k served by a top-k selection instead of a full ranking.
-TOP_K_ROWS = 100_000
 
 
 def _count_order(count_col: str, key: str, direction: str) -> list[Column]:
@@ -54,31 +52,22 @@ def ranked_counts(
     count_col: str = "n",
     rank_col: str | None = "rk",
     top: int | None = None,
-    small_rows: int | None = SMALL_ROWS,
 ) -> DataFrame:
     """Count rows per ``key`` and rank the categories by count (ties: key ascending).
 
-    The rank is computed over the aggregated categories: by one window when
-    their counted number is at most ``small_rows``, otherwise with ordered
-    positions spread over many tasks.  ``top`` keeps the first k ranks.
+    Without a rank and without ``top`` the result is one lazy range sort.  A
+    rank is numbered over the aggregated categories by the distributed layout;
+    ``top`` keeps its first k.
     """
     counts = count_by(df, key, count_col=count_col)
     order = _count_order(count_col, key, direction)
     if rank_col is None and top is None:
         return counts.orderBy(*order)
     rk = rank_col or "__rk"
-    if top is not None and top <= TOP_K_ROWS:
-        # Top-k: each task keeps its best k categories and one task merges
-        # them (TakeOrderedAndProject); the rank is numbered over k rows.
-        best = counts.orderBy(*order).limit(top)
-        ranked = best.withColumn(rk, F.row_number().over(Window.orderBy(*order)).cast("long"))
-        return ranked.drop(rk) if rank_col is None else ranked
-    ranked = with_positions(counts, order, name=rk, small_rows=small_rows)
+    ranked = with_positions(counts, order, name=rk)
     if top is not None:
         ranked = ranked.where(F.col(rk) <= top)
-    if rank_col is None:
-        ranked = ranked.drop(rk)
-    return ranked
+    return ranked.orderBy(rk).drop(rk) if rank_col is None else ranked
 
 
 def grouped_ranked_counts(
@@ -90,24 +79,16 @@ def grouped_ranked_counts(
     count_col: str = "n",
     rank_col: str = "rk",
     top: int | None = None,
-    small_rows: int | None = SMALL_ROWS,
 ) -> DataFrame:
     """Count rows per (group, key); rank keys inside each group by count.
 
-    Ranks are numbered over the pre-aggregated (group, key) pairs: with
-    ``top``, a window with a ``row_number() <= k`` filter, which Spark turns
-    into a per-group limit applied before the shuffle; otherwise one window
-    partitioned by group when the counted pairs are at most ``small_rows``,
-    and beyond that the range layout, which splits a group with very many
-    categories over several tasks.
+    Ranks are numbered over the pre-aggregated (group, key) pairs by the range
+    layout, which splits a group with very many categories over several tasks;
+    ``top`` keeps the first k of each group, for any k.
     """
     counts = count_by(df, group, key, count_col=count_col)
-    order = _count_order(count_col, key, direction)
-    if top is not None:
-        w = Window.partitionBy(group).orderBy(*order)
-        ranked = counts.withColumn(rank_col, F.row_number().over(w).cast("long"))
-        return ranked.where(F.col(rank_col) <= top)
-    return with_positions(counts, order, name=rank_col, partition_by=[group], small_rows=small_rows)
+    ranked = with_positions(counts, _count_order(count_col, key, direction), name=rank_col, partition_by=[group])
+    return ranked if top is None else ranked.where(F.col(rank_col) <= top)
 
 
 def nested_ranked_lists(
@@ -126,15 +107,16 @@ def nested_ranked_lists(
 
     Plan: partial+final aggregate on (group, key), then a partial+final
     ``collect_list`` on group over the distinct pairs, then an in-row
-    ``array_sort`` - no window, no per-record list.
+    ``array_sort`` - no window, no per-record list.  With ``top`` the pairs
+    pass the layout first.
     """
     item_key = item_key or key
     counts = count_by(df, group, key, count_col="__n")
     if top is not None:
         # Keep only the first k categories of each group before collecting,
         # so a list never grows past k entries.
-        w = Window.partitionBy(group).orderBy(*_count_order("__n", key, DESC))
-        counts = counts.withColumn("__rk", F.row_number().over(w)).where(F.col("__rk") <= top).drop("__rk")
+        ranked = with_positions(counts, _count_order("__n", key, DESC), name="__rk", partition_by=[group])
+        counts = ranked.where(F.col("__rk") <= top).drop("__rk")
     packed = F.struct(
         (-F.col("__n")).alias("__neg"),
         F.col(key).alias("__key"),

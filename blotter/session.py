@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings meant for a large cluster run (pass them with spark-submit --conf).
 # Partitions are sized by AQE from a large initial count; scans read 256 MB
@@ -22,6 +23,11 @@ CLUSTER_SETTINGS = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+_NO_FOLDER = (
+    "spark.checkpoint.dir is not set; point it at a shared folder "
+    "(HDFS/S3/ABFS) so that written intermediate tables survive executor loss"
+)
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "blotter") -> SparkSession:
     """A local session configured the way the tests and the bench expect."""
@@ -44,17 +50,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder of the session.
+    """Return the shared checkpoint folder of the session.
 
     On a cluster the folder comes from ``spark.checkpoint.dir`` (a shared file
-    system).  Only a local-mode session without one gets a private folder, as
-    tests do; a cluster session without one is a configuration error.
+    system).  Only a session whose executors are threads of the driver
+    (``local``, ``local[...]``) gets a private folder without one, as tests do;
+    any other session without one is a configuration error.
     """
     try:
         sc = spark.sparkContext
     except Exception:
-        # Spark Connect: the server session owns its checkpoint folder.
-        return spark.conf.get("spark.checkpoint.dir", "") or ""
+        # Spark Connect: the folder is a setting of the server's session.
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            raise RuntimeError(_NO_FOLDER) from None
+        return folder
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -62,11 +72,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a shared folder "
-            "(HDFS/S3/ABFS) so ordered positions survive executor loss"
-        )
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError(_NO_FOLDER)
     folder = tempfile.mkdtemp(prefix="blotter-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
+
+
+def write_out(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the checkpoint folder and read it back: it
+    is evaluated once, its lineage is cut, and later readers fetch only the
+    columns they need.  The tables live as long as the checkpoint folder."""
+    folder = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

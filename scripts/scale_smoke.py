@@ -38,12 +38,12 @@ def main(rows: int) -> None:
         ((F.col("id") * 2654435761) % 25 + 1).cast("double").alias("v"),
     )
     ranked = timed("ranked_counts (~3M categories, distributed)",
-                   lambda: ranked_counts(base, "k", count_col="n", small_rows=1_000_000))
+                   lambda: ranked_counts(base, "k", count_col="n"))
     top = timed("  top-3 of the ranking", lambda: [tuple(r) for r in ranked.where("rk <= 3").orderBy("rk").collect()])
     assert top[0][0] == "HOT"
     timed("  rank is 1..m", lambda: ranked.agg(F.min("rk"), F.max("rk"), F.count(F.lit(1))).first())
     grouped = timed("grouped_ranked_counts (year, category) pairs",
-                    lambda: grouped_ranked_counts(base, "year", "k", count_col="n", small_rows=1_000_000))
+                    lambda: grouped_ranked_counts(base, "year", "k", count_col="n"))
     timed("  rank 1 per year", lambda: sorted(map(tuple, grouped.where("rk = 1").select("year", "k", "n").collect())))
     timed("  ranks are 1..m in every year",
           lambda: grouped.groupBy("year").agg(F.max("rk"), F.count(F.lit(1))).orderBy("year").collect())

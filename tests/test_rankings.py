@@ -149,7 +149,7 @@ def test_ranked_counts_many_categories_across_slices(spark):
     # 5,000 categories with many ties: the distributed rank must equal a plain window.
     df = spark.range(20000).select((F.col("id") % 5000).cast("string").alias("k"),
                                    F.col("id")).where(~((F.col("id") % 7 == 0) & (F.col("id") > 10000)))
-    got = ranked_counts(df, "k", count_col="n", small_rows=0)  # force the distributed path
+    got = ranked_counts(df, "k", count_col="n")
     from pyspark.sql import Window
     expect = df.groupBy("k").agg(F.count(F.lit(1)).alias("n")).withColumn(
         "rk", F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("k").asc())).cast("long"))
@@ -157,43 +157,71 @@ def test_ranked_counts_many_categories_across_slices(spark):
     assert got.count() == 5000
 
 
-def test_ranked_counts_small_and_distributed_paths_agree(spark):
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranked_counts_equal_a_window(spark):
+    from pyspark.sql import Window
+
     from blotter.sources import tables
 
     inc = tables.incidents_dirty(spark, "/root/testdata/sf0.001")
     for key in ("primary_type", "district", "location"):
-        small = ranked_counts(inc, key, small_rows=10**6)
-        spread = ranked_counts(inc, key, small_rows=0)
-        assert sorted(map(tuple, small.collect())) == sorted(map(tuple, spread.collect()))
+        counts = inc.where(F.length(key) > 0).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        rk = F.row_number().over(Window.orderBy(F.col("n").desc(), F.col(key).asc())).cast("long")
+        expect = counts.withColumn("rk", rk)
+        assert sorted(map(tuple, ranked_counts(inc, key).collect())) == sorted(map(tuple, expect.collect()))
 
 
-def test_top_k_uses_take_ordered(spark):
+def test_top_is_the_head_of_the_ranking(spark):
     from blotter.sources import tables
 
     inc = tables.incidents_dirty(spark, "/root/testdata/sf0.001")
-    top = ranked_counts(inc, "district", count_col="n", top=3)
-    plan = top._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan or "Limit" in plan
     full = ranked_counts(inc, "district", count_col="n")
-    assert sorted(map(tuple, top.collect())) == sorted(map(tuple, full.where("rk <= 3").collect()))
+    for k in (0, 1, 3, 1000):
+        top = ranked_counts(inc, "district", count_col="n", top=k)
+        assert sorted(map(tuple, top.collect())) == sorted(map(tuple, full.where(F.col("rk") <= k).collect()))
+    without = ranked_counts(inc, "district", count_col="n", rank_col=None, top=3)
+    assert [tuple(r) for r in without.collect()] == [tuple(r)[:2] for r in full.where("rk <= 3").orderBy("rk").collect()]
 
 
-def test_grouped_ranking_paths_agree(spark):
+def test_no_ordering_window_over_rows(spark):
+    # Ranks come from the layout: the only window runs over slice offsets.
     from blotter.operators.ranking import grouped_ranked_counts
     from blotter.sources import tables
 
     inc = tables.incidents_dirty(spark, "/root/testdata/sf0.001")
-    small = grouped_ranked_counts(inc, "district", "primary_type", small_rows=10**6)
-    spread = grouped_ranked_counts(inc, "district", "primary_type", small_rows=0)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, spread.collect()))
-    top = grouped_ranked_counts(inc, "district", "primary_type", top=2)
-    assert sorted(map(tuple, top.collect())) == sorted(map(tuple, small.where("rk <= 2").collect()))
+    assert "row_number" not in _plan(ranked_counts(inc, "district"))
+    lazy = _plan(ranked_counts(inc, "district", rank_col=None))
+    assert "Window" not in lazy and "rangepartitioning" in lazy
+    for k in (10, 1001, 5000, None):
+        plan = _plan(grouped_ranked_counts(inc, "district", "primary_type", top=k))
+        assert "row_number" not in plan
+        assert "__slice" in plan
 
 
-def test_grouped_top_k_limits_before_the_shuffle(spark):
-    from blotter.operators.ranking import grouped_ranked_counts
-    from blotter.sources import tables
+def test_grouped_top_at_any_k(spark):
+    from pyspark.sql import Window
 
-    inc = tables.incidents_dirty(spark, "/root/testdata/sf0.001")
-    df = grouped_ranked_counts(inc, "district", "primary_type", top=2)
-    assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString()
+    from blotter.operators.ranking import grouped_ranked_counts, nested_ranked_lists
+
+    # 3 groups of 6,000 categories with many ties
+    df = spark.range(27000).select((F.col("id") % 3).cast("string").alias("g"), ((F.col("id") / 3).cast("long") % 6000).cast("string").alias("k"))
+    counts = df.groupBy("g", "k").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("g").orderBy(F.col("n").desc(), F.col("k").asc())
+    expect = counts.withColumn("rk", F.row_number().over(w).cast("long"))
+    for k in (10, 1001, 5000):
+        got = grouped_ranked_counts(df, "g", "k", top=k)
+        assert got.count() == 3 * k
+        assert got.exceptAll(expect.where(F.col("rk") <= k)).count() == 0
+    lists = nested_ranked_lists(df, "g", "k", top=1500).collect()
+    assert sorted((r.g, len(r["items"])) for r in lists) == [("0", 1500), ("1", 1500), ("2", 1500)]
+
+
+def test_crimes_join_no_customers(spark):
+    from blotter.plans import catalog
+
+    for name in ("clean_trim_nonempty", "crimes_by_year_nested"):
+        plan = _plan(catalog.queries()[name](spark, "/root/testdata/sf0.001"))
+        assert "Join" not in plan and plan.count("Scan parquet") == 1
