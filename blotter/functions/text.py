@@ -38,26 +38,44 @@ def _field_type(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
+def _whole_part(text: Column) -> Column:
+    """The integer part of a plain decimal number's text ("-0" becomes "0")."""
+    part = F.substring_index(text, ".", 1)
+    return F.when(part == "-0", F.lit("0")).otherwise(part)
+
+
+def _double_text(x: Column) -> Column:
+    """A double truncated toward zero, as text, at any size: below 2^53 through
+    the truncated long, above through a decimal (such doubles are whole).  NaN,
+    the infinities and doubles of more than 38 digits keep their own text."""
+    near = F.abs(x) < F.lit(float(1 << 53))
+    whole = F.when(x < 0, F.ceil(F.when(near, x))).otherwise(F.floor(F.when(near, x)))
+    return F.when(near, whole.cast("string")).otherwise(
+        F.coalesce(F.when(~F.isnan(x), x).try_cast("decimal(38,0)").cast("string"), x.cast("string"))
+    )
+
+
 def canonical_text(df: DataFrame, name: str) -> Column:
     """Number-or-text field as text: text is kept verbatim, a number becomes the
-    text of its integer part (truncated toward zero), so 12.0 and 12.9 give "12"
-    while the text "12.0" or "001" stays as written.  Booleans and JSON nulls
-    give NULL."""
+    text of its integer part (truncated toward zero, at any size), so 12.0 and
+    12.9 give "12" and 1e10 gives "10000000000", while the text "12.0" or "001"
+    stays as written.  Booleans and JSON nulls give NULL."""
     dtype = _field_type(df, name)
     col = F.col(f"`{name}`")
     if isinstance(dtype, T.StringType):
         return col
     if isinstance(dtype, _INTEGRAL):
-        return col.try_cast("int").cast("string")
+        return col.cast("string")
+    if isinstance(dtype, T.DecimalType):
+        return _whole_part(col.cast("string"))
     if isinstance(dtype, _FRACTIONAL):
-        return col.cast("double").try_cast("int").cast("string")
+        return _double_text(col.cast("double"))
     if isinstance(dtype, T.VariantType):
         kind = F.schema_of_variant(col)
-        as_number = F.try_variant_get(col, "$", "double").try_cast("int").cast("string")
         return (
             F.when(kind == "STRING", F.try_variant_get(col, "$", "string"))
-            .when(kind.isin("BOOLEAN", "VOID") | kind.startswith("ARRAY") | kind.startswith("OBJECT"), F.lit(None))
-            .otherwise(as_number)
+            .when(kind.isin("DOUBLE", "FLOAT"), _double_text(F.try_variant_get(col, "$", "double")))
+            .when((kind == "BIGINT") | kind.startswith("DECIMAL"), _whole_part(F.to_json(col)))
         )
     if isinstance(dtype, T.BooleanType):
         return F.lit(None).cast("string")

@@ -27,9 +27,21 @@ RAW_INCIDENT_SCHEMA = T.StructType(
     ]
 )
 
+# Where a document stands in its input: file, start of the split, row of the
+# split's task.  The order of these three does not depend on the split size.
+POSITION = "__position"
+POSITION_TYPE = T.StructType(
+    [
+        T.StructField("file", T.StringType()),
+        T.StructField("start", T.LongType()),
+        T.StructField("row", T.LongType()),
+    ]
+)
+
 CLEAN_INCIDENT_SCHEMA = T.StructType(
     [
         T.StructField("incident_id", T.LongType()),
+        T.StructField("position", POSITION_TYPE),
         T.StructField("primary_type", T.StringType()),
         T.StructField("district", T.StringType()),
         T.StructField("district_text", T.StringType()),
@@ -40,7 +52,3 @@ CLEAN_INCIDENT_SCHEMA = T.StructType(
         T.StructField("year", T.IntegerType()),
     ]
 )
-
-
-def ranked_item(key_name: str, count_name: str = "NumberOfEvents") -> T.StructType:
-    return T.StructType([T.StructField(key_name, T.StringType()), T.StructField(count_name, T.LongType(), False)])

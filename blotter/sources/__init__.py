@@ -5,7 +5,6 @@ from blotter.sources.incidents import (
     read_clean_incidents,
     read_incidents,
     store_clean_incidents,
-    stream_incidents,
 )
 from blotter.sources.calls import parse_calls, read_call_lines
 from blotter.sources.sinks import write_lines, write_result
@@ -16,7 +15,6 @@ __all__ = [
     "read_incidents",
     "read_clean_incidents",
     "store_clean_incidents",
-    "stream_incidents",
     "parse_calls",
     "read_call_lines",
     "write_lines",

@@ -13,12 +13,6 @@ def read_call_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_call_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """Quote-aware CSV scan, no header, every column as text (``_c0`` ...)."""
-    opts = {"header": "false", "inferSchema": "false", **options}
-    return spark.read.options(**opts).csv(path)
-
-
 def field(line: Column | str, index: int, sep: str = ",") -> Column:
     """The ``index``-th field of a plain ``sep``-split line (NULL when the line is short)."""
     col = F.col(line) if isinstance(line, str) else line

@@ -11,42 +11,59 @@ from blotter.functions.calendar import DATE_TEXT_PATTERN
 from blotter.functions.text import canonical_text, java_trim, source_text
 
 
+# Sources that read files, whose rows have a place.
+FILE_FORMATS = ("json", "csv", "parquet", "orc", "text", "avro")
+
+
 def read_incidents(
     spark: SparkSession,
     path: str | None,
     /,
     fmt: str = "json",
     schema: T.StructType | str | None = None,
+    id_col: str | None = None,
     **options: str,
 ) -> DataFrame:
     """Scan an incident collection.  ``fmt`` is any Spark data source (json,
     parquet, csv, orc, or a document-store connector present on the classpath,
     configured through ``options`` with ``path=None``).  JSON gets the
-    declared raw schema so District/Year keep their JSON type."""
+    declared raw schema so District/Year keep their JSON type.
+
+    ``id_col`` names the field that orders the documents, if they have one.
+    File sources also tell where each document stands, which orders documents
+    without an id."""
     reader = spark.read.format(fmt).options(**options)
     if schema is None and fmt == "json":
         schema = S.RAW_INCIDENT_SCHEMA
+        if id_col is not None:
+            schema = T.StructType([T.StructField(id_col, T.LongType()), *[f for f in schema.fields if f.name != S.F_ID]])
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(path) if path is not None else reader.load()
+    raw = reader.load(path) if path is not None else reader.load()
+    if fmt in FILE_FORMATS and S.F_TYPE in raw.columns:
+        place = F.struct(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("row"),
+        )
+        raw = raw.select("*", place.alias(S.POSITION))
+    return raw if id_col is None else raw.withColumnRenamed(id_col, S.F_ID)
 
 
-def stream_incidents(
-    spark: SparkSession,
-    path: str,
-    fmt: str = "json",
-    schema: T.StructType | str | None = None,
-    **options: str,
-) -> DataFrame:
-    """The same collection as an unbounded stream of files arriving in ``path``."""
-    return spark.readStream.format(fmt).schema(schema or S.RAW_INCIDENT_SCHEMA).options(**options).load(path)
+def _completed(df: DataFrame, missing_ok: bool) -> DataFrame:
+    """``df`` with every incident field; a missing one is an error, or NULL if that is wanted."""
+    fields = (S.F_TYPE, S.F_DISTRICT, S.F_LOCATION, S.F_ARREST, S.F_DATE, S.F_YEAR)
+    missing = [f for f in fields if f not in df.columns]
+    if missing and not missing_ok:
+        raise ValueError(f"the source has no column {', '.join(missing)}; its columns are {', '.join(df.columns)}")
+    return df.withColumns({f: F.lit(None).cast("string") for f in missing}) if missing else df
 
 
-def _field(df: DataFrame, name: str):
-    return F.col(f"`{name}`") if name in df.columns else F.lit(None).cast("string")
+def _field(name: str):
+    return F.col(f"`{name}`")
 
 
-def clean_incidents(raw: DataFrame) -> DataFrame:
+def clean_incidents(raw: DataFrame, missing_ok: bool = False) -> DataFrame:
     """Raw documents -> ``CLEAN_INCIDENT_SCHEMA``.
 
     * text fields are stripped the way Java's ``trim`` strips them;
@@ -55,33 +72,30 @@ def clean_incidents(raw: DataFrame) -> DataFrame:
     * ``district_text`` is the field as its own text, input of the numeric samples;
     * ``year`` is the integer year, NULL when the field is not a whole number.
 
-    Missing fields become NULL; the queries drop rows whose keys are NULL.
-    Call it directly on the scan when the documents carry no ``incident_id``.
-    """
-    def canon(name):
-        return canonical_text(raw, name) if name in raw.columns else F.lit(None).cast("string")
+    * ``incident_id`` and ``position`` order the documents: by id where there is
+      one, else by their place in the files.
 
-    def text(name):
-        return source_text(raw, name) if name in raw.columns else F.lit(None).cast("string")
-
-    year_text = canon(S.F_YEAR)
+    A field missing from a document is NULL (the queries drop rows whose keys
+    are NULL); a column missing from the whole source is an error unless
+    ``missing_ok`` is set.
+    """
+    raw = _completed(raw, missing_ok)
     # A typed timestamp/date column (e.g. from Parquet) gets the document's text form.
-    date_type = raw.schema[S.F_DATE].dataType if S.F_DATE in raw.columns else None
-    if isinstance(date_type, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        date_text = F.date_format(F.col(f"`{S.F_DATE}`"), DATE_TEXT_PATTERN)
+    if isinstance(raw.schema[S.F_DATE].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        date_text = F.date_format(_field(S.F_DATE), DATE_TEXT_PATTERN)
     else:
-        date_text = java_trim(_field(raw, S.F_DATE))
-    # Without an id column the documents' input order (file split, offset)
-    # stands in for it - the closest thing to a physical position, and stable
-    # across task retries because it is taken right at the scan.
-    ident = _field(raw, S.F_ID).cast("long") if S.F_ID in raw.columns else F.monotonically_increasing_id()
+        date_text = java_trim(_field(S.F_DATE))
+    year_text = canonical_text(raw, S.F_YEAR)
+    ident = _field(S.F_ID).try_cast("long") if S.F_ID in raw.columns else F.lit(None).cast("long")
+    place = _field(S.POSITION) if S.POSITION in raw.columns else F.lit(None)
     return raw.select(
         ident.alias("incident_id"),
-        java_trim(_field(raw, S.F_TYPE)).alias("primary_type"),
-        canon(S.F_DISTRICT).alias("district"),
-        text(S.F_DISTRICT).alias("district_text"),
-        java_trim(_field(raw, S.F_LOCATION)).alias("location"),
-        java_trim(_field(raw, S.F_ARREST).cast("string")).alias("arrest"),
+        place.cast(S.POSITION_TYPE).alias("position"),
+        java_trim(_field(S.F_TYPE)).alias("primary_type"),
+        canonical_text(raw, S.F_DISTRICT).alias("district"),
+        source_text(raw, S.F_DISTRICT).alias("district_text"),
+        java_trim(_field(S.F_LOCATION)).alias("location"),
+        java_trim(_field(S.F_ARREST).cast("string")).alias("arrest"),
         date_text.alias("date_text"),
         year_text.alias("year_text"),
         year_text.try_cast("int").alias("year"),

@@ -12,6 +12,7 @@ re-plans it at run time; at large scale it stays a shuffle join.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from blotter import schema as S
 from blotter.functions.calendar import DATE_TEXT_PATTERN
@@ -51,7 +52,10 @@ def _year_ranges(years) -> str:
     return " OR ".join(parts)
 
 
-def _orders_with_customers(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
+def _orders(spark: SparkSession, sf_dir: str, years=None, customers: bool = True) -> DataFrame:
+    """Orders as the source of incidents.  Only District and Location come from
+    the customer; a query that uses neither reads the orders alone (every order
+    has a customer, so the join neither drops nor repeats one)."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
     )
@@ -59,8 +63,10 @@ def _orders_with_customers(spark: SparkSession, sf_dir: str, years=None) -> Data
         # The incident year is year(o_orderdate) (or NULL): a caller that only
         # wants some years can skip the other dates at the scan.
         orders = orders.where(_year_ranges(years))
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    return orders.join(customers, orders.o_custkey == customers.c_custkey, "inner")
+    if not customers:
+        return orders.selectExpr("*", "CAST(NULL AS INT) AS c_nationkey", "CAST(NULL AS STRING) AS c_mktsegment")
+    people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    return orders.join(people, orders.o_custkey == people.c_custkey, "inner")
 
 
 _ARREST = "CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END"
@@ -73,7 +79,7 @@ def _q(name: str) -> str:
 
 def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Well-formed incident documents: District and Year are numbers."""
-    return _orders_with_customers(spark, sf_dir).selectExpr(
+    return _orders(spark, sf_dir).selectExpr(
         f"o_orderkey AS {_q(S.F_ID)}",
         f"o_orderpriority AS {_q(S.F_TYPE)}",
         f"c_nationkey + 1 AS {_q(S.F_DISTRICT)}",
@@ -84,13 +90,13 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_incidents_dirty(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
+def raw_incidents_dirty(spark: SparkSession, sf_dir: str, years=None, customers: bool = True) -> DataFrame:
     """Incident documents with the messy values the cleaning must handle:
     blank and tab-padded types, NULLs, text districts ("abc", "-1", "NaN",
     zero-padded), blank locations, dates without '/', missing years.  The
     mess is injected by a rule on the order key, every order is kept."""
     n = "CAST(c_nationkey + 1 AS STRING)"
-    return _orders_with_customers(spark, sf_dir, years).selectExpr(
+    return _orders(spark, sf_dir, years, customers).selectExpr(
         f"o_orderkey AS {_q(S.F_ID)}",
         "CASE WHEN o_orderkey % 89 = 0 THEN '' "
         "WHEN o_orderkey % 83 = 0 THEN concat(char(9), o_orderpriority, ' ') "
@@ -114,13 +120,18 @@ def raw_incidents_dirty(spark: SparkSession, sf_dir: str, years=None) -> DataFra
 def raw_incidents_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incident documents whose District is a JSON integer, a JSON decimal
     (n + 0.25) or JSON text (zero-padded below 10), rotating by order key -
-    the shape a schemaless document store hands over."""
+    the shape a schemaless document store hands over.  Some numbers lie beyond
+    int, long or both, with either sign."""
     n = "CAST(c_nationkey + 1 AS STRING)"
     padded = f"CASE WHEN c_nationkey + 1 < 10 THEN concat('0', {n}) ELSE {n} END"
-    return _orders_with_customers(spark, sf_dir).selectExpr(
+    return _orders(spark, sf_dir).selectExpr(
         f"o_orderkey AS {_q(S.F_ID)}",
         f"o_orderpriority AS {_q(S.F_TYPE)}",
-        f"CASE WHEN o_orderkey % 3 = 0 THEN parse_json({n}) "
+        "CASE WHEN o_orderkey % 131 = 0 THEN parse_json('3000000000') "
+        "WHEN o_orderkey % 137 = 0 THEN parse_json('-3000000000.75') "
+        "WHEN o_orderkey % 139 = 0 THEN parse_json('12345678901234567890123') "
+        "WHEN o_orderkey % 149 = 0 THEN parse_json('-1.0E10') "
+        f"WHEN o_orderkey % 3 = 0 THEN parse_json({n}) "
         f"WHEN o_orderkey % 3 = 1 THEN parse_json(concat({n}, '.25')) "
         f"ELSE parse_json(concat('\"', {padded}, '\"')) END AS {_q(S.F_DISTRICT)}",
         f"c_mktsegment AS {_q(S.F_LOCATION)}",
@@ -134,9 +145,19 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_incidents(raw_incidents(spark, sf_dir))
 
 
-def incidents_dirty(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
-    """Cleaned dirty incidents; ``years`` (optional) lets the scan skip other dates."""
-    return clean_incidents(raw_incidents_dirty(spark, sf_dir, years))
+def incidents_dirty(spark: SparkSession, sf_dir: str, years=None, customers: bool = True) -> DataFrame:
+    """Cleaned dirty incidents; ``years`` (optional) lets the scan skip other
+    dates, ``customers=False`` leaves District and Location NULL."""
+    return clean_incidents(raw_incidents_dirty(spark, sf_dir, years, customers))
+
+
+def incidents_from_documents(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
+    """The dirty incidents as JSON documents, parsed again with the declared
+    schema: the path of a document collection, ids from a document field."""
+    raw = raw_incidents_dirty(spark, sf_dir, years)
+    text = raw.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw.columns])).alias("doc"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in S.RAW_INCIDENT_SCHEMA.fields)
+    return clean_incidents(text.select(F.from_json("doc", fields).alias("doc")).select("doc.*"))
 
 
 def incidents_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:

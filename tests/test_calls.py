@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from blotter.plans import jobs
-from blotter.sources.calls import field, parse_calls, read_call_csv, read_call_lines
+from blotter.sources.calls import field, parse_calls, read_call_lines
 
 LINES = [
     "CAD,Event,Date,Clearance,Type,Group,Initial,Time",                       # D12 header
@@ -47,7 +47,7 @@ def test_timestamp_text_lines(spark, tmp_out):
 def test_quoted_comma_with_csv_reader(spark, tmp_out):
     # D14: a quoted comma before the time column; the CSV reader keeps column 7 intact.
     path = _write(tmp_out, ['9,"Smith, John",b,c,d,e,f,12/25/2016 12:00:00 AM'])
-    df = read_call_csv(spark, path)
+    df = spark.read.csv(path)
     out = parse_calls(df, F.col("_c7"), keep=[F.col("_c0").alias("id")])
     assert [(r.id, r.day_of_week) for r in out.collect()] == [("9", 1)]
     # the plain split used for reference-exact lines shifts the column instead
@@ -78,3 +78,10 @@ def test_timestamp_text_independent_of_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
     utc = sorted(map(tuple, E.queries()["calls_timestamp_text"](spark, "/root/testdata/sf0.001").collect()))
     assert la == utc and utc[0][1].endswith(utc[0][1][-4:]) and " UTC " in utc[0][1]
+
+
+def test_timestamp_text_of_quoted_lines(spark, tmp_out):
+    path = _write(tmp_out, ['9,"Smith, John",b,c,d,e,f,12/25/2016 12:00:00 AM'])
+    lines = read_call_lines(spark, path)
+    assert [r.value for r in jobs.calls_timestamp_text(lines, quoted=True).collect()] == ["Sun Dec 25 00:00:00 UTC 2016"]
+    assert jobs.calls_timestamp_text(lines).count() == 0

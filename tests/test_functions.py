@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from blotter.functions import canonical_text, java_trim, month_prefix, safe_double, year_month
@@ -89,7 +90,9 @@ def test_month_prefix_and_year_month(spark):
 
 def test_clean_incidents_missing_fields(spark):
     df = spark.createDataFrame([(1, "THEFT")], "incident_id long, `Primary Type` string")
-    r = clean_incidents(df).first()
+    with pytest.raises(ValueError, match="District"):
+        clean_incidents(df)
+    r = clean_incidents(df, missing_ok=True).first()
     assert r.primary_type == "THEFT" and r.district is None and r.year is None and r.location is None
 
 
@@ -101,10 +104,15 @@ def test_no_python_udf_in_cleaning_plan(spark):
     assert "Python" not in plan
 
 
-def test_clean_incidents_without_id_uses_input_order(spark):
-    df = spark.createDataFrame([("A",), ("B",), ("C",)], "`Primary Type` string")
-    ids = [r.incident_id for r in clean_incidents(df).collect()]
-    assert len(set(ids)) == 3 and all(i is not None for i in ids)
+def test_clean_incidents_without_id_uses_input_order(spark, tmp_path):
+    # documents without id are ordered by their place in the files
+    raw = json_incidents(spark, str(tmp_path), [{"Primary Type": t} for t in "CAB"])
+    inc = clean_incidents(raw).orderBy("position")
+    assert [(r.incident_id, r.primary_type) for r in inc.collect()] == [(None, "C"), (None, "A"), (None, "B")]
+    # a table without id or files has no order to offer
+    df = spark.createDataFrame([("A",)], "`Primary Type` string")
+    r = clean_incidents(df, missing_ok=True).first()
+    assert r.incident_id is None and r.position is None
 
 
 def test_java_trim_property(spark):
@@ -147,5 +155,21 @@ def test_clean_incidents_typed_date(spark):
         [(1, "THEFT", datetime.datetime(2016, 1, 2, 13, 5, 0), 2016)],
         "incident_id long, `Primary Type` string, Date timestamp_ntz, Year int",
     )
-    r = clean_incidents(df).first()
+    r = clean_incidents(df, missing_ok=True).first()
     assert r.date_text == "01/02/2016 01:05:00 PM"
+
+
+def test_numbers_beyond_int_keep_their_row(spark, tmp_path):
+    # D20: whole parts of any size, truncated toward zero.
+    docs = [("3000000000", "3000000000"), ("1e10", "10000000000"), ("7", "7"), ("7.9", "7"), ("-3e9", "-3000000000"),
+            ('"3000000000"', "3000000000"), ("-0.5", "0"), ("-7.9", "-7"), ("12345678901234567890123", "12345678901234567890123"),
+            ("9007199254740993", "9007199254740993"), ("1e20", "100000000000000000000"), ("true", None), ("null", None)]
+    from blotter.functions.text import canonical_text
+
+    df = spark.createDataFrame([(d,) for d, _ in docs], "t string").selectExpr("t", "parse_json(t) AS v")
+    got = {r.t: r.c for r in df.select("t", canonical_text(df, "v").alias("c")).collect()}
+    assert got == dict(docs)
+    for sql, expect in [("3000000000L", "3000000000"), ("1.5E10D", "15000000000"), ("-1.9D", "-1"), ("-0.5BD", "0"),
+                        ("12345678901234567890.75BD", "12345678901234567890"), ("9.9E17D", "990000000000000000")]:
+        typed = spark.sql(f"SELECT {sql} AS v")
+        assert typed.select(canonical_text(typed, "v")).first()[0] == expect

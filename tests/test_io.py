@@ -101,3 +101,50 @@ def test_nested_documents_as_json_lines(spark, tmp_out):
         {"DistrictNumber": "1", "ListOfCrimes": [{"TypeOfCrime": "THEFT", "NumberOfEvents": 2}]},
         {"DistrictNumber": "2", "ListOfCrimes": [{"TypeOfCrime": "BATTERY", "NumberOfEvents": 1}]},
     ]
+
+
+def test_csv_with_header_and_missing_columns(spark, tmp_out):
+    import pytest
+
+    path = os.path.join(tmp_out, "csv")
+    os.makedirs(path)
+    with open(os.path.join(path, "a.csv"), "w") as f:
+        f.write("ID,Primary Type,District,Location Description,Arrest,Date,Year\n")
+        f.write("7,THEFT,1,STREET,true,01/02/2016 01:00:00 PM,2016\n8,THEFT,2,STREET,true,01/02/2016 01:00:00 PM,2016\n")
+    raw = read_incidents(spark, path, "csv", id_col="ID", header="true")
+    inc = clean_incidents(raw)
+    assert sorted(r.incident_id for r in inc.collect()) == [7, 8]
+    assert [tuple(r)[:2] for r in jobs.top_crimes(inc).collect()] == [("THEFT", 2)]
+    with pytest.raises(ValueError, match="Primary Type"):
+        clean_incidents(read_incidents(spark, path, "csv"))
+
+
+def test_output_documents_without_rank(spark, tmp_out):
+    inc = clean_incidents(json_incidents(spark, tmp_out, DOCS))
+    assert jobs.top_crimes(inc, rank_col=None).columns == ["TypeOfCrime", "NumberOfEvents"]
+    assert jobs.top_districts(inc, rank_col=None).columns == ["DistrictNumber", "NumberOfEvents"]
+    assert [tuple(r) for r in jobs.top_crimes(inc, rank_col=None).collect()] == [("THEFT", 2), ("BATTERY", 1)]
+
+
+def test_no_checkpoint_folder_of_its_own_on_a_cluster():
+    import types
+
+    import pytest
+
+    from blotter.session import ensure_checkpoint_dir
+
+    conf = types.SimpleNamespace(get=lambda k, d=None: d)
+    for master in ("local-cluster[2,1,1024]", "yarn", "spark://x:7077"):
+        sc = types.SimpleNamespace(master=master, getConf=lambda: conf, getCheckpointDir=lambda: None)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(types.SimpleNamespace(sparkContext=sc))
+
+    class Connect:
+        conf = types.SimpleNamespace(get=lambda k, d=None: d)
+
+        @property
+        def sparkContext(self):
+            raise NotImplementedError
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Connect())
