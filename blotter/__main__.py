@@ -13,17 +13,23 @@
 (``<output>/clean``) and runs every incident job from it, each into
 ``<output>/<job>``.
 
-Parameters are passed as ``--param name=value`` (numbers are parsed; lists
-are comma-separated).  The session comes from ``spark-submit`` / the
-environment; nothing here picks a master.
+Parameters are passed as ``--param name=value`` and read by the type the job
+declares (lists are comma-separated); ``--option name=value`` goes to the
+reader (``--input-format csv --option header=true``), ``--id-col`` names the
+field that orders the documents, and ``--no-rank`` leaves the rank out of the
+flat rankings.  The session comes from ``spark-submit`` / the environment;
+nothing here picks a master.
 """
 
 from __future__ import annotations
 
 import argparse
-import ast
+import collections.abc
+import inspect
 import os
 import sys
+import types
+import typing
 
 from pyspark.sql import SparkSession
 
@@ -37,18 +43,36 @@ from blotter.sources.incidents import (
 )
 from blotter.sources.sinks import write_lines, write_result
 
-CALL_JOBS = {"calls_day_of_week", "calls_timestamp_text"}
+CALL_JOBS = {"calls_day_of_week": jobs.calls_day_of_week, "calls_timestamp_text": jobs.calls_timestamp_text}
 # Columns holding the printed form of a statistic, for --output-format text.
 REPORT_COLUMNS = ("label", "summary", "report")
 
 
-def _value(text: str):
-    if "," in text:
-        return [_value(t) for t in text.split(",") if t]
-    try:
-        return ast.literal_eval(text)
-    except (ValueError, SyntaxError):
-        return text
+def _value(text: str, kind):
+    """``text`` as the declared type ``kind`` of a parameter."""
+    kinds = [k for k in typing.get_args(kind) if k is not type(None)]
+    if typing.get_origin(kind) in (typing.Union, types.UnionType):
+        if text.lower() in ("", "none"):
+            return None
+        return _value(text, kinds[0])
+    if typing.get_origin(kind) is collections.abc.Sequence:
+        return [_value(t, kinds[0]) for t in text.split(",") if t]
+    if kind is bool:
+        if text.lower() not in ("true", "false"):
+            raise SystemExit(f"{text!r} is neither true nor false")
+        return text.lower() == "true"
+    return kind(text)
+
+
+def _parameters(job, given: list[str]) -> dict:
+    kinds = typing.get_type_hints(job)
+    out = {}
+    for p in given:
+        name, _, text = p.partition("=")
+        if name not in inspect.signature(job).parameters:
+            raise SystemExit(f"{job.__name__} has no parameter {name!r}")
+        out[name] = _value(text, kinds[name])
+    return out
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -56,13 +80,19 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("job", choices=sorted([*jobs.JOBS, *CALL_JOBS, "all"]))
     ap.add_argument("--input", required=True)
     ap.add_argument("--input-format", default="json")
+    ap.add_argument("--option", action="append", default=[], help="reader option name=value")
+    ap.add_argument("--id-col", help="field that orders the documents")
     ap.add_argument("--output", required=True)
     ap.add_argument("--output-format", default="parquet")
     ap.add_argument("--mode", default="errorifexists")
     ap.add_argument("--param", action="append", default=[], help="name=value")
+    ap.add_argument("--no-rank", action="store_true", help="flat rankings without rank")
     args = ap.parse_args(argv)
-    params = dict(p.split("=", 1) for p in args.param)
-    params = {k: _value(v) for k, v in params.items()}
+    job = {**jobs.JOBS, **CALL_JOBS}.get(args.job)
+    params = _parameters(job, args.param) if job else {}
+    options = dict(p.split("=", 1) for p in args.option)
+    if args.no_rank and args.job in jobs.FLAT:
+        params["rank_col"] = None
 
     spark = SparkSession.builder.appName(f"blotter-{args.job}").getOrCreate()
     if args.job in CALL_JOBS:
@@ -72,13 +102,14 @@ def main(argv: list[str] | None = None) -> int:
         else:
             write_result(jobs.calls_day_of_week(lines, **params), args.output, args.output_format, args.mode)
         return 0
-    incidents = clean_incidents(read_incidents(spark, args.input, args.input_format))
+    incidents = clean_incidents(read_incidents(spark, args.input, args.input_format, id_col=args.id_col, **options))
     if args.job == "all":
         clean_path = os.path.join(args.output, "clean")
         store_clean_incidents(incidents, clean_path, mode=args.mode)
         stored = read_clean_incidents(spark, clean_path)
         for name, job in jobs.JOBS.items():
-            write_result(job(stored), os.path.join(args.output, name), args.output_format, args.mode)
+            rankless = {"rank_col": None} if args.no_rank and name in jobs.FLAT else {}
+            write_result(job(stored, **rankless), os.path.join(args.output, name), args.output_format, args.mode)
         return 0
     result = jobs.JOBS[args.job](incidents, **params)
     if args.output_format == "text":

@@ -30,8 +30,18 @@ DIGITS = 10
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _dirty(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
-    return tables.incidents_dirty(spark, sf_dir, years)
+# Fixed rule (the oracle follows it): District and Location come from the
+# customer, all other fields from the order alone.
+_OF_CUSTOMER = {"district", "location"}
+TOP = 3
+
+
+def _dirty(spark: SparkSession, sf_dir: str, years=None, customers: bool = True) -> DataFrame:
+    return tables.incidents_dirty(spark, sf_dir, years, customers)
+
+
+def _uses_customer(*columns: str) -> bool:
+    return bool(_OF_CUSTOMER & set(columns))
 
 
 # ---------------------------------------------------------------------------
@@ -40,19 +50,22 @@ def _dirty(spark: SparkSession, sf_dir: str, years=None) -> DataFrame:
 
 
 def _flat(name: str) -> Query:
-    return lambda spark, sf_dir: jobs.flat_ranking(_dirty(spark, sf_dir), name)
+    joined = _uses_customer(jobs.FLAT[name].column)
+    return lambda spark, sf_dir: jobs.flat_ranking(_dirty(spark, sf_dir, customers=joined), name)
 
 
-def _grouped(name: str) -> Query:
-    return lambda spark, sf_dir: jobs.grouped_ranking(_dirty(spark, sf_dir), name)
+def _grouped(name: str, top: int | None = None) -> Query:
+    joined = _uses_customer(jobs.NESTED[name].group, jobs.NESTED[name].key)
+    return lambda spark, sf_dir: jobs.grouped_ranking(_dirty(spark, sf_dir, customers=joined), name, top)
 
 
 def _nested(name: str) -> Query:
-    return lambda spark, sf_dir: jobs.nested_ranking_text(_dirty(spark, sf_dir), name)
+    joined = _uses_customer(jobs.NESTED[name].group, jobs.NESTED[name].key)
+    return lambda spark, sf_dir: jobs.nested_ranking_text(_dirty(spark, sf_dir, customers=joined), name)
 
 
 def q_clean_trim_nonempty(spark, sf_dir):
-    inc = _dirty(spark, sf_dir)
+    inc = _dirty(spark, sf_dir, customers=False)
     return inc.where(F.length("primary_type") > 0).select("incident_id", "primary_type")
 
 
@@ -68,13 +81,14 @@ def q_clean_safe_double(spark, sf_dir):
 
 
 def q_clean_year_month(spark, sf_dir):
-    inc = _dirty(spark, sf_dir)
+    inc = _dirty(spark, sf_dir, customers=False)
     out = inc.select("incident_id", year_month("year_text", "date_text").alias("ym"))
     return out.where(F.col("ym").isNotNull())
 
 
 def q_sample_district(spark, sf_dir):
-    return stats.district_sample(_dirty(spark, sf_dir, [YEAR_A, YEAR_B]), [YEAR_A, YEAR_B])
+    sample = stats.district_sample(_dirty(spark, sf_dir, [YEAR_A, YEAR_B]), [YEAR_A, YEAR_B])
+    return sample.select("incident_id", "year", "v")
 
 
 def q_sample_counts(spark, sf_dir):
@@ -91,6 +105,12 @@ def q_sample_positional_pairs(spark, sf_dir):
     return _pairs(spark, sf_dir).select("pos", "a", "b")
 
 
+def q_sample_pairs_from_documents(spark, sf_dir):
+    """The same pairs by the document path: JSON text, parsed in the plan."""
+    incidents = tables.incidents_from_documents(spark, sf_dir, [YEAR_A, YEAR_B])
+    return stats.positional_pairs(stats.district_sample(incidents, [YEAR_A, YEAR_B]), YEAR_A, YEAR_B).select("pos", "a", "b")
+
+
 def q_sample_equalized(spark, sf_dir):
     return stats.equalized_sample(_pairs(spark, sf_dir), YEAR_A, YEAR_B)
 
@@ -108,12 +128,31 @@ def q_district_density(spark, sf_dir):
     return out.select("point_index", "point", F.round("density", DIGITS).alias("density"))
 
 
+def q_district_density_report(spark, sf_dir):
+    """The printed lines; the number is written with a fixed number of digits,
+    as the last digits of a sum depend on its order."""
+    out = jobs.district_density(_dirty(spark, sf_dir, [YEAR_ONE]), YEAR_ONE)
+    number = F.format_string(f"%.{DIGITS}f", F.round("density", DIGITS))
+    label = F.concat(F.substring_index("label", stats.DENSITY_LABEL_SEPARATOR, 1), F.lit(stats.DENSITY_LABEL_SEPARATOR), number)
+    return out.select("point_index", label.alias("label"))
+
+
+def q_district_correlation_report(spark, sf_dir):
+    out = jobs.district_correlation(_dirty(spark, sf_dir, [YEAR_A, YEAR_B]), YEAR_A, YEAR_B)
+    number = F.format_string(f"%.{DIGITS}f", F.round("r", DIGITS))
+    prefix = F.substring("report", 1, len(stats.CORRELATION_REPORT_PREFIX))
+    return out.select(F.concat(prefix, number).alias("report"))
+
+
 def _ks(params) -> Query:
+    """Statistic, p-value (as text with six digits: it may be very small) and conclusion."""
+
     def run(spark, sf_dir):
         inc = _dirty(spark, sf_dir, [YEAR_ONE])
         sample = stats.district_sample(inc, YEAR_ONE)
         res = stats.ks_test(sample, "v", "norm", params)
-        return res.select(F.round("statistic", DIGITS).alias("statistic"))
+        p = F.format_string("%.6e", "p_value")
+        return res.select(F.round("statistic", DIGITS).alias("statistic"), p.alias("p_value"), "conclusion")
 
     return run
 
@@ -153,11 +192,15 @@ def queries() -> dict[str, Query]:
             "clean_year_month": q_clean_year_month,
             "sample_district": q_sample_district,
             "sample_counts": q_sample_counts,
+            "crimes_by_district_top": _grouped("crimes_by_district", TOP),
             "sample_positional_pairs": q_sample_positional_pairs,
+            "sample_pairs_from_documents": q_sample_pairs_from_documents,
             "sample_equalized": q_sample_equalized,
             "district_correlation": _rounded_corr("pearson"),
             "district_correlation_spearman": _rounded_corr("spearman"),
+            "district_correlation_report": q_district_correlation_report,
             "district_density": q_district_density,
+            "district_density_report": q_district_density_report,
             "district_ks": _ks((0.0, 1.0)),
             "district_ks_standardized": _ks(KS_STANDARDIZED),
             "calls_day_of_week": q_calls_day_of_week,
@@ -185,8 +228,12 @@ _SRC = """src AS (
   SELECT o_orderkey, o_orderstatus, o_orderdate, o_orderpriority, c_nationkey, c_mktsegment
   FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
-_DIRTY = f"""{_SRC},
-raw AS (
+_SRC_ORDERS = """src AS (
+  SELECT o_orderkey, o_orderstatus, o_orderdate, o_orderpriority,
+         CAST(NULL AS INTEGER) AS c_nationkey, CAST(NULL AS VARCHAR) AS c_mktsegment
+  FROM orders)"""
+
+_RAW = f"""raw AS (
   SELECT o_orderkey AS incident_id,
     CASE WHEN o_orderkey%89=0 THEN '' WHEN o_orderkey%83=0 THEN concat(chr(9), o_orderpriority, ' ')
          WHEN o_orderkey%79=0 THEN NULL WHEN o_orderkey%73=0 THEN 'A|B' ELSE o_orderpriority END AS t_raw,
@@ -210,12 +257,24 @@ inc AS (
     y_raw AS year
   FROM raw)"""
 
+_DIRTY = f"{_SRC},\n{_RAW}"
+_DIRTY_ORDERS = f"{_SRC_ORDERS},\n{_RAW}"
+
+
+def _dirty_sql(*columns: str) -> str:
+    return _DIRTY if _uses_customer(*columns) else _DIRTY_ORDERS
+
+
 _MIXED = f"""{_SRC},
 inc AS (
   SELECT o_orderkey AS incident_id,
-    CASE WHEN o_orderkey%3=2 AND c_nationkey+1 < 10 THEN '0' || CAST(c_nationkey+1 AS VARCHAR)
+    CASE WHEN o_orderkey%131=0 THEN '3000000000' WHEN o_orderkey%137=0 THEN '-3000000000'
+         WHEN o_orderkey%139=0 THEN '12345678901234567890123' WHEN o_orderkey%149=0 THEN '-10000000000'
+         WHEN o_orderkey%3=2 AND c_nationkey+1 < 10 THEN '0' || CAST(c_nationkey+1 AS VARCHAR)
          ELSE CAST(c_nationkey+1 AS VARCHAR) END AS district,
-    CASE WHEN o_orderkey%3=0 THEN CAST(c_nationkey+1 AS VARCHAR)
+    CASE WHEN o_orderkey%131=0 THEN '3000000000' WHEN o_orderkey%137=0 THEN '-3000000000.75'
+         WHEN o_orderkey%139=0 THEN '12345678901234567890123' WHEN o_orderkey%149=0 THEN '-1.0E10'
+         WHEN o_orderkey%3=0 THEN CAST(c_nationkey+1 AS VARCHAR)
          WHEN o_orderkey%3=1 THEN CAST(c_nationkey+1 AS VARCHAR) || '.25'
          WHEN c_nationkey+1 < 10 THEN '0' || CAST(c_nationkey+1 AS VARCHAR)
          ELSE CAST(c_nationkey+1 AS VARCHAR) END AS district_text
@@ -241,7 +300,7 @@ def _flat_sql(name: str) -> str:
     spec = jobs.FLAT[name]
     direction = "DESC" if spec.direction == "desc" else "ASC"
     c = spec.column
-    return f"""WITH {_DIRTY}
+    return f"""WITH {_dirty_sql(c)}
 SELECT {c} AS {spec.key_name}, count(*) AS {spec.count_name},
        row_number() OVER (ORDER BY count(*) {direction}, {c} ASC) AS rk
 FROM inc WHERE length({c}) > 0 GROUP BY {c}"""
@@ -256,7 +315,7 @@ def _group_expr(spec) -> tuple[str, str]:
 def _grouped_counts_sql(name: str) -> str:
     spec = jobs.NESTED[name]
     g, extra = _group_expr(spec)
-    return f"""WITH {_DIRTY},
+    return f"""WITH {_dirty_sql(spec.group, spec.key)},
 base AS (SELECT {g} AS g, {spec.key} AS k FROM inc WHERE {extra}),
 cnt AS (SELECT g, k, count(*) AS n FROM base WHERE length(g) > 0 AND length(k) > 0 GROUP BY g, k)"""
 
@@ -291,13 +350,23 @@ def _phi(z: str) -> str:
 
 def _ks_sql(mean: float, sd: float) -> str:
     z = f"((v - {mean}) / {sd})"
+    very, strong, low, none = stats.KS_CONCLUSIONS
+    tail = " + ".join(f"({2.0 if j % 2 else -2.0}) * exp({-2.0 * j * j} * x * x)" for j in range(1, 7))
+    head = " + ".join(f"exp({-((2 * j - 1) ** 2)} * pi() * pi() / 8 / (x * x))" for j in range(1, 5))
     return (
         _SAMPLE.format(years=str(YEAR_ONE))
         + f""",
 h AS (SELECT v, count(*) AS c FROM s GROUP BY v),
 cum AS (SELECT v, c, sum(c) OVER (ORDER BY v) AS cu, sum(c) OVER () AS n FROM h),
-f AS (SELECT v, c, cu, n, {_phi(z)} AS cdf FROM cum)
-SELECT round(max(greatest(cu / n - cdf, cdf - (cu - c) / n)), {DIGITS}) AS statistic FROM f"""
+f AS (SELECT v, c, cu, n, {_phi(z)} AS cdf FROM cum),
+d AS (SELECT max(greatest(cu / n - cdf, cdf - (cu - c) / n)) AS d, max(n)::DOUBLE AS n FROM f),
+z AS (SELECT d, n, sqrt(n) * d AS z, sqrt(n) * d + 1 / (6 * sqrt(n)) AS y FROM d),
+x AS (SELECT d, sqrt(greatest(0.0, 2 * y * y + (4.0::DOUBLE / 9 * z * z * (z * z - 1) - 1.0::DOUBLE / 18) / n) / 2) AS x FROM z),
+p AS (SELECT d, least(1.0, greatest(0.0, CASE WHEN x >= 1 THEN {tail} ELSE 1 - sqrt(2 * pi()) / x * ({head}) END)) AS p FROM x)
+SELECT round(d, {DIGITS}) AS statistic, printf('%.6e', p) AS p_value,
+       CASE WHEN p <= 0.01 THEN '{very}' WHEN p <= 0.05 THEN '{strong}' WHEN p <= 0.1 THEN '{low}' ELSE '{none}' END
+       || ': {stats.KS_NULL_HYPOTHESIS}.' AS conclusion
+FROM p"""
     )
 
 
@@ -316,20 +385,22 @@ def oracle_sql() -> dict[str, str]:
     for name in jobs.NESTED:
         sql[name] = _grouped_sql(name)
         sql[f"{name}_nested"] = _nested_sql(name)
-    sql["clean_trim_nonempty"] = f"""WITH {_DIRTY}
+    sql["clean_trim_nonempty"] = f"""WITH {_DIRTY_ORDERS}
 SELECT incident_id, primary_type FROM inc WHERE length(primary_type) > 0"""
     sql["clean_canonical_district"] = f"""WITH {_MIXED}
 SELECT incident_id, district, district_text FROM inc"""
     sql["clean_safe_double"] = f"""WITH {_DIRTY},
 num AS (SELECT incident_id, coalesce(TRY_CAST(district_text AS DOUBLE), -1.0) AS v FROM inc)
 SELECT incident_id, v FROM num WHERE NOT isnan(v)"""
-    sql["clean_year_month"] = f"""WITH {_DIRTY}
+    sql["clean_year_month"] = f"""WITH {_DIRTY_ORDERS}
 SELECT incident_id, {_YM} AS ym FROM inc WHERE {_YM} IS NOT NULL"""
     sql["sample_district"] = "WITH " + _SAMPLE.format(years=f"{YEAR_A}, {YEAR_B}") + "\nSELECT incident_id, year, v FROM s"
     sql["sample_counts"] = "WITH " + _SAMPLE.format(years=f"{YEAR_A}, {YEAR_B}") + f"""
 SELECT count(*) FILTER (WHERE year = {YEAR_A}) AS n_a, count(*) FILTER (WHERE year = {YEAR_B}) AS n_b,
        least(count(*) FILTER (WHERE year = {YEAR_A}), count(*) FILTER (WHERE year = {YEAR_B})) AS n_min
 FROM s"""
+    sql["crimes_by_district_top"] = f"SELECT * FROM ({_grouped_sql('crimes_by_district')}) WHERE rk <= {TOP}"
+    sql["sample_pairs_from_documents"] = "WITH " + _PAIRS + "\nSELECT pos, a, b FROM pairs"
     sql["sample_positional_pairs"] = "WITH " + _PAIRS + "\nSELECT pos, a, b FROM pairs"
     sql["sample_equalized"] = "WITH " + _PAIRS + f"""
 SELECT {YEAR_A} AS year, pos, a AS v FROM pairs UNION ALL SELECT {YEAR_B} AS year, pos, b AS v FROM pairs"""
@@ -345,6 +416,12 @@ h AS (SELECT v, count(*) AS c FROM s GROUP BY v)
 SELECT point_index, point,
        round(sum(c * exp(-0.5 * (point - v) * (point - v))) / (sum(c) * sqrt(2 * pi())), {DIGITS}) AS density
 FROM pts, h GROUP BY point_index, point"""
+    sql["district_correlation_report"] = "WITH " + _PAIRS + f"""
+SELECT '{stats.CORRELATION_REPORT_PREFIX}' || printf('%.{DIGITS}f', round(corr(a, b), {DIGITS})) AS report FROM pairs"""
+    sql["district_density_report"] = f"""
+SELECT point_index, '{stats.DENSITY_LABEL_PREFIX}' || point_index || '{stats.DENSITY_LABEL_SEPARATOR}'
+       || printf('%.{DIGITS}f', density) AS label
+FROM ({sql['district_density']})"""
     sql["district_ks"] = "WITH " + _ks_sql(0.0, 1.0)
     sql["district_ks_standardized"] = "WITH " + _ks_sql(*KS_STANDARDIZED)
     sql["calls_day_of_week"] = f"""WITH {_CALLS}

@@ -2,8 +2,8 @@
 
 Every job takes a cleaned incident DataFrame (``blotter.sources.clean_incidents``)
 or call lines, plus its parameters, and returns a DataFrame whose field names
-follow the documents the original programs wrote.  ``run`` wires a job to a
-source and a sink.
+follow the documents the original programs wrote; flat rankings add a rank
+unless ``rank_col`` is None.
 """
 
 from __future__ import annotations
@@ -55,24 +55,24 @@ def flat_ranking(incidents: DataFrame, name: str, top: int | None = None, rank_c
     return out.select(*cols)
 
 
-def top_crimes(incidents: DataFrame, top: int | None = None) -> DataFrame:
+def top_crimes(incidents: DataFrame, top: int | None = None, rank_col: str | None = "rk") -> DataFrame:
     """Incident types by number of incidents, largest first."""
-    return flat_ranking(incidents, "top_crimes", top)
+    return flat_ranking(incidents, "top_crimes", top, rank_col)
 
 
-def top_arrest_status(incidents: DataFrame, top: int | None = None) -> DataFrame:
+def top_arrest_status(incidents: DataFrame, top: int | None = None, rank_col: str | None = "rk") -> DataFrame:
     """Incidents per arrest value (both values are counted), largest first."""
-    return flat_ranking(incidents, "top_arrest_status", top)
+    return flat_ranking(incidents, "top_arrest_status", top, rank_col)
 
 
-def top_locations(incidents: DataFrame, top: int | None = None) -> DataFrame:
+def top_locations(incidents: DataFrame, top: int | None = None, rank_col: str | None = "rk") -> DataFrame:
     """Location descriptions by number of incidents, smallest first."""
-    return flat_ranking(incidents, "top_locations", top)
+    return flat_ranking(incidents, "top_locations", top, rank_col)
 
 
-def top_districts(incidents: DataFrame, top: int | None = None) -> DataFrame:
+def top_districts(incidents: DataFrame, top: int | None = None, rank_col: str | None = "rk") -> DataFrame:
     """Districts by number of incidents, largest first."""
-    return flat_ranking(incidents, "top_districts", top)
+    return flat_ranking(incidents, "top_districts", top, rank_col)
 
 
 # --------------------------------------------------------------------------
@@ -169,7 +169,8 @@ def district_correlation(
     incidents: DataFrame, year_a: int = 2015, year_b: int = 2016, method: str = "pearson"
 ) -> DataFrame:
     """Correlation of the district numbers of two years, paired by position
-    (incident order) and cut to the shorter year: one row ``(r, n, report)``."""
+    (order of the ids, or of the documents in their files) and cut to the
+    shorter year: one row ``(r, n, report)``."""
     sample = stats.district_sample(incidents, [year_a, year_b])
     pairs = stats.positional_pairs(sample, year_a, year_b)
     return stats.correlation(pairs, method)
@@ -218,10 +219,14 @@ def calls_day_of_week(
 
 
 def calls_timestamp_text(
-    lines: DataFrame, time_field: int = 7, pattern: str = CALL_TIME_PATTERN, zone_label: str | None = None
+    lines: DataFrame,
+    time_field: int = 7,
+    pattern: str = CALL_TIME_PATTERN,
+    quoted: bool = False,
+    zone_label: str | None = None,
 ) -> DataFrame:
     """The call time as text, one line per call (what the original program wrote)."""
-    out = calls_day_of_week(lines, time_field, pattern, zone_label=zone_label)
+    out = calls_day_of_week(lines, time_field, pattern, quoted=quoted, zone_label=zone_label)
     return out.select(F.col("call_time_text").alias("value"))
 
 

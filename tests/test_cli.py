@@ -80,3 +80,40 @@ def test_cli_calls(spark, tmp_out):
     dow_out = os.path.join(tmp_out, "calls_dow")
     assert main(["calls_day_of_week", "--input", src, "--output", dow_out, "--param", "quoted=True"]) == 0
     assert sorted(r.day_of_week for r in spark.read.parquet(dow_out).collect()) == [1, 5]
+
+
+def test_cli_parameters_by_signature(spark, tmp_out):
+    import pytest
+
+    src = os.path.join(tmp_out, "calls2")
+    os.makedirs(src)
+    with open(os.path.join(src, "part-0.csv"), "w") as f:
+        f.write("1,a,b,c,d,e,f,2016-12-25\n")
+    out = os.path.join(tmp_out, "t1")
+    # false is false, a pattern with a comma stays one pattern
+    assert main(["calls_timestamp_text", "--input", src, "--output", out, "--param", "quoted=false",
+                 "--param", "pattern=yyyy-MM-dd", "--param", "time_field=7"]) == 0
+    assert [r.value for r in spark.read.text(out).collect()] == ["Sun Dec 25 00:00:00 UTC 2016"]
+    from blotter.__main__ import _parameters
+    from blotter.plans import jobs
+
+    assert _parameters(jobs.calls_day_of_week, ["pattern=EEE, d MMM yyyy", "quoted=false"]) == {"pattern": "EEE, d MMM yyyy", "quoted": False}
+    assert _parameters(jobs.district_density, ["points=1,2.5", "year=2001"]) == {"points": [1.0, 2.5], "year": 2001}
+    assert _parameters(jobs.top_crimes, ["top=3"]) == {"top": 3}
+    assert _parameters(jobs.top_crimes, ["top=none"]) == {"top": None}
+    with pytest.raises(SystemExit):
+        _parameters(jobs.top_crimes, ["nope=3"])
+    with pytest.raises(SystemExit):
+        _parameters(jobs.calls_day_of_week, ["quoted=maybe"])
+
+
+def test_cli_csv_options_and_two_field_documents(spark, tmp_out):
+    src = os.path.join(tmp_out, "in5")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.csv"), "w") as f:
+        f.write("Primary Type,District,Location Description,Arrest,Date,Year\nTHEFT,1,S,true,01/02/2016,2016\n")
+    out = os.path.join(tmp_out, "two")
+    assert main(["top_crimes", "--input", src, "--input-format", "csv", "--option", "header=true", "--no-rank",
+                 "--output", out, "--output-format", "json"]) == 0
+    docs = [json.loads(r.value) for r in spark.read.text(out).collect()]
+    assert docs == [{"TypeOfCrime": "THEFT", "NumberOfEvents": 1}]
