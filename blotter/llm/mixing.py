@@ -94,15 +94,13 @@ def shard_quotas(shards: DataFrame, weights: Sequence[int] = WEIGHTS, max_use: i
     return dealt.select("__key", "__shard", F.col("__size").alias("__shard_size"), "source_size", "target", quota.alias("__quota"))
 
 
-def _keyed(docs: DataFrame, seed: int) -> DataFrame:
-    """Adds the source as a key that sorts nulls last, the size and the seeded order."""
-    return docs.withColumns(
-        {
-            "__key": F.coalesce(F.concat(F.lit("1"), F.col("source")), F.lit("2")),
-            "__size": word_count(whole_text()),
-            "__order": F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")),
-        }
-    )
+def _keyed(docs: DataFrame, seed: int, carry: bool = False) -> DataFrame:
+    """The id, the source as a key that sorts nulls last, the size and the seeded
+    order; with ``carry`` the whole row as ``__doc``."""
+    key = F.coalesce(F.concat(F.lit("1"), F.col("source")), F.lit("2"))
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc")] if carry else []
+    return docs.select("doc_id", key.alias("__key"), word_count(whole_text()).alias("__size"), order.alias("__order"), *row)
 
 
 def _sharded(rows: DataFrame, shards: int) -> DataFrame:
@@ -121,7 +119,7 @@ def _taken(rows: DataFrame, quotas: DataFrame) -> DataFrame:
 
 
 def _quotas(docs: DataFrame, seed: int, weights: Sequence[int], max_use: int, block: int) -> tuple[DataFrame, DataFrame, int]:
-    narrow = materialize(_keyed(docs.select("doc_id", "source", "text"), seed).select("doc_id", "__key", "__size", "__order"), "mix")
+    narrow = materialize(_keyed(docs, seed), "mix")
     shards = math.isqrt(narrow.count()) // 2 + 1
     narrow = _sharded(narrow, shards)
     sizes = narrow.groupBy("__key", "__shard").agg(F.sum("__size").alias("__size"))
@@ -148,17 +146,23 @@ def mix(docs: DataFrame, *, seed: int = SEED, weights: Sequence[int] = WEIGHTS,
     its size stands there t times, and one of which the mix takes a part (at
     most one per shard) ends after the words taken; its ``n_chars``, if there
     is one, is set anew.  Documents without words or with nothing taken go."""
-    columns = docs.columns
     _, quotas, shards = _quotas(docs, seed, weights, max_use, block)
-    rows = _taken(_sharded(_keyed(docs, seed), shards), quotas).where(F.col("__taken") > 0)
+    rows = _taken(_sharded(_keyed(docs, seed, carry=True), shards), quotas).where(F.col("__taken") > 0)
     copies = F.sequence(F.lit(1).cast("long"), F.ceil(F.col("__taken") / F.col("__size")).cast("long"))
-    rows = rows.withColumn("__copy", F.explode(copies))
+    rows = rows.select("__doc", "__size", "__taken", F.explode(copies).alias("__copy"))
     left = F.col("__taken") - (F.col("__copy") - 1) * F.col("__size")
-    rows = rows.withColumn("text", F.when(left >= F.col("__size"), F.col("text")).otherwise(_first_words(F.col("text"), left.cast("int"))))
-    if "n_chars" in columns:
-        cut = F.when(left >= F.col("__size"), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
-        rows = rows.withColumn("n_chars", cut)
-    return rows.select(*[F.col(f"`{c}`") for c in columns])
+    whole, text = left >= F.col("__size"), F.col("__doc.text")
+    rows = rows.select("__doc", whole.alias("__whole"), F.when(whole, text).otherwise(_first_words(text, left.cast("int"))).alias("__text"))
+
+    def column(c: str) -> Column:
+        own = F.col(f"__doc.`{c}`")
+        if c == "text":
+            own = F.col("__text")
+        elif c == "n_chars":
+            own = F.when(F.col("__whole"), own).otherwise(F.length("__text").cast(docs.schema[c].dataType))
+        return own.alias(c)
+
+    return rows.select(*[column(c) for c in docs.columns])
 
 
 # The same apportionment in DuckDB SQL (seeded order by md5, closed-form seats).

@@ -101,12 +101,15 @@ def without(text: str, covered: list[tuple[int, int]]) -> tuple[str, int, int]:
     gone: set[int] = set()
     for i, n in covered:
         gone.update(range(i, i + n))
-    out, after = [], 0
-    for i, (_, end, _, _) in enumerate(parts):
-        if i not in gone:
-            out.append(text[after:end])
+    out: list[str] = []
+    after = 0
+    ends = [p[1] for p in parts] + [len(text)]
+    for i, end in enumerate(ends):
+        part = text[after:end] if i not in gone else ""
         after = end
-    out.append(text[after:])
+        if part and out and i - 1 in gone and not out[-1][-1].isspace() and not part[0].isspace():
+            out.append(" ")
+        out += [part] if part else []
     return "".join(out).strip(), len(gone), sum(parts[i][2] for i in gone)
 
 

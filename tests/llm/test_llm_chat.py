@@ -1,0 +1,65 @@
+import random
+
+from pyspark.sql import functions as F
+
+from blotter.llm import chat
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def brute(rows, max_turns):
+    convs = {}
+    for c, t, r, x in rows:
+        convs.setdefault(c, []).append((t is not None, t or 0, r or "", x or ""))
+    turns = {c: [(r, x) for _, _, r, x in sorted(v)] for c, v in convs.items()}
+    out, seen = [], {}
+    for c in sorted(turns, key=lambda c: (c is None, c or 0)):
+        v = turns[c]
+        if any(len(o) > len(v) and o[: len(v)] == v for o in turns.values()) or tuple(v) in seen:
+            continue
+        seen[tuple(v)] = c
+        for p in range(0, len(v), max_turns):
+            part = v[p : p + max_turns]
+            out.append((c, p // max_turns, len(part), "".join(f"{chat.OPEN}{r}\n{x}{chat.CLOSE}\n" for r, x in part)))
+    return sorted(out, key=str)
+
+
+def run(spark, rows, **options):
+    return sorted((tuple(r) for r in chat.chat_format(spark.createDataFrame(rows, SCHEMA), **options).collect()), key=str)
+
+
+def fixture():
+    rng = random.Random(3)
+    rows, conv = [], 0
+    for _ in range(25):
+        turns = [(rng.choice(["user", "assistant"]), f"t{rng.randrange(6)}") for _ in range(rng.randint(1, 9))]
+        for length in sorted({len(turns), *(rng.randint(1, len(turns)) for _ in range(rng.randint(0, 4)))}):
+            start = rng.choice([0, 1, 10])  # numbering may differ, the order counts
+            rows += [(conv, start + 2 * i, r, x) for i, (r, x) in enumerate(turns[:length])]
+            conv += 1
+    rows += [(900, 0, None, None), (901, 0, "", ""), (None, 0, "user", "null conversation"), (None, None, "user", "first"), (902, 0, "user", "same"), (902, 0, "user", "same")]
+    rows += [(1000 + i, t, "user", f"hot {t}") for i in range(60) for t in range(1 + i % 4)]  # one conversation, many times
+    rng.shuffle(rows)
+    return rows
+
+
+def test_against_brute_force(spark):
+    rows = fixture()
+    assert run(spark, rows) == brute(rows, chat.MAX_TURNS)
+    assert run(spark, rows, max_turns=3) == brute(rows, 3)
+
+
+def test_a_conversation_that_holds_most_rows(spark):
+    rows = [(1, t, "user", f"x{t % 7}") for t in range(2000)] + [(2, t, "user", f"x{t % 7}") for t in range(1500)] + [(3, 0, "user", "y")]
+    assert run(spark, rows) == brute(rows, chat.MAX_TURNS)
+
+
+def test_a_text_that_ends_like_another_is_no_snapshot(spark):
+    rows = [(1, 0, "user", "a"), (2, 0, "user", "ab"), (2, 1, "user", "c"), (3, 0, "assistant", "ab"), (4, 0, "user", "")]
+    assert [r[0] for r in run(spark, rows)] == [1, 2, 3, 4]
+
+
+def test_empty_table_and_clashing_names(spark):
+    assert run(spark, []) == []
+    df = spark.createDataFrame([(1, 0, "user", "a")], SCHEMA).withColumns({"pos": F.lit("x"), "upto": F.lit(1), "part": F.lit(5)})
+    assert [tuple(r) for r in chat.chat_format(df).collect()] == [(1, 0, 1, f"{chat.OPEN}user\na{chat.CLOSE}\n")]

@@ -1,0 +1,130 @@
+"""Toxicity and quality: held-out accuracy, folds, edge cases."""
+
+import math
+import random
+import zlib
+
+import numpy as np
+import pytest
+from helpers_llm import documents, prose
+from pyspark.sql import functions as F
+
+from blotter.llm import catalog, quality, toxicity
+from blotter.llm.common import table
+
+SF = "/root/testdata/sf0.1"
+
+
+def auc(score, label):
+    order = np.argsort(np.argsort(score))
+    ones = label == 1
+    return (order[ones].mean() - (ones.sum() - 1) / 2) / max((~ones).sum(), 1)
+
+
+@pytest.mark.parametrize("name, label, least_auc, least_accuracy", [("op1_quality", "quality", 0.98, 0.97), ("op8_toxicity", "toxic", 0.95, 0.95)])
+def test_held_out_accuracy(spark, name, label, least_auc, least_accuracy):
+    out = catalog.queries()[name](spark, SF)
+    known = out.join(table(spark, SF, "labels"), "doc_id").toPandas()
+    assert (known["held_out"] == [zlib.crc32(str(i).encode()) % 5 == 0 for i in known["doc_id"]]).all()
+    held = known[known["held_out"]]
+    assert len(held) > 500 and held["score"].between(0, 1).all()
+    threshold = 0.3 if label == "quality" else 0.5
+    assert (known["predicted"] == (known["score"] >= threshold)).all()
+    assert auc(held["score"].to_numpy(), held[label].to_numpy()) >= least_auc
+    assert (held["predicted"] == held[label]).mean() >= least_accuracy
+
+
+def toy(spark, n=400):
+    rng = random.Random(1)
+    rows, labels = [], []
+    for i in range(n):
+        bad = i % 2
+        rows.append((i, prose(rng, 40, 300) + (" nasty gruesome $$$### " * 4 if bad else "")))
+        labels.append((i, 1 - bad, bad))
+    return documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_labels_of_held_out_documents_are_never_used(spark):
+    docs, labels = toy(spark)
+    turned = labels.withColumns({c: F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col(c)).otherwise(F.col(c)) for c in ("quality", "toxic")})
+    a, b = toxicity.train(docs, labels), toxicity.train(docs, turned)
+    assert (a.at == b.at).all() and (a.value == b.value).all() and a.bias == b.bias
+    stats = quality.document_statistics(docs)
+    x, y = quality.train(stats, labels), quality.train(stats, turned)
+    assert np.allclose(x.mean, y.mean, rtol=1e-12) and np.allclose(x.constant, y.constant, rtol=1e-9)
+
+
+def test_scores_do_not_depend_on_other_columns(spark):
+    docs, labels = toy(spark)
+    model = toxicity.train(docs, labels)
+    changed = docs.withColumns({"lang": F.lit("xx"), "source": F.lit(None).cast("string"), "doc_id": F.col("doc_id") + 10_000, "score": F.lit(9), "held_out": F.lit("x")})
+    a = [r.score for r in toxicity.toxicity_scores(docs, model).orderBy("doc_id").collect()]
+    assert a == [r.score for r in toxicity.toxicity_scores(changed, model).orderBy("doc_id").collect()]
+
+
+def test_training_is_repeatable_and_sparse(spark):
+    docs, labels = toy(spark)
+    a, b = toxicity.train(docs, labels), toxicity.train(docs.repartition(5), labels.repartition(3))
+    assert (a.at == b.at).all() and (a.value == b.value).all()
+    assert 0 < len(a.at) < 2000
+    some = toxicity.train(docs, labels, sample_docs=100)
+    assert len(some.at) > 0
+
+
+def test_drop_toxic_keeps_clean_documents_and_columns(spark):
+    docs, labels = toy(spark)
+    model = toxicity.train(docs, labels)
+    docs = docs.withColumns({"score": F.lit("mine"), "held_out": F.lit(1)})
+    out = toxicity.drop_toxic(docs, model)
+    assert out.schema.simpleString() == docs.schema.simpleString()
+    assert {r.doc_id % 2 for r in out.collect()} == {0} and out.count() == 200
+
+
+def test_empty_null_and_very_long_texts(spark):
+    docs, labels = toy(spark)
+    odd = documents(spark, [(1, ""), (2, None), (3, "x" * 200_000), (4, "y " * 100_000), (None, "z"), (5, "😀 \n\n")])
+    model = toxicity.train(docs, labels)
+    out = toxicity.toxicity_scores(odd, model).collect()
+    assert len(out) == 6 and all(0 <= r.score <= 1 for r in out)
+    assert {round(r.score, 12) for r in out if r.doc_id in (1, 2)} == {round(1 / (1 + math.exp(-model.bias)), 12)}
+    stats = quality.document_statistics(docs)
+    fitted = quality.train(stats, labels)
+    out = quality.quality_scores(quality.document_statistics(odd), fitted).collect()
+    assert len(out) == 6 and all(0 <= r.score <= 1 for r in out)
+
+
+def test_without_usable_labels(spark):
+    docs, labels = toy(spark, 40)
+    empty = documents(spark, [])
+    for chosen, expect in ((labels.where("false"), 0.5), (labels.where("quality = 1"), 1.0), (labels.withColumns({"quality": F.lit(None).cast("int"), "toxic": F.lit(7)}), 0.5)):
+        stats = quality.document_statistics(docs)
+        assert {r.score for r in quality.quality_scores(stats, quality.train(stats, chosen)).collect()} == {expect}
+        model = toxicity.train(docs, chosen)
+        assert {r.predicted for r in toxicity.toxicity_scores(docs, model).collect()} == {0}
+    assert toxicity.toxicity_scores(empty, toxicity.train(empty, labels)).count() == 0
+    stats = quality.document_statistics(empty)
+    assert quality.quality_scores(stats, quality.train(stats, labels)).count() == 0
+
+
+def test_repeated_labels_take_the_larger(spark):
+    docs, labels = toy(spark)
+    again = labels.union(labels).union(labels.withColumns({"quality": F.lit(None).cast("int"), "toxic": F.lit(None).cast("int")}))
+    a, b = toxicity.train(docs, labels), toxicity.train(docs, again)
+    assert (a.at == b.at).all() and (a.value == b.value).all()
+
+
+def test_discriminant_is_the_log_density_difference():
+    rng = np.random.default_rng(3)
+    d = len(quality.STATISTICS)
+    x = [rng.normal(0, 1, (500, d)), rng.normal(0.5, 2, (400, d))]
+    sums = np.stack([np.concatenate([[len(k)], k.sum(0), (k.T @ k).ravel()]) for k in x])
+    model = quality.fit(sums)
+    pooled = sum(np.cov(k.T, bias=True) * len(k) for k in x) / 900
+    logs = []
+    for k in x:
+        c = (1 - quality.TO_POOLED) * np.cov(k.T, bias=True) + quality.TO_POOLED * pooled
+        c = (1 - quality.TO_DIAGONAL) * c + quality.TO_DIAGONAL * np.diag(np.diag(c))
+        c += quality.RIDGE * (np.trace(pooled) / d + 1e-9) * np.eye(d)
+        diff = x[0][:20] - k.mean(0)
+        logs.append(np.log(len(k) / 900) - 0.5 * np.linalg.slogdet(c)[1] - 0.5 * np.einsum("ij,jk,ik->i", diff, np.linalg.inv(c), diff))
+    assert np.allclose(model.score(x[0][:20]), 1 / (1 + np.exp(logs[0] - logs[1])), atol=1e-9)

@@ -1,0 +1,117 @@
+import random
+import re
+
+import pytest
+from helpers_llm import documents
+from pyspark.sql import functions as F
+
+from blotter.llm import licenses
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
+
+
+def brute_base(text):
+    words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    places = []
+    for phrase, label in PHRASES.items():
+        p = phrase.split()
+        places += [(i, label) for i in range(len(words)) if words[i : i + len(p)] == p]
+    at = [i for i, _ in places]
+    return len(words), len(places), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in places}))
+
+
+TEXTS = [
+    None, "", " \n\t", "CC BY", "cc-by cc by-nc CC\x00BY", "xcc by", "cc byé", "All rights reserved. all RIGHTS reserved all rights",
+    "GNU General\nPublic---License, version 3.", "ALL RİGHTS RESERVED", "général public license", "a " * 60_000 + "All Rights Reserved",
+    "cc cc by by", "Licensed under CC BY-NC 4.0.",
+]
+
+
+def test_base_columns_against_brute_force(spark):
+    rows = list(enumerate(TEXTS))
+    for r in licenses.license_scan(documents(spark, rows)).collect():
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute_base(TEXTS[r.doc_id])
+        assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(",")))
+        assert 0.0 <= r.score <= 1.0
+
+
+def test_base_columns_on_random_words():
+    rng, search = random.Random(3), licenses.NoticeSearch()
+    bits = ["cc", "by", "general", "public", "license", "all", "rights", "reserved", "x", "É"]
+    for _ in range(300):
+        text = "".join(rng.choice(bits) + rng.choice([" ", "-", "  ", "\n", ".", ""]) for _ in range(rng.randint(0, 30)))
+        r = licenses.scan_text(text, search)
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == brute_base(text)
+
+
+def edited(rng, text, edits):
+    for _ in range(edits):
+        i = rng.randrange(1, len(text) - 1)
+        kind = rng.randrange(3)
+        text = text[:i] + ("q" if kind < 2 else "") + text[i + (kind != 1) :]
+    return text
+
+
+def test_every_notice_within_its_edits_is_found():
+    rng, search = random.Random(7), licenses.NoticeSearch()
+    for (label, notice), most in zip(search.notices, search.edits, strict=True):
+        for edits in range(most + 1):
+            for _ in range(10):
+                around = " ".join(f"w{rng.randrange(100)}" for _ in range(20))
+                text = f"{around} {edited(rng, notice, edits)} {around}"
+                spans = search.find(f" {text} ")
+                assert spans, (label, edits, text)
+                assert min(s[3] for s in spans) <= edits
+
+
+def distance(a, b):
+    """Fewest edits between a and any part of b."""
+    row = [0] * (len(b) + 1)
+    for i, x in enumerate(a, 1):
+        last, row = row, [i] + [0] * len(b)
+        for j, y in enumerate(b, 1):
+            row[j] = min(last[j - 1] + (x != y), last[j] + 1, row[j - 1] + 1)
+    return min(row)
+
+
+def test_found_exactly_when_the_edit_distance_allows():
+    rng = random.Random(11)
+    search = licenses.NoticeSearch(notices=(("mit", "released under the mit license"),))
+    for edits in range(8):
+        for _ in range(25):
+            text = " " + "abc " * 3 + edited(rng, search.notices[0][1], edits) + " xyz "
+            assert bool(search.find(text)) == (distance(search.notices[0][1], text) <= search.edits[0])
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("Licensed under the Apache License, Version 2.0.", "apache"),
+        ("Released under the M1T License", "mit"),
+        ("Licensed under CC BY-NC 4.0.", "cc-by,cc-by-nc"),
+        ("This work is licensed under the GNU General Public License, version 3.", "gpl"),
+        ("The quick brown fox licensed nothing at all.", ""),
+    ],
+)
+def test_labels(text, labels):
+    r = licenses.scan_text(text, licenses.NoticeSearch())
+    assert r["labels"] == labels
+
+
+def test_spans_are_words():
+    r = licenses.scan_text("one two Released under the MIT License three", licenses.NoticeSearch())
+    assert r["spans"] == [{"label": "mit", "first_word": 2, "last_word": 6, "edits": 0}]
+    assert r["score"] == 1.0
+
+
+def test_repeated_notices_are_all_found():
+    r = licenses.scan_text("Released under the MIT License. " * 40, licenses.NoticeSearch())
+    assert len(r["spans"]) == 40
+
+
+def test_empty_table_repeated_rows_and_clashing_names(spark):
+    assert licenses.license_scan(documents(spark, [])).count() == 0
+    docs = documents(spark, [(1, "cc by"), (1, "cc by"), (None, "cc by")]).withColumns({"labels": F.lit(1), "score": F.lit("x"), "n_words": F.lit(0)})
+    out = licenses.license_scan(docs).collect()
+    assert [(r.labels, r.score, r.n_words) for r in out] == [("cc-by", 1.0, 2)] * 3

@@ -1,0 +1,127 @@
+import random
+
+import numpy as np
+import pytest
+from helpers_llm import documents, prose
+from pyspark.sql import functions as F
+
+from blotter.llm import minhash
+from blotter.llm.components import components
+
+
+def shingle_set(text):
+    w = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").translate({c: 32 for c in range(9, 14)}).split(" ")
+    w = [x for x in w if x]
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4)))
+
+
+def brute(rows):
+    """{doc_id: (n_shingles, component)} by comparing all pairs."""
+    sets = [(i, shingle_set(t)) for i, t in rows]
+    parent = {i: i for i, _ in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, (i, x) in enumerate(sets):
+        for j, y in sets[:a]:
+            if x and y and 100 * len(x & y) >= 75 * len(x | y):
+                r, s = sorted((root(i), root(j)))
+                parent[s] = r
+    return {i: (len(x), root(i)) for i, x in sets}
+
+
+def family(rng, base, copies, edits):
+    out = []
+    for _ in range(copies):
+        w = base.split()
+        for _ in range(rng.randint(0, edits)):
+            w[rng.randrange(len(w))] = f"e{rng.randrange(10**6)}"
+        out.append(" ".join(w))
+    return out
+
+
+def fixture(seed=5):
+    rng = random.Random(seed)
+    texts = [prose(rng, n) for n in (1, 2, 3, 4, 5, 6, 9, 30, 200) for _ in range(4)]
+    texts += family(rng, prose(rng, 100), 60, 8)  # a large family at all distances
+    texts += family(rng, prose(rng, 12), 20, 1)
+    texts += family(rng, prose(rng, 900), 8, 40)
+    shared = prose(rng, 60)
+    texts += [prose(rng, 40) + " " + shared for _ in range(30)]  # a passage that does not link
+    texts += ["same words here"] * 5 + ["Same WORDS\there", "", None, "  \n", "é É ñ Ñ a b", "é É ñ Ñ A B"]
+    rng.shuffle(texts)
+    return list(enumerate(texts, 1))
+
+
+def got(df):
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in df.collect()}
+
+
+@pytest.mark.parametrize("seed", [5, 15])
+def test_components_against_brute_force(spark, seed):
+    rows = fixture(seed)
+    out = minhash.near_groups(documents(spark, rows))
+    assert got(out) == brute(rows)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in out.collect())
+
+
+def test_leftovers_in_blocks(spark, monkeypatch):
+    # no star links: every link comes from the comparison inside buckets
+    monkeypatch.setattr(minhash, "BLOCK", 7)
+    monkeypatch.setattr(minhash, "_star_links", lambda members, sketches, sets, kind: spark.createDataFrame([], f"a {kind}, b {kind}"))
+    rng = random.Random(8)
+    rows = list(enumerate(family(rng, prose(rng, 120), 50, 6)))
+    assert got(minhash.near_groups(documents(spark, rows))) == brute(rows)
+
+
+def test_near_dedup_keeps_one_of_each_group(spark):
+    rows = fixture(6)
+    docs = documents(spark, rows).withColumns({"kept": F.lit("x"), "__n": F.lit(1), "component_id": F.lit(2)})
+    out = minhash.near_dedup(docs)
+    assert out.columns == docs.columns
+    assert sorted(r.doc_id for r in out.collect()) == sorted(i for i, (_, c) in brute(rows).items() if i == c)
+
+
+def test_estimate_is_close_to_the_similarity():
+    rng = np.random.default_rng(1)
+    for share in (0.2, 0.5, 0.75, 0.9):
+        diffs = []
+        for _ in range(60):
+            pool = rng.integers(0, 2**63, 2000, dtype=np.uint64) * np.uint64(2)
+            both = int(1000 * share)
+            a, b = np.unique(pool[:1000]), np.unique(np.concatenate([pool[:both], pool[1000 : 2000 - both]]))
+            j = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+            est = minhash.estimate(minhash.registers(a)[None], minhash.registers(b)[None], np.array([len(a)]), np.array([len(b)]))[0]
+            diffs.append(est - j)
+        assert abs(np.mean(diffs)) < 0.02 and np.std(diffs) < 0.07
+
+
+def test_accidental_collisions_are_rare_and_corrected():
+    rng = np.random.default_rng(2)
+    regs = np.stack([minhash.registers(np.unique(rng.integers(0, 2**64, 5000, dtype=np.uint64))) for _ in range(200)])
+    equal = np.mean([(regs[i] == regs[j]).mean() for i in range(200) for j in range(i)])
+    chance = 0.1803 * 2.0**-minhash.MANTISSA_BITS
+    assert equal == pytest.approx(chance, rel=0.4)
+
+
+def test_null_ids_repeated_rows_and_empty_table(spark):
+    t = prose(random.Random(1), 30)
+    out = minhash.near_groups(documents(spark, [(None, t), (4, t), (4, t), (9, t), (None, ""), (2, None)]))
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(
+        [(None, 26, None, True), (4, 26, 4, True), (4, 26, 4, True), (9, 26, 4, False), (None, 0, None, True), (2, 0, 2, True)], key=str
+    )
+    assert minhash.near_groups(documents(spark, [])).count() == 0
+    assert minhash.near_dedup(documents(spark, [])).count() == 0
+
+
+def test_components_of_a_long_chain_and_a_hub(spark):
+    chain = [(i, i + 1) for i in range(100, 140)]
+    hub = [(5, i) for i in range(200, 260)]
+    found = {r.node: r.comp for r in components(spark.createDataFrame(chain + hub, "a long, b long")).collect()}
+    assert {found[i] for i in range(100, 141)} == {100}
+    assert {found[i] for i in [5, *range(200, 260)]} == {5}
