@@ -9,17 +9,20 @@ neighbouring registers are one 64-bit band; the 32 bands of a document are
 compared as they stand.
 
 1. Documents with equal sets are collapsed to the smallest id.
-2. Documents that share a band meet in a bucket.  In each round every bucket
-   names one centre and pairs it with its other members, so a bucket of m
-   documents gives m - 1 pairs, never all of them.
+2. Documents that share a band meet in a bucket.  Every bucket names one
+   centre, the member that meets most others over all bands, and pairs it with
+   its other members: a bucket of m documents gives m - 1 pairs, never all of
+   them.
 3. A pair goes on when the sizes of the sets allow the similarity and the
    Jaccard estimate from the registers, corrected for accidental register
-   collisions, reaches ``ESTIMATE_FLOOR`` (six standard deviations below the
+   collisions, reaches ``ESTIMATE_FLOOR`` (four standard deviations below the
    threshold); then the full sets decide.
 4. Components are formed, and buckets whose members are all in one component
-   are done.  After ``STAR_ROUNDS`` rounds with different centres the members
-   of the buckets left over are paired across components, which misses no pair
-   that shares a band and is not connected yet.
+   are done.  In the buckets left over, members that are not connected yet are
+   compared in the same way inside tasks, with their registers and full sets at
+   hand, in blocks of at most ``BLOCK`` members a side; a bucket emits
+   only links that connect two of its components.  So every pair that shares a
+   band is tested or connected otherwise.
 
 A pair at the threshold 0.75 shares none of the 32 bands with probability
 (1 - 0.75^4)^32, about 5 in a million; above it with less.
@@ -49,8 +52,8 @@ BUCKETS = 1 << BUCKET_BITS
 MANTISSA_BITS = 10
 ROWS_PER_BAND = 4
 BANDS = BUCKETS // ROWS_PER_BAND
-ESTIMATE_FLOOR = 0.5
-STAR_ROUNDS = 4
+ESTIMATE_FLOOR = 0.6
+BLOCK = 2048
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 _MIX = np.array([0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], dtype=np.uint64)
 _MOST_WORDS = 1 << 20
@@ -138,38 +141,120 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("__id"), pa.array(sets, type=pa.binary())], names=["__id", "__set"])
 
 
+def _passes(regs_a: np.ndarray, regs_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Whether the sizes and the estimate allow the similarity."""
+    allowed = 100.0 * np.minimum(n_a, n_b) >= PERCENT * np.maximum(n_a, n_b)
+    return allowed & (estimate(regs_a, regs_b, n_a, n_b) >= ESTIMATE_FLOOR)
+
+
 def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose sizes and estimate allow the similarity."""
     for b in batches:
         if not b.num_rows:
             continue
         regs = [b.column(c).flatten().to_numpy(zero_copy_only=False).view(np.uint16).reshape(b.num_rows, BUCKETS) for c in ("bands_a", "bands_b")]
         sizes = [b.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in ("n_a", "n_b")]
-        allowed = 100.0 * np.minimum(*sizes) >= PERCENT * np.maximum(*sizes)
-        keep = pa.array(allowed & (estimate(*regs, *sizes) >= ESTIMATE_FLOOR))
+        keep = pa.array(_passes(*regs, *sizes))
         yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
 
 
+def _similar(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
+def _connecting(rows: pa.Table, own: int, other: int) -> list[tuple[int, int]]:
+    """Positions of links of one bucket (blocks ``own`` and ``other``) that
+    connect its components: enough of them to connect all that are linked."""
+    bands = rows.column("__bands").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
+    regs = np.ascontiguousarray(bands).view(np.uint16)
+    sets = [np.frombuffer(x, dtype=np.uint64) for x in rows.column("__set").to_pylist()]
+    n = rows.column("__n").to_numpy().astype(np.float64)
+    comp = np.array(rows.column("comp").combine_chunks().dictionary_encode().indices.to_numpy())
+    block, pos = rows.column("block").to_numpy(), rows.column("pos")[0].as_py()
+    left = np.flatnonzero(block == own)
+    right = left if own == other else np.flatnonzero(block == other)
+    links = []
+    for k, i in enumerate(left):
+        js = right[k + 1 :] if own == other else right
+        js = js[comp[js] != comp[i]]
+        if not len(js):
+            continue
+        js = js[_passes(np.broadcast_to(regs[i], (len(js), BUCKETS)), regs[js], np.full(len(js), n[i]), n[js])]
+        js = js[(bands[js, :pos] != bands[i, :pos]).all(axis=1)]  # else an earlier band's bucket tests them
+        for j in js:
+            if comp[i] != comp[j] and _similar(sets[i], sets[j]):
+                links.append((int(i), int(j)))
+                comp[comp == comp[j]] = comp[i]
+    return links
+
+
+def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one bucket and pair of blocks follow each other."""
+    keys = ("pos", "band", "k1", "k2")
+
+    def links(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(parts)
+        found = _connecting(rows, rows.column("k1")[0].as_py(), rows.column("k2")[0].as_py())
+        ids = rows.column("__id").combine_chunks()
+        return pa.RecordBatch.from_arrays([ids.take(pa.array([f[side] for f in found], type=pa.int64())) for side in (0, 1)], names=["a", "b"])
+
+    current, parts = None, []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        values = np.stack([b.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in keys], axis=1)
+        starts = [0, *(np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1), b.num_rows]
+        for s, e in zip(starts[:-1], starts[1:], strict=True):
+            key = tuple(values[s])
+            if key != current and parts:
+                yield links(parts)
+                parts = []
+            current = key
+            parts.append(b.slice(s, e - s))
+    if parts:
+        yield links(parts)
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose full sets are similar enough."""
     for b in batches:
-        keep = []
-        for x, y in zip(b.column("set_a").to_pylist(), b.column("set_b").to_pylist(), strict=True):
-            x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-        keep = pa.array(keep, type=pa.bool_())
+        both = zip(b.column("set_a").to_pylist(), b.column("set_b").to_pylist(), strict=True)
+        keep = pa.array([_similar(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)) for x, y in both], type=pa.bool_())
         yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], names=["a", "b"])
 
 
-def _links(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, kind: str) -> DataFrame:
-    """The pairs ``(a, b)`` that are links, written."""
-    side = lambda k: sketches.select(F.col("__id").alias(k), F.col("__n").alias(f"n_{k}"), F.col("__bands").alias(f"bands_{k}"))
-    both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "n_a", "n_b", "bands_a", "bands_b")
-    near = both.mapInArrow(_promising, f"a {kind}, b {kind}")
-    own = lambda k: sets.select(F.col("__id").alias(k), F.col("__set").alias(f"set_{k}"))
-    full = near.join(own("b"), "b").join(own("a"), "a").select("a", "b", "set_a", "set_b")
-    return materialize(full.mapInArrow(_verified, f"a {kind}, b {kind}"), "links")
+def _side(table: DataFrame, k: str, *columns: str) -> DataFrame:
+    return table.select(F.col("__id").alias(k), *[F.col(f"__{c}").alias(f"{c}_{k}") for c in columns])
+
+
+def _star_links(members: DataFrame, sketches: DataFrame, sets: DataFrame, kind: str) -> DataFrame:
+    """Links between each bucket's centre and its other members."""
+    centre = F.max(F.struct("degree", F.xxhash64("__id").alias("h"), F.col("__id").alias("a"))).alias("c")
+    # written: a join with the aggregate itself would share its partitions, and Spark could not split a hot bucket
+    centres = materialize(members.groupBy("pos", "band").agg(centre).select("pos", "band", "c.a"), "centres")
+    pairs = members.join(centres, ["pos", "band"]).where(F.col("__id") != F.col("a")).select("a", F.col("__id").alias("b")).distinct()
+    both = pairs.join(_side(sketches, "b", "n", "bands"), "b").join(_side(sketches, "a", "n", "bands"), "a")
+    near = both.select("a", "b", "n_a", "n_b", "bands_a", "bands_b").mapInArrow(_promising, f"a {kind}, b {kind}")
+    full = near.join(_side(sets, "b", "set"), "b").join(_side(sets, "a", "set"), "a").select("a", "b", "set_a", "set_b")
+    return materialize(full.mapInArrow(_verified, f"a {kind}, b {kind}"), "star-links")
+
+
+def _other_links(members: DataFrame, sketches: DataFrame, sets: DataFrame, kind: str) -> DataFrame:
+    """Links that connect different components of one bucket."""
+    mixed = members.groupBy("pos", "band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"))
+    mixed = mixed.where(F.col("lo") != F.col("hi")).select("pos", "band", F.ceil(F.col("m") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    mixed = materialize(mixed, "mixed")
+    rows = members.join(mixed, ["pos", "band"]).withColumn("block", F.pmod(F.xxhash64("__id"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("pos", "band", F.least("block", "other").alias("k1"), F.greatest("block", "other").alias("k2"), "block", "__id", "comp")
+    rows = rows.join(sketches, "__id").join(sets, "__id")
+    rows = rows.repartition("pos", "band", "k1", "k2").sortWithinPartitions("pos", "band", "k1", "k2")
+    return materialize(rows.mapInArrow(_bucket_links, f"a {kind}, b {kind}"), "other-links")
+
+
+def _labelled(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """``rows`` with the component of ``__id``: its own id if it has no link."""
+    return rows.join(comps, rows["__id"] == comps["node"], "left").withColumn("comp", F.coalesce("comp", "__id")).drop("node")
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -182,39 +267,17 @@ def near_groups(docs: DataFrame) -> DataFrame:
     reps = materialize(first.select("__digest", "__copies", "__r.*"), "representatives")
 
     banded = reps.select("__id", F.posexplode("__bands").alias("pos", "band"))
-    shared = banded.groupBy("pos", "band").agg(F.min("__id").alias("lo"), F.max("__id").alias("hi")).where(F.col("lo") != F.col("hi"))
-    members = materialize(banded.join(shared.select("pos", "band"), ["pos", "band"]), "members")
-    some = members.select("__id").distinct()
+    buckets = banded.groupBy("pos", "band").agg(F.min("__id").alias("lo"), F.max("__id").alias("hi"), F.count(F.lit(1)).alias("m"))
+    shared = materialize(buckets.where(F.col("lo") != F.col("hi")).select("pos", "band", "m"), "buckets")
+    met = materialize(banded.join(shared, ["pos", "band"]), "met")
+    some = met.groupBy("__id").agg(F.sum("m").alias("degree"))
+    members = materialize(met.select("__id", "pos", "band").join(some, "__id"), "members")
     sets = materialize(rows.join(some, "__id", "left_semi").mapInArrow(_sets, f"__id {kind}, __set binary"), "sets")
-    some_sketches = materialize(reps.join(some, "__id", "left_semi").select("__id", "__n", "__bands"), "candidates")
-
-    links, comps = None, None
-    open_members = members.withColumn("comp", F.col("__id"))
-    for step in range(STAR_ROUNDS + 1):
-        if step < STAR_ROUNDS:
-            centre = F.min(F.struct(F.xxhash64(F.lit(step), "__id").alias("h"), F.col("__id").alias("a"), F.col("comp").alias("comp_a"))).alias("c")
-            centres = open_members.groupBy("pos", "band").agg(centre).select("pos", "band", "c.a", "c.comp_a")
-            pairs = open_members.join(centres, ["pos", "band"]).where(F.col("comp") != F.col("comp_a")).select("a", F.col("__id").alias("b"))
-        else:
-            other = open_members.select("pos", "band", F.col("__id").alias("a"), F.col("comp").alias("comp_a"))
-            pairs = open_members.join(other, ["pos", "band"]).where(F.col("comp") > F.col("comp_a")).select("a", F.col("__id").alias("b"))
-        found = _links(pairs.distinct(), some_sketches, sets, kind)
-        if not found.isEmpty():
-            links = found if links is None else links.union(found)
-            comps = components(links)
-        if step == STAR_ROUNDS:
-            break
-        labelled = members.join(comps, members["__id"] == comps["node"], "left").select("pos", "band", "__id", F.coalesce("comp", "__id").alias("comp")) if comps is not None else open_members
-        mixed = labelled.groupBy("pos", "band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(F.col("lo") != F.col("hi"))
-        open_members = materialize(labelled.join(mixed.select("pos", "band"), ["pos", "band"]), "open")
-        if open_members.isEmpty():
-            break
-
-    known = reps.select("__digest", "__copies", "__id")
-    if comps is None:
-        known = known.withColumn("comp", F.col("__id"))
-    else:
-        known = known.join(comps, known["__id"] == comps["node"], "left").select("__digest", "__copies", "__id", F.coalesce("comp", "__id").alias("comp"))
+    candidates = materialize(reps.join(some, "__id", "left_semi").select("__id", "__n", "__bands"), "candidates")
+
+    links = _star_links(members, candidates, sets, kind)
+    links = links.union(_other_links(_labelled(members, components(links)), candidates, sets, kind))
+    known = _labelled(reps.select("__digest", "__copies", "__id"), components(links))
     known = known.where((F.col("__copies") > 1) | (F.col("comp") != F.col("__id"))).select("__digest", F.col("comp").alias("__comp"))
     # a null id takes part in nothing, whatever its text
     out = sketches.join(known, (sketches["__digest"] == known["__digest"]) & sketches["__id"].isNotNull(), "left")
