@@ -135,6 +135,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").alias("__id"), "text")
     hashed = materialize(rows.mapInArrow(_hashed, f"__id {kind}, hi array<long>, lo array<int>, at array<int>, size array<int>"), "runs")
     often = hashed.select(F.explode("hi").alias("hi")).groupBy("hi").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hi")
+    often = materialize(often, "often")  # else the join shares the count's partitions, and Spark cannot split a hot run
     flat = hashed.select("__id", F.explode(F.arrays_zip("hi", "lo", "at", "size")).alias("r")).select("__id", "r.*")
     some = materialize(flat.join(often, "hi"), "repeated")
     place = F.struct(F.col("__id").isNull().alias("last"), F.col("__id").alias("id"), F.col("at").alias("at"))
