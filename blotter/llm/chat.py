@@ -10,7 +10,8 @@ rendered.
 
 Positions and running sums come from the range layout of
 ``blotter.operators.ordering``, so a conversation with very many turns is
-spread over tasks, and rendering gives a row for each ``max_turns`` turns.
+spread over tasks; the sums run over hashes without texts.  Rendering gives a
+row for each ``max_turns`` turns.
 
 Turns stand in the order of (turn, role, text), null turns first; a null role or
 text counts as empty.  Rows that repeat a turn are turns of their own.  Rows
@@ -37,12 +38,16 @@ def _hash() -> Column:
     return high.cast("decimal(20,0)") * F.lit(1 << 40).cast("decimal(13,0)") + low.bitwiseAND(F.lit((1 << 40) - 1)).cast("decimal(13,0)")
 
 
-def prefix_hashes(turns: DataFrame) -> DataFrame:
-    """``conv_id, pos, role, text, upto``: each turn with the hash of the turns up to it."""
+def placed_turns(turns: DataFrame) -> DataFrame:
+    """``conv_id, pos, role, text``: the turns with their place in the conversation."""
     text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
     rows = turns.select("conv_id", "turn", text("role"), text("text"))
-    placed = with_positions(rows, [F.col("turn").asc_nulls_first(), "role", "text"], name="pos", partition_by=["conv_id"])
-    hashed = placed.select("conv_id", "pos", "role", "text", _hash().alias("h"))
+    return with_positions(rows, [F.col("turn").asc_nulls_first(), "role", "text"], name="pos", partition_by=["conv_id"], keep=["conv_id", "role", "text"])
+
+
+def prefix_hashes(placed: DataFrame) -> DataFrame:
+    """``conv_id, pos, upto``: the hash of the turns up to each one, without their texts."""
+    hashed = placed.select("conv_id", "pos", _hash().alias("h"))
     return with_running_total(hashed, ["pos"], "h", name="upto", partition_by=["conv_id"]).drop("h")
 
 
@@ -61,9 +66,10 @@ def render() -> Column:
 
 def chat_format(turns: DataFrame, *, max_turns: int = MAX_TURNS) -> DataFrame:
     """One row per maximal conversation and part: ``conv_id, part, n_turns, text``."""
-    prefixes = materialize(prefix_hashes(turns), "prefixes")
+    placed = placed_turns(turns)
+    prefixes = materialize(prefix_hashes(placed), "prefixes")
     stay = maximal(prefixes).select(F.col("conv_id").alias("__stays"))
-    rows = prefixes.join(stay, F.col("conv_id").eqNullSafe(F.col("__stays")), "left_semi")
+    rows = placed.join(stay, F.col("conv_id").eqNullSafe(F.col("__stays")), "left_semi")
     part = F.floor((F.col("pos") - 1) / F.lit(max_turns)).cast("long")
     told = F.sort_array(F.collect_list(F.struct("pos", render().alias("t"))))  # at most max_turns
     grouped = rows.groupBy("conv_id", part.alias("part")).agg(F.count(F.lit(1)).alias("n_turns"), told.alias("told"))
