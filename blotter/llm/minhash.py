@@ -56,7 +56,7 @@ ESTIMATE_FLOOR = 0.6
 BLOCK = 2048
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 _MIX = np.array([0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], dtype=np.uint64)
-_MOST_WORDS = 1 << 20
+_MOST_WORDS = 1 << 16
 #: for each bucket the order in which it looks for a filled one
 _LOOK = np.argsort(np.random.default_rng(5).random((BUCKETS, BUCKETS)), axis=1)
 

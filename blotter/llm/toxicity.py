@@ -38,7 +38,7 @@ EPOCHS = 3
 THRESHOLD = 0.5
 _TOKEN = re.compile(r"[^\W_]+")
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], dtype=np.uint64)
-_MOST_WORDS = 1 << 20
+_MOST_WORDS = 1 << 16
 
 
 class _WordHash(dict):
