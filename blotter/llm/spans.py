@@ -139,7 +139,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     flat = hashed.select("__id", F.explode(F.arrays_zip("hi", "lo", "at", "size")).alias("r")).select("__id", "r.*")
     some = materialize(flat.join(often, "hi"), "repeated")
     place = F.struct(F.col("__id").isNull().alias("last"), F.col("__id").alias("id"), F.col("at").alias("at"))
-    first = some.groupBy("hi", "lo").agg(F.min(place).alias("first"))
+    first = some.groupBy("hi", "lo").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    first = materialize(first, "first")
     others = some.withColumn("place", place).join(first, ["hi", "lo"]).where(~F.col("place").eqNullSafe(F.col("first")))
     # runs of one document: bounded by its length
     return others.select("__id", "at", "size").distinct().groupBy("__id").agg(F.collect_list(F.struct("at", "size")).alias("__covered"))
