@@ -1,16 +1,23 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences at . ! ? ; : and line breaks; a sentence of more
-than ``LONG`` words is cut again after words whose hash is divisible by 8,
-which depends on the words alone, so equal passages are cut alike wherever
-they stand.  From every sentence a run of consecutive sentences starts that
+A text is cut into sentences at . ! ? ; : and line breaks.  Inside a sentence
+a window slides over ``WINDOW`` words (all but the last, after which it ends
+anyway), and the sentence is cut after the word of least hash in each window.
+So every ``WINDOW`` words hold a cut that depends on these words alone, and two
+equal passages are cut alike except within ``WINDOW`` - 1 words of their edges:
+of n shared words at least n + 3 - 4 * ``WINDOW`` lie between the first and the
+last common cut, so any 51 shared words (49 whole ones, if different marks stand
+at the words of the edges) hold the 16 words that a run needs.  In scripts
+written without blanks every character counts as a word.  The pieces are called
+sentences from here on.
+From every sentence a run of consecutive sentences starts that
 ends as soon as it has ``MIN_SENTENCES`` sentences and ``MIN_WORDS`` words.  Runs are hashed
 (letters in lower case, blanks collapsed, marks kept) and joined globally: of equal runs the first, by
 doc_id and place, stays, and every sentence covered by any other one is
 removed.
 
 Only the hashes travel: first 64 bits with a count decide which runs are
-candidates, then candidates are compared by 96 bits.  Hot runs cost one row per
+candidates, then candidates are compared by 92 bits and their number of sentences.  Hot runs cost one row per
 task in the counts, and the joins are plain equi-joins that Spark splits.
 
 Null texts count as empty.  Runs that repeat inside one document are removed
@@ -33,40 +40,66 @@ from blotter.llm.common import materialize
 
 MIN_SENTENCES = 2
 MIN_WORDS = 16
-LONG = 20
-CUT_EVERY = 8
+WINDOW = 9
 _SENTENCE = re.compile(r"[^.!?;:\n]*[.!?;:\n]+|[^.!?;:\n]+")
-_WORD = re.compile(r"\S+")
+#: Thai to Myanmar, Khmer, kana and Han: written without blanks
+_NO_BLANKS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_UNSPACED = re.compile(f"[{_NO_BLANKS}]")
+_WORD = re.compile(rf"[{_NO_BLANKS}]|[^\s{_NO_BLANKS}]+")
+
+
+def cuts(words: list[str]) -> list[int]:
+    """The words after which a sentence is cut: of each window over all words
+    but the last the one of least hash (of equal ones the last), and the last."""
+    ranks = [xxhash.xxh3_64_intdigest(w) for w in words[:-1]]
+    found = []
+    at = -1
+    for end in range(WINDOW, len(ranks) + 1):
+        if at < end - WINDOW:
+            at = end - WINDOW
+            for i in range(at + 1, end):
+                if ranks[i] <= ranks[at]:
+                    at = i
+        elif ranks[end - 1] <= ranks[at]:
+            at = end - 1
+        if not found or found[-1] != at:
+            found.append(at)
+    return [*found, len(words) - 1]
 
 
 def sentences(text: str) -> list[tuple[int, int, int, str]]:
     """(start, end, words, normal form) of the sentences; together with the
     blanks before them they cover the text."""
     out = []
+    unspaced = not text.isascii() and _UNSPACED.search(text) is not None
     for m in _SENTENCE.finditer(text):
         part = m.group()
         words = part.lower().split()
         if not words:
             continue
-        if len(words) <= LONG:
+        if len(words) <= WINDOW and not unspaced:
             out.append((m.start(), m.end(), len(words), " ".join(words)))
             continue
         places = [w.span() for w in _WORD.finditer(part)]
+        units = [part[s:e].lower() for s, e in places] if unspaced else words
         first = 0
-        for i, w in enumerate(words):
-            if i == len(words) - 1 or xxhash.xxh3_64_intdigest(w) % CUT_EVERY == 0:
-                start = m.start() + places[first][0]
-                end = m.end() if i == len(words) - 1 else m.start() + places[i][1]
-                out.append((start, end, i + 1 - first, " ".join(words[first : i + 1])))
-                first = i + 1
+        for i in cuts(units):
+            last = i == len(units) - 1
+            start = m.start() + (places[first][0] if first else 0)
+            end = m.end() if last else m.start() + places[i][1]
+            own = part[places[first][0] : places[i][1]].lower().split() if unspaced else words[first : i + 1]
+            out.append((start, end, len(own), " ".join(own)))
+            first = i + 1
     return out
 
 
-def runs(parts: list[tuple[int, int, int, str]]) -> tuple[list[int], list[int], list[int], list[int]]:
-    """(first 64 bits, next 32 bits, first sentence, number of sentences) of every run."""
+def runs(parts: list[tuple[int, int, int, str]]) -> tuple[list[int], list[int]]:
+    """(first 64 bits, next 28 bits and 4 bits with the number of sentences less
+    one) of the runs that start at the first sentence, the second, and so on.
+    A run has at most ``MIN_WORDS`` = 16 sentences, none being empty."""
     keys = [xxhash.xxh3_128_digest(p[3]) for p in parts]
     words = [p[2] for p in parts]
-    hi, lo, at, size = [], [], [], []
+    hi, lo = [], []
     end = total = 0
     for i in range(len(parts)):
         while end < len(parts) and (end - i < MIN_SENTENCES or total < MIN_WORDS):
@@ -76,22 +109,20 @@ def runs(parts: list[tuple[int, int, int, str]]) -> tuple[list[int], list[int],
             break
         d = xxhash.xxh3_128_digest(b"".join(keys[i:end]))
         hi.append(int.from_bytes(d[:8], "big", signed=True))
-        lo.append(int.from_bytes(d[8:12], "big", signed=True))
-        at.append(i)
-        size.append(end - i)
+        lo.append(int.from_bytes(d[8:12], "big", signed=True) & ~15 | (end - i - 1))
         total -= words[i]
-    return hi, lo, at, size
+    return hi, lo
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
+    kinds = (pa.int64(), pa.int32())
     for b in batches:
-        columns: list[list] = [[], [], [], []]
+        columns: list[list] = [[], []]
         for t in b.column("text").to_pylist():
             for c, v in zip(columns, runs(sentences(t or "")), strict=True):
                 c.append(v)
         arrays = [pa.array(c, type=pa.list_(k)) for c, k in zip(columns, kinds, strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column("__id"), *arrays], names=["__id", "hi", "lo", "at", "size"])
+        yield pa.RecordBatch.from_arrays([b.column("__id"), *arrays], names=["__id", "hi", "lo"])
 
 
 def without(text: str, covered: list[tuple[int, int]]) -> tuple[str, int, int]:
@@ -133,11 +164,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     (at, size) in sentences; documents without any have no row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(F.col("doc_id").alias("__id"), "text")
-    hashed = materialize(rows.mapInArrow(_hashed, f"__id {kind}, hi array<long>, lo array<int>, at array<int>, size array<int>"), "runs")
+    hashed = materialize(rows.mapInArrow(_hashed, f"__id {kind}, hi array<long>, lo array<int>"), "runs")
     often = hashed.select(F.explode("hi").alias("hi")).groupBy("hi").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hi")
     often = materialize(often, "often")  # else the join shares the count's partitions, and Spark cannot split a hot run
-    flat = hashed.select("__id", F.explode(F.arrays_zip("hi", "lo", "at", "size")).alias("r")).select("__id", "r.*")
-    some = materialize(flat.join(often, "hi"), "repeated")
+    flat = hashed.select("__id", F.posexplode(F.arrays_zip("hi", "lo")).alias("at", "r"))
+    lo_at = F.shiftleft(F.col("r.lo").cast("long"), 32).bitwiseOR(F.col("at").cast("long"))  # one field less to shuffle
+    some = flat.select("__id", "r.hi", lo_at.alias("lo_at")).join(often, "hi")
+    some = some.select("__id", "hi", F.shiftright("lo_at", 32).cast("int").alias("lo"), F.col("lo_at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("at"))
+    some = materialize(some.withColumn("size", F.col("lo").bitwiseAND(F.lit(15)) + 1), "repeated")
     place = F.struct(F.col("__id").isNull().alias("last"), F.col("__id").alias("id"), F.col("at").alias("at"))
     first = some.groupBy("hi", "lo").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     first = materialize(first, "first")

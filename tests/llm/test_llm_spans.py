@@ -117,3 +117,63 @@ def test_clashing_names_null_ids_and_repeated_rows(spark, extra):
 
 def test_empty_table(spark):
     assert spans.span_dedup(documents(spark, [])).count() == 0
+
+
+def unmarked(rng, n, name="u", blank=" "):
+    return blank.join(f"{name}{rng.randrange(50000)}" for _ in range(n))
+
+
+def found_words(passage, before, after):
+    """Words of the second of two texts around a passage that its runs shared
+    with the first one cover."""
+    parts = [spans.sentences(f"{b}{passage}{a}") for b, a in zip(before, after, strict=True)]
+    (hi_a, lo_a), (hi_b, lo_b) = map(spans.runs, parts)
+    known = set(zip(hi_a, lo_a, strict=True))
+    gone = set()
+    for at, key in enumerate(zip(hi_b, lo_b, strict=True)):
+        if key in known:
+            gone.update(range(at, at + (key[1] & 15) + 1))
+    return sum(parts[1][k][2] for k in gone)
+
+
+@pytest.mark.parametrize("marks", [False, True])
+def test_any_51_words_hold_a_whole_run(marks):
+    for seed in range(1500):
+        rng = random.Random(seed)
+        words = unmarked(rng, 51).split()
+        if marks:
+            for k in range(rng.randrange(5, 25), 50, 24):
+                words[k] += "."
+        around = [[unmarked(rng, rng.randint(0, 30), "c") for _ in range(2)] for _ in range(2)]
+        before = [f"{x} " for x in around[0]]
+        after = [f"{rng.choice(['', '.'])} {x}" for x in around[1]]
+        assert found_words(" ".join(words), before, after) >= 16, seed
+
+
+def test_any_51_words_of_few_different_ones_hold_a_whole_run():
+    for seed in range(500):
+        rng = random.Random(seed)
+        passage = " ".join(rng.choice("abcd") for _ in range(51))
+        assert found_words(passage, ["x y ", "z "], [" x y", ". z"]) >= 16, seed
+
+
+def test_scripts_without_blanks():
+    for seed in range(300):
+        rng = random.Random(seed)
+        han = lambda n: "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))  # noqa: E731, B023
+        assert found_words(han(200), [han(30), han(5)], [han(9), han(40)]) >= 16, seed
+
+
+def test_unmarked_passages_go_from_all_but_the_first(spark):
+    rng = random.Random(9)
+    rows = []
+    for k in range(60):
+        passage = unmarked(rng, 51)
+        rows += [(2 * k + j, f"{unmarked(rng, rng.randint(1, 30), 'c')} {passage} {unmarked(rng, rng.randint(1, 30), 'c')}") for j in (0, 1)]
+    out = {r.doc_id: r for r in spans.span_dedup(documents(spark, rows)).collect()}
+    for i, t in rows:
+        if i % 2 == 0:
+            assert out[i].text == t
+        else:
+            assert out[i].words_removed > 25, i
+            assert [w for w in out[i].text.split() if w[0] == "c"] == [w for w in t.split() if w[0] == "c"]
