@@ -15,8 +15,10 @@ compared as they stand.
    them.
 3. A pair goes on when the sizes of the sets allow the similarity and the
    Jaccard estimate from the registers, corrected for accidental register
-   collisions, reaches ``ESTIMATE_FLOOR`` (four standard deviations below the
-   threshold); then the full sets decide.
+   collisions, reaches ``ESTIMATE_FLOOR`` (six standard deviations below the
+   threshold, when all registers are filled); then the full sets decide.  A set
+   of fewer than ``BUCKETS`` shingles leaves many buckets empty, so its
+   estimates spread wider: such pairs go on without an estimate.
 4. Components are formed, and buckets whose members are all in one component
    are done.  In the buckets left over, members that are not connected yet are
    compared in the same way inside tasks, with their registers and full sets at
@@ -52,7 +54,7 @@ BUCKETS = 1 << BUCKET_BITS
 MANTISSA_BITS = 10
 ROWS_PER_BAND = 4
 BANDS = BUCKETS // ROWS_PER_BAND
-ESTIMATE_FLOOR = 0.6
+ESTIMATE_FLOOR = 0.5
 BLOCK = 2048
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 _MIX = np.array([0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], dtype=np.uint64)
@@ -142,9 +144,10 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _passes(regs_a: np.ndarray, regs_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Whether the sizes and the estimate allow the similarity."""
-    allowed = 100.0 * np.minimum(n_a, n_b) >= PERCENT * np.maximum(n_a, n_b)
-    return allowed & (estimate(regs_a, regs_b, n_a, n_b) >= ESTIMATE_FLOOR)
+    """Whether the sizes and, unless a set is small, the estimate allow the similarity."""
+    least = np.minimum(n_a, n_b)
+    allowed = 100.0 * least >= PERCENT * np.maximum(n_a, n_b)
+    return allowed & ((least < BUCKETS) | (estimate(regs_a, regs_b, n_a, n_b) >= ESTIMATE_FLOOR))
 
 
 def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -101,6 +101,16 @@ def test_estimate_is_close_to_the_similarity():
         assert abs(np.mean(diffs)) < 0.02 and np.std(diffs) < 0.07
 
 
+@pytest.mark.parametrize("shingles", [4, 8, 16, 64, 400])
+def test_links_at_the_threshold_pass_the_estimate(shingles):
+    rng = np.random.default_rng(shingles)
+    for _ in range(5000):
+        a = np.sort(rng.integers(0, 2**64, shingles, dtype=np.uint64))
+        b = np.sort(rng.choice(a, shingles * 3 // 4, replace=False))
+        sizes = np.array([float(len(a))]), np.array([float(len(b))])
+        assert minhash._passes(minhash.registers(a)[None], minhash.registers(b)[None], *sizes)[0]
+
+
 def test_accidental_collisions_are_rare_and_corrected():
     rng = np.random.default_rng(2)
     regs = np.stack([minhash.registers(np.unique(rng.integers(0, 2**64, 5000, dtype=np.uint64))) for _ in range(200)])
