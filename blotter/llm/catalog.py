@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import chat, exact_dedup, licenses, minhash, mixing, packing, quality, spans, topk, toxicity
+from blotter.llm import chat, exact_dedup, licenses, minhash, mixing, packing, quality, spans, topk, toxicity, wavelet, whitening
 from blotter.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +57,14 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
@@ -68,6 +77,8 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_minhash": op10_minhash,
+        "op11_wavelet": op11_wavelet,
+        "op13_whitening": op13_whitening,
     }
 
 

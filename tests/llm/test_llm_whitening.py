@@ -1,0 +1,136 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from blotter.llm import catalog, whitening
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, k=16):
+    """(vec_id, component) -> values, from the definition with numpy's eigenvectors."""
+    kept = [(i, v) for i, v in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    dims = max((len(v) for _, v in kept), default=0)
+    xs = [(i, [math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v] + [1_000_000] * (dims - len(v))) for i, v in kept]
+    fit = sorted({tuple(x) for _, x in xs})
+    n, s = len(fit), [sum(c) for c in zip(*fit)]
+    z = np.array([[n * a - b for a, b in zip(x, s)] for x in fit], dtype=object)
+    v = np.array((z.T @ z).tolist(), dtype=np.float64) / float(n) ** 3
+    e, u = np.linalg.eigh(v)
+    e, u = e[::-1][:k], u[:, ::-1][:, :k]
+    out = []
+    for i, x in xs:
+        d = [n * a - b for a, b in zip(x, s)]
+        out.append((i, n, sum(a * a for a in d), np.array(d, dtype=np.float64) / n @ u / np.sqrt(np.where(e > 1e-9 * e[0], e, np.inf))))
+    return out, e, e / np.trace(v)
+
+
+def run(spark, rows, **options):
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    return whitening.whitened(df, **options).collect()
+
+
+def compare(found, rows, k=16):
+    expect, e, share = brute(rows, k)
+    own = int((e > 1e-9 * e[0]).sum())
+    assert len(found) == len(expect) * own
+    by = {}
+    for r in found:
+        by.setdefault((r["vec_id"], r["deviation"]), {}).setdefault(r["component"], []).append(r)
+    gap = [min([abs(a - b) for j, b in enumerate(e) if j != i] + [e[0]]) / e[0] for i, a in enumerate(e)]
+    for i, n, deviation, w in expect:
+        mine = by[i, deviation]
+        for c in range(own):
+            r = mine[c + 1][0]
+            assert r["n"] == n and abs(r["explained"] - share[c]) <= 1e-9 * share[c]
+            assert abs(abs(r["whitened"]) - abs(w[c])) < 1e-10 / gap[c] + 1e-9
+            assert r["identity_error"] < 1e-9
+    # one sign for all rows
+    for c in range(own):
+        signs = {r["whitened"] * w[c] > 0 for i, _, d, w in expect for r in by[i, d][c + 1][:1] if abs(w[c]) > 1e-3}
+        assert len(signs) == 1
+
+
+def gaussian(rng, n, dims):
+    return [(i, [rng.gauss(0, 1 + d / 3) for d in range(dims)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("dims", [1, 3, 16, 17, 30])
+def test_against_numpy(spark, dims):
+    rows = gaussian(random.Random(dims), 120, dims)
+    compare(run(spark, rows), rows)
+
+
+def test_whole_table(spark):
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
+    compare(catalog.queries()["op13_whitening"](spark, SF).collect(), rows)
+
+
+def test_repeated_rows_count_once_in_the_fit(spark):
+    rows = gaussian(random.Random(5), 40, 5)
+    again = rows + [(100 + i, rows[3][1]) for i in range(50)] + rows[:2]
+    found = run(spark, again)
+    assert {r["n"] for r in found} == {40} and len(found) == 92 * 5
+    compare(found, again)
+
+
+def test_unusable_rows_nulls_and_short_vectors(spark):
+    rows = gaussian(random.Random(6), 30, 4)
+    extra = [(50, None), (51, [None, 1.0, 1.0, 1.0]), (52, [float("nan")] * 4), (53, [float("inf"), 0.0, 0.0, 0.0]), (54, [0.5, 0.25]), (55, []), (None, [0.1, 0.2, 0.3, 0.4])]
+    found = run(spark, rows + extra)
+    assert {r["vec_id"] for r in found} == {i for i, _ in rows} | {54, 55, None}
+    compare(found, rows + extra)
+
+
+def test_no_variance_gives_no_component(spark):
+    assert run(spark, []) == []
+    assert run(spark, [(1, None)]) == []
+    assert run(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0])]) == []
+    flat = [(i, [float(i), 2.0 * i, 3.0]) for i in range(10)]
+    assert {r["component"] for r in run(spark, flat)} == {1}
+    assert max(r["identity_error"] for r in run(spark, flat)) < 1e-9
+
+
+def test_large_entries_stay_exact(spark):
+    rng = random.Random(8)
+    rows = [(i, [float(rng.randrange(1 << 40)), float(rng.randrange(1 << 40))]) for i in range(20)]
+    found = run(spark, rows)
+    assert all(r["deviation"] is None for r in found)  # beyond a long
+    assert max(r["identity_error"] for r in found) < 1e-9
+    small = np.array([[3, 5], [1 << 20, 7]], dtype=np.int64)
+    assert whitening.squares(small).tolist() == [[9 + (1 << 40), 15 + (7 << 20)], [15 + (7 << 20), 74]]
+    big = np.array([[1 << 46, 1]], dtype=np.int64)
+    assert whitening.squares(big)[0, 0] == 1 << 92
+
+
+def test_clashing_column_names(spark):
+    rows = gaussian(random.Random(9), 20, 3)
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA).withColumns({"x": F.lit(1), "n": F.lit("n"), "component": F.lit(2), "whitened": F.lit(None)})
+    compare(whitening.whitened(df).collect(), rows)
+
+
+@pytest.mark.parametrize("spectrum", [[5.0] * 3 + [2.0] * 20 + [1.0] * 5, [1.0] * 30, [3.0, 2.0] + [0.0] * 20, [1.0 + 1e-9 * i for i in range(40)], [2.0**-i for i in range(40)]])
+def test_feast_with_clustered_and_vanishing_eigenvalues(spectrum):
+    rng = np.random.default_rng(3)
+    u = np.linalg.qr(rng.standard_normal((len(spectrum), len(spectrum))))[0]
+    v = (u * np.array(spectrum)) @ u.T
+    v = (v + v.T) / 2
+    e, x = whitening.feast(v, 16)
+    expect = sorted((s for s in spectrum if s > 0), reverse=True)[:16]
+    assert np.allclose(e, expect, rtol=1e-9, atol=1e-13)
+    assert np.abs(x.T @ x - np.eye(len(e))).max() < 1e-12
+    assert np.abs(v @ x - x * e).max() < 1e-13 * max(spectrum) * len(spectrum)
+
+
+def test_inertia_counts_every_eigenvalue():
+    rng = np.random.default_rng(4)
+    a = rng.standard_normal((25, 25))
+    v = a @ a.T
+    t = whitening.tridiagonal(v)
+    values = np.linalg.eigvalsh(v)
+    for s in np.concatenate([values - 1e-6, values + 1e-6, [0.0]]):
+        assert whitening.above(t, s) == (values > s).sum()
