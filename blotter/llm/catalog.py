@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm import chat, exact_dedup, licenses, minhash, mixing, packing, quality, spans, topk, toxicity, wavelet, whitening
+from blotter.llm import chat, exact_dedup, hard_negatives, licenses, minhash, mixing, packing, quality, spans, topk, toxicity, wavelet, whitening
 from blotter.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,12 @@ def op11_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.select("vec_id", shifted.alias("label"), "embedding"), F.col("vec_id") % 100 == 0)
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
@@ -78,6 +84,7 @@ def queries() -> dict[str, Query]:
         "op9_exact_dedup": op9_exact_dedup,
         "op10_minhash": op10_minhash,
         "op11_wavelet": op11_wavelet,
+        "op12_hard_negatives": op12_hard_negatives,
         "op13_whitening": op13_whitening,
     }
 
@@ -89,4 +96,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_mixing": mixing.ORACLE,
         "op9_exact_dedup": exact_dedup.ORACLE,
         "op10_minhash": minhash.ORACLE,
+        "op12_hard_negatives": hard_negatives.ORACLE,
     }

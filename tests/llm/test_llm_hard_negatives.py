@@ -1,0 +1,113 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from blotter.llm import hard_negatives as H
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, anchor=lambda i: i % 10 == 0, positives=5, negatives=10):
+    kept = {}
+    for i, v, y in rows:
+        if i is not None and y is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
+            kept[i, y, tuple(int(np.floor(256 * float(np.float32(x)))) for x in v)] = None
+    out = []
+    for i, y, q in kept:
+        if not anchor(i):
+            continue
+        scored = sorted((-sum(a * b for a, b in zip(q, c)), j, z) for j, z, c in kept if j != i)
+        near = [(-s, j) for s, j, z in scored if z == y][:positives]
+        for p, j in near:
+            inside = [(-s, n) for s, n, z in scored if z != y and 30 * p <= -100 * s <= 90 * p][:negatives]
+            out += [(i, j, r + 1, n, p, s) for r, (s, n) in enumerate(inside)]
+    return sorted(out)
+
+
+def run(spark, rows, **options):
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = H.hard_negatives(df, F.col("vec_id") % 10 == 0, **options)
+    assert out.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted(tuple(r) for r in out.collect())
+
+
+def clustered(n, dims, seed=1, noise=0.1):
+    rng = random.Random(seed)
+    centres = [[rng.gauss(0, 0.4) for _ in range(dims)] for _ in range(6)]
+    return [(i, [x + rng.gauss(0, noise) for x in centres[rng.randrange(6)]], rng.randrange(4)) for i in range(n)]
+
+
+@pytest.mark.parametrize("dims", [1, 2, 9])
+def test_against_brute_force(spark, dims):
+    rows = clustered(250, dims)
+    assert run(spark, rows) == brute(rows)
+
+
+def test_small_blocks_seeds_and_samples_change_nothing(spark):
+    rows = clustered(260, 6, seed=2)
+    assert run(spark, rows, block=7, seed_rows=10, half_cells=5, sample_rows=30) == brute(rows)
+
+
+def test_hot_vectors_ties_and_repeated_rows(spark):
+    rows = clustered(60, 4, seed=3)
+    rows += [(100 + i, [0.25] * 4, i % 2) for i in range(120)]
+    rows += [(110, [0.25] * 4, 0)] * 30 + [(110, [0.5] * 4, 1)]
+    random.Random(1).shuffle(rows)
+    assert run(spark, rows, block=16, seed_rows=20) == brute(rows)
+
+
+def test_unusable_rows(spark):
+    rows = clustered(40, 3, seed=4)
+    rows += [(200, None, 1), (210, [None, 1.0, 1.0], 1), (220, [float("nan")] * 3, 1), (230, [float("inf"), 0.0, 0.0], 0), (240, [0.5] * 3, None), (None, [0.5] * 3, 1), (250, [], 1), (260, [0.75], 0)]
+    assert run(spark, rows, seed_rows=5) == brute(rows)
+
+
+def test_few_rows_and_empty_table(spark):
+    assert run(spark, []) == []
+    assert run(spark, [(0, [1.0], 1)]) == []
+    rows = [(0, [1.0, 0.0], 1), (1, [0.9, 0.0], 1), (2, [0.5, 0.0], 2), (3, [-1.0, 0.0], 2)]
+    assert run(spark, rows) == brute(rows) == [(0, 1, 1, 2, 58880, 32768)]
+
+
+def test_negative_and_zero_positive_scores(spark):
+    rows = [(0, [1.0, 0.0], 1), (1, [-0.5, 0.0], 1), (2, [-0.3, 0.0], 2), (10, [0.0, 1.0], 3), (11, [0.5, 0.0], 3), (12, [0.0, 0.0], 2)]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_clashing_column_names(spark):
+    rows = clustered(50, 3, seed=6)
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({"v": F.lit(1), "cell": F.lit("c"), "no": F.lit(None), "rank": F.lit(2), "aid": F.lit(3)})
+    assert sorted(tuple(r) for r in H.hard_negatives(df, F.col("vec_id") % 10 == 0).collect()) == brute(rows)
+
+
+def test_walk_yields_every_pair_by_falling_bound():
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(size=7), rng.normal(size=5)
+    got = list(H.walk((a, b)))
+    assert len({(i, j) for _, i, j in got}) == 35
+    bounds = [x for x, _, _ in got]
+    assert bounds == sorted(bounds, reverse=True)
+    assert all(abs(x - a[i] - b[j]) < 1e-12 for x, i, j in got)
+
+
+def test_bounds_hold_and_certified_windows_leave_cells_out():
+    rng = np.random.default_rng(6)
+    centres = rng.normal(0, 100, (20, 8))
+    m = np.concatenate([c + rng.normal(0, 4, (40, 8)) for c in centres]).astype(np.int64)
+    books = H.codebook(m[:, :4], 16), H.codebook(m[:, 4:], 16)
+    of = H.nearest(m[:, :4], books[0]), H.nearest(m[:, 4:], books[1])
+    radii = tuple(np.array([np.linalg.norm(m[o == c][:, s] - b[c], axis=1).max(initial=0) for c in range(len(b))]) for o, b, s in zip(of, books, (slice(0, 4), slice(4, 8)), strict=True))
+    sizes = np.zeros((16, 16), dtype=np.int64)
+    np.add.at(sizes, of, 1)
+    index = H.Index(books, radii, sizes, 8)
+    cell = of[0] * 16 + of[1]
+    asked = 0
+    for q in m[::50]:
+        scores = m @ q
+        fifth = int(np.sort(scores)[-5])
+        visited = set(H.cells_of(q, index, fifth, 1 << 60, 1, False)) | set(H.cells_of(q, index, fifth, 1 << 60, 1, True))
+        assert set(cell[scores >= fifth]) <= visited
+        asked += int(np.isin(cell, list(visited)).sum())
+    assert asked < 0.5 * len(m) * len(m[::50])
