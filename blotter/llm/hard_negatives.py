@@ -3,7 +3,7 @@
 Components become integers ``floor(256 x)``; a score is an integer inner
 product.  The vectors' halves are quantised by two codebooks of ``half_cells``
 centres each, fitted on about ``sample_rows`` rows; a pair of centres is a cell,
-and every row stands in one, in blocks of at most ``block`` rows.  Each centre knows the radius of
+and every row stands in one, in a block of about ``block`` rows.  Each centre knows the radius of
 its rows.  For an anchor, the score of a row is at most the sum over the halves
 of (anchor . centre) + |anchor half| * radius, so a heap over the two sorted lists of half
 bounds (the multi-sequence walk) yields the cells by falling bound.
@@ -62,6 +62,7 @@ class Index(NamedTuple):
     radii: tuple[np.ndarray, np.ndarray]
     sizes: np.ndarray  # half_cells x half_cells
     dims: int
+    block: int  # rows of a block, about
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -138,47 +139,43 @@ def _placed(centres: tuple[np.ndarray, np.ndarray], dims: int):
 _PLACED = "cell int, vec_id long, label long, m binary, away1 double, away2 double"
 
 
-def _blocked(size: int):
-    """Rows in order of cell -> blocks of one cell."""
+def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of no and vec_id -> a row per block."""
+    no, ids, labels, vectors = None, [], [], []
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, ids, labels, vectors, away = None, [], [], [], []
-
-        def block() -> pa.RecordBatch:
-            most = np.array(away).max(axis=0)
-            values = {"cell": ([cell], pa.int32()), "ids": ([ids], pa.list_(pa.int64())), "labels": ([labels], pa.list_(pa.int64())), "m": ([b"".join(vectors)], pa.binary()), "away1": ([most[0]], pa.float64()), "away2": ([most[1]], pa.float64())}
-            return pa.RecordBatch.from_pydict({k: pa.array(v, type=t) for k, (v, t) in values.items()})
+    def block() -> pa.RecordBatch:
+        values = {"no": ([no], pa.int64()), "ids": ([ids], pa.list_(pa.int64())), "labels": ([labels], pa.list_(pa.int64())), "m": ([b"".join(vectors)], pa.binary())}
+        return pa.RecordBatch.from_pydict({k: pa.array(v, type=t) for k, (v, t) in values.items()})
 
-        for b in batches:
-            for c, i, y, m, a1, a2 in zip(*(b.column(n).to_pylist() for n in ("cell", "vec_id", "label", "m", "away1", "away2")), strict=True):
-                if ids and (c != cell or len(ids) == size):
-                    yield block()
-                    ids, labels, vectors, away = [], [], [], []
-                cell = c
-                ids.append(i)
-                labels.append(y)
-                vectors.append(m)
-                away.append((a1, a2))
-        if ids:
-            yield block()
-
-    return run
+    for b in batches:
+        for n, i, y, m in zip(*(b.column(c).to_pylist() for c in ("no", "vec_id", "label", "m")), strict=True):
+            if ids and n != no:
+                yield block()
+                ids, labels, vectors = [], [], []
+            no = n
+            ids.append(i)
+            labels.append(y)
+            vectors.append(m)
+    if ids:
+        yield block()
 
 
 def build(rows: DataFrame, keep: int, half_cells: int, sample_rows: int, block: int) -> tuple[Index, DataFrame]:
-    """The index, and its blocks: ``no, cell, ids, labels, m``."""
+    """The index, and its blocks: ``no, ids, labels, m``.  The rows of a cell are dealt by
+    hash to as many blocks as it needs, so ``no`` follows from cell and size."""
     centres, dims = fit(rows, half_cells, sample_rows)
-    placed = candidates(rows, keep).mapInArrow(_placed(centres, dims), _PLACED)
-    laid = placed.repartitionByRange("cell", "vec_id").sortWithinPartitions("cell", "vec_id")
-    blocks = laid.mapInArrow(_blocked(block), "cell int, ids array<long>, labels array<long>, m binary, away1 double, away2 double")
-    blocks = materialize(blocks.withColumn("no", F.monotonically_increasing_id()), "cell-blocks")
+    placed = materialize(candidates(rows, keep).mapInArrow(_placed(centres, dims), _PLACED), "placed")
     sizes = np.zeros((len(centres[0]), len(centres[1])), dtype=np.int64)
     radii = np.zeros(len(centres[0])), np.zeros(len(centres[1]))
-    for r in blocks.groupBy("cell").agg(F.sum(F.size("ids")).alias("n"), F.max("away1").alias("r1"), F.max("away2").alias("r2")).collect():
+    for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away1").alias("r1"), F.max("away2").alias("r2")).collect():
         i, j = divmod(r["cell"], len(centres[1]))
         sizes[i, j] = r["n"]
         radii[0][i], radii[1][j] = max(radii[0][i], r["r1"]), max(radii[1][j], r["r2"])
-    return Index(centres, radii, sizes, dims), blocks.drop("away1", "away2")
+    slots = F.element_at(F.array(*[F.lit(int(-(-n // block))) for n in sizes.ravel()]), F.col("cell") + 1)
+    number = F.shiftleft(F.col("cell").cast("long"), 32) + F.pmod(F.xxhash64("vec_id", "label", "m"), slots)
+    dealt = placed.select(number.alias("no"), "vec_id", "label", "m").repartition("no").sortWithinPartitions("no", "vec_id")
+    blocks = materialize(dealt.mapInArrow(_blocked, "no long, ids array<long>, labels array<long>, m binary"), "cell-blocks")
+    return Index(centres, radii, sizes, dims, block), blocks
 
 
 def walk(highest: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[float, int, int]]:
@@ -226,6 +223,7 @@ def cells_of(q: np.ndarray, index: Index, reach: int, ceiling: int, seed_rows: i
 def _asking(index: Index, seed_rows: int, again: bool):
     """Anchors with their windows -> a row per group and cell that some of the
     group ask for.  ``low, high, reach`` hold one number per window."""
+    sizes = index.sizes.ravel()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -242,7 +240,8 @@ def _asking(index: Index, seed_rows: int, again: bool):
                 for c, own in sorted(asked.items()):
                     rows = pa.array(own)
                     values = {
-                        "cell": pa.array([c], type=pa.int32()),
+                        "cell": pa.array([c], type=pa.int64()),
+                        "slots": pa.array([-(-int(sizes[c]) // index.block)], type=pa.int64()),
                         **{n: pa.array([b.column(n).take(rows).to_pylist()], type=pa.list_(pa.int64())) for n in ("aid", "vec_id", "label")},
                         "q": pa.array([q[own].tobytes()], type=pa.binary()),
                         "windows": pa.array([np.stack([low[own], high[own], reach[own]]).tobytes()], type=pa.binary()),
@@ -252,7 +251,7 @@ def _asking(index: Index, seed_rows: int, again: bool):
     return run
 
 
-_ASKED = "cell int, aid array<long>, vec_id array<long>, label array<long>, q binary, windows binary"
+_ASKED = "cell long, slots long, aid array<long>, vec_id array<long>, label array<long>, q binary, windows binary"
 
 
 def best(found: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -309,7 +308,8 @@ def _top(found: DataFrame, k: int) -> DataFrame:
 def _visit(anchors: DataFrame, index: Index, blocks: DataFrame, k: int, same_label: bool, seed_rows: int, again: bool) -> DataFrame:
     asked = anchors.mapInArrow(_asking(index, seed_rows, again), _ASKED)
     none = F.lit(None)
-    asked = asked.join(blocks.select("cell", "no"), "cell").select("no", F.lit(True).alias("asked"), F.col("vec_id").alias("ids"), F.col("label").alias("labels"), F.col("q").alias("m"), "aid", "windows")
+    slot = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1))
+    asked = asked.select("*", slot.alias("slot")).select((F.shiftleft("cell", 32) + F.col("slot")).alias("no"), F.lit(True).alias("asked"), F.col("vec_id").alias("ids"), F.col("label").alias("labels"), F.col("q").alias("m"), "aid", "windows")
     own = blocks.select("no", F.lit(False).alias("asked"), "ids", "labels", "m", none.cast("array<long>").alias("aid"), none.cast("binary").alias("windows"))
     return own.unionByName(asked).repartition("no").sortWithinPartitions("no", "asked").mapInArrow(_visiting(k, same_label), _FOUND)
 

@@ -101,7 +101,7 @@ def test_bounds_hold_and_certified_windows_leave_cells_out():
     radii = tuple(np.array([np.linalg.norm(m[o == c][:, s] - b[c], axis=1).max(initial=0) for c in range(len(b))]) for o, b, s in zip(of, books, (slice(0, 4), slice(4, 8)), strict=True))
     sizes = np.zeros((16, 16), dtype=np.int64)
     np.add.at(sizes, of, 1)
-    index = H.Index(books, radii, sizes, 8)
+    index = H.Index(books, radii, sizes, 8, 100)
     cell = of[0] * 16 + of[1]
     asked = 0
     for q in m[::50]:
