@@ -20,10 +20,11 @@ Only the hashes travel: first 64 bits with a count decide which runs are
 candidates, then candidates are compared by 92 bits and their number of sentences.  Hot runs cost one row per
 task in the counts, and the joins are plain equi-joins that Spark splits.
 
-Null texts count as empty.  Runs that repeat inside one document are removed
-as well.  Rows that repeat a doc_id are one document whose runs stand at the
-same places: none of them removes the other.  Rows with a null doc_id come
-after all others and are treated as one document, too.
+Null texts count as empty; very long texts are cut and hashed one at a time.  Runs that repeat inside one document are removed
+as well.  A document is told from others by doc_id and text: rows that repeat both
+are one document and none of them removes the other; rows that share a doc_id
+alone, null ones included, are different documents.  They are ordered by doc_id, null ones
+last, then by a hash of the text.  Extra columns may have any name.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blotter.llm.common import materialize
@@ -122,7 +123,7 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for c, v in zip(columns, runs(sentences(t or "")), strict=True):
                 c.append(v)
         arrays = [pa.array(c, type=pa.list_(k)) for c, k in zip(columns, kinds, strict=True)]
-        yield pa.RecordBatch.from_arrays([b.column("__id"), *arrays], names=["__id", "hi", "lo"])
+        yield pa.RecordBatch.from_arrays([b.column("__id"), b.column("__text"), *arrays], names=["__id", "__text", "hi", "lo"])
 
 
 def without(text: str, covered: list[tuple[int, int]]) -> tuple[str, int, int]:
@@ -144,48 +145,66 @@ def without(text: str, covered: list[tuple[int, int]]) -> tuple[str, int, int]:
     return "".join(out).strip(), len(gone), sum(parts[i][2] for i in gone)
 
 
-def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        texts, sentences_gone, words_gone = [], [], []
-        for t, covered in zip(b.column("text").to_pylist(), b.column("__covered").to_pylist(), strict=True):
-            n = w = 0
-            if t and covered:
-                t, n, w = without(t, [(c["at"], c["size"]) for c in covered])
-            texts.append(t)
-            sentences_gone.append(n)
-            words_gone.append(w)
-        rest = [c for c in b.schema.names if c not in ("__covered", "text")]
-        columns = {c: b.column(c) for c in rest} | {"text": pa.array(texts, type=pa.string()), "__sentences": pa.array(sentences_gone, type=pa.int64()), "__words": pa.array(words_gone, type=pa.int64())}
-        yield pa.RecordBatch.from_pydict(columns)
+def _cleaner(covered: str, sentences: str, words: str):
+    """Cuts the runs in the column ``covered`` out of ``text``; the other two names are of the counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, sentences_gone, words_gone = [], [], []
+            for t, own in zip(b.column("text").to_pylist(), b.column(covered).to_pylist(), strict=True):
+                n = w = 0
+                if t and own:
+                    t, n, w = without(t, [(c["at"], c["size"]) for c in own])
+                texts.append(t)
+                sentences_gone.append(n)
+                words_gone.append(w)
+            rest = [c for c in b.schema.names if c not in (covered, "text")]
+            columns = {c: b.column(c) for c in rest} | {"text": pa.array(texts, type=pa.string()), sentences: pa.array(sentences_gone, type=pa.int64()), words: pa.array(words_gone, type=pa.int64())}
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return run
+
+
+def _own_text() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """``(__id, __covered)``: per document the runs to remove, as an array of
+    """``(__id, __text, __covered)``: per document (doc_id and hash of the text) the runs to remove, as an array of
     (at, size) in sentences; documents without any have no row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select(F.col("doc_id").alias("__id"), "text")
-    hashed = materialize(rows.mapInArrow(_hashed, f"__id {kind}, hi array<long>, lo array<int>"), "runs")
+    rows = docs.select(F.col("doc_id").alias("__id"), _own_text().alias("__text"), "text")
+    hashed = materialize(rows.mapInArrow(_hashed, f"__id {kind}, __text long, hi array<long>, lo array<int>"), "runs")
     often = hashed.select(F.explode("hi").alias("hi")).groupBy("hi").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hi")
     often = materialize(often, "often")  # else the join shares the count's partitions, and Spark cannot split a hot run
-    flat = hashed.select("__id", F.posexplode(F.arrays_zip("hi", "lo")).alias("at", "r"))
+    flat = hashed.select("__id", "__text", F.posexplode(F.arrays_zip("hi", "lo")).alias("at", "r"))
     lo_at = F.shiftleft(F.col("r.lo").cast("long"), 32).bitwiseOR(F.col("at").cast("long"))  # one field less to shuffle
-    some = flat.select("__id", "r.hi", lo_at.alias("lo_at")).join(often, "hi")
-    some = some.select("__id", "hi", F.shiftright("lo_at", 32).cast("int").alias("lo"), F.col("lo_at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("at"))
+    some = flat.select("__id", "__text", "r.hi", lo_at.alias("lo_at")).join(often, "hi")
+    some = some.select("__id", "__text", "hi", F.shiftright("lo_at", 32).cast("int").alias("lo"), F.col("lo_at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("at"))
     some = materialize(some.withColumn("size", F.col("lo").bitwiseAND(F.lit(15)) + 1), "repeated")
-    place = F.struct(F.col("__id").isNull().alias("last"), F.col("__id").alias("id"), F.col("at").alias("at"))
+    place = F.struct(F.col("__id").isNull().alias("last"), F.col("__id").alias("id"), F.col("__text").alias("text"), F.col("at").alias("at"))
     first = some.groupBy("hi", "lo").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     first = materialize(first, "first")
     others = some.withColumn("place", place).join(first, ["hi", "lo"]).where(~F.col("place").eqNullSafe(F.col("first")))
     # runs of one document: bounded by its length
-    return others.select("__id", "at", "size").distinct().groupBy("__id").agg(F.collect_list(F.struct("at", "size")).alias("__covered"))
+    return others.select("__id", "__text", "at", "size").distinct().groupBy("__id", "__text").agg(F.collect_list(F.struct("at", "size")).alias("__covered"))
 
 
 def span_dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with its columns, the text without repeated spans, and
     ``sentences_removed, words_removed`` (replacing columns of that name)."""
-    covered = repeated_spans(docs).withColumnRenamed("__id", "__of")
     columns = [c for c in docs.columns if c not in ("sentences_removed", "words_removed")]
-    joined = docs.select(*[F.col(f"`{c}`") for c in columns]).join(covered, F.col("doc_id").eqNullSafe(F.col("__of")), "left").drop("__of")
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns if c != "text") + ", text string, __sentences long, __words long"
-    out = joined.mapInArrow(_cleaned, schema)
-    return out.select(*[F.col(f"`{c}`") for c in columns], F.col("__sentences").alias("sentences_removed"), F.col("__words").alias("words_removed"))
+    taken = {c.lower() for c in columns}
+
+    def free(name: str) -> str:
+        while name in taken:
+            name = f"_{name}"
+        return name
+
+    of, of_text, own, covered, sentences_gone, words_gone = (free(n) for n in ("__of", "__of_text", "__own_text", "__covered", "__sentences", "__words"))
+    runs_gone = repeated_spans(docs).toDF(of, of_text, covered)
+    rows = docs.select(*[F.col(f"`{c}`") for c in columns], _own_text().alias(own))
+    joined = rows.join(runs_gone, rows["doc_id"].eqNullSafe(runs_gone[of]) & (rows[own] == runs_gone[of_text]), "left").drop(of, of_text, own)
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns if c != "text") + f", text string, {sentences_gone} long, {words_gone} long"
+    out = joined.mapInArrow(_cleaner(covered, sentences_gone, words_gone), schema)
+    return out.select(*[F.col(f"`{c}`") for c in columns], F.col(sentences_gone).alias("sentences_removed"), F.col(words_gone).alias("words_removed"))

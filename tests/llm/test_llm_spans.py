@@ -104,7 +104,7 @@ def test_sentences_cover_the_text():
         assert not t[end:].strip()
 
 
-@pytest.mark.parametrize("extra", ["sentences_removed", "hi", "size", "at", "__covered_by"])
+@pytest.mark.parametrize("extra", ["sentences_removed", "hi", "size", "at", "__of", "__covered", "__Own_Text"])
 def test_clashing_names_null_ids_and_repeated_rows(spark, extra):
     rng = random.Random(7)
     t = text(rng, 10)
@@ -115,6 +115,25 @@ def test_clashing_names_null_ids_and_repeated_rows(spark, extra):
     assert out == [(1, False), (1, False), (2, True), (None, True)]
 
 
+@pytest.mark.parametrize("shared", [None, 7])
+def test_rows_that_share_an_id_lose_their_own_repeats_only(spark, shared):
+    rng = random.Random(8)
+    passages = [text(rng, 9) for _ in range(4)]
+    rows = [(1, f"{text(rng, 3)} {passages[0]}"), (2, f"{text(rng, 5)} {passages[1]} {text(rng, 2)}")]
+    alone = [text(rng, 14) for _ in range(6)]
+    rows += [(shared, t) for t in alone]
+    copies = [f"{text(rng, 4)} {passages[0]} {text(rng, 4)}", f"{passages[1]} {text(rng, 6)}", f"{text(rng, 3)} {passages[2]}", f"{text(rng, 4)} {passages[2]}"]
+    rows += [(shared, t) for t in copies]
+    out = spans.span_dedup(documents(spark, rows).repartition(3)).collect()
+    assert sorted(len(r.text) for r in out if r.doc_id != shared) == sorted(len(t) for i, t in rows if i != shared)
+    left = [r.text for r in out if r.doc_id == shared]
+    assert len(left) == len(alone) + len(copies)
+    assert set(alone) <= set(left)  # no repeat, nothing goes
+    assert sum(r.words_removed > 0 for r in out) == 3  # of two copies of the third passage one stays
+    assert sum(passages[0] in t for t in left) == sum(passages[1] in t for t in left) == 0
+    assert sum(passages[2] in t for t in left) == 1
+
+
 def test_empty_table(spark):
     assert spans.span_dedup(documents(spark, [])).count() == 0
 
