@@ -14,7 +14,9 @@ cluster gathers in a task, and memory is bounded by the group.
 
 Null sources are unknown: they conflict with nothing.  Documents without words
 take no space and stand in no bin (``bin_id`` null).  Repeated rows are packed
-each; being one cluster they never share a bin.
+each; being one cluster they never share a bin.  Very long texts become many
+pieces, dealt to many groups.  Null doc_ids come last among pieces of one size, and ids of any
+type pass unchanged.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,13 +26,12 @@ from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blotter.llm.common import WORD
+from blotter.llm.common import WORD, whole_text, word_count
 
 CAPACITY = 2048
 GROUP_PIECES = 2048
@@ -106,28 +107,40 @@ def pieces(docs: DataFrame, capacity: int, with_text: bool) -> DataFrame:
     return rows.mapInArrow(_cutter(capacity, with_text), schema + ", text string" * with_text)
 
 
+def _piece_count(capacity: int) -> Column:
+    return F.greatest(F.lit(1).cast("long"), F.ceil(word_count(whole_text()) / F.lit(capacity)))
+
+
 def pack(docs: DataFrame, *, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, with_text: bool = False) -> DataFrame:
     """One row per piece: ``doc_id, bin_id, position`` (in the bin, from 0),
     ``bin_offset`` (words before it), ``bin_words``, ``piece, start_word,
     n_words``, and the text of the piece if asked for."""
-    groups = max(1, -(-pieces(docs, capacity, False).count() // group_pieces))
+    count = docs.select(F.sum(_piece_count(capacity))).first()[0] or 0
+    groups = max(1, -(-count // group_pieces))
     dealt = pieces(docs, capacity, with_text).withColumn("__group", F.pmod(F.xxhash64("__row", "piece"), F.lit(groups)))
 
-    def pack_group(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["n_words", "doc_id", "piece", "__cluster", "__row"], ascending=[False, True, True, True, True], kind="stable")
-        full = rows[rows["n_words"] > 0].copy()
-        sources = [None if pd.isna(s) else s for s in full["source"]]
-        full["__bin"] = best_fit(full["n_words"].tolist(), sources, full["__cluster"].tolist(), capacity)
-        by_bin = full.groupby("__bin", sort=False)
-        full["position"] = by_bin.cumcount()
-        full["bin_offset"] = by_bin["n_words"].cumsum() - full["n_words"]
-        full["bin_words"] = by_bin["n_words"].transform("sum")
-        full["bin_id"] = full["__group"] * (1 << 32) + full["__bin"]
-        out = pd.concat([full, rows[rows["n_words"] == 0]])
-        for c in ("bin_id", "position", "bin_offset", "bin_words"):
-            out[c] = out[c].astype("Int64")
-        return out[columns]
+    def pack_group(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("n_words", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("__cluster", "ascending"), ("__row", "ascending")])
+        sizes = rows.column("n_words").to_pylist()
+        full = sum(n > 0 for n in sizes)  # the empty ones stand last, in no bin
+        bins = best_fit(sizes[:full], rows.column("source").to_pylist()[:full], rows.column("__cluster").to_pylist()[:full], capacity)
+        offsets, positions, used = [], [], Counter()
+        members: Counter = Counter()
+        for size, where in zip(sizes, bins):  # noqa: B905 - bins end with the full pieces
+            offsets.append(used[where])
+            positions.append(members[where])
+            used[where] += size
+            members[where] += 1
+        first = (rows.column("__group")[0].as_py() if len(sizes) else 0) << 32
+        none = [None] * (len(sizes) - full)
+        found = {
+            "bin_id": pa.array([first + b for b in bins] + none, type=pa.int64()),
+            "position": pa.array(positions + none, type=pa.int32()),
+            "bin_offset": pa.array(offsets + none, type=pa.int32()),
+            "bin_words": pa.array([used[b] for b in bins] + none, type=pa.int32()),
+        }
+        return pa.table({c: found[c] if c in found else rows.column(c) for c in columns})
 
     columns = ["doc_id", "bin_id", "position", "bin_offset", "bin_words", "piece", "start_word", "n_words"] + ["text"] * with_text
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, bin_id long, position int, bin_offset int, bin_words int, piece int, start_word long, n_words int"
-    return dealt.groupBy("__group").applyInPandas(pack_group, schema + ", text string" * with_text)
+    return dealt.groupBy("__group").applyInArrow(pack_group, schema + ", text string" * with_text)

@@ -101,3 +101,25 @@ def test_repeated_rows_nulls_and_empty_table(spark):
 def test_clashing_column_names(spark):
     docs = documents(spark, [(1, "a b", "s"), (2, "c", "t")]).withColumns({"bin_id": F.lit("x"), "__row": F.lit(0), "piece": F.lit(3)})
     assert packing.pack(docs, capacity=5).count() == 2
+
+
+def test_large_ids_beside_a_null_id_stay_exact(spark):
+    big = 2**53 + 1
+    rows = [(None, "a b c", "s"), (big, "d e", "t"), (big + 2, "f", "u"), (-big, "", "v"), (2**63 - 1, "g h i j", "w")]
+    out = packing.pack(documents(spark, rows), capacity=10, with_text=True).collect()
+    assert sorted(((r.doc_id, r.text) for r in out), key=str) == sorted(((i, t) for i, t, _ in rows), key=str)
+    assert [r.bin_id for r in out if r.doc_id == -big] == [None]
+
+
+def test_a_very_long_text_is_cut_into_pieces(spark):
+    words = [f"w{i}" for i in range(50_000)]
+    out = packing.pack(documents(spark, [(1, " ".join(words), "s"), (2, "x", "t")]), capacity=2048, group_pieces=4, with_text=True).collect()
+    own = sorted((r for r in out if r.doc_id == 1), key=lambda r: r.piece)
+    assert " ".join(r.text for r in own) == " ".join(words) and len(own) == 25
+    assert len({r.bin_id for r in own}) == 25  # one source, one piece a bin
+
+
+def test_text_ids(spark):
+    rows = [("b", "x y", "s"), (None, "z", "t"), ("a", "x", "s")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string")
+    assert {r.doc_id for r in packing.pack(docs, capacity=4).collect()} == {"a", "b", None}
