@@ -7,8 +7,9 @@ few thousand weights differ from zero; these travel with the scoring function.
 
 The model is fitted on a sample of labelled documents, at most about
 ``sample_docs`` of them (chosen by a hash of the id; a documented bound), in
-one task and in a fixed order, so reruns give the same weights.  Scoring reads
-whole texts and needs no shuffle.
+one task and in a fixed order, so reruns give the same weights.  The rows of each epoch stream
+through the task in Spark's sorted order; it holds two numbers per coordinate and
+one batch, however long the texts are.  Scoring reads whole texts one at a time and needs no shuffle.
 
 Null texts count as empty and get the score of the bias.  Labels that are null
 or not 0/1 are not used; a document labelled twice takes the larger label.
@@ -81,29 +82,33 @@ class Weights:
         return w
 
 
-def ftrl(rows: list[tuple[int, np.ndarray]], epochs: int = EPOCHS) -> Weights:
-    """Fit on ``(label, distinct coordinates)`` in the given order."""
-    z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    bias_z = bias_n = 0.0
+class Ftrl:
+    """The learner: sums of gradients ``z`` and of their squares ``n`` per coordinate."""
 
-    def solve(zi, ni, l1):
-        return np.where(np.abs(zi) <= l1, 0.0, -(zi - np.sign(zi) * l1) / ((BETA + np.sqrt(ni)) / ALPHA + L2))
+    def __init__(self):
+        self.z, self.n = np.zeros(1 << BITS), np.zeros(1 << BITS)
+        self.bias_z = self.bias_n = 0.0
 
-    for _ in range(epochs):
-        for label, at in rows:
-            zi, ni = z[at], n[at]
-            w = solve(zi, ni, L1)
-            bias = float(solve(np.float64(bias_z), np.float64(bias_n), 0.0))
-            p = 1.0 / (1.0 + np.exp(-min(max(w.sum() + bias, -35.0), 35.0)))
-            g = p - label
-            step = (np.sqrt(ni + g * g) - np.sqrt(ni)) / ALPHA
-            z[at] = zi + g - step * w
-            n[at] = ni + g * g
-            bias_z += g - (np.sqrt(bias_n + g * g) - np.sqrt(bias_n)) / ALPHA * bias
-            bias_n += g * g
-    w = solve(z, n, L1)
-    at = np.flatnonzero(w).astype(np.int32)
-    return Weights(at, w[at], float(solve(np.float64(bias_z), np.float64(bias_n), 0.0)))
+    @staticmethod
+    def solve(z, n, l1):
+        return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
+
+    def learn(self, label: int, at: np.ndarray) -> None:
+        """One step on the distinct coordinates of a text."""
+        z, n = self.z[at], self.n[at]
+        w = self.solve(z, n, L1)
+        bias = float(self.solve(np.float64(self.bias_z), np.float64(self.bias_n), 0.0))
+        g = 1.0 / (1.0 + np.exp(-min(max(w.sum() + bias, -35.0), 35.0))) - label
+        step = (np.sqrt(n + g * g) - np.sqrt(n)) / ALPHA
+        self.z[at] = z + g - step * w
+        self.n[at] = n + g * g
+        self.bias_z += g - (np.sqrt(self.bias_n + g * g) - np.sqrt(self.bias_n)) / ALPHA * bias
+        self.bias_n += g * g
+
+    def weights(self) -> Weights:
+        w = self.solve(self.z, self.n, L1)
+        at = np.flatnonzero(w).astype(np.int32)
+        return Weights(at, w[at], float(self.solve(np.float64(self.bias_z), np.float64(self.bias_n), 0.0)))
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,17 +119,20 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows: list[tuple[int, np.ndarray]] = []
+    """All epochs, one row after the other: the task holds the learner and one batch."""
+    learner = Ftrl()
+    rows = ones = 0
     for b in batches:
         at = b.column("__at")
         flat, ends = at.flatten().to_numpy(zero_copy_only=False), at.offsets.to_numpy()
         ends = ends - ends[0]
-        rows += [(y, flat[i:j].copy()) for y, i, j in zip(b.column("__y").to_pylist(), ends[:-1], ends[1:], strict=True)]
-    ones = sum(y for y, _ in rows)
-    if 0 < ones < len(rows):
-        w = ftrl(rows)
+        for y, i, j in zip(b.column("__y").to_pylist(), ends[:-1], ends[1:], strict=True):
+            learner.learn(y, flat[i:j])
+            rows, ones = rows + 1, ones + y
+    if 0 < ones < rows:
+        w = learner.weights()
     else:
-        share = min(max(ones / max(len(rows), 1), 1e-9), 1 - 1e-9)
+        share = min(max(ones / max(rows, 1), 1e-9), 1 - 1e-9)
         w = Weights(np.zeros(0, np.int32), np.zeros(0), float(np.log(share / (1 - share))))
     at = np.append(w.at, -1).astype(np.int32)
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.append(w.value, w.bias))], names=["at", "value"])
@@ -133,12 +141,15 @@ def _fit_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample_docs: int = SAMPLE_DOCS) -> Weights:
     """Fit on labelled documents that are not held out, about ``sample_docs`` at most."""
     known = one_label(labels, label).where(~held_out("__id"))
-    share = min(1.0, sample_docs / max(known.count(), 1))
-    known = known.where(F.pmod(F.xxhash64("__id", F.lit(8)), F.lit(1_000_000)) < int(share * 1_000_000))
+    # of 2^63 equally likely hashes, the share that sample_docs are of all
+    most = (1 << 63) - 1
+    known = known.where(F.xxhash64("__id", F.lit(8)).bitwiseAND(F.lit(most)) <= F.lit(min(most, (most * sample_docs) // max(known.count(), 1))))
     # about sample_docs rows of two numbers: small whatever the size of the table
     rows = docs.select(F.col("doc_id").alias("__id"), whole_text().alias("__text")).join(F.broadcast(known), "__id")
     features = rows.select("__id", "__y", "__text").mapInArrow(_features, f"__id {docs.schema['doc_id'].dataType.simpleString()}, __y int, __at array<int>")
-    ordered = features.repartition(1).sortWithinPartitions(F.xxhash64("__id", F.lit(9)), "__id", "__y", F.xxhash64("__at"))
+    epochs = features.withColumn("__epoch", F.explode(F.sequence(F.lit(1), F.lit(EPOCHS))))
+    # Spark's sort spills, so long texts cost the task time, not memory
+    ordered = epochs.repartition(1).sortWithinPartitions("__epoch", F.xxhash64("__id", F.lit(9)), "__id", "__y", F.xxhash64("__at")).select("__y", "__at")
     found = ordered.mapInArrow(_fit_task, "at int, value double").collect()  # at most 2 ** BITS + 1 weights
     at = np.array([r[0] for r in found], dtype=np.int32)
     value = np.array([r[1] for r in found], dtype=np.float64)

@@ -10,7 +10,7 @@ from helpers_llm import documents, prose
 from pyspark.sql import functions as F
 
 from blotter.llm import catalog, quality, toxicity
-from blotter.llm.common import table
+from blotter.llm.common import held_out, table
 
 SF = "/root/testdata/sf0.1"
 
@@ -128,3 +128,43 @@ def test_discriminant_is_the_log_density_difference():
         diff = x[0][:20] - k.mean(0)
         logs.append(np.log(len(k) / 900) - 0.5 * np.linalg.slogdet(c)[1] - 0.5 * np.einsum("ij,jk,ik->i", diff, np.linalg.inv(c), diff))
     assert np.allclose(model.score(x[0][:20]), 1 / (1 + np.exp(logs[0] - logs[1])), atol=1e-9)
+
+
+def scalar_ftrl(rows, epochs, alpha=1.0, beta=1.0, l1=8.0, l2=0.01):
+    """FTRL-proximal one coordinate at a time; the bias is a coordinate without L1."""
+    z, n = {}, {}
+
+    def weight(i):
+        zi, ni = z.get(i, 0.0), n.get(i, 0.0)
+        bound = 0.0 if i == "bias" else l1
+        if abs(zi) <= bound:
+            return 0.0
+        return -(zi - math.copysign(bound, zi)) / ((beta + math.sqrt(ni)) / alpha + l2)
+
+    for _ in range(epochs):
+        for label, at in rows:
+            w = {i: weight(i) for i in [*at, "bias"]}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - label
+            for i in w:
+                ni = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(ni + g * g) - math.sqrt(ni)) / alpha * w[i]
+                n[i] = ni + g * g
+    return {i: weight(i) for i in z if weight(i) != 0}
+
+
+def test_training_equals_a_scalar_ftrl(spark):
+    rng = random.Random(11)
+    bad, good = [f"bad{i}" for i in range(12)], [f"good{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choice(bad if rng.random() < 0.3 * (i % 2) else good) for _ in range(rng.randrange(1, 40)))) for i in range(300)]
+    rows.append((300, " ".join(f"long{i % 977}" for i in range(60_000))))
+    docs = documents(spark, rows)
+    labels = spark.createDataFrame([(i, 0, i % 2) for i, _ in rows], "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs, labels)
+    order = docs.select("doc_id", F.xxhash64("doc_id", F.lit(9)).alias("h"), held_out().alias("out")).collect()
+    place = {r.doc_id: r.h for r in order if not r.out}
+    words = toxicity._WordHash()
+    data = [(i % 2, [int(x) for x in np.unique(toxicity.grams(t, words))]) for i, t in sorted((r for r in rows if r[0] in place), key=lambda r: place[r[0]])]
+    expect = scalar_ftrl(data, toxicity.EPOCHS)
+    found = dict(zip(model.at.tolist(), model.value.tolist(), strict=True)) | {"bias": model.bias}
+    assert found.keys() == expect.keys() and len(found) > 20
+    assert all(abs(found[i] - expect[i]) < 1e-9 for i in expect)
