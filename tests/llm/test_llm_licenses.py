@@ -1,4 +1,5 @@
 import random
+import time
 import re
 
 import pytest
@@ -115,3 +116,40 @@ def test_empty_table_repeated_rows_and_clashing_names(spark):
     docs = documents(spark, [(1, "cc by"), (1, "cc by"), (None, "cc by")]).withColumns({"labels": F.lit(1), "score": F.lit("x"), "n_words": F.lit(0)})
     out = licenses.license_scan(docs).collect()
     assert [(r.labels, r.score, r.n_words) for r in out] == [("cc-by", 1.0, 2)] * 3
+
+
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("licensed under CC BY-ND 4.0", "cc-by,cc-by-nd"),
+        ("licensed under CC BY-NC 4.0", "cc-by,cc-by-nc"),
+        ("Licensed under CC BY-NC-SA 4.0", "cc-by,cc-by-nc-sa"),
+        ("licenced under CC BY-NC-ND 3.0.", "cc-by,cc-by-nc-nd"),
+        ("licensed under CC BY-SA 4.0", "cc-by,cc-by-sa"),
+        ("GNU Affero General Public License v3", "agpl,gpl"),
+        ("GNU Lesser General Public License", "gpl,lgpl"),
+        ("the Eclipse Public Licence", "epl"),
+        ("This is free and unencumbered software released in to the public domain", "unlicense"),
+        ("Permission to use, copy, modify, and/or distribute this software for any purpose", "isc"),
+    ],
+)
+def test_near_licences_are_told_apart(text, labels):
+    assert licenses.scan_text(text, licenses.NoticeSearch())["labels"] == labels
+
+
+def test_repeated_notices_take_linear_time():
+    search = licenses.NoticeSearch()
+    took = []
+    for n in (20_000, 80_000):
+        start = time.process_time()
+        r = licenses.scan_text("all rights reserved x " * n, search)
+        took.append(time.process_time() - start)
+        assert r["n_base"] == len(r["spans"]) == n and r["last_word"] == 4 * (n - 1)
+        assert r["spans"][-1]["first_word"] == 4 * (n - 1) and r["spans"][-1]["last_word"] == 4 * n - 2
+    assert took[1] < 7 * took[0]  # four times the text
+
+
+def test_notices_are_an_argument(spark):
+    docs = documents(spark, [(1, "printed on the moon by order"), (2, "all rights reserved"), (None, None)])
+    out = {r.doc_id: r.labels for r in licenses.license_scan(docs, [("moon", "printed on the moon")]).collect()}
+    assert out == {1: "moon", 2: "reserved", None: ""}
