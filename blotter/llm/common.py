@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.session import ensure_checkpoint_dir
+from blotter.session import write_out
 
 # Fixed value: a word is a run of characters other than blanks (space, \t \n \v \f \r).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,11 +20,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it
     back: the lineage is cut, a lost executor loses nothing, and later readers
-    fetch only the columns they need.  The folder lives as long as the
-    checkpoint folder of the application."""
-    folder = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    fetch only the columns they need (``blotter.session.write_out``, whose
+    ``scratch_tables`` deletes the folder when a result is written)."""
+    return write_out(df, name)
 
 
 def whole_text(text: str = "text") -> Column:
