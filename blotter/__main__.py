@@ -6,6 +6,8 @@
     python -m blotter district_correlation --input crimes.json --output out/corr \\
         --param year_a=2015 --param year_b=2016 --param method=pearson
     python -m blotter calls_timestamp_text --input calls.csv --output out/calls_text
+    python -m blotter calls_day_of_week --input calls.csv --input-format csv \\
+        --option header=true --option multiLine=true --output out/calls
     python -m blotter district_density --input crimes.json --output out/kde --output-format text
     python -m blotter all --input crimes.json --output out/
 
@@ -17,7 +19,10 @@ Parameters are passed as ``--param name=value`` and read by the type the job
 declares (lists are comma-separated); ``--option name=value`` goes to the
 reader (``--input-format csv --option header=true``), ``--id-col`` names the
 field that orders the documents, and ``--no-rank`` leaves the rank out of the
-flat rankings.  The session comes from ``spark-submit`` / the environment;
+flat rankings.  ``--accounting path`` writes how many documents the job read, kept
+and dropped by which rule (``all`` always does, to ``<output>/accounting``).  Call logs are read as lines, or
+with ``--input-format csv`` as CSV records (header lines, quoted line breaks).
+Intermediate tables are deleted when their job is done.  The session comes from ``spark-submit`` / the environment;
 nothing here picks a master.
 """
 
@@ -33,8 +38,11 @@ import typing
 
 from pyspark.sql import SparkSession
 
+from blotter.functions.calendar import CALL_TIME_PATTERN
 from blotter.plans import jobs
-from blotter.sources.calls import read_call_lines
+from blotter.plans.accounting import accounted, accounting, call_rules, job_rules
+from blotter.session import scratch_tables
+from blotter.sources.calls import csv_field, field, read_call_lines, read_call_records, record_field
 from blotter.sources.incidents import (
     clean_incidents,
     read_clean_incidents,
@@ -75,11 +83,33 @@ def _parameters(job, given: list[str]) -> dict:
     return out
 
 
+def _years(job, params: dict) -> list[int]:
+    """The years a statistic looks at: its parameters named year..., or their defaults."""
+    known = inspect.signature(job).parameters
+    return [params.get(n, p.default) for n, p in known.items() if n.startswith("year")]
+
+
+def _is_true(text: str) -> bool:
+    return _value(text, bool)
+
+
+def _read_calls(spark: SparkSession, args, options: dict):
+    if args.input_format != "csv":
+        return read_call_lines(spark, args.input)
+    flags = {k: _is_true(options.pop(k)) for k in ("header", "multiLine") if k in options}
+    return read_call_records(spark, args.input, header=flags.get("header", False), multiline=flags.get("multiLine", False), **options)
+
+
+def _write_counts(spark: SparkSession, job: str, counts: dict, path: str, mode: str) -> None:
+    rows = [(job, rule, n) for rule, n in counts.items()]
+    write_result(spark.createDataFrame(rows, "job string, rule string, documents long").coalesce(1), path, "json", mode)
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="python -m blotter", description=__doc__.split("\n\n")[0])
     ap.add_argument("job", choices=sorted([*jobs.JOBS, *CALL_JOBS, "all"]))
     ap.add_argument("--input", required=True)
-    ap.add_argument("--input-format", default="json")
+    ap.add_argument("--input-format", default=None, help="json by default; lines of text for call jobs")
     ap.add_argument("--option", action="append", default=[], help="reader option name=value")
     ap.add_argument("--id-col", help="field that orders the documents")
     ap.add_argument("--output", required=True)
@@ -87,6 +117,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--mode", default="errorifexists")
     ap.add_argument("--param", action="append", default=[], help="name=value")
     ap.add_argument("--no-rank", action="store_true", help="flat rankings without rank")
+    ap.add_argument("--accounting", help="folder for the counts of read, kept and dropped documents")
     args = ap.parse_args(argv)
     job = {**jobs.JOBS, **CALL_JOBS}.get(args.job)
     params = _parameters(job, args.param) if job else {}
@@ -95,22 +126,50 @@ def main(argv: list[str] | None = None) -> int:
         params["rank_col"] = None
 
     spark = SparkSession.builder.appName(f"blotter-{args.job}").getOrCreate()
-    if args.job in CALL_JOBS:
-        lines = read_call_lines(spark, args.input)
-        if args.job == "calls_timestamp_text":
-            write_lines(jobs.calls_timestamp_text(lines, **params), "value", args.output, args.mode)
+    with scratch_tables(spark):
+        if args.job in CALL_JOBS:
+            _run_calls(spark, args, params, options)
+        elif args.job == "all":
+            _run_all(spark, args, options)
         else:
-            write_result(jobs.calls_day_of_week(lines, **params), args.output, args.output_format, args.mode)
-        return 0
-    incidents = clean_incidents(read_incidents(spark, args.input, args.input_format, id_col=args.id_col, **options))
-    if args.job == "all":
-        clean_path = os.path.join(args.output, "clean")
-        store_clean_incidents(incidents, clean_path, mode=args.mode)
-        stored = read_clean_incidents(spark, clean_path)
-        for name, job in jobs.JOBS.items():
-            rankless = {"rank_col": None} if args.no_rank and name in jobs.FLAT else {}
+            _run_job(spark, args, params, options)
+    return 0
+
+
+def _run_calls(spark: SparkSession, args, params: dict, options: dict) -> None:
+    calls, seen = _read_calls(spark, args, options), None
+    if args.accounting:
+        at = params.get("time_field", 7)
+        time = record_field(at) if args.input_format == "csv" else csv_field("value", at) if params.get("quoted") else field("value", at)
+        calls, seen = accounted(calls, call_rules(pattern=params.get("pattern", CALL_TIME_PATTERN), time=time))
+    if args.job == "calls_timestamp_text":
+        write_lines(jobs.calls_timestamp_text(calls, **params), "value", args.output, args.mode)
+    else:
+        write_result(jobs.calls_day_of_week(calls, **params), args.output, args.output_format, args.mode)
+    if seen is not None:
+        _write_counts(spark, args.job, seen.get, args.accounting, args.mode)
+
+
+def _incidents(spark: SparkSession, args, options: dict):
+    return clean_incidents(read_incidents(spark, args.input, args.input_format or "json", id_col=args.id_col, **options))
+
+
+def _run_all(spark: SparkSession, args, options: dict) -> None:
+    clean_path = os.path.join(args.output, "clean")
+    store_clean_incidents(_incidents(spark, args, options), clean_path, mode=args.mode)
+    stored = read_clean_incidents(spark, clean_path)
+    for name, job in jobs.JOBS.items():
+        rankless = {"rank_col": None} if args.no_rank and name in jobs.FLAT else {}
+        with scratch_tables(spark):
             write_result(job(stored, **rankless), os.path.join(args.output, name), args.output_format, args.mode)
-        return 0
+    rules = {name: job_rules(name, _years(job, {})) for name, job in jobs.JOBS.items()}
+    write_result(accounting(stored, rules), args.accounting or os.path.join(args.output, "accounting"), "json", args.mode)
+
+
+def _run_job(spark: SparkSession, args, params: dict, options: dict) -> None:
+    incidents, seen = _incidents(spark, args, options), None
+    if args.accounting:
+        incidents, seen = accounted(incidents, job_rules(args.job, _years(jobs.JOBS[args.job], params)))
     result = jobs.JOBS[args.job](incidents, **params)
     if args.output_format == "text":
         # Report lines, as the statistics programs printed them.
@@ -119,9 +178,10 @@ def main(argv: list[str] | None = None) -> int:
             raise SystemExit(f"{args.job} has no report column; choose another --output-format")
         ordered = result.orderBy("point_index") if "point_index" in result.columns else result
         write_lines(ordered.coalesce(1), column, args.output, args.mode)
-        return 0
-    write_result(result, args.output, args.output_format, args.mode)
-    return 0
+    else:
+        write_result(result, args.output, args.output_format, args.mode)
+    if seen is not None:
+        _write_counts(spark, args.job, seen.get, args.accounting, args.mode)
 
 
 if __name__ == "__main__":

@@ -44,3 +44,46 @@ def normal_cdf(x: Column | str, mean: float = 0.0, sd: float = 1.0) -> Column:
         .when(z < -_CLAMP, F.lit(0.0))
         .otherwise(F.lit(0.5) + F.signum(z) * density * series)
     )
+
+
+# Terms of the band below: the next factor is 1/25!.
+_BAND = 24
+
+
+def kolmogorov_cdf(d: Column | str, n: Column | str) -> Column:
+    """P(D_n < d), the exact distribution of the two-sided one-sample
+    Kolmogorov-Smirnov statistic of ``n`` values, with built-in expressions only.
+
+    With k = floor(n d) + 1 and h = k - n d it is an entry of the n-th power of a
+    matrix of 2k - 1 rows (1/(i-j+1)!, with powers of h in the first column
+    and the last row) times n!/n^n.  One row of the power is carried from step to
+    step as an array: each entry is a sum over the band where 1/t! matters, and
+    each step is scaled by its part of s!/s^s, so that no value leaves the range of
+    a double.  The work is n * 2 n d * 24 products per row: meant for small n, one evaluation per test."""
+    d, n = _c(d).cast("double"), _c(n).cast("long")
+    k = (F.floor(n * d) + F.lit(1)).cast("int")
+    m, h = F.lit(2) * k - F.lit(1), k - n * d
+    inverse = F.array(*[F.lit(1.0 / math.factorial(t)) for t in range(_BAND + 1)])
+
+    def power(t: Column) -> Column:
+        return F.pow(h, t) * F.get(inverse, t)
+
+    def step(v: Column, s: Column) -> Column:
+        last = F.get(v, m - F.lit(1))
+        # what the powers of h take from the first column, and give back in the corner
+        first = F.aggregate(F.sequence(F.lit(1), F.least(F.lit(_BAND), m)), F.lit(0.0), lambda acc, t: acc + F.get(v, t - F.lit(1)) * power(t))
+        corner = F.when(m <= _BAND, last * F.pow(F.greatest(F.lit(2.0) * h - F.lit(1.0), F.lit(0.0)), m) * F.get(inverse, m)).otherwise(F.lit(0.0))
+
+        def entry(j: Column) -> Column:
+            terms = F.sequence(F.greatest(F.lit(0), F.lit(2) - j), F.least(F.lit(_BAND), m - j + F.lit(1)))
+            total = F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + F.get(v, j - F.lit(2) + t) * F.get(inverse, t))
+            from_last = F.when(m - j < _BAND, last * power(m - j + F.lit(1))).otherwise(F.lit(0.0))
+            return total - from_last - F.when(j == 1, first - corner).otherwise(F.lit(0.0))
+
+        scale = F.pow((s - F.lit(1)) / s, s - F.lit(1))
+        return F.transform(F.sequence(F.lit(1), m), lambda j: entry(j) * scale)
+
+    start = F.transform(F.sequence(F.lit(1), m), lambda j: F.when(j == k, F.lit(1.0)).otherwise(F.lit(0.0)))
+    power_row = F.aggregate(F.sequence(F.lit(1).cast("long"), n), start, step, lambda v: F.get(v, k - F.lit(1)))
+    inside = F.least(F.lit(1.0), F.greatest(F.lit(0.0), power_row))
+    return F.when(n * d <= 0.5, F.lit(0.0)).when(d >= 1.0, F.lit(1.0)).otherwise(inside)

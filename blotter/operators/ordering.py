@@ -101,12 +101,19 @@ def with_running_total(
     name: str = "running",
     partition_by: Sequence[str] = (),
     slices: int | None = None,
+    total: str | None = None,
 ) -> DataFrame:
     """Add ``name`` = sum of ``weight`` over all rows up to and including this
-    one in ``order`` (within each ``partition_by`` group)."""
+    one in ``order`` (within each ``partition_by`` group), and under the name
+    ``total``, if given, the sum over the whole group: it comes from the offset
+    table, so the layout is read once."""
     laid = lay_out(df, order, partition_by, slices)
     local = Window.partitionBy(_SLICE, *partition_by).orderBy(_SEQ).rowsBetween(Window.unboundedPreceding, 0)
     laid = laid.withColumn("__local", F.sum(weight).over(local))
     stats = laid.groupBy(_SLICE, *partition_by).agg(F.sum(weight).alias("__total"))
-    joined = _attach(laid, _offsets(stats, partition_by, "__total"), partition_by)
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__before") + F.col("__local")).alias(name))
+    offsets = _offsets(stats, partition_by, "__total")
+    if total is not None:
+        offsets = offsets.withColumn("__all", F.sum("__total").over(Window.partitionBy(*(partition_by or [F.lit(0)]))))
+    joined = _attach(laid, offsets, partition_by)
+    sums = [(F.col("__before") + F.col("__local")).alias(name), *([F.col("__all").alias(total)] if total is not None else [])]
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *sums)

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blotter.functions.numeric import normal_cdf
+from blotter.functions.numeric import kolmogorov_cdf, normal_cdf
 from blotter.functions.text import safe_double
 from blotter.operators.ordering import with_positions, with_running_total
 from blotter.schema import POSITION_TYPE
@@ -58,15 +58,16 @@ def district_sample(
     value_col: str = "district_text",
     year_col: str = "year",
     id_col: str = "incident_id",
+    keep: Sequence[Column] = (),
 ) -> DataFrame:
-    """``(incident_id, position, year, v)``: the district of every incident of
+    """``(incident_id, position, year, v)`` and the columns ``keep``: the district of every incident of
     the given year(s) as a number; unparsable or negative values are dropped."""
     ys = [years] if isinstance(years, int) else list(years)
     v = safe_double(F.col(value_col))
     place = F.col("position") if "position" in incidents.columns else F.lit(None).cast(POSITION_TYPE)
     return (
         incidents.where(F.col(year_col).isin(ys))
-        .select(F.col(id_col).alias("incident_id"), place.alias("position"), F.col(year_col).alias("year"), v.alias("v"))
+        .select(F.col(id_col).alias("incident_id"), place.alias("position"), F.col(year_col).alias("year"), v.alias("v"), *keep)
         .where(valid_number(F.col("v")))
     )
 
@@ -84,14 +85,15 @@ def positioned_sample(sample: DataFrame) -> DataFrame:
     """``(year, v, pos)``: pos is the 1-based position of each value inside its
     year, computed across many tasks (not one per year).  The order is by
     ``incident_id``, documents without one after the others by their place in
-    the files; a document that has neither is an error, as any order given to
+    the files, and at last by the value, so that documents that share an id and have no place
+    are paired the same way at every partitioning; a document that has neither is an error, as any order given to
     it would change with the partitioning."""
     place = F.col("position") if "position" in sample.columns else F.lit(None).cast(POSITION_TYPE)
     unordered = F.raise_error(F.lit("documents without id and file position have no order; read them with id_col or from files"))
     known = F.col("incident_id").isNotNull() | place["file"].isNotNull()
     ident = F.when(known, F.col("incident_id")).otherwise(unordered.cast("long"))
     rows = sample.select("year", "v", ident.alias("__id"), *[place[f].alias(f"__{f}") for f in ("file", "start", "row")])
-    order = [F.col("__id").asc_nulls_last(), "__file", "__start", "__row"]
+    order = [F.col("__id").asc_nulls_last(), "__file", "__start", "__row", F.col("v").asc()]
     return with_positions(rows, order, name="pos", partition_by=["year"], keep=["year", "v"])
 
 
@@ -123,48 +125,47 @@ def equalized_sample(pairs: DataFrame, year_a: int, year_b: int) -> DataFrame:
     ).select("year", "pos", "v")
 
 
-def average_ranks(df: DataFrame, cols: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Add, for each column in ``cols``, its rank (1 = smallest) with ties
-    given their average rank, under the matching name in ``names``.
-
-    Ranks come from the histograms of distinct values of all columns, laid
-    out once: the running count over each sorted histogram gives the last
-    rank of every tie group.  Each histogram is joined back on the value; Spark
-    broadcasts it when its measured size allows and splits a hot value's
-    partition otherwise."""
-    hists = [
-        df.groupBy(F.col(c).alias("__val")).agg(F.count(F.lit(1)).alias("__cnt")).withColumn("__which", F.lit(c))
-        for c in cols
-    ]
-    hist = hists[0]
-    for h in hists[1:]:
-        hist = hist.unionByName(h)
-    cum = with_running_total(
-        hist, [F.col("__val").asc()], "__cnt", name="__cum", partition_by=["__which"]
-    )
-    ranks = cum.select(
-        "__which", "__val", (F.col("__cum") - (F.col("__cnt") - F.lit(1)) / F.lit(2.0)).alias("__rank")
-    )
-    out = df
-    for c, name in zip(cols, names):
-        r = ranks.where(F.col("__which") == c).select(F.col("__val").alias(f"__v_{name}"), F.col("__rank").alias(name))
-        out = out.join(r, F.col(c) == F.col(f"__v_{name}")).drop(f"__v_{name}")
-    return out
+def centred_ranks(joint: DataFrame, cols: Sequence[str], weight: str) -> DataFrame:
+    """``(which, value, n, centred)`` for each distinct value of each column in ``cols``: its
+    average rank less the mean rank (n + 1) / 2, where every row counts ``weight``
+    times.  The running count over each sorted histogram gives the last rank of
+    every tie group; all histograms share one layout."""
+    hists = [joint.groupBy(F.col(c).alias("value")).agg(F.sum(weight).alias("__cnt")).withColumn("which", F.lit(c)) for c in cols]
+    hist = reduce(DataFrame.unionByName, hists)
+    cum = with_running_total(hist, [F.col("value").asc()], "__cnt", name="__cum", partition_by=["which"], total="n")
+    rank = F.col("__cum") - (F.col("__cnt") - F.lit(1)) / F.lit(2.0)
+    return cum.select("which", "value", "n", (rank - (F.col("n") + F.lit(1)) / F.lit(2.0)).alias("centred"), F.col("__cnt").alias("weight"))
+
+
+def spearman(pairs: DataFrame) -> DataFrame:
+    """One row ``(r, n)``: the correlation of the average ranks of ``a`` and ``b``.
+
+    The pairs are counted into their joint histogram, written once; from then on
+    only distinct pairs and distinct values move.  Ranks belong to distinct values, their mean is
+    known, so the moments are sums of weighted products about it, which merge in any order."""
+    joint = write_out(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")), "joint-histogram")
+    ranks = write_out(centred_ranks(joint, ["a", "b"], "c"), "ranks")
+    one = {c: ranks.where(F.col("which") == c).select(F.col("value").alias(f"__{c}"), F.col("centred").alias(f"r{c}")) for c in ("a", "b")}
+    cells = joint.join(one["a"], F.col("a") == F.col("__a")).join(one["b"], F.col("b") == F.col("__b"))
+    none = F.lit(None).cast("double")
+    square = lambda c: F.when(F.col("which") == c, F.col("weight") * F.col("centred") * F.col("centred")).alias(f"{c}{c}")
+    products = cells.select((F.col("c") * F.col("ra") * F.col("rb")).alias("ab"), none.alias("aa"), none.alias("bb"), "c")
+    squares = ranks.select(none.alias("ab"), square("a"), square("b"), F.lit(None).cast("long").alias("c"))
+    sums = products.unionByName(squares).agg(*[F.sum(x).alias(x) for x in ("ab", "aa", "bb")], F.coalesce(F.sum("c"), F.lit(0)).alias("n"))
+    spread = F.sqrt("aa") * F.sqrt("bb")
+    r = F.when(spread > 0, F.col("ab") / spread).when(F.col("n") > 1, F.lit(float("nan")))
+    return sums.select(r.alias("r"), "n")
 
 
 def correlation(pairs: DataFrame, method: str = "pearson") -> DataFrame:
     """One row ``(r, n, report)``: correlation of columns ``a`` and ``b`` over
     ``n`` pairs (NULL for no pairs), and the printed form of the result."""
     if method == "pearson":
-        x, y = F.col("a"), F.col("b")
-        src = pairs
+        out = pairs.agg(F.corr("a", "b").alias("r"), F.count(F.lit(1)).alias("n"))
     elif method == "spearman":
-        # The pairs feed two histograms and two joins: write them once.
-        src = average_ranks(write_out(pairs.select("a", "b"), "pairs"), ["a", "b"], ["ra", "rb"])
-        x, y = F.col("ra"), F.col("rb")
+        out = spearman(pairs)
     else:
         raise ValueError(f"unknown correlation method {method!r}; use 'pearson' or 'spearman'")
-    out = src.agg(F.corr(x, y).alias("r"), F.count(F.lit(1)).alias("n"))
     report = F.concat(F.lit(CORRELATION_REPORT_PREFIX), F.coalesce(F.col("r").cast("string"), F.lit("NaN")))
     return out.withColumn("report", report)
 
@@ -218,18 +219,20 @@ def _density_label() -> Column:
     )
 
 
-def ks_statistic(sample: DataFrame, value_col: str = "v", mean: float = 0.0, sd: float = 1.0) -> DataFrame:
+def ks_statistic(sample: DataFrame, value_col: str = "v", mean: float = 0.0, sd: float = 1.0, by: Sequence[str] = ()) -> DataFrame:
     """One row ``(statistic, n)`` of the one-sample two-sided KS test against
-    Normal(mean, sd), from the histogram of distinct values: with the running
+    Normal(mean, sd), or one per group of the columns ``by``, from the histogram of distinct values: with the running
     count ``cum`` of each value and ``c`` its own count,
     D = max(cum/n - F(v), F(v) - (cum-c)/n).  The sample is scanned once and
-    never sorted; F is evaluated once per distinct value."""
-    hist = sample.groupBy(F.col(value_col).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    cum = with_running_total(hist, [F.col("__v").asc()], "__c", name="__cum")
-    n = cum.agg(F.max("__cum").cast("double")).scalar()  # a scalar subquery of the same plan
+    never sorted; F is evaluated once per distinct value; n comes from the offsets
+    of the running count, so the layout is read once."""
+    hist = sample.groupBy(*by, F.col(value_col).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    cum = with_running_total(hist, [F.col("__v").asc()], "__c", name="__cum", partition_by=by, total="__n")
+    n = F.col("__n").cast("double")
     cdf = normal_cdf("__v", mean, sd)
     gap = F.greatest(F.col("__cum") / n - cdf, cdf - (F.col("__cum") - F.col("__c")) / n)
-    return cum.select(gap.alias("__gap"), "__cum").agg(F.max("__gap").alias("statistic"), F.max("__cum").alias("n"))
+    gaps = cum.select(*by, gap.alias("__gap"), "__n")
+    return gaps.groupBy(*by).agg(F.max("__gap").alias("statistic"), F.max("__n").alias("n"))
 
 
 def ks_p_value(d: Column, n: Column) -> Column:
@@ -257,7 +260,15 @@ def ks_p_value(d: Column, n: Column) -> Column:
     return F.when(d.isNotNull() & (n > 0), F.least(F.lit(1.0), F.greatest(F.lit(0.0), p)))
 
 
-def _ks_report(base: DataFrame) -> DataFrame:
+def ks_exact_p_value(d: Column, n: Column) -> Column:
+    """P(D_n >= d) from the exact distribution, for samples small enough to
+    afford it (``kolmogorov_cdf``).  Where n d^2 >= 18 the value is below 1e-15, less than
+    1 - cdf can show, and comes from the tail of ``ks_p_value``."""
+    exact = F.lit(1.0) - kolmogorov_cdf(d, n)
+    return F.when(d.isNotNull() & (n > 0), F.when(n * d * d >= 18.0, ks_p_value(d, n.cast("double"))).otherwise(exact))
+
+
+def _ks_report(base: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     p = F.col("p_value")
     very, strong, low, none = KS_CONCLUSIONS
     conclusion = (
@@ -268,6 +279,7 @@ def _ks_report(base: DataFrame) -> DataFrame:
         .otherwise(F.lit(none))
     )
     out = base.select(
+        *by,
         F.lit(KS_METHOD).alias("method"),
         "statistic",
         "p_value",
@@ -285,30 +297,39 @@ def _ks_report(base: DataFrame) -> DataFrame:
     return out.withColumn("summary", summary)
 
 
+P_VALUES = {"limit": ks_p_value, "exact": ks_exact_p_value}
+
+
 def ks_test(
     sample: DataFrame,
     value_col: str = "v",
     dist: str = "norm",
     params: Sequence[float] = (0.0, 1.0),
     method: str = "histogram",
+    p_value: str = "limit",
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """One-sample, two-sided Kolmogorov-Smirnov test against a normal distribution.
 
     ``method="histogram"`` (default) computes the statistic from the value
-    histogram (no sort of the sample) and the p-value by ``ks_p_value``, both
-    as columns.  ``method="mllib"`` runs MLlib's implementation, which sorts the
+    histogram (no sort of the sample) and the p-value, both as columns: by
+    ``ks_p_value`` with ``p_value="limit"``, from the exact distribution with ``"exact"``, which is meant for
+    samples of up to a few thousand values and is never chosen by their number.
+    ``by`` names columns that cut the sample into groups; each is tested by itself.  ``method="mllib"`` runs MLlib's implementation, which sorts the
     whole sample and takes the p-value as 1 - cdf.
 
     Returns one row ``(method, statistic, p_value, null_hypothesis, conclusion, summary)``;
-    an empty sample gives NULL statistic and p-value.
+    an empty sample gives NULL statistic and p-value (no row with ``by``).
     """
+    if p_value not in P_VALUES:
+        raise ValueError(f"unknown p_value {p_value!r}; use one of {', '.join(P_VALUES)}")
     if dist != "norm":
         raise ValueError("only the normal distribution ('norm') is supported")
     mean, sd = (float(p) for p in (list(params) + [0.0, 1.0][len(params):])[:2])
     if method == "histogram":
-        found = ks_statistic(sample, value_col, mean, sd)
-        base = found.select("statistic", ks_p_value(F.col("statistic"), F.col("n").cast("double")).alias("p_value"))
-    elif method == "mllib":
+        found = ks_statistic(sample, value_col, mean, sd, by)
+        base = found.select(*by, "statistic", P_VALUES[p_value](F.col("statistic"), F.col("n").cast("double")).alias("p_value"))
+    elif method == "mllib" and not by:
         from pyspark.ml.stat import KolmogorovSmirnovTest
 
         values = sample.select(F.col(value_col).cast("double").alias("v"))
@@ -318,5 +339,5 @@ def ks_test(
             res = KolmogorovSmirnovTest.test(values, "v", dist, mean, sd)
             base = res.select(F.col("statistic").alias("statistic"), F.col("pValue").alias("p_value"))
     else:
-        raise ValueError(f"unknown KS method {method!r}; use 'histogram' or 'mllib'")
-    return _ks_report(base)
+        raise ValueError(f"unknown KS method {method!r}; use 'histogram', or 'mllib' without groups")
+    return _ks_report(base, by)

@@ -20,12 +20,14 @@ from pyspark.sql import functions as F
 from blotter.functions.text import safe_double, year_month
 from blotter.operators import stats
 from blotter.plans import jobs
+from blotter.plans.accounting import accounting, job_rules
 from blotter.sources import tables
-from blotter.sources.calls import csv_field, field
+from blotter.sources.calls import csv_field, field, read_call_records, record_field
 
 YEAR_A, YEAR_B, YEAR_ONE = 1999, 2000, 2000
 KS_STANDARDIZED = (13.0, 7.2)
 DIGITS = 10
+P_DIGITS = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,6 +117,36 @@ def q_sample_equalized(spark, sf_dir):
     return stats.equalized_sample(_pairs(spark, sf_dir), YEAR_A, YEAR_B)
 
 
+def q_sample_pairs_repeated_ids(spark, sf_dir):
+    """Pairs of documents of which three share an id: equal ids are ordered by the value."""
+    inc = _dirty(spark, sf_dir, [YEAR_A, YEAR_B]).withColumn("incident_id", F.expr("incident_id div 3"))
+    return stats.positional_pairs(stats.district_sample(inc, [YEAR_A, YEAR_B]), YEAR_A, YEAR_B).select("pos", "a", "b")
+
+
+def q_district_ks_by_day(spark, sf_dir):
+    """One test for each day of the year, with p-values from the exact distribution."""
+    day = F.substring_index("date_text", " ", 1).alias("day")
+    sample = stats.district_sample(_dirty(spark, sf_dir, [YEAR_ONE]), YEAR_ONE, keep=[day])
+    res = stats.ks_test(sample, "v", "norm", KS_STANDARDIZED, p_value="exact", by=["day"])
+    return res.select("day", F.round("statistic", DIGITS).alias("statistic"), F.round("p_value", P_DIGITS).alias("p_value"), "conclusion")
+
+
+def _years_of(name: str) -> list[int]:
+    return [YEAR_A, YEAR_B] if name == "district_correlation" else [YEAR_ONE]
+
+
+def q_job_accounting(spark, sf_dir):
+    """Documents read, kept and dropped by which rule, for every incident job, in one pass."""
+    return accounting(_dirty(spark, sf_dir), {name: job_rules(name, _years_of(name)) for name in jobs.JOBS})
+
+
+def q_calls_csv_records(spark, sf_dir):
+    """Call records with a header and line breaks inside quotes, through the CSV reader."""
+    records = read_call_records(spark, tables.call_record_files(spark, sf_dir), header=True, multiline=True)
+    out = jobs.calls_day_of_week(records, keep=[record_field(0).try_cast("long").alias("event_id"), record_field(1).alias("note")])
+    return out.select("event_id", "note", "day_of_week")
+
+
 def _rounded_corr(method: str) -> Query:
     def run(spark, sf_dir):
         out = jobs.district_correlation(_dirty(spark, sf_dir, [YEAR_A, YEAR_B]), YEAR_A, YEAR_B, method)
@@ -195,6 +227,7 @@ def queries() -> dict[str, Query]:
             "crimes_by_district_top": _grouped("crimes_by_district", TOP),
             "sample_positional_pairs": q_sample_positional_pairs,
             "sample_pairs_from_documents": q_sample_pairs_from_documents,
+            "sample_pairs_repeated_ids": q_sample_pairs_repeated_ids,
             "sample_equalized": q_sample_equalized,
             "district_correlation": _rounded_corr("pearson"),
             "district_correlation_spearman": _rounded_corr("spearman"),
@@ -203,6 +236,9 @@ def queries() -> dict[str, Query]:
             "district_density_report": q_district_density_report,
             "district_ks": _ks((0.0, 1.0)),
             "district_ks_standardized": _ks(KS_STANDARDIZED),
+            "district_ks_by_day": q_district_ks_by_day,
+            "job_accounting": q_job_accounting,
+            "calls_csv_records": q_calls_csv_records,
             "calls_day_of_week": q_calls_day_of_week,
             "calls_day_of_week_quoted": q_calls_day_of_week_quoted,
             "calls_timestamp_text": q_calls_timestamp_text,
@@ -370,6 +406,73 @@ FROM p"""
     )
 
 
+def _conclusion_sql(p: str) -> str:
+    very, strong, low, none = stats.KS_CONCLUSIONS
+    return (
+        f"CASE WHEN {p} <= 0.01 THEN '{very}' WHEN {p} <= 0.05 THEN '{strong}' WHEN {p} <= 0.1 THEN '{low}' ELSE '{none}' END "
+        f"|| ': {stats.KS_NULL_HYPOTHESIS}.'"
+    )
+
+
+def _ks_by_day_sql(mean: float, sd: float) -> str:
+    """The p-value is one less the volume between the boundaries of the order
+    statistics, n! det(M) with M_ij = max(0, b_i - a_j)^(j-i+1) / (j-i+1)!, whose
+    determinant grows column by column: another method than the query's."""
+    z = f"((v - {mean}) / {sd})"
+    column = (
+        "list_sum([(CASE WHEN (j + 1 - i) % 2 = 0 THEN 1.0 ELSE -1.0 END) * dets[i] / gamma(j + 3 - i)"
+        " * pow(greatest(0.0, least(1.0, (i - 1) / n + d) - greatest(0.0, (j + 1) / n - d)), j + 2 - i) FOR i IN range(1, j + 2)])"
+    )
+    return (
+        _SAMPLE.format(years=str(YEAR_ONE)).replace("WITH ", "", 1)
+        + f""",
+days AS (SELECT split_part(date_text, ' ', 1) AS day, s.v FROM s JOIN inc USING (incident_id)),
+h AS (SELECT day, v, count(*) AS c FROM days GROUP BY day, v),
+cum AS (SELECT day, v, c, sum(c) OVER (PARTITION BY day ORDER BY v) AS cu, sum(c) OVER (PARTITION BY day) AS n FROM h),
+f AS (SELECT day, v, c, cu, n, {_phi(z)} AS cdf FROM cum),
+d AS (SELECT day, max(greatest(cu / n - cdf, cdf - (cu - c) / n)) AS d, max(n)::DOUBLE AS n FROM f GROUP BY day),
+steps(day, d, n, j, dets) AS (
+  SELECT day, d, n, 0::BIGINT, [1.0::DOUBLE] FROM d
+  UNION ALL
+  SELECT day, d, n, j + 1, list_append(dets, {column}) FROM steps WHERE j < n),
+p AS (SELECT day, d, 1 - gamma(n + 1) * dets[n::BIGINT + 1] AS p FROM steps WHERE j = n)
+SELECT day, round(d, {DIGITS}) AS statistic, round(p, {P_DIGITS}) AS p_value, {_conclusion_sql('p')} AS conclusion FROM p"""
+    )
+
+
+def _accounting_sql() -> str:
+    def text(name: str, column: str) -> list[tuple[str, str]]:
+        return [(f"missing {name}", f"{column} IS NULL"), (f"blank {name}", f"length({column}) = 0")]
+
+    def rules(name: str) -> list[tuple[str, str]]:
+        if name in jobs.FLAT:
+            return text(jobs.FLAT[name].column, jobs.FLAT[name].column)
+        if name in jobs.NESTED:
+            spec = jobs.NESTED[name]
+            if spec.group == "year_month":
+                group = [*text("year", "year_text"), ("date without month", "date_text IS NULL OR instr(date_text, '/') = 0")]
+            else:
+                group = text(spec.group, spec.group)
+            return [*group, *text(spec.key, spec.key)]
+        years = ", ".join(map(str, _years_of(name)))
+        number = "TRY_CAST(district_text AS DOUBLE)"
+        return [
+            ("missing year", "year IS NULL"),
+            ("other year", f"year NOT IN ({years})"),
+            ("district is no number", f"{number} IS NULL OR isnan({number})"),
+            ("negative district", f"{number} < 0"),
+        ]
+
+    parts = []
+    for job in jobs.JOBS:
+        own = rules(job)
+        outcome = "CASE " + " ".join(f"WHEN {cond} THEN '{rule}'" for rule, cond in own) + " ELSE 'kept' END"
+        for rule in (*(r for r, _ in own), "kept"):
+            parts.append(f"SELECT '{job}' AS job, '{rule}' AS rule, count(*) FILTER (WHERE {outcome} = '{rule}') AS documents FROM inc")
+        parts.append(f"SELECT '{job}' AS job, 'read' AS rule, count(*) AS documents FROM inc")
+    return f"WITH {_DIRTY}\n" + "\nUNION ALL\n".join(parts)
+
+
 _CALLS = f"""lines AS (
   SELECT concat_ws(',', CAST(event_id AS VARCHAR), event_type, CAST(user_id AS VARCHAR), CAST(value AS VARCHAR),
                    'x', 'x', 'x', strftime(ts, {_DATE_FMT})) AS line FROM events),
@@ -401,6 +504,13 @@ SELECT count(*) FILTER (WHERE year = {YEAR_A}) AS n_a, count(*) FILTER (WHERE ye
 FROM s"""
     sql["crimes_by_district_top"] = f"SELECT * FROM ({_grouped_sql('crimes_by_district')}) WHERE rk <= {TOP}"
     sql["sample_pairs_from_documents"] = "WITH " + _PAIRS + "\nSELECT pos, a, b FROM pairs"
+    sql["sample_pairs_repeated_ids"] = "WITH " + _PAIRS.replace("ORDER BY incident_id", "ORDER BY incident_id // 3, v") + "\nSELECT pos, a, b FROM pairs"
+    sql["district_ks_by_day"] = "WITH RECURSIVE " + _ks_by_day_sql(*KS_STANDARDIZED)
+    sql["job_accounting"] = _accounting_sql()
+    sql["calls_csv_records"] = f"""WITH parsed AS (
+  SELECT event_id, event_type || chr(10) || '"' || user_id || '", x' AS note, try_strptime(strftime(ts, {_DATE_FMT}), {_DATE_FMT}) AS t
+  FROM events WHERE event_id % 97 <> 0)
+SELECT event_id, note, CAST(dayofweek(t) + 1 AS BIGINT) AS day_of_week FROM parsed WHERE t IS NOT NULL"""
     sql["sample_positional_pairs"] = "WITH " + _PAIRS + "\nSELECT pos, a, b FROM pairs"
     sql["sample_equalized"] = "WITH " + _PAIRS + f"""
 SELECT {YEAR_A} AS year, pos, a AS v FROM pairs UNION ALL SELECT {YEAR_B} AS year, pos, b AS v FROM pairs"""

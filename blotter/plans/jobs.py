@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from blotter.functions.calendar import CALL_TIME_PATTERN
 from blotter.functions.text import month_prefix, non_empty
 from blotter.operators import ranking, stats
-from blotter.sources.calls import csv_field, field, parse_calls
+from blotter.sources.calls import csv_field, field, parse_calls, record_field
 
 # --------------------------------------------------------------------------
 # Flat rankings
@@ -192,9 +192,11 @@ def district_ks(
     dist: str = "norm",
     params: Sequence[float] = (0.0, 1.0),
     method: str = "histogram",
+    p_value: str = "limit",
 ) -> DataFrame:
-    """Kolmogorov-Smirnov test of the district numbers of one year against a distribution."""
-    return stats.ks_test(stats.district_sample(incidents, year), "v", dist, params, method)
+    """Kolmogorov-Smirnov test of the district numbers of one year against a
+    distribution; ``p_value="exact"`` for small samples."""
+    return stats.ks_test(stats.district_sample(incidents, year), "v", dist, params, method, p_value)
 
 
 # --------------------------------------------------------------------------
@@ -211,10 +213,14 @@ def calls_day_of_week(
     quoted: bool = False,
     zone_label: str | None = None,
 ) -> DataFrame:
-    """Call time and its day of week (1 = Sunday) for every line whose time
+    """Call time and its day of week (1 = Sunday) for every call whose time
     parses.  Lines are split on every comma, as a plain split does; with
-    ``quoted`` they are read as CSV, so quoted commas stay inside their field."""
-    time_col = csv_field(line_col, time_field) if quoted else field(line_col, time_field)
+    ``quoted`` they are read as CSV, so quoted commas stay inside their field.
+    Records of ``read_call_records``, which have no column ``line_col``, are taken by position."""
+    if line_col not in lines.columns:
+        time_col = record_field(time_field)
+    else:
+        time_col = csv_field(line_col, time_field) if quoted else field(line_col, time_field)
     return parse_calls(lines, time_col, pattern, keep, zone_label)
 
 

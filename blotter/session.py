@@ -5,12 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings meant for a large cluster run (pass them with spark-submit --conf).
 # Partitions are sized by AQE from a large initial count; scans read 256 MB
-# splits; skewed joins are split; checkpoints are cleaned once unreferenced.
+# splits; skewed joins are split.
 # spark.checkpoint.dir must name a shared folder (HDFS, S3, ABFS, ...).
 CLUSTER_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -20,9 +22,11 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.shuffle.partitions": "4000",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+# Folders written inside the open ``scratch_tables`` blocks, innermost last.
+_SCOPES: list[list[str]] = []
+
 _NO_FOLDER = (
     "spark.checkpoint.dir is not set; point it at a shared folder "
     "(HDFS/S3/ABFS) so that written intermediate tables survive executor loss"
@@ -40,7 +44,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
@@ -82,7 +85,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def write_out(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the checkpoint folder and read it back: it
     is evaluated once, its lineage is cut, and later readers fetch only the
-    columns they need.  The tables live as long as the checkpoint folder."""
+    columns they need.  The table lives as long as the checkpoint folder, or, inside
+    ``scratch_tables``, until its block ends."""
     folder = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(folder)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the intermediate tables that operators wrote inside.
+    A result must be written, or collected, before the block ends:
+
+        with scratch_tables(spark):
+            write_result(jobs.top_crimes(incidents), path)
+
+    Blocks may be nested, within one thread; the folders also go when the block ends with an error."""
+    own: list[str] = []
+    _SCOPES.append(own)
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in own:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)

@@ -6,7 +6,7 @@ from blotter.sources.incidents import (
     read_incidents,
     store_clean_incidents,
 )
-from blotter.sources.calls import parse_calls, read_call_lines
+from blotter.sources.calls import parse_calls, read_call_lines, read_call_records
 from blotter.sources.sinks import write_lines, write_result
 from blotter.sources import tables
 
@@ -17,6 +17,7 @@ __all__ = [
     "store_clean_incidents",
     "parse_calls",
     "read_call_lines",
+    "read_call_records",
     "write_lines",
     "write_result",
     "tables",

@@ -13,6 +13,41 @@ def read_call_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+#: Column of ``read_call_records`` with the text of a record that is no CSV of the declared width.
+CORRUPT = "corrupt_record"
+
+
+def read_call_records(
+    spark: SparkSession,
+    path: str,
+    *,
+    header: bool = False,
+    multiline: bool = False,
+    fields: int | None = None,
+    quote: str = '"',
+    **options: str,
+) -> DataFrame:
+    """Call logs by Spark's CSV reader: columns ``c0``, ``c1``, ... by position, all
+    text, and ``corrupt_record``, the text of a record with fewer or more fields
+    (its missing fields are NULL) or else NULL.
+
+    Quoted separators and doubled quotes stay inside their field.  ``header``
+    leaves out the first line of each file, whatever it holds.  ``multiline``
+    lets quoted fields span lines; a file is then read by one task, as its records
+    cannot be found from the middle, so large logs should come in many files.  ``fields`` is the number
+    of columns; without it the first line tells."""
+    reader = spark.read.options(header=header, multiLine=multiline, quote=quote, escape=quote, **options)
+    if fields is None:
+        fields = len(reader.csv(path).columns)
+    schema = ", ".join(f"c{i} STRING" for i in range(fields)) + f", {CORRUPT} STRING"
+    return reader.schema(schema).options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=True).csv(path)
+
+
+def record_field(index: int) -> Column:
+    """The ``index``-th field of the records of ``read_call_records``."""
+    return F.col(f"c{index}")
+
+
 def field(line: Column | str, index: int, sep: str = ",") -> Column:
     """The ``index``-th field of a plain ``sep``-split line (NULL when the line is short)."""
     col = F.col(line) if isinstance(line, str) else line

@@ -11,11 +11,14 @@ re-plans it at run time; at large scale it stays a shuffle join.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter import schema as S
 from blotter.functions.calendar import DATE_TEXT_PATTERN
+from blotter.session import ensure_checkpoint_dir
 from blotter.sources.incidents import clean_incidents
 
 
@@ -183,3 +186,20 @@ def call_lines_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(value AS STRING), 'x', 'x', 'x', 'x', "
         f"date_format(ts, '{DATE_TEXT_PATTERN}')) AS value"
     )
+
+
+def call_record_files(spark: SparkSession, sf_dir: str) -> str:
+    """Call-log CSV files with a header line, written below the checkpoint
+    folder; returns their folder.  The second field holds a line break, a
+    separator and quotes; the time of some calls is no time."""
+    ev = table(spark, sf_dir, "events")
+    records = ev.selectExpr(
+        "event_id AS id",
+        "concat(event_type, char(10), '\"', CAST(user_id AS STRING), '\", x') AS note",
+        "CAST(value AS STRING) AS value",
+        "'x' AS a", "'x' AS b", "'x' AS c", "'x' AS d",
+        f"CASE WHEN event_id % 97 = 0 THEN 'not known' ELSE date_format(ts, '{DATE_TEXT_PATTERN}') END AS time",
+    )
+    folder = f"{ensure_checkpoint_dir(spark)}/call-records-{uuid.uuid4().hex}"
+    records.write.csv(folder, header=True, quote='"', escape='"')
+    return folder

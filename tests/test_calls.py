@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from blotter.plans import jobs
-from blotter.sources.calls import field, parse_calls, read_call_lines
+from blotter.sources.calls import field, parse_calls, read_call_lines, read_call_records
 
 LINES = [
     "CAD,Event,Date,Clearance,Type,Group,Initial,Time",                       # D12 header
@@ -85,3 +85,38 @@ def test_timestamp_text_of_quoted_lines(spark, tmp_out):
     lines = read_call_lines(spark, path)
     assert [r.value for r in jobs.calls_timestamp_text(lines, quoted=True).collect()] == ["Sun Dec 25 00:00:00 UTC 2016"]
     assert jobs.calls_timestamp_text(lines).count() == 0
+
+
+RECORDS = (
+    "CAD,Event,Date,Clearance,Type,Group,Initial,Time\n"                       # D12 header
+    '1,"Smith, ""John""",b,c,d,e,f,12/25/2016 12:00:00 AM\n'                   # D14 quoted comma and quotes
+    '2,"two\nlines",b,c,d,e,f,07/06/2017 03:49:31 PM\n'                        # a quoted line break
+    "3,a,b\n"                                                                  # too few fields
+    "4,a,b,c,d,e,f,07/06/2017 03:49:31 PM,more\n"                              # too many
+    "5,a,b,c,d,e,f,garbage\n"                                                  # D12 junk
+)
+
+
+def test_csv_records_with_header_and_line_breaks(spark, tmp_out):
+    path = os.path.join(tmp_out, "records.csv")
+    with open(path, "w", newline="") as f:
+        f.write(RECORDS)
+    records = read_call_records(spark, path, header=True, multiline=True)
+    assert records.columns == [*(f"c{i}" for i in range(8)), "corrupt_record"]
+    rows = {r.c0: r for r in records.collect()}
+    assert sorted(rows) == ["1", "2", "3", "4", "5"]
+    assert rows["1"].c1 == 'Smith, "John"' and rows["2"].c1 == "two\nlines"
+    assert {i for i, r in rows.items() if r.corrupt_record is not None} == {"3", "4"}
+    assert rows["3"].c7 is None
+    got = {r.c0: r.day_of_week for r in jobs.calls_day_of_week(records, keep=[F.col("c0")]).collect()}
+    assert got == {"1": 1, "2": 5, "4": 5}
+    assert jobs.calls_timestamp_text(records).count() == 3
+
+
+def test_csv_records_without_header_and_with_declared_width(spark, tmp_out):
+    path = os.path.join(tmp_out, "plain.csv")
+    with open(path, "w") as f:
+        f.write("1,a;b,12/25/2016 12:00:00 AM\n2,x,12/26/2016 12:00:00 AM\n")
+    for fields in (None, 3):
+        records = read_call_records(spark, path, fields=fields)
+        assert [r.day_of_week for r in jobs.calls_day_of_week(records, time_field=2).orderBy("call_time").collect()] == [1, 2]

@@ -178,7 +178,9 @@ def test_ks_p_value_column(spark):
 
 def test_ks_is_one_lazy_plan_after_the_layout(spark, dirty):
     plan = stats.ks_test(stats.district_sample(dirty, B), "v")._jdf.queryExecution().executedPlan().toString()
-    assert "Subquery" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    # n comes with the offsets of the running count: the values are read once more, not twice
+    assert "Subquery" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    assert plan.count("ReadSchema: struct<__v") == 1
 
 
 def test_ks_against_standard_normal(spark, dirty):
@@ -389,3 +391,86 @@ def test_running_total_property(spark):
         assert {(r.g, r.k): r.cum for r in got.collect()} == expect
 
     check()
+
+
+def _repeated(spark, parts):
+    """6,000 documents, each id three times a year, in tables without files."""
+    rows = spark.range(6000).select(
+        (F.col("id") % 1000).alias("incident_id"), F.when(F.col("id") % 2 == 0, A).otherwise(B).alias("year"),
+        (F.pmod(F.xxhash64("id"), F.lit(25)) + 1).cast("double").alias("v"))
+    return rows.repartition(parts, F.xxhash64("v", "incident_id"))
+
+
+def test_repeated_ids_pair_the_same_at_every_partitioning(spark):
+    found = set()
+    for parts in (1, 2, 5, 11):
+        pairs = stats.positional_pairs(_repeated(spark, parts), A, B)
+        found.add(tuple(stats.correlation(pairs, m).first().r for m in ("pearson", "spearman")))
+    assert len({tuple(round(x, 12) for x in f) for f in found}) == 1
+
+
+def test_spearman_on_the_joint_histogram(spark):
+    from pyspark.mllib.stat import Statistics
+
+    pairs = spark.createDataFrame([(float(i % 7), float((i * i) % 11)) for i in range(400)], "a double, b double")
+    rows = pairs.collect()
+    sc = spark.sparkContext
+    expect = Statistics.corr(sc.parallelize([r.a for r in rows], 3), sc.parallelize([r.b for r in rows], 3), "spearman")
+    got = stats.correlation(pairs, "spearman").first()
+    assert got.r == pytest.approx(expect, abs=1e-12) and got.n == 400
+    plan = stats.correlation(pairs, "spearman")._jdf.queryExecution().executedPlan().toString()
+    assert "joint-histogram" in plan and "Scan ExistingRDD" not in plan  # the pairs themselves are not joined
+
+
+def test_spearman_without_pairs_and_without_spread(spark):
+    pairs = spark.createDataFrame([], "a double, b double")
+    assert tuple(stats.correlation(pairs, "spearman").first())[:2] == (None, 0)
+    flat = spark.createDataFrame([(1.0, float(i)) for i in range(5)], "a double, b double")
+    r = stats.correlation(flat, "spearman").first()
+    assert math.isnan(r.r) and r.n == 5
+
+
+def test_exact_p_values_match_mllib(spark):
+    from pyspark.mllib.stat import Statistics
+
+    sc, rng = spark.sparkContext, __import__("random").Random(3)
+    sizes = [1, 2, 3, 4, 5, 7, 10, 15, 25, 40, 70, 110, 160, 200]
+    samples = {n: [rng.gauss(0.3, 1.2) for _ in range(n)] for n in sizes}
+    df = spark.createDataFrame([(n, v) for n, vs in samples.items() for v in vs], "n int, v double")
+    got = {r.n: r for r in stats.ks_test(df, by=["n"], p_value="exact").collect()}
+    for n, vs in samples.items():
+        expect = Statistics.kolmogorovSmirnovTest(sc.parallelize(vs, 1), "norm", 0.0, 1.0)
+        assert got[n].statistic == pytest.approx(expect.statistic, abs=1e-12)
+        assert got[n].p_value == pytest.approx(expect.pValue, abs=1e-9)
+
+
+def test_exact_distribution_for_every_small_n(spark):
+    # closed forms: n = 1, 2d - 1; n = 2, 2 (2d - 1/2)^2 below 1/2 and -2d^2 + 4d - 1 above
+    df = spark.createDataFrame([(1, 0.5 + i / 40) for i in range(20)] + [(2, 0.25 + i / 40) for i in range(30)], "n long, d double")
+    for r in df.select("*", stats.kolmogorov_cdf("d", "n").alias("p")).collect():
+        d = r.d
+        expect = 2 * d - 1 if r.n == 1 else 2 * (2 * d - 0.5) ** 2 if d < 0.5 else -2 * d * d + 4 * d - 1
+        assert r.p == pytest.approx(expect, abs=1e-13)
+    # it agrees with the limiting form where that is good, rises with d, and stays in 0..1
+    df = spark.createDataFrame([(n, k / 20 / math.sqrt(n)) for n in (150, 200) for k in range(1, 60)], "n long, d double")
+    rows = df.select("*", stats.ks_exact_p_value(F.col("d"), F.col("n")).alias("p"), stats.ks_p_value(F.col("d"), F.col("n").cast("double")).alias("limit")).orderBy("n", "d").collect()
+    assert all(abs(r.p - r.limit) < 6e-4 and 0 <= r.p <= 1 for r in rows)
+    assert all(x.p >= y.p - 1e-12 for x, y in zip(rows, rows[1:]) if x.n == y.n)
+
+
+def test_ks_groups_equal_single_tests(spark, dirty):
+    sample = stats.district_sample(dirty, [A, B])
+    by_year = {r.year: r for r in stats.ks_test(sample, params=(13.0, 7.2), by=["year"]).collect()}
+    for year in (A, B):
+        one = stats.ks_test(stats.district_sample(dirty, year), params=(13.0, 7.2)).first()
+        assert by_year[year].statistic == pytest.approx(one.statistic, abs=1e-14)
+        assert by_year[year].p_value == pytest.approx(one.p_value, abs=1e-12)
+    with pytest.raises(ValueError, match="p_value"):
+        stats.ks_test(sample, p_value="guess")
+
+
+def test_running_total_with_group_totals(spark):
+    df = spark.range(500).select((F.col("id") % 7).alias("g"), F.col("id").alias("k"), (F.col("id") % 5).alias("w"))
+    got = with_running_total(df, [F.col("k").asc()], "w", name="cum", partition_by=["g"], slices=5, total="all")
+    totals = {r.g: r.s for r in df.groupBy("g").agg(F.sum("w").alias("s")).collect()}
+    assert got.count() == 500 and all(r["all"] == totals[r.g] for r in got.collect())
