@@ -54,14 +54,22 @@ def edited(rng, text, edits):
     return text
 
 
+def marks(text):
+    return [w for w in text.split() if w in licenses.MARKS]
+
+
 def test_every_notice_within_its_edits_is_found():
     rng, search = random.Random(7), licenses.NoticeSearch()
     for (label, notice), most in zip(search.notices, search.edits, strict=True):
         for edits in range(most + 1):
             for _ in range(10):
                 around = " ".join(f"w{rng.randrange(100)}" for _ in range(20))
-                text = f"{around} {edited(rng, notice, edits)} {around}"
+                changed = edited(rng, notice, edits)
+                text = f"{around} {changed} {around}"
                 spans = search.find(f" {text} ")
+                if marks(changed) != marks(notice):  # an edit of a marking word makes another licence, or none
+                    assert label not in {s[2] for s in spans}
+                    continue
                 assert spans, (label, edits, text)
                 assert min(s[3] for s in spans) <= edits
 
