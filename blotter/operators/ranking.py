@@ -14,12 +14,14 @@ distinct categories, never records.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blotter.functions.text import non_empty
 from blotter.operators.ordering import with_positions
 
+# Parts into which a group is split before its first rows meet.
+SALTS = 16
 DESC = "desc"
 ASC = "asc"
 
@@ -70,6 +72,16 @@ def ranked_counts(
     return ranked.orderBy(rk).drop(rk) if rank_col is None else ranked
 
 
+def _first_of_groups(counts: DataFrame, group: str, order: list[Column], rank: str, top: int) -> DataFrame:
+    """The first ``top`` rows of each group with their rank.  Each task keeps its
+    first rows of a group before anything is shuffled (Spark's window group limit); then each of ``SALTS`` parts of
+    a group keeps its first, so that at most ``SALTS * top`` rows of a group meet, however large it is."""
+    parts = counts.withColumn("__part", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in counts.columns]), F.lit(SALTS)))
+    some = parts.withColumn(rank, F.row_number().over(Window.partitionBy(group, "__part").orderBy(*order))).where(F.col(rank) <= top)
+    ranked = some.withColumn(rank, F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("long"))
+    return ranked.where(F.col(rank) <= top).drop("__part")
+
+
 def grouped_ranked_counts(
     df: DataFrame,
     group: str,
@@ -83,12 +95,14 @@ def grouped_ranked_counts(
     """Count rows per (group, key); rank keys inside each group by count.
 
     Ranks are numbered over the pre-aggregated (group, key) pairs by the range
-    layout, which splits a group with very many categories over several tasks;
-    ``top`` keeps the first k of each group, for any k.
+    layout, which splits a group with very many categories over several tasks.
+    ``top`` keeps the first k of each group, for any k, without laying out the others.
     """
     counts = count_by(df, group, key, count_col=count_col)
-    ranked = with_positions(counts, _count_order(count_col, key, direction), name=rank_col, partition_by=[group])
-    return ranked if top is None else ranked.where(F.col(rank_col) <= top)
+    order = _count_order(count_col, key, direction)
+    if top is not None:
+        return _first_of_groups(counts, group, order, rank_col, top)
+    return with_positions(counts, order, name=rank_col, partition_by=[group])
 
 
 def nested_ranked_lists(
@@ -107,16 +121,15 @@ def nested_ranked_lists(
 
     Plan: partial+final aggregate on (group, key), then a partial+final
     ``collect_list`` on group over the distinct pairs, then an in-row
-    ``array_sort`` - no window, no per-record list.  With ``top`` the pairs
-    pass the layout first.
+    ``array_sort`` - no window, no per-record list.  With ``top`` only the
+    first k pairs of each group get there.
     """
     item_key = item_key or key
     counts = count_by(df, group, key, count_col="__n")
     if top is not None:
         # Keep only the first k categories of each group before collecting,
         # so a list never grows past k entries.
-        ranked = with_positions(counts, _count_order("__n", key, DESC), name="__rk", partition_by=[group])
-        counts = ranked.where(F.col("__rk") <= top).drop("__rk")
+        counts = _first_of_groups(counts, group, _count_order("__n", key, DESC), "__rk", top).drop("__rk")
     packed = F.struct(
         (-F.col("__n")).alias("__neg"),
         F.col(key).alias("__key"),

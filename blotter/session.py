@@ -82,14 +82,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def write_out(df: DataFrame, name: str) -> DataFrame:
+def write_out(df: DataFrame, name: str, outlives: bool = False) -> DataFrame:
     """Write ``df`` as Parquet below the checkpoint folder and read it back: it
     is evaluated once, its lineage is cut, and later readers fetch only the
     columns they need.  The table lives as long as the checkpoint folder, or, inside
-    ``scratch_tables``, until its block ends."""
+    ``scratch_tables``, until its block ends; with ``outlives`` until the block
+    around that one ends: the result that the inner tables were written for."""
     folder = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    if _SCOPES:
-        _SCOPES[-1].append(folder)
+    if len(_SCOPES) > outlives:
+        _SCOPES[-1 - outlives].append(folder)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 

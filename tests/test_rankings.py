@@ -1,8 +1,10 @@
 """Flat and nested rankings: edge rows, ties, shapes and invariants."""
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from blotter.operators import ranking
 from blotter.operators.ranking import ranked_counts
 from blotter.plans import jobs
 
@@ -195,10 +197,12 @@ def test_no_ordering_window_over_rows(spark):
     assert "row_number" not in _plan(ranked_counts(inc, "district"))
     lazy = _plan(ranked_counts(inc, "district", rank_col=None))
     assert "Window" not in lazy and "rangepartitioning" in lazy
-    for k in (10, 1001, 5000, None):
+    plan = _plan(grouped_ranked_counts(inc, "district", "primary_type"))
+    assert "row_number" not in plan and "__slice" in plan
+    for k in (10, 1001, 5000):
+        # with a limit only the first rows of parts of a group meet; nothing is laid out
         plan = _plan(grouped_ranked_counts(inc, "district", "primary_type", top=k))
-        assert "row_number" not in plan
-        assert "__slice" in plan
+        assert "__part" in plan and "__slice" not in plan
 
 
 def test_grouped_top_at_any_k(spark):
@@ -225,3 +229,18 @@ def test_crimes_join_no_customers(spark):
     for name in ("clean_trim_nonempty", "crimes_by_year_nested"):
         plan = _plan(catalog.queries()[name](spark, "/root/testdata/sf0.001"))
         assert "Join" not in plan and plan.count("Scan parquet") == 1
+
+
+@pytest.mark.parametrize("top", [3, 1001, 5000])
+def test_top_of_large_groups_by_a_limit_in_each_task(spark, top):
+    # one group holds nearly all categories
+    rows = spark.range(40_000).select(F.when(F.col("id") % 50 < 49, "hot").otherwise("cold").alias("g"), F.concat(F.lit("k"), F.col("id") % 9001).alias("k"))
+    df = ranking.grouped_ranked_counts(rows, "g", "k", top=top)
+    if top <= 1000:  # Spark's own bound for its limit before the shuffle
+        assert "WindowGroupLimit" in df._jdf.queryExecution().executedPlan().toString()
+    full = ranking.grouped_ranked_counts(rows, "g", "k")
+    expect = sorted(tuple(r) for r in full.where(F.col("rk") <= top).collect())
+    assert sorted(tuple(r) for r in df.select(*full.columns).collect()) == expect
+    assert dict(df.dtypes)["rk"] == "bigint"
+    lists = ranking.nested_ranked_lists(rows, "g", "k", top=top).collect()
+    assert {r.g: [x.k for x in r["items"]] for r in lists} == {g: [k for _, k in sorted((r[3], r[1]) for r in expect if r[0] == g)] for g in ("hot", "cold")}
