@@ -17,12 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, outlives: bool = False) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it
     back: the lineage is cut, a lost executor loses nothing, and later readers
     fetch only the columns they need (``blotter.session.write_out``, whose
     ``scratch_tables`` deletes the folder when a result is written)."""
-    return write_out(df, name)
+    return write_out(df, name, outlives)
 
 
 def whole_text(text: str = "text") -> Column:

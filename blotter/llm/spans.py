@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blotter.llm.common import materialize
+from blotter.session import scratch_tables
 
 MIN_SENTENCES = 2
 MIN_WORDS = 16
@@ -174,14 +175,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     (at, size) in sentences; documents without any have no row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(F.col("doc_id").alias("__id"), _own_text().alias("__text"), "text")
-    hashed = materialize(rows.mapInArrow(_hashed, f"__id {kind}, __text long, hi array<long>, lo array<int>"), "runs")
-    often = hashed.select(F.explode("hi").alias("hi")).groupBy("hi").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hi")
-    often = materialize(often, "often")  # else the join shares the count's partitions, and Spark cannot split a hot run
-    flat = hashed.select("__id", "__text", F.posexplode(F.arrays_zip("hi", "lo")).alias("at", "r"))
-    lo_at = F.shiftleft(F.col("r.lo").cast("long"), 32).bitwiseOR(F.col("at").cast("long"))  # one field less to shuffle
-    some = flat.select("__id", "__text", "r.hi", lo_at.alias("lo_at")).join(often, "hi")
-    some = some.select("__id", "__text", "hi", F.shiftright("lo_at", 32).cast("int").alias("lo"), F.col("lo_at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("at"))
-    some = materialize(some.withColumn("size", F.col("lo").bitwiseAND(F.lit(15)) + 1), "repeated")
+    with scratch_tables(docs.sparkSession):  # the table of all runs goes as soon as the repeated ones are written
+        hashed = materialize(rows.mapInArrow(_hashed, f"__id {kind}, __text long, hi array<long>, lo array<int>"), "runs")
+        often = hashed.select(F.explode("hi").alias("hi")).groupBy("hi").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hi")
+        often = materialize(often, "often")  # else the join shares the count's partitions, and Spark cannot split a hot run
+        flat = hashed.select("__id", "__text", F.posexplode(F.arrays_zip("hi", "lo")).alias("at", "r"))
+        lo_at = F.shiftleft(F.col("r.lo").cast("long"), 32).bitwiseOR(F.col("at").cast("long"))  # one field less to shuffle
+        some = flat.select("__id", "__text", "r.hi", lo_at.alias("lo_at")).join(often, "hi")
+        some = some.select("__id", "__text", "hi", F.shiftright("lo_at", 32).cast("int").alias("lo"), F.col("lo_at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("at"))
+        some = materialize(some.withColumn("size", F.col("lo").bitwiseAND(F.lit(15)) + 1), "repeated", outlives=True)
     place = F.struct(F.col("__id").isNull().alias("last"), F.col("__id").alias("id"), F.col("__text").alias("text"), F.col("at").alias("at"))
     first = some.groupBy("hi", "lo").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     first = materialize(first, "first")
