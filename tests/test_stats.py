@@ -419,7 +419,7 @@ def test_spearman_on_the_joint_histogram(spark):
     got = stats.correlation(pairs, "spearman").first()
     assert got.r == pytest.approx(expect, abs=1e-12) and got.n == 400
     plan = stats.correlation(pairs, "spearman")._jdf.queryExecution().executedPlan().toString()
-    assert "joint-histogram" in plan and "Scan ExistingRDD" not in plan  # the pairs themselves are not joined
+    assert "ExistingRDD" not in plan  # the pairs themselves are not joined: every join reads written histograms
 
 
 def test_spearman_without_pairs_and_without_spread(spark):
