@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blotter.functions.numeric import kolmogorov_cdf, normal_cdf
+from blotter.functions.numeric import distribution_cdf, kolmogorov_cdf
 from blotter.functions.text import safe_double
 from blotter.operators.ordering import with_positions, with_running_total
 from blotter.schema import POSITION_TYPE
@@ -219,9 +219,11 @@ def _density_label() -> Column:
     )
 
 
-def ks_statistic(sample: DataFrame, value_col: str = "v", mean: float = 0.0, sd: float = 1.0, by: Sequence[str] = ()) -> DataFrame:
-    """One row ``(statistic, n)`` of the one-sample two-sided KS test against
-    Normal(mean, sd), or one per group of the columns ``by``, from the histogram of distinct values: with the running
+def ks_statistic(
+    sample: DataFrame, value_col: str = "v", dist: str = "norm", params: Sequence[float] = (), by: Sequence[str] = ()
+) -> DataFrame:
+    """One row ``(statistic, n)`` of the one-sample two-sided KS test against the
+    distribution ``dist`` with ``params``, or one per group of the columns ``by``, from the histogram of distinct values: with the running
     count ``cum`` of each value and ``c`` its own count,
     D = max(cum/n - F(v), F(v) - (cum-c)/n).  The sample is scanned once and
     never sorted; F is evaluated once per distinct value; n comes from the offsets
@@ -229,7 +231,7 @@ def ks_statistic(sample: DataFrame, value_col: str = "v", mean: float = 0.0, sd:
     hist = sample.groupBy(*by, F.col(value_col).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
     cum = with_running_total(hist, [F.col("__v").asc()], "__c", name="__cum", partition_by=by, total="__n")
     n = F.col("__n").cast("double")
-    cdf = normal_cdf("__v", mean, sd)
+    cdf = distribution_cdf(F.col("__v").cast("double"), dist, params)
     gap = F.greatest(F.col("__cum") / n - cdf, cdf - (F.col("__cum") - F.col("__c")) / n)
     gaps = cum.select(*by, gap.alias("__gap"), "__n")
     return gaps.groupBy(*by).agg(F.max("__gap").alias("statistic"), F.max("__n").alias("n"))
@@ -304,18 +306,20 @@ def ks_test(
     sample: DataFrame,
     value_col: str = "v",
     dist: str = "norm",
-    params: Sequence[float] = (0.0, 1.0),
+    params: Sequence[float] = (),
     method: str = "histogram",
     p_value: str = "limit",
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """One-sample, two-sided Kolmogorov-Smirnov test against a normal distribution.
+    """One-sample, two-sided Kolmogorov-Smirnov test against a distribution of
+    ``blotter.functions.numeric.DISTRIBUTIONS`` (normal, uniform, exponential, lognormal,
+    Weibull, gamma, beta, Student); parameters left out keep their defaults.
 
     ``method="histogram"`` (default) computes the statistic from the value
     histogram (no sort of the sample) and the p-value, both as columns: by
     ``ks_p_value`` with ``p_value="limit"``, from the exact distribution with ``"exact"``, which is meant for
     samples of up to a few thousand values and is never chosen by their number.
-    ``by`` names columns that cut the sample into groups; each is tested by itself.  ``method="mllib"`` runs MLlib's implementation, which sorts the
+    ``by`` names columns that cut the sample into groups; each is tested by itself.  ``method="mllib"`` runs MLlib's implementation, which knows the normal distribution only, sorts the
     whole sample and takes the p-value as 1 - cdf.
 
     Returns one row ``(method, statistic, p_value, null_hypothesis, conclusion, summary)``;
@@ -323,15 +327,15 @@ def ks_test(
     """
     if p_value not in P_VALUES:
         raise ValueError(f"unknown p_value {p_value!r}; use one of {', '.join(P_VALUES)}")
-    if dist != "norm":
-        raise ValueError("only the normal distribution ('norm') is supported")
-    mean, sd = (float(p) for p in (list(params) + [0.0, 1.0][len(params):])[:2])
     if method == "histogram":
-        found = ks_statistic(sample, value_col, mean, sd, by)
+        found = ks_statistic(sample, value_col, dist, params, by)
         base = found.select(*by, "statistic", P_VALUES[p_value](F.col("statistic"), F.col("n").cast("double")).alias("p_value"))
     elif method == "mllib" and not by:
+        if dist != "norm":
+            raise ValueError("MLlib's test knows the normal distribution ('norm') only")
         from pyspark.ml.stat import KolmogorovSmirnovTest
 
+        mean, sd = (float(p) for p in (list(params) + [0.0, 1.0][len(params):])[:2])
         values = sample.select(F.col(value_col).cast("double").alias("v"))
         if values.isEmpty():
             base = sample.sparkSession.createDataFrame([(None, None)], "statistic double, p_value double")

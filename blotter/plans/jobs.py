@@ -190,12 +190,12 @@ def district_ks(
     incidents: DataFrame,
     year: int = 2017,
     dist: str = "norm",
-    params: Sequence[float] = (0.0, 1.0),
+    params: Sequence[float] = (),
     method: str = "histogram",
     p_value: str = "limit",
 ) -> DataFrame:
     """Kolmogorov-Smirnov test of the district numbers of one year against a
-    distribution; ``p_value="exact"`` for small samples."""
+    distribution (``dist`` and its ``params``, see ``stats.ks_test``); ``p_value="exact"`` for small samples."""
     return stats.ks_test(stats.district_sample(incidents, year), "v", dist, params, method, p_value)
 
 

@@ -1,0 +1,108 @@
+"""Distribution functions as column expressions, and the KS test against them."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from blotter.functions import numeric
+from blotter.operators import stats
+
+# Densities to be integrated numerically: another method than the series of the library.
+GAMMA, BETA, STUDENT = (0.3, 1.0, 2.5, 17.0, 400.0), ((0.5, 0.5), (2.0, 3.0), (1.0, 7.5), (30.0, 4.0), (120.0, 90.0)), (1.0, 2.5, 30.0)
+NODES, WEIGHTS = np.polynomial.legendre.leggauss(400)
+
+
+def _integral(f, a, b):
+    mid, half = (a + b) / 2, (b - a) / 2
+    return half * float(np.sum(WEIGHTS * f(mid + half * NODES)))
+
+
+def _values(spark, cdf, xs):
+    df = spark.createDataFrame([(i, float(x)) for i, x in enumerate(xs)], "i int, x double")
+    return [r.p for r in df.select("i", cdf(F.col("x")).alias("p")).orderBy("i").collect()]
+
+
+@pytest.mark.parametrize("a", GAMMA)
+def test_gamma_against_integration(spark, a):
+    xs = [a * q for q in (0.01, 0.2, 0.7, 1.0, 1.3, 2.0, 4.0)] + [a + 5, a + 30, a + 300]
+    got = _values(spark, lambda x: numeric.gamma_cdf(x, a, 1.0), xs)
+    # x = u^(1/a) takes the pole at 0 away for small shapes
+    for x, p in zip(xs, got):
+        if a < 1:
+            expect = _integral(lambda u: np.exp(-(u ** (1 / a)) - math.lgamma(a + 1)), 0.0, min(x, 60.0) ** a)
+        else:
+            f = lambda t: np.exp((a - 1) * np.log(t) - t - math.lgamma(a))
+            low = max(0.0, a - 14 * math.sqrt(a) - 10)
+            expect = _integral(f, min(low, x), min(x, a + 14 * math.sqrt(a) + 60))
+        assert p == pytest.approx(expect, abs=1e-9)
+
+
+@pytest.mark.parametrize("a,b", BETA)
+def test_beta_against_integration(spark, a, b):
+    xs = [0.0, 1e-6, 0.05, 0.2, 0.4, 0.5, 0.57, 0.7, 0.9, 0.999, 1.0]
+    got = _values(spark, lambda x: numeric.beta_cdf(x, a, b), xs)
+    scale = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+    for x, p in zip(xs, got):
+        # t = sin^2(w) takes the poles at 0 and 1 away
+        f = lambda w: 2 * np.exp(scale) * np.sin(w) ** (2 * a - 1) * np.cos(w) ** (2 * b - 1)
+        assert p == pytest.approx(_integral(f, 0.0, math.asin(math.sqrt(x))), abs=1e-9)
+
+
+@pytest.mark.parametrize("df", STUDENT)
+def test_student_against_integration(spark, df):
+    xs = [-40.0, -3.0, -0.5, 0.0, 0.1, 2.0, 9.0]
+    got = _values(spark, lambda x: numeric.student_cdf(x, df, 0.0, 1.0), xs)
+    scale = math.exp(math.lgamma((df + 1) / 2) - math.lgamma(df / 2)) / math.sqrt(df * math.pi)
+    for x, p in zip(xs, got):
+        # t = sqrt(df) tan(w)
+        f = lambda w: scale * math.sqrt(df) * np.cos(w) ** (df - 1)
+        assert p == pytest.approx(0.5 + _integral(f, 0.0, math.atan(x / math.sqrt(df))), abs=1e-9)
+
+
+def test_closed_forms(spark):
+    xs = [-2.0, 0.0, 0.25, 1.0, 3.0, 80.0]
+    assert _values(spark, lambda x: numeric.uniform_cdf(x, -1.0, 4.0), xs) == pytest.approx([0, 0.2, 0.25, 0.4, 0.8, 1.0])
+    expo = [1 - math.exp(-0.5 * max(x, 0)) for x in xs]
+    assert _values(spark, lambda x: numeric.exponential_cdf(x, 0.5), xs) == pytest.approx(expo, abs=1e-15)
+    assert _values(spark, lambda x: numeric.gamma_cdf(x, 1.0, 2.0), xs) == pytest.approx(expo, abs=1e-14)
+    weib = [1 - math.exp(-((max(x, 0) / 3) ** 1.7)) for x in xs]
+    assert _values(spark, lambda x: numeric.weibull_cdf(x, 1.7, 3.0), xs) == pytest.approx(weib, abs=1e-15)
+    logn = [0.5 * math.erfc(-(math.log(x) - 0.3) / 1.1 / math.sqrt(2)) if x > 0 else 0.0 for x in xs]
+    assert _values(spark, lambda x: numeric.lognormal_cdf(x, 0.3, 1.1), xs) == pytest.approx(logn, abs=1e-14)
+
+
+def test_null_values_have_no_probability(spark):
+    df = spark.createDataFrame([(None,), (0.5,)], "x double")
+    null, half = df.select(*[cdf("x").alias(name) for name, cdf in numeric.DISTRIBUTIONS.items()]).collect()
+    assert set(null) == {None} and all(0 < p < 1 for p in half)
+
+
+@pytest.mark.parametrize("dist,params,cdf", [
+    ("uniform", (0.0, 26.0), lambda x: min(1.0, max(0.0, x / 26))),
+    ("exponential", (0.08,), lambda x: 1 - math.exp(-0.08 * x)),
+    ("lognormal", (2.3, 0.8), lambda x: 0.5 * math.erfc(-(math.log(x) - 2.3) / 0.8 / math.sqrt(2)) if x > 0 else 0.0),
+    ("gamma", (2.0, 6.0), lambda x: 1 - math.exp(-x / 6) * (1 + x / 6)),
+    ("beta", (2.0, 1.0, 0.0, 30.0), lambda x: (x / 30) ** 2),
+])
+def test_ks_against_brute_force(spark, dist, params, cdf):
+    rng = np.random.default_rng(5)
+    vals = sorted(float(v) for v in rng.integers(1, 26, 300))
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    n = len(vals)
+    expect = max(max((i + 1) / n - cdf(v), cdf(v) - i / n) for i, v in enumerate(vals))
+    got = stats.ks_test(df, dist=dist, params=params).first()
+    assert got.statistic == pytest.approx(expect, abs=1e-9) and 0 <= got.p_value <= 1
+
+
+def test_unknown_distributions_and_parameters(spark):
+    df = spark.createDataFrame([(1.0,)], "v double")
+    with pytest.raises(ValueError, match="unknown distribution"):
+        stats.ks_test(df, dist="cauchy-like")
+    with pytest.raises(ValueError, match="parameters"):
+        stats.ks_test(df, dist="exponential", params=(1.0, 2.0))
+    with pytest.raises(ValueError, match="positive"):
+        stats.ks_test(df, dist="gamma", params=(-1.0,))
+    with pytest.raises(ValueError, match="norm"):
+        stats.ks_test(df, dist="gamma", method="mllib")
