@@ -12,8 +12,8 @@
     python -m blotter all --input crimes.json --output out/
 
 ``all`` parses the documents once into a year-partitioned Parquet copy
-(``<output>/clean``) and runs every incident job from it, each into
-``<output>/<job>``.
+(``<output>/clean``) and runs every incident job from it, the ten rankings in one
+scan, each into ``<output>/<job>``.
 
 Parameters are passed as ``--param name=value`` and read by the type the job
 declares (lists are comma-separated); ``--option name=value`` goes to the
@@ -41,7 +41,8 @@ from pyspark.sql import SparkSession
 from blotter.functions.calendar import CALL_TIME_PATTERN
 from blotter.plans import jobs
 from blotter.plans.accounting import accounted, accounting, call_rules, job_rules
-from blotter.session import scratch_tables
+from blotter.plans.rankings import one_ranking, rank_all
+from blotter.session import scratch_tables, write_out
 from blotter.sources.calls import csv_field, field, read_call_lines, read_call_records, record_field
 from blotter.sources.incidents import (
     clean_incidents,
@@ -114,7 +115,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--id-col", help="field that orders the documents")
     ap.add_argument("--output", required=True)
     ap.add_argument("--output-format", default="parquet")
-    ap.add_argument("--mode", default="errorifexists")
+    ap.add_argument("--mode", default="errorifexists", help="a mode of Spark's writers, or replace: old results stay until the new ones are whole")
     ap.add_argument("--param", action="append", default=[], help="name=value")
     ap.add_argument("--no-rank", action="store_true", help="flat rankings without rank")
     ap.add_argument("--accounting", help="folder for the counts of read, kept and dropped documents")
@@ -158,10 +159,14 @@ def _run_all(spark: SparkSession, args, options: dict) -> None:
     clean_path = os.path.join(args.output, "clean")
     store_clean_incidents(_incidents(spark, args, options), clean_path, mode=args.mode)
     stored = read_clean_incidents(spark, clean_path)
+    ranked = write_out(rank_all(stored), "rankings")  # one scan for the ten rankings
     for name, job in jobs.JOBS.items():
-        rankless = {"rank_col": None} if args.no_rank and name in jobs.FLAT else {}
         with scratch_tables(spark):
-            write_result(job(stored, **rankless), os.path.join(args.output, name), args.output_format, args.mode)
+            if name in jobs.FLAT or name in jobs.NESTED:
+                result = one_ranking(ranked, name, None if args.no_rank else "rk")
+            else:
+                result = job(stored)
+            write_result(result, os.path.join(args.output, name), args.output_format, args.mode)
     rules = {name: job_rules(name, _years(job, {})) for name, job in jobs.JOBS.items()}
     write_result(accounting(stored, rules), args.accounting or os.path.join(args.output, "accounting"), "json", args.mode)
 

@@ -4,6 +4,7 @@
 * ``grouped_ranked_counts``  the same inside each group (flat form)
 * ``nested_ranked_lists``    one row per group holding the ordered list of
                              {category, count} structs
+* ``nested_list_parts``      the same list in numbered parts of bounded length
 * ``nested_list_text``       that list rendered as ``key:n,key:n`` text
 
 Counting is ``groupBy().count()``: a partial aggregate runs before the
@@ -144,6 +145,31 @@ def nested_ranked_lists(
     return out
 
 
+def nested_list_parts(
+    df: DataFrame,
+    group: str,
+    key: str,
+    part_size: int,
+    *,
+    group_name: str | None = None,
+    list_name: str = "items",
+    item_key: str | None = None,
+    item_count: str = "NumberOfEvents",
+) -> DataFrame:
+    """``(group, part, list)``: the lists of ``nested_ranked_lists`` cut into parts of
+    ``part_size`` entries, numbered from 0, for groups whose whole list is too
+    large for one row.  The places come from the distributed layout, so neither a
+    task nor a row holds more of a group than a part."""
+    if part_size < 1:
+        raise ValueError("part_size must be at least 1")
+    ranked = grouped_ranked_counts(df, group, key, count_col="__n", rank_col="__rk")
+    part = F.floor((F.col("__rk") - F.lit(1)) / F.lit(part_size)).cast("long")
+    told = F.array_sort(F.collect_list(F.struct("__rk", F.col(f"`{key}`").alias("__key"), "__n")))
+    parts = ranked.groupBy(F.col(f"`{group}`").alias(group_name or group), part.alias("part")).agg(told.alias("__told"))
+    item = lambda x: F.struct(x["__key"].alias(item_key or key), x["__n"].alias(item_count))
+    return parts.select(F.col(f"`{group_name or group}`"), "part", F.transform("__told", item).alias(list_name))
+
+
 def nested_list_text(lists: DataFrame, list_name: str, item_key: str, item_count: str = "NumberOfEvents") -> Column:
     """``key:n,key:n,...`` in list order (used to compare lists as data)."""
     return F.array_join(

@@ -26,6 +26,11 @@ DEFAULT_DENSITY_POINTS = tuple(float(i) for i in range(1, 26))
 DEFAULT_BANDWIDTH = 1.0
 # Kernel sums in one generated aggregate; more points make more aggregates.
 POINTS_PER_AGGREGATE = 64
+# Bandwidths beyond which the kernel exp(-z^2/2) is 0 in double precision (745.14 is the last exponent above), and
+# the parts into which a bucket of the range join is split.
+KERNEL_REACH, BUCKET_PARTS = 38.7, 8
+# Buckets are counted in a range that a long holds.
+_LAST_BUCKET = 2.0**62
 # Terms of the two series of the Kolmogorov distribution (the next is below 1e-16 of the sum).
 _TAIL_TERMS, _HEAD_TERMS = 6, 4
 # Names printed by the Kolmogorov-Smirnov test summary.
@@ -172,7 +177,7 @@ def correlation(pairs: DataFrame, method: str = "pearson") -> DataFrame:
 
 def kernel_density(
     sample: DataFrame,
-    points: Sequence[float] = DEFAULT_DENSITY_POINTS,
+    points: Sequence[float] | DataFrame = DEFAULT_DENSITY_POINTS,
     bandwidth: float = DEFAULT_BANDWIDTH,
     value_col: str = "v",
 ) -> DataFrame:
@@ -183,11 +188,13 @@ def kernel_density(
     global aggregates holding one kernel sum per point, then the sums are
     turned into rows.  No join and no fan-out of values over points; the
     aggregates share the histogram's exchange.  An empty sample gives NULL
-    densities.
+    densities.  ``points`` may be a table ``(point_index, point)`` of any size: see ``density_at``.
     """
-    if bandwidth <= 0:
+    if not 0 < bandwidth < math.inf:
         raise ValueError("bandwidth must be positive")
     h = float(bandwidth)
+    if isinstance(points, DataFrame):
+        return density_at(sample, points, h, value_col).withColumn("label", _density_label())
     pts = [float(p) for p in points]
     hist = sample.groupBy(F.col(value_col).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
     parts = [
@@ -196,6 +203,35 @@ def kernel_density(
     return reduce(DataFrame.union, parts).withColumn("label", _density_label())
 
 
+def density_at(sample: DataFrame, points: DataFrame, bandwidth: float = DEFAULT_BANDWIDTH, value_col: str = "v") -> DataFrame:
+    """``(point_index, point, density)`` at a table of points, by a range join.
+
+    Beyond ``KERNEL_REACH`` bandwidths the kernel is 0 in double precision, so with
+    buckets of that width a point meets the distinct values of its own and the two
+    neighbouring buckets, and nothing is lost.  A bucket is split into ``BUCKET_PARTS`` parts by a hash of the
+    value; the products are summed in the tasks that join, before they are shuffled.  Equal points
+    are computed once.  NULL points and an empty sample give NULL densities, infinite points 0."""
+    width = KERNEL_REACH * bandwidth
+    at = points.select("point_index", F.col("point").cast("double").alias("point"))
+    hist = sample.groupBy(F.col(value_col).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    hist = write_out(hist.where(F.col("__v").isNotNull()), "value-histogram")
+
+    def bucket(x: Column) -> Column:
+        inside = F.greatest(F.lit(-_LAST_BUCKET), F.least(F.lit(_LAST_BUCKET), x / F.lit(width)))
+        return F.floor(inside).cast("long")
+
+    values = hist.select("__v", "__c", bucket(F.col("__v")).alias("__bucket"), F.pmod(F.xxhash64("__v"), F.lit(BUCKET_PARTS)).alias("__part"))
+    asked = at.select(F.col("point").alias("__p")).where(F.col("point").isNotNull()).distinct()
+    near = F.explode(F.array(*[bucket(F.col("__p")) + F.lit(i) for i in (-1, 0, 1)])).alias("__bucket")
+    spread = asked.select("__p", near).select("*", F.explode(F.array(*[F.lit(i).cast("long") for i in range(BUCKET_PARTS)])).alias("__part"))
+    z = (F.col("__p") - F.col("__v")) / F.lit(bandwidth)
+    sums = spread.join(values, ["__bucket", "__part"]).groupBy("__p").agg(F.sum(F.col("__c") * F.exp(F.lit(-0.5) * z * z)).alias("__sum"))
+    n = hist.agg(F.sum("__c").alias("n")).scalar()
+    density = F.coalesce("__sum", F.lit(0.0)) / (n * F.lit(bandwidth * math.sqrt(2.0 * math.pi)))
+    found = at.join(sums, F.col("point") == F.col("__p"), "left")
+    return found.select("point_index", "point", F.when(F.col("point").isNotNull(), density).alias("density"))
+
+
 def _density_rows(hist: DataFrame, pts: list[float], first: int, h: float) -> DataFrame:
     def num(x: float) -> str:
         return f"CAST('{x!r}' AS DOUBLE)"
@@ -237,6 +273,28 @@ def ks_statistic(
     return gaps.groupBy(*by).agg(F.max("__gap").alias("statistic"), F.max("__n").alias("n"))
 
 
+def ks_compare(
+    sample: DataFrame, candidates: Sequence[tuple[str, Sequence[float]]], value_col: str = "v", p_value: str = "limit"
+) -> DataFrame:
+    """The test against several distributions at once: ``(dist, params)`` (parameters as
+    text, comma-separated) and the columns of ``ks_test``, one row per candidate.  The histogram is laid
+    out and read once; a row of it gives its gap to every candidate."""
+    if p_value not in P_VALUES:
+        raise ValueError(f"unknown p_value {p_value!r}; use one of {', '.join(P_VALUES)}")
+    if not candidates:
+        raise ValueError("no candidates")
+    hist = sample.groupBy(F.col(value_col).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    cum = with_running_total(hist, [F.col("__v").asc()], "__c", name="__cum", total="__n")
+    n = F.col("__n").cast("double")
+    cdfs = cum.select("__cum", "__c", "__n", *[distribution_cdf("__v", d, p).alias(f"__f{i}") for i, (d, p) in enumerate(candidates)])
+    gap = lambda i: F.greatest(F.col("__cum") / n - F.col(f"__f{i}"), F.col(f"__f{i}") - (F.col("__cum") - F.col("__c")) / n)
+    found = cdfs.agg(F.max("__n").alias("n"), *[F.max(gap(i)).alias(f"__d{i}") for i in range(len(candidates))])
+    told = lambda p: F.lit(",".join(repr(float(x)) for x in p))
+    rows = [F.struct(F.lit(d).alias("dist"), told(p).alias("params"), F.col(f"__d{i}").alias("statistic")) for i, (d, p) in enumerate(candidates)]
+    each = found.select(F.col("n").cast("double").alias("n"), F.inline(F.array(*rows)))
+    return _ks_report(each.withColumn("p_value", P_VALUES[p_value](F.col("statistic"), F.col("n"))), ["dist", "params"])
+
+
 def ks_p_value(d: Column, n: Column) -> Column:
     """P(D_n >= d): the limiting Kolmogorov distribution at the point whose
     leading term exp(-2 y^2) has the exponent of the one-sided finite-sample

@@ -21,11 +21,19 @@ from blotter.functions.text import safe_double, year_month
 from blotter.operators import stats
 from blotter.plans import jobs
 from blotter.plans.accounting import accounting, job_rules
+from blotter.plans.rankings import rank_all
 from blotter.sources import tables
 from blotter.sources.calls import csv_field, field, read_call_records, record_field
 
 YEAR_A, YEAR_B, YEAR_ONE = 1999, 2000, 2000
 KS_STANDARDIZED = (13.0, 7.2)
+# Distributions that the districts of a year are compared with.
+KS_CANDIDATES = [
+    ("norm", KS_STANDARDIZED), ("uniform", (0.0, 26.0)), ("exponential", (0.08,)), ("lognormal", (2.3, 0.8)),
+    ("weibull", (1.7, 14.0)), ("gamma", (2.5, 5.5)), ("beta", (1.5, 2.0, 0.0, 30.0)), ("student", (2.0, 13.0, 7.0)),
+]
+PART_SIZE = 2
+PRICE_BANDWIDTH, PRICE_FACTOR = 50.0, 50.0
 DIGITS = 10
 P_DIGITS = 8
 
@@ -131,6 +139,36 @@ def q_district_ks_by_day(spark, sf_dir):
     return res.select("day", F.round("statistic", DIGITS).alias("statistic"), F.round("p_value", P_DIGITS).alias("p_value"), "conclusion")
 
 
+def q_district_ks_distributions(spark, sf_dir):
+    """The districts of a year against eight distributions, from one histogram."""
+    sample = stats.district_sample(_dirty(spark, sf_dir, [YEAR_ONE]), YEAR_ONE)
+    res = stats.ks_compare(sample, KS_CANDIDATES)
+    p = F.format_string("%.6e", "p_value")
+    return res.select("dist", F.round("statistic", DIGITS).alias("statistic"), p.alias("p_value"), "conclusion")
+
+
+def q_rankings_one_scan(spark, sf_dir):
+    """All ten rankings by GROUPING SETS and one layout."""
+    return rank_all(_dirty(spark, sf_dir)).select("ranking", "grp", "category", "n", "rk")
+
+
+def q_locations_by_district_parts(spark, sf_dir):
+    """The nested lists in parts of bounded length."""
+    spec = jobs.NESTED["locations_by_district"]
+    parts = jobs.locations_by_district(_dirty(spark, sf_dir), part_size=PART_SIZE)
+    told = jobs.ranking.nested_list_text(parts, spec.list_name, spec.item_key, jobs.COUNT_NAME)
+    return parts.select(spec.group_name, "part", told.alias(spec.list_name))
+
+
+def q_price_density(spark, sf_dir):
+    """Kernel density of continuous values at a table of points: the prices of
+    all orders at fifty times the balance of every customer."""
+    prices = tables.table(spark, sf_dir, "orders").select(F.col("o_totalprice").alias("v"))
+    points = tables.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("point_index"), (F.col("c_acctbal") * PRICE_FACTOR).alias("point"))
+    out = stats.kernel_density(prices, points, PRICE_BANDWIDTH)
+    return out.select("point_index", "point", F.round(F.col("density") * 1e6, 8).alias("density_per_million"))
+
+
 def _years_of(name: str) -> list[int]:
     return [YEAR_A, YEAR_B] if name == "district_correlation" else [YEAR_ONE]
 
@@ -237,6 +275,10 @@ def queries() -> dict[str, Query]:
             "district_ks": _ks((0.0, 1.0)),
             "district_ks_standardized": _ks(KS_STANDARDIZED),
             "district_ks_by_day": q_district_ks_by_day,
+            "district_ks_distributions": q_district_ks_distributions,
+            "rankings_one_scan": q_rankings_one_scan,
+            "locations_by_district_parts": q_locations_by_district_parts,
+            "price_density": q_price_density,
             "job_accounting": q_job_accounting,
             "calls_csv_records": q_calls_csv_records,
             "calls_day_of_week": q_calls_day_of_week,
@@ -384,11 +426,17 @@ def _phi(z: str) -> str:
     )
 
 
+_TAIL = " + ".join(f"({2.0 if j % 2 else -2.0}) * exp({-2.0 * j * j} * x * x)" for j in range(1, 7))
+_HEAD = " + ".join(f"exp({-((2 * j - 1) ** 2)} * pi() * pi() / 8 / (x * x))" for j in range(1, 5))
+# The p-value of the limiting distribution from the statistic d of n values.
+_P_LIMIT = f"""z AS (SELECT {{keys}}d, n, sqrt(n) * d AS z, sqrt(n) * d + 1 / (6 * sqrt(n)) AS y FROM d),
+x AS (SELECT {{keys}}d, sqrt(greatest(0.0, 2 * y * y + (4.0::DOUBLE / 9 * z * z * (z * z - 1) - 1.0::DOUBLE / 18) / n) / 2) AS x FROM z),
+p AS (SELECT {{keys}}d, least(1.0, greatest(0.0, CASE WHEN x >= 1 THEN {_TAIL} ELSE 1 - sqrt(2 * pi()) / x * ({_HEAD}) END)) AS p FROM x)"""
+
+
 def _ks_sql(mean: float, sd: float) -> str:
     z = f"((v - {mean}) / {sd})"
     very, strong, low, none = stats.KS_CONCLUSIONS
-    tail = " + ".join(f"({2.0 if j % 2 else -2.0}) * exp({-2.0 * j * j} * x * x)" for j in range(1, 7))
-    head = " + ".join(f"exp({-((2 * j - 1) ** 2)} * pi() * pi() / 8 / (x * x))" for j in range(1, 5))
     return (
         _SAMPLE.format(years=str(YEAR_ONE))
         + f""",
@@ -396,9 +444,7 @@ h AS (SELECT v, count(*) AS c FROM s GROUP BY v),
 cum AS (SELECT v, c, sum(c) OVER (ORDER BY v) AS cu, sum(c) OVER () AS n FROM h),
 f AS (SELECT v, c, cu, n, {_phi(z)} AS cdf FROM cum),
 d AS (SELECT max(greatest(cu / n - cdf, cdf - (cu - c) / n)) AS d, max(n)::DOUBLE AS n FROM f),
-z AS (SELECT d, n, sqrt(n) * d AS z, sqrt(n) * d + 1 / (6 * sqrt(n)) AS y FROM d),
-x AS (SELECT d, sqrt(greatest(0.0, 2 * y * y + (4.0::DOUBLE / 9 * z * z * (z * z - 1) - 1.0::DOUBLE / 18) / n) / 2) AS x FROM z),
-p AS (SELECT d, least(1.0, greatest(0.0, CASE WHEN x >= 1 THEN {tail} ELSE 1 - sqrt(2 * pi()) / x * ({head}) END)) AS p FROM x)
+{_P_LIMIT.format(keys='')}
 SELECT round(d, {DIGITS}) AS statistic, printf('%.6e', p) AS p_value,
        CASE WHEN p <= 0.01 THEN '{very}' WHEN p <= 0.05 THEN '{strong}' WHEN p <= 0.1 THEN '{low}' ELSE '{none}' END
        || ': {stats.KS_NULL_HYPOTHESIS}.' AS conclusion
@@ -440,6 +486,55 @@ SELECT day, round(d, {DIGITS}) AS statistic, round(p, {P_DIGITS}) AS p_value, {_
     )
 
 
+def _ks_distributions_sql() -> str:
+    """Every distribution function by a closed form, or a series other than the query's."""
+    (mean, sd), (low, high), (rate,), (mu, sigma), (k, scale), (shape, theta), (a, b, left, right), (_, centre, width) = [p for _, p in KS_CANDIDATES]
+    assert b == 2.0 and KS_CANDIDATES[-1][1][0] == 2.0  # the closed forms below
+    y, t = f"(least(1.0, greatest(0.0, (v - {left}) / {right - left})))", f"((v - {centre}) / {width})"
+    gamma = f"(SELECT sum(exp(({shape} + k) * ln(v / {theta}) - v / {theta} - lgamma({shape} + k + 1))) FROM range(0, 120) t(k))"
+    cdf = {
+        "norm": _phi(f"((v - {mean}) / {sd})"),
+        "uniform": f"least(1.0, greatest(0.0, (v - {low}) / {high - low}))",
+        "exponential": f"1 - exp(-{rate} * v)",
+        "lognormal": f"CASE WHEN v <= 0 THEN 0.0 ELSE {_phi(f'((ln(v) - {mu}) / {sigma})')} END",
+        "weibull": f"1 - exp(-pow(v / {scale}, {k}))",
+        "gamma": f"CASE WHEN v <= 0 THEN 0.0 ELSE {gamma} END",
+        "beta": f"pow({y}, {a}) * (1 + {a} - {a} * {y})",
+        "student": f"0.5 + {t} / (2 * sqrt(2 + {t} * {t}))",
+    }
+    each = " UNION ALL ".join(f"SELECT '{name}' AS dist, c, cu, n, CAST({f} AS DOUBLE) AS cdf FROM cum" for name, f in cdf.items())
+    return (
+        _SAMPLE.format(years=str(YEAR_ONE))
+        + f""",
+h AS (SELECT v, count(*) AS c FROM s GROUP BY v),
+cum AS (SELECT v, c, sum(c) OVER (ORDER BY v) AS cu, sum(c) OVER () AS n FROM h),
+f AS ({each}),
+d AS (SELECT dist, max(greatest(cu / n - cdf, cdf - (cu - c) / n)) AS d, max(n)::DOUBLE AS n FROM f GROUP BY dist),
+{_P_LIMIT.format(keys='dist, ')}
+SELECT dist, round(d, {DIGITS}) AS statistic, printf('%.6e', p) AS p_value, {_conclusion_sql('p')} AS conclusion FROM p"""
+    )
+
+
+def _one_scan_sql() -> str:
+    parts = []
+    for name, spec in jobs.FLAT.items():
+        sign = "-" if spec.direction == "desc" else ""
+        parts.append(f"""SELECT '{name}' AS ranking, CAST(NULL AS VARCHAR) AS grp, {spec.column} AS category, count(*) AS n,
+  row_number() OVER (ORDER BY {sign}count(*), {spec.column}) AS rk FROM inc WHERE length({spec.column}) > 0 GROUP BY {spec.column}""")
+    for name, spec in jobs.NESTED.items():
+        g, extra = _group_expr(spec)
+        parts.append(f"""SELECT '{name}' AS ranking, g AS grp, k AS category, count(*) AS n, row_number() OVER (PARTITION BY g ORDER BY -count(*), k) AS rk
+  FROM (SELECT {g} AS g, {spec.key} AS k FROM inc WHERE {extra}) WHERE length(g) > 0 AND length(k) > 0 GROUP BY g, k""")
+    return f"WITH {_DIRTY}\n" + "\nUNION ALL\n".join(parts)
+
+
+def _parts_sql(name: str) -> str:
+    spec = jobs.NESTED[name]
+    return f"""SELECT {spec.group_name}, (rk - 1) // {PART_SIZE} AS part,
+       string_agg({spec.item_key} || ':' || CAST(NumberOfEvents AS VARCHAR), ',' ORDER BY rk) AS {spec.list_name}
+FROM ({_grouped_sql(name)}) GROUP BY ALL"""
+
+
 def _accounting_sql() -> str:
     def text(name: str, column: str) -> list[tuple[str, str]]:
         return [(f"missing {name}", f"{column} IS NULL"), (f"blank {name}", f"length({column}) = 0")]
@@ -507,6 +602,14 @@ FROM s"""
     sql["sample_pairs_repeated_ids"] = "WITH " + _PAIRS.replace("ORDER BY incident_id", "ORDER BY incident_id // 3, v") + "\nSELECT pos, a, b FROM pairs"
     sql["district_ks_by_day"] = "WITH RECURSIVE " + _ks_by_day_sql(*KS_STANDARDIZED)
     sql["job_accounting"] = _accounting_sql()
+    sql["district_ks_distributions"] = "WITH " + _ks_distributions_sql()
+    sql["rankings_one_scan"] = _one_scan_sql()
+    sql["locations_by_district_parts"] = _parts_sql("locations_by_district")
+    sql["price_density"] = f"""WITH p AS (SELECT c_custkey AS point_index, c_acctbal * {PRICE_FACTOR}::DOUBLE AS point FROM customer),
+h AS (SELECT o_totalprice AS v, count(*) AS c FROM orders GROUP BY ALL),
+k AS (SELECT point_index, point, sum(c * exp(-0.5::DOUBLE * pow((point - v) / {PRICE_BANDWIDTH}::DOUBLE, 2))) / (sum(c) * {PRICE_BANDWIDTH}::DOUBLE * sqrt(2 * pi())) AS density
+      FROM p, h GROUP BY ALL)
+SELECT point_index, point, round(density * 1e6::DOUBLE, 8) AS density_per_million FROM k"""
     sql["calls_csv_records"] = f"""WITH parsed AS (
   SELECT event_id, event_type || chr(10) || '"' || user_id || '", x' AS note, try_strptime(strftime(ts, {_DATE_FMT}), {_DATE_FMT}) AS t
   FROM events WHERE event_id % 97 <> 0)

@@ -118,10 +118,17 @@ def grouped_ranking(incidents: DataFrame, name: str, top: int | None = None) ->
     return out.select(spec.group_name, spec.item_key, COUNT_NAME, "rk")
 
 
-def nested_ranking(incidents: DataFrame, name: str, top: int | None = None) -> DataFrame:
-    """Nested form: one row per group with its ordered list of {key, NumberOfEvents}."""
+def nested_ranking(incidents: DataFrame, name: str, top: int | None = None, part_size: int | None = None) -> DataFrame:
+    """Nested form: one row per group with its ordered list of {key, NumberOfEvents},
+    or with ``part_size`` one row per group and part of that many entries."""
     spec = NESTED[name]
     src = _grouping_input(incidents, spec)
+    if part_size is not None:
+        if top is not None:
+            raise ValueError("top and part_size exclude each other; keep the first parts instead")
+        return ranking.nested_list_parts(
+            src, spec.group_name, spec.item_key, part_size, list_name=spec.list_name, item_count=COUNT_NAME
+        )
     return ranking.nested_ranked_lists(
         src, spec.group_name, spec.item_key, list_name=spec.list_name, item_count=COUNT_NAME, top=top
     )
@@ -136,28 +143,28 @@ def nested_ranking_text(incidents: DataFrame, name: str) -> DataFrame:
     )
 
 
-def crimes_by_district(incidents: DataFrame, top: int | None = None) -> DataFrame:
-    return nested_ranking(incidents, "crimes_by_district", top)
+def crimes_by_district(incidents: DataFrame, top: int | None = None, part_size: int | None = None) -> DataFrame:
+    return nested_ranking(incidents, "crimes_by_district", top, part_size)
 
 
-def crimes_by_arrest(incidents: DataFrame, top: int | None = None) -> DataFrame:
-    return nested_ranking(incidents, "crimes_by_arrest", top)
+def crimes_by_arrest(incidents: DataFrame, top: int | None = None, part_size: int | None = None) -> DataFrame:
+    return nested_ranking(incidents, "crimes_by_arrest", top, part_size)
 
 
-def crimes_by_year(incidents: DataFrame, top: int | None = None) -> DataFrame:
-    return nested_ranking(incidents, "crimes_by_year", top)
+def crimes_by_year(incidents: DataFrame, top: int | None = None, part_size: int | None = None) -> DataFrame:
+    return nested_ranking(incidents, "crimes_by_year", top, part_size)
 
 
-def crimes_by_month(incidents: DataFrame, top: int | None = None) -> DataFrame:
-    return nested_ranking(incidents, "crimes_by_month", top)
+def crimes_by_month(incidents: DataFrame, top: int | None = None, part_size: int | None = None) -> DataFrame:
+    return nested_ranking(incidents, "crimes_by_month", top, part_size)
 
 
-def locations_by_district(incidents: DataFrame, top: int | None = None) -> DataFrame:
-    return nested_ranking(incidents, "locations_by_district", top)
+def locations_by_district(incidents: DataFrame, top: int | None = None, part_size: int | None = None) -> DataFrame:
+    return nested_ranking(incidents, "locations_by_district", top, part_size)
 
 
-def locations_by_crime(incidents: DataFrame, top: int | None = None) -> DataFrame:
-    return nested_ranking(incidents, "locations_by_crime", top)
+def locations_by_crime(incidents: DataFrame, top: int | None = None, part_size: int | None = None) -> DataFrame:
+    return nested_ranking(incidents, "locations_by_crime", top, part_size)
 
 
 # --------------------------------------------------------------------------

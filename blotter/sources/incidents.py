@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from blotter import schema as S
 from blotter.functions.calendar import DATE_TEXT_PATTERN
 from blotter.functions.text import canonical_text, java_trim, source_text
+from blotter.sources.sinks import write_result
 
 
 # Sources that read files, whose rows have a place.
@@ -110,13 +111,7 @@ def store_clean_incidents(clean: DataFrame, path: str, fmt: str = "parquet", mod
     The rows are grouped by year with a REBALANCE hint: AQE splits a year
     that holds a large share of the rows over several tasks (and files)
     instead of one."""
-    (
-        clean.hint("rebalance", "year")
-        .write.format(fmt)
-        .mode(mode)
-        .partitionBy("year")
-        .save(path)
-    )
+    write_result(clean.hint("rebalance", "year"), path, fmt, mode, partition_by=["year"])
 
 
 def read_clean_incidents(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
