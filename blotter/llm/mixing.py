@@ -12,9 +12,12 @@ unit gives every unit seats that it surely gets, one too small gives every
 seat it may get, and only the seats in between (at most two per unit on
 average) are ranked.
 
-There are ``sqrt(documents) / 2`` shards per source, so neither the shards of a
-source nor the documents of a shard become a large group when one source holds
-a third of the rows.  All of it is DataFrame functions.
+Documents are hashed to ``sqrt(documents) / 2`` cells per source, so neither the cells of a
+source nor the documents of a cell become a large group when one source holds
+a third of the rows.  A shard is one cell or, in a source of few words, as many
+neighbouring ones as give it ``SHARD_BLOCKS`` blocks on average: a shard gives at most ``max_use``
+times its words, and of shards of many blocks only a part of one is lost by that limit, so that
+small sources of short documents come near their target too.  All of it is DataFrame functions.
 
 Null texts have size 0, null sources are one source of their own (last), null
 ids are ordered as the empty text, repeated rows count each.  A source without
@@ -35,7 +38,9 @@ from blotter.llm.common import WORD, materialize, whole_text, word_count
 WEIGHTS = (5, 2, 1)
 # Fixed value: no source and no document is used more than so many times.
 MAX_USE = 3
-BLOCK = 32
+BLOCK = 8
+# Blocks that a shard holds on average, where its source has so many.
+SHARD_BLOCKS = 128
 SEED = 17
 
 
@@ -82,16 +87,28 @@ def source_targets(shards: DataFrame, weights: Sequence[int] = WEIGHTS, max_use:
     )
 
 
-def shard_quotas(shards: DataFrame, weights: Sequence[int] = WEIGHTS, max_use: int = MAX_USE, block: int = BLOCK) -> DataFrame:
-    """``(__key, __shard, __size, source_size, target, __quota)``: the words each
-    shard gives to the mix."""
+def joined_cells(cells: DataFrame, words: int) -> DataFrame:
+    """Adds ``__shard`` and ``__before``: the cells of a source dealt round-robin to shards of ``words`` words
+    on average, and the words of the shard's cells that come before this one."""
+    many = cells.withColumn("__words", F.sum("__size").over(Window.partitionBy("__key")))
+    dealt = many.withColumn("__shard", F.pmod(F.col("__cell"), F.greatest(F.lit(1).cast("long"), F.expr(f"__words div {words}")))).drop("__words")
+    earlier = Window.partitionBy("__key", "__shard").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
+    return dealt.withColumn("__before", F.coalesce(F.sum("__size").over(earlier), F.lit(0)))
+
+
+def cell_quotas(cells: DataFrame, weights: Sequence[int] = WEIGHTS, max_use: int = MAX_USE, block: int = BLOCK) -> DataFrame:
+    """``(__key, __cell, __before, __shard_size, source_size, target, __quota)``: the words that
+    the shard of each cell gives to the mix, and where the cell begins in it."""
+    placed = joined_cells(cells, SHARD_BLOCKS * block)
+    shards = placed.groupBy("__key", "__shard").agg(F.sum("__size").alias("__size"))
     targets = source_targets(shards, weights, max_use)
     blocks = F.floor(F.sum(F.col("source_size").cast("double")).over(Window.partitionBy(F.lit(0))) / F.lit(float(block)) + F.lit(0.5))
     sources = apportion(targets.withColumn("__blocks", blocks.cast("long")), [], ["__key"], "target", "__blocks", "__seats")
     dealt = shards.join(sources.select("__key", "source_size", "target", "__seats"), "__key")
     dealt = apportion(dealt, ["__key"], ["__shard"], "__size", "__seats", "__dealt")
     quota = F.least(F.col("__dealt") * F.lit(block), F.col("__size") * F.lit(max_use))
-    return dealt.select("__key", "__shard", F.col("__size").alias("__shard_size"), "source_size", "target", quota.alias("__quota"))
+    quotas = dealt.select("__key", "__shard", F.col("__size").alias("__shard_size"), "source_size", "target", quota.alias("__quota"))
+    return placed.select("__key", "__cell", "__shard", "__before").join(quotas, ["__key", "__shard"]).drop("__shard")
 
 
 def _keyed(docs: DataFrame, seed: int, carry: bool = False) -> DataFrame:
@@ -103,15 +120,15 @@ def _keyed(docs: DataFrame, seed: int, carry: bool = False) -> DataFrame:
     return docs.select("doc_id", key.alias("__key"), word_count(whole_text()).alias("__size"), order.alias("__order"), *row)
 
 
-def _sharded(rows: DataFrame, shards: int) -> DataFrame:
-    return rows.withColumn("__shard", F.pmod(F.conv(F.substring("__order", 1, 8), 16, 10).cast("long"), F.lit(shards)))
+def _in_cells(rows: DataFrame, cells: int) -> DataFrame:
+    return rows.withColumn("__cell", F.pmod(F.conv(F.substring("__order", 1, 8), 16, 10).cast("long"), F.lit(cells)))
 
 
 def _taken(rows: DataFrame, quotas: DataFrame) -> DataFrame:
-    """Adds ``taken``: whole rounds of the shard, then the first words of its order."""
-    earlier = Window.partitionBy("__key", "__shard").orderBy("__order", "doc_id", "__size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("__start", F.coalesce(F.sum("__size").over(earlier), F.lit(0)))
-    rows = rows.join(quotas, ["__key", "__shard"])
+    """Adds ``__taken``: whole rounds of the shard, then the first words of its order (cell by cell)."""
+    earlier = Window.partitionBy("__key", "__cell").orderBy("__order", "doc_id", "__size").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("__inside", F.coalesce(F.sum("__size").over(earlier), F.lit(0)))
+    rows = rows.join(quotas, ["__key", "__cell"]).withColumn("__start", F.col("__before") + F.col("__inside"))
     rounds = F.when(F.col("__shard_size") > 0, F.expr("__quota div __shard_size")).otherwise(0)
     rest = F.when(F.col("__shard_size") > 0, F.col("__quota") % F.col("__shard_size")).otherwise(0)
     part = F.least(F.greatest(rest - F.col("__start"), F.lit(0)), F.col("__size"))
@@ -120,10 +137,10 @@ def _taken(rows: DataFrame, quotas: DataFrame) -> DataFrame:
 
 def _quotas(docs: DataFrame, seed: int, weights: Sequence[int], max_use: int, block: int) -> tuple[DataFrame, DataFrame, int]:
     narrow = materialize(_keyed(docs, seed), "mix")
-    shards = math.isqrt(narrow.count()) // 2 + 1
-    narrow = _sharded(narrow, shards)
-    sizes = narrow.groupBy("__key", "__shard").agg(F.sum("__size").alias("__size"))
-    return narrow, shard_quotas(sizes, weights, max_use, block), shards
+    cells = math.isqrt(narrow.count()) // 2 + 1
+    narrow = _in_cells(narrow, cells)
+    sizes = narrow.groupBy("__key", "__cell").agg(F.sum("__size").alias("__size"))
+    return narrow, cell_quotas(sizes, weights, max_use, block), cells
 
 
 def mix_plan(docs: DataFrame, *, seed: int = SEED, weights: Sequence[int] = WEIGHTS, max_use: int = MAX_USE, block: int = BLOCK) -> DataFrame:
@@ -146,8 +163,8 @@ def mix(docs: DataFrame, *, seed: int = SEED, weights: Sequence[int] = WEIGHTS,
     its size stands there t times, and one of which the mix takes a part (at
     most one per shard) ends after the words taken; its ``n_chars``, if there
     is one, is set anew.  Documents without words or with nothing taken go."""
-    _, quotas, shards = _quotas(docs, seed, weights, max_use, block)
-    rows = _taken(_sharded(_keyed(docs, seed, carry=True), shards), quotas).where(F.col("__taken") > 0)
+    _, quotas, cells = _quotas(docs, seed, weights, max_use, block)
+    rows = _taken(_in_cells(_keyed(docs, seed, carry=True), cells), quotas).where(F.col("__taken") > 0)
     copies = F.sequence(F.lit(1).cast("long"), F.ceil(F.col("__taken") / F.col("__size")).cast("long"))
     rows = rows.select("__doc", "__size", "__taken", F.explode(copies).alias("__copy"))
     left = F.col("__taken") - (F.col("__copy") - 1) * F.col("__size")
@@ -172,9 +189,15 @@ WITH keyed AS (
          len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
          md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')) AS ord
   FROM documents),
-n AS (SELECT floor(sqrt(count(*)))::BIGINT // 2 + 1 AS shards FROM keyed),
-rows AS (SELECT keyed.*, ('0x' || substr(ord, 1, 8))::BIGINT % shards AS shard FROM keyed, n),
-shards AS (SELECT k, shard, sum(size)::BIGINT AS size FROM rows GROUP BY ALL),
+n AS (SELECT floor(sqrt(count(*)))::BIGINT // 2 + 1 AS cells FROM keyed),
+rows AS (SELECT keyed.*, ('0x' || substr(ord, 1, 8))::BIGINT % cells AS cell FROM keyed, n),
+cells AS (
+  SELECT k, cell, size, cell % greatest(1, (sum(size) OVER (PARTITION BY k))::BIGINT // {SHARD_BLOCKS * BLOCK}) AS shard
+  FROM (SELECT k, cell, sum(size)::BIGINT AS size FROM rows GROUP BY ALL)),
+begins AS (
+  SELECT k, cell, shard, coalesce(sum(size) OVER (PARTITION BY k, shard ORDER BY cell
+                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM cells),
+shards AS (SELECT k, shard, sum(size)::BIGINT AS size FROM cells GROUP BY ALL),
 sources AS (
   SELECT *, (3.0 * c)::DOUBLE / w AS room FROM (
     SELECT k, sum(size)::BIGINT AS c, list_extract([5.0, 2.0, 1.0]::DOUBLE[], (row_number() OVER (ORDER BY k) - 1) % 3 + 1) AS w
@@ -214,9 +237,9 @@ quotas AS (
   FROM d2 LEFT JOIN won USING (k, shard)),
 placed AS (
   SELECT r.*, q.shard_size, q.c, q.target, q.quota,
-         coalesce(sum(r.size) OVER (PARTITION BY r.k, r.shard ORDER BY ord, doc_id NULLS FIRST, r.size
-                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-  FROM rows r JOIN quotas q USING (k, shard))
+         b.before + coalesce(sum(r.size) OVER (PARTITION BY r.k, r.cell ORDER BY ord, doc_id NULLS FIRST, r.size
+                                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+  FROM rows r JOIN begins b USING (k, cell) JOIN quotas q USING (k, shard))
 SELECT doc_id, size, c AS source_size, target,
        (CASE WHEN shard_size = 0 THEN 0 ELSE
           (quota // shard_size) * size + least(greatest(quota % shard_size - start, 0), size) END)::BIGINT AS taken

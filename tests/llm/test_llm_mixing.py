@@ -104,6 +104,27 @@ def test_a_source_that_weighs_more_than_it_holds(spark):
     assert out[1].target == pytest.approx(980) and math.isclose(out[1].taken, 980, abs_tol=mixing.BLOCK)
 
 
+def test_small_sources_of_short_documents_reach_their_target(spark):
+    rng = random.Random(8)
+    rows = [(i, "w " * rng.randint(1, 5), "a") for i in range(30)] + [(100 + i, "v " * (1 + i % 5), "c") for i in range(200)]
+    rows += [(1000 + i, "x " * 60, "b") for i in range(1200)] + [(5000 + i, "", "a") for i in range(400)]
+    out = mixing.mix_plan(documents(spark, rows)).collect()
+    source, taken, target = {i: s for i, _, s in rows}, defaultdict(int), {}
+    for r in out:
+        assert r.taken <= 3 * r.size
+        taken[source[r.doc_id]] += r.taken
+        target[source[r.doc_id]] = r.target
+    assert all(0.97 * target[s] <= taken[s] <= target[s] + mixing.BLOCK for s in target), (dict(taken), target)
+
+
+def test_cells_of_a_small_source_share_a_shard(spark):
+    cells = spark.createDataFrame([("1a", c, 100) for c in range(50)] + [("1b", c, 5000) for c in range(50)], "__key string, __cell long, __size long")
+    rows = mixing.joined_cells(cells, 1000).collect()
+    assert {r["__shard"] for r in rows if r["__key"] == "1a"} == set(range(5))
+    assert all(r["__shard"] == r["__cell"] and r["__before"] == 0 for r in rows if r["__key"] == "1b")
+    assert sorted(r["__before"] for r in rows if r["__key"] == "1a" and r["__shard"] == 2) == list(range(0, 1000, 100))
+
+
 def test_empty_tables_and_texts(spark):
     assert mixing.mix_plan(documents(spark, [])).count() == 0
     assert mixing.mix(documents(spark, [])).count() == 0
