@@ -21,6 +21,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from blotter.llm.common import materialize, whole_text
 
@@ -78,17 +79,31 @@ def exact_groups(docs: DataFrame, *, salts: int = SALTS, digest: Digest = sha256
     )
 
 
+def _ordered(kind: T.DataType) -> bool:
+    """Whether Spark can compare two values of the type: not maps and variants, nor what holds them."""
+    if isinstance(kind, T.StructType):
+        return all(_ordered(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _ordered(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def exact_dedup(docs: DataFrame, *, salts: int = SALTS, digest: Digest = sha256) -> DataFrame:
     """The documents that stay, with all their columns: the same three steps,
-    carrying the winning row instead of its id."""
+    carrying the winning row instead of its id.  Columns that cannot be compared
+    (maps, variants) are carried beside the row and compared by their JSON text."""
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    row = F.struct(F.col("doc_id"), F.col("text").isNotNull().alias("__has_text"), *[F.col(f"`{c}`") for c in rest])
-    rows = docs.select(row.alias("__row"), whole_text().alias("__text")).withColumn("__digest", digest(F.col("__text")))
+    beside = [c for c in rest if not _ordered(docs.schema[c].dataType)]
+    parts = [F.to_json(F.struct(F.col(f"`{c}`").alias("x"))).alias(c) if c in beside else F.col(f"`{c}`") for c in rest]
+    row = F.struct(F.col("doc_id"), F.col("text").isNotNull().alias("__has_text"), *parts)
+    side = [F.struct(*[F.col(f"`{c}`") for c in beside]).alias("__side")] if beside else []
+    rows = docs.select(row.alias("__row"), *side, whole_text().alias("__text")).withColumn("__digest", digest(F.col("__text")))
+    best = [F.max("__row").alias("__row"), *([F.max_by("__side", "__row").alias("__side")] if beside else [])]
     salt = F.pmod(F.xxhash64("__row.doc_id"), F.lit(salts))
-    salted = rows.groupBy("__digest", "__text", salt.alias("__salt")).agg(F.max("__row").alias("__row"))
-    whole = salted.groupBy("__digest", "__text").agg(F.max("__row").alias("__row"))
+    salted = rows.groupBy("__digest", "__text", salt.alias("__salt")).agg(*best)
+    whole = salted.groupBy("__digest", "__text").agg(*best)
     text = F.when(F.col("__row.__has_text"), F.col("__text")).alias("text")
-    return whole.select(*[text if c == "text" else F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
+    return whole.select(*[text if c == "text" else F.col(f"{'__side' if c in beside else '__row'}.`{c}`").alias(c) for c in docs.columns])
 
 
 ORACLE = """

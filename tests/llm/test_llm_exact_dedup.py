@@ -64,3 +64,14 @@ def test_null_ids_ties_and_repeated_rows(spark):
 def test_empty_table(spark):
     assert exact_dedup.exact_groups(documents(spark, [])).count() == 0
     assert exact_dedup.exact_dedup(documents(spark, [])).count() == 0
+
+
+def test_columns_that_cannot_be_compared(spark):
+    rows = [(1, "a", 1), (2, "a", 2), (2, "a", 3), (3, None, 4), (4, "", 5), (None, "b", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, k int")
+    docs = docs.select("*", F.create_map(F.lit("k"), "k").alias("__row"), F.parse_json(F.concat(F.lit('{"k": '), "k", F.lit("}"))).alias("v"),
+                       F.array(F.struct(F.create_map(F.lit("x"), "k").alias("m"))).alias("deep"))
+    out = exact_dedup.exact_dedup(docs)
+    assert out.schema.simpleString() == docs.schema.simpleString()
+    told = out.select("doc_id", "text", "k", F.col("__row")["k"].alias("m"), F.variant_get("v", "$.k", "int").alias("v"), F.col("deep")[0]["m"]["x"].alias("d"))
+    assert sorted(told.collect(), key=lambda r: r.k) == [(2, "a", 3, 3, 3, 3), (4, "", 5, 5, 5, 5), (None, "b", 6, 6, 6, 6)]
