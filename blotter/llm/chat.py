@@ -13,7 +13,8 @@ Positions and running sums come from the range layout of
 spread over tasks; the sums run over hashes without texts.  Rendering gives a
 row for each ``max_turns`` turns.
 
-Turns stand in the order of (turn, role, text), null turns first; a null role or
+Turns stand in the order of (turn, role, SHA-256 of the text), null turns first, so that what
+the range layout samples and compares stays small however long a text is; a null role or
 text counts as empty.  Rows that repeat a turn are turns of their own.  Rows
 with a null conv_id form one conversation, kept last among equals.
 """
@@ -41,8 +42,8 @@ def _hash() -> Column:
 def placed_turns(turns: DataFrame) -> DataFrame:
     """``conv_id, pos, role, text``: the turns with their place in the conversation."""
     text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
-    rows = turns.select("conv_id", "turn", text("role"), text("text"))
-    return with_positions(rows, [F.col("turn").asc_nulls_first(), "role", "text"], name="pos", partition_by=["conv_id"], keep=["conv_id", "role", "text"])
+    rows = turns.select("conv_id", "turn", text("role"), text("text")).withColumn("digest", F.sha2("text", 256))
+    return with_positions(rows, [F.col("turn").asc_nulls_first(), "role", "digest"], name="pos", partition_by=["conv_id"], keep=["conv_id", "role", "text"])
 
 
 def prefix_hashes(placed: DataFrame) -> DataFrame:
@@ -79,7 +80,7 @@ def chat_format(turns: DataFrame, *, max_turns: int = MAX_TURNS) -> DataFrame:
 ORACLE = f"""
 WITH placed AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS pos
   FROM conversations),
 prefixes AS (
   SELECT *, list(role || chr(31) || text) OVER (PARTITION BY conv_id ORDER BY pos) AS upto FROM placed),

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ def brute(rows, max_turns):
     convs = {}
     for c, t, r, x in rows:
         convs.setdefault(c, []).append((t is not None, t or 0, r or "", x or ""))
-    turns = {c: [(r, x) for _, _, r, x in sorted(v)] for c, v in convs.items()}
+    place = lambda z: (*z[:3], hashlib.sha256(z[3].encode()).hexdigest())
+    turns = {c: [(r, x) for _, _, r, x in sorted(v, key=place)] for c, v in convs.items()}
     out, seen = [], {}
     for c in sorted(turns, key=lambda c: (c is None, c or 0)):
         v = turns[c]
@@ -59,6 +61,13 @@ def test_a_text_that_ends_like_another_is_no_snapshot(spark):
     assert [r[0] for r in run(spark, rows)] == [1, 2, 3, 4]
 
 
+def test_very_long_texts_and_texts_of_one_turn(spark):
+    rows = [(1, 0, "user", "x" * 300_000 + t) for t in "dbca"] + [(2, 0, "user", "x" * 300_000 + t) for t in "abcd"]
+    rows += [(2, 1, "user", "z"), (3, 5, "user", "é" * 200_000), (3, None, "user", "é" * 200_000)]
+    assert run(spark, rows) == brute(rows, chat.MAX_TURNS)
+    assert [r[0] for r in run(spark, rows)] == [2, 3]  # 1 holds the same four turns, one fewer than 2
+
+
 def test_empty_table_and_clashing_names(spark):
     assert run(spark, []) == []
     df = spark.createDataFrame([(1, 0, "user", "a")], SCHEMA).withColumns({"pos": F.lit("x"), "upto": F.lit(1), "part": F.lit(5)})
