@@ -259,7 +259,7 @@ def ks_statistic(
     sample: DataFrame, value_col: str = "v", dist: str = "norm", params: Sequence[float] = (), by: Sequence[str] = ()
 ) -> DataFrame:
     """One row ``(statistic, n)`` of the one-sample two-sided KS test against the
-    distribution ``dist`` with ``params``, or one per group of the columns ``by``, from the histogram of distinct values: with the running
+    distribution ``dist`` with ``params``, or one ``(*by, __statistic, __count)`` per group of the columns ``by``, from the histogram of distinct values: with the running
     count ``cum`` of each value and ``c`` its own count,
     D = max(cum/n - F(v), F(v) - (cum-c)/n).  The sample is scanned once and
     never sorted; F is evaluated once per distinct value; n comes from the offsets
@@ -270,7 +270,8 @@ def ks_statistic(
     cdf = distribution_cdf(F.col("__v").cast("double"), dist, params)
     gap = F.greatest(F.col("__cum") / n - cdf, cdf - (F.col("__cum") - F.col("__c")) / n)
     gaps = cum.select(*by, gap.alias("__gap"), "__n")
-    return gaps.groupBy(*by).agg(F.max("__gap").alias("statistic"), F.max("__n").alias("n"))
+    names = ("__statistic", "__count") if by else ("statistic", "n")  # no clash with a group column
+    return gaps.groupBy(*by).agg(F.max("__gap").alias(names[0]), F.max("__n").alias(names[1]))
 
 
 def ks_compare(
@@ -387,7 +388,8 @@ def ks_test(
         raise ValueError(f"unknown p_value {p_value!r}; use one of {', '.join(P_VALUES)}")
     if method == "histogram":
         found = ks_statistic(sample, value_col, dist, params, by)
-        base = found.select(*by, "statistic", P_VALUES[p_value](F.col("statistic"), F.col("n").cast("double")).alias("p_value"))
+        d, n = (F.col("__statistic"), F.col("__count")) if by else (F.col("statistic"), F.col("n"))
+        base = found.select(*by, d.alias("statistic"), P_VALUES[p_value](d, n.cast("double")).alias("p_value"))
     elif method == "mllib" and not by:
         if dist != "norm":
             raise ValueError("MLlib's test knows the normal distribution ('norm') only")
