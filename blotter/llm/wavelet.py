@@ -27,7 +27,7 @@ Null texts count as empty: such documents hold the end id alone.  Null doc_ids
 stand before all others.  Rows that repeat a doc_id are documents of their own, in
 the order in which they were read, and a doc_id that many rows share is spread over several tasks.  A
 document longer than a shard makes a shard of its own; a task holds one batch of
-texts and the ids of one shard.  An empty table gives no rows.  Only doc_id and
+texts, the words of ``PIECE_BYTES`` of it, and the ids of one shard.  An empty table gives no rows.  Only doc_id and
 text are read, whatever other columns are called.
 """
 
@@ -56,6 +56,8 @@ BLOCK_BITS = 1 << 16
 MAGIC = b"BWM1"
 # Words whose ids a worker remembers; it starts anew when they are more.
 KNOWN_WORDS = 1 << 20
+# Bytes of text that are tokenised at once; a longer text goes alone.
+PIECE_BYTES = 1 << 23
 _JOINED = 64
 _BREAK = "\x00"
 # A mark may join a capital letter, but not the small one, or the other way round.
@@ -280,6 +282,15 @@ class WaveletMatrix:
         return now
 
 
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about ``PIECE_BYTES`` of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes, dtype=np.int64) // PIECE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        yield batch.slice(a, b - a)
+
+
 def _sharded(encoder: Broadcast, end_id: int, shard_ids: int, block_bits: int):
     """Documents in order -> a row per shard."""
 
@@ -294,7 +305,7 @@ def _sharded(encoder: Broadcast, end_id: int, shard_ids: int, block_bits: int):
             names = pa.ListArray.from_arrays([0, len(lengths)], pa.concat_arrays(docs))
             return pa.RecordBatch.from_arrays([pa.array([total], type=pa.int64()), names, pa.array([blob], type=pa.binary())], names=["n", "doc_ids", "blob"])
 
-        for b in batches:
+        for b in (piece for whole in batches for piece in _pieces(whole)):
             if not b.num_rows:
                 continue
             ids, sizes = encoder.value.batch(b.column("text"))

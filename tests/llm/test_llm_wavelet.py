@@ -129,3 +129,17 @@ def test_one_file_per_shard(spark, tmp_path):
     assert len(files) == len(rows) > 5
     with pytest.raises(ValueError, match="wavelet"):
         wavelet.WaveletMatrix(b"nothing")
+
+
+def test_batches_are_tokenised_in_pieces(monkeypatch):
+    monkeypatch.setattr(wavelet, "PIECE_BYTES", 20)
+    texts = ["a few words", None, "", "one text that is longer than a whole piece of the batch", "x", "another few words", None]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": pa.array(texts, type=pa.string())})
+    pieces = list(wavelet._pieces(batch))
+    assert len(pieces) > 2 and pa.Table.from_batches(pieces).to_pydict() == batch.to_pydict()
+    assert [p.num_rows for p in wavelet._pieces(batch.slice(0, 0))] == [0]
+    encoder = wavelet.Encoder(PATH)
+    ids, lengths = encoder.batch(batch.column("text"))
+    parts = [wavelet.Encoder(PATH).batch(p.column("text")) for p in pieces]
+    assert np.concatenate([p[0] for p in parts]).tolist() == ids.tolist()
+    assert np.concatenate([p[1] for p in parts]).tolist() == lengths.tolist()
