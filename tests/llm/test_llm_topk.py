@@ -77,3 +77,37 @@ def test_clashing_column_names(spark):
     df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA).withColumns({"v": F.lit(1), "score": F.lit("x"), "no": F.lit(2), "rank": F.lit(3)})
     out = sorted(tuple(r) for r in topk.top_k(df, F.col("vec_id") % 5 == 0).collect())
     assert out == brute(rows, lambda i: i % 5 == 0, 5)
+
+
+def test_queries_travel_only_to_tiles_that_may_serve_them(spark):
+    rng = random.Random(5)
+    # neighbouring ids point the same way
+    rows = []
+    for c in range(20):
+        centre = [rng.gauss(0, 1.0) for _ in range(16)]
+        rows += [(50 * c + i, [x + rng.gauss(0, 0.03) for x in centre]) for i in range(50)]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    _, asking = topk.reached(topk.usable(df), F.col("vec_id") % 5 == 0, block=10, tile=2, group=32)
+    index, _ = topk.reached(topk.usable(df), F.col("vec_id") % 5 == 0, block=10, tile=2, group=32)
+    tiles = index.select("tile").distinct().count()
+    pairs = asking.select(F.sum(F.size("ids"))).first()[0]
+    assert pairs < 0.4 * 200 * tiles
+    assert run(spark, rows, block=10, tile=2, group=32) == brute(rows, lambda i: i % 5 == 0, 5)
+
+
+def test_many_queries_that_start_from_one_block(spark):
+    rows = [(i, [1.0, float(i % 3)]) for i in range(120)]  # every query meets the same few scores
+    rows += [(1000 + i, [9.0, 9.0]) for i in range(12)]
+    expect = brute(rows, lambda i: i % 5 == 0, 5)
+    assert run(spark, rows, block=12, tile=1, group=4) == expect
+
+
+def test_more_parts_than_one(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SUMMARY", 2)
+    rows = fixture()
+    assert run(spark, rows, block=16, tile=3, group=7) == brute(rows, lambda i: i % 5 == 0, 5)
+
+
+def test_bounds_of_large_components():
+    q = np.array([[-(2**62), 2**62]])
+    assert topk.bounds(q, np.array([[-(2**40), 2**40]]), np.array([[-(2**40), 2**40]]))[0, 0] == np.iinfo(np.int64).max
