@@ -27,8 +27,12 @@ DEFAULT_BANDWIDTH = 1.0
 # Kernel sums in one generated aggregate; more points make more aggregates.
 POINTS_PER_AGGREGATE = 64
 # Bandwidths beyond which the kernel exp(-z^2/2) is 0 in double precision (745.14 is the last exponent above), and
-# the parts into which a bucket of the range join is split.
-KERNEL_REACH, BUCKET_PARTS = 38.7, 8
+# the parts of that reach that a bucket of the range join is wide.
+KERNEL_REACH, REACH_PARTS = 38.7, 4
+# Bandwidths that a cell of values is wide, and the terms of its series: within reach the rest is below 1e-15 of the sum.
+CELL_WIDTH, CELL_TERMS = 0.125, 26
+# Beyond so many cells from 0 doubles are about as coarse as cells, and each value is a cell of its own.
+_LAST_CELL = 2.0**45
 # Buckets are counted in a range that a long holds.
 _LAST_BUCKET = 2.0**62
 # Terms of the two series of the Kolmogorov distribution (the next is below 1e-16 of the sum).
@@ -206,30 +210,52 @@ def kernel_density(
 def density_at(sample: DataFrame, points: DataFrame, bandwidth: float = DEFAULT_BANDWIDTH, value_col: str = "v") -> DataFrame:
     """``(point_index, point, density)`` at a table of points, by a range join.
 
-    Beyond ``KERNEL_REACH`` bandwidths the kernel is 0 in double precision, so with
-    buckets of that width a point meets the distinct values of its own and the two
-    neighbouring buckets, and nothing is lost.  A bucket is split into ``BUCKET_PARTS`` parts by a hash of the
-    value; the products are summed in the tasks that join, before they are shuffled.  Equal points
+    Values are summed by cells of ``CELL_WIDTH`` bandwidths: with t and s the distances of a value and of
+    a point from the middle of a cell, in bandwidths, exp(-(s - t)^2 / 2) is exp(-s^2 / 2) times the sum of
+    s^k exp(-t^2 / 2) t^k / k!.  A cell keeps the sums of the factors of s^k, so a point
+    meets cells, however many values they hold; ``CELL_TERMS`` of them give the double-precision sum, in the tails too (down to 1e-300).
+    Beyond ``KERNEL_REACH`` bandwidths the kernel is 0 in double precision, so a point meets the cells of
+    ``REACH_PARTS`` buckets on either side and its own, and nothing is lost.  A bucket holds few cells,
+    so no task gets many rows of one key from the values, and the points, several times repeated, are never
+    broadcast; the products are summed in the tasks that join, before they are shuffled.  Equal points
     are computed once.  NULL points and an empty sample give NULL densities, infinite points 0."""
-    width = KERNEL_REACH * bandwidth
+    cell, width = CELL_WIDTH * bandwidth, (KERNEL_REACH + 1) / REACH_PARTS * bandwidth
     at = points.select("point_index", F.col("point").cast("double").alias("point"))
-    hist = sample.groupBy(F.col(value_col).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    hist = write_out(hist.where(F.col("__v").isNotNull()), "value-histogram")
+    v = F.col("__v")
+    shared = F.abs(v / F.lit(cell)) < _LAST_CELL
+    middle = F.when(shared, F.rint(v / F.lit(cell)) * F.lit(cell)).otherwise(v)
+    values = sample.select(F.col(value_col).cast("double").alias("__v")).where(v.isNotNull()).select("__v", middle.alias("__cell"))
+    t = F.when(shared, (v - F.col("__cell")) / F.lit(bandwidth)).otherwise(F.lit(0.0))
+    # t^k from t, t^2, t^4, ...: expressions stay short
+    powers = {2**i: reduce(operator.mul, [F.col("__t")] * 2**i).alias(f"__t{2**i}") for i in range(CELL_TERMS.bit_length())}
+    weight = F.exp(F.lit(-0.5) * F.col("__t") * F.col("__t")).alias("__w")
+
+    def term(k: int) -> Column:
+        return reduce(operator.mul, [F.col(f"__t{i}") for i in powers if k & i], F.col("__w") / F.lit(float(math.factorial(k))))
+
+    sums = [F.sum(term(k)).alias(f"__m{k}") for k in range(CELL_TERMS)]
+    moved = values.select("__cell", t.alias("__t")).select("__cell", weight, *powers.values())
+    cells = write_out(moved.groupBy("__cell").agg(F.count(F.lit(1)).alias("__c"), *sums), "value-cells")
 
     def bucket(x: Column) -> Column:
         inside = F.greatest(F.lit(-_LAST_BUCKET), F.least(F.lit(_LAST_BUCKET), x / F.lit(width)))
         return F.floor(inside).cast("long")
 
-    values = hist.select("__v", "__c", bucket(F.col("__v")).alias("__bucket"), F.pmod(F.xxhash64("__v"), F.lit(BUCKET_PARTS)).alias("__part"))
+    held = cells.drop("__c").withColumn("__bucket", bucket(F.col("__cell")))
     asked = at.select(F.col("point").alias("__p")).where(F.col("point").isNotNull()).distinct()
-    near = F.explode(F.array(*[bucket(F.col("__p")) + F.lit(i) for i in (-1, 0, 1)])).alias("__bucket")
-    spread = asked.select("__p", near).select("*", F.explode(F.array(*[F.lit(i).cast("long") for i in range(BUCKET_PARTS)])).alias("__part"))
-    z = (F.col("__p") - F.col("__v")) / F.lit(bandwidth)
-    sums = spread.join(values, ["__bucket", "__part"]).groupBy("__p").agg(F.sum(F.col("__c") * F.exp(F.lit(-0.5) * z * z)).alias("__sum"))
-    n = hist.agg(F.sum("__c").alias("n")).scalar()
+    near = F.explode(F.array(*[bucket(F.col("__p")) + F.lit(i) for i in range(-REACH_PARTS, REACH_PARTS + 1)])).alias("__bucket")
+    # Spark takes the repeated points for as few as they were, and would broadcast millions of them.
+    met = asked.select("__p", near).hint("merge").join(held, "__bucket")
+    s = F.col("__s")
+    series = reduce(lambda found, k: found * s + F.col(f"__m{k}"), range(CELL_TERMS - 2, -1, -1), F.col(f"__m{CELL_TERMS - 1}"))
+    beyond = (F.abs(s) > KERNEL_REACH + 1) & ~F.isnan(s)
+    kernel = F.when(beyond, F.lit(0.0)).otherwise(F.exp(F.lit(-0.5) * s * s) * series)
+    parts = met.withColumn("__s", (F.col("__p") - F.col("__cell")) / F.lit(bandwidth))
+    found = parts.groupBy("__p").agg(F.sum(kernel).alias("__sum"))
+    n = cells.agg(F.sum("__c").alias("n")).scalar()
     density = F.coalesce("__sum", F.lit(0.0)) / (n * F.lit(bandwidth * math.sqrt(2.0 * math.pi)))
-    found = at.join(sums, F.col("point") == F.col("__p"), "left")
-    return found.select("point_index", "point", F.when(F.col("point").isNotNull(), density).alias("density"))
+    each = at.join(found, F.col("point") == F.col("__p"), "left")
+    return each.select("point_index", "point", F.when(F.col("point").isNotNull(), density).alias("density"))
 
 
 def _density_rows(hist: DataFrame, pts: list[float], first: int, h: float) -> DataFrame:

@@ -60,6 +60,30 @@ def test_range_join_is_an_equi_join(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "partial_sum" in plan
 
 
+def test_points_meet_cells_and_are_not_broadcast(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    values, points = rng.uniform(0, 20, 20_000), rng.uniform(-45, 65, 40)
+    written = []
+    monkeypatch.setattr(stats, "write_out", lambda df, name, keep=stats.write_out: written.append(keep(df, name)) or written[-1])
+    sample = spark.createDataFrame([(float(v),) for v in values], "v double")
+    table = spark.createDataFrame([(i, float(p)) for i, p in enumerate(points)], "point_index int, point double")
+    out = stats.density_at(sample, table)
+    got = {r.point_index: r.density for r in out.collect()}
+    for i, expect in enumerate(_density(values, points, 1.0)):
+        assert got[i] == pytest.approx(expect, rel=1e-11, abs=1e-300)
+    # 20,000 values are 161 cells; the points, repeated for each bucket near, stay out of the driver
+    assert [w.count() for w in written] == [161]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [__bucket" in plan and "BroadcastHashJoin [__bucket" not in plan
+
+
+def test_density_of_coarse_doubles_and_odd_values(spark):
+    sample = spark.createDataFrame([(x,) for x in (1e18, 1e18, 1e300, float("inf"), -1e17, 2.0)], "v double")
+    table = spark.createDataFrame(list(enumerate((1e18, 1e300, -1e17, 2.0, 1e18 + 128))), "point_index int, point double")
+    got = {r.point_index: r.density * 6 * math.sqrt(2 * math.pi) for r in stats.density_at(sample, table).collect()}
+    assert got == {0: pytest.approx(2), 1: pytest.approx(1), 2: pytest.approx(1), 3: pytest.approx(1), 4: 0.0}
+
+
 @pytest.mark.parametrize("size", [1, 3, 1000])
 def test_lists_in_parts(spark, size):
     inc = tables.incidents_dirty(spark, SF)
