@@ -33,9 +33,12 @@ text are read, whatever other columns are called.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 from collections.abc import Iterator
+from itertools import chain
 from uuid import uuid4
 from zlib import crc32
 
@@ -62,6 +65,18 @@ _JOINED = 64
 _BREAK = "\x00"
 # A mark may join a capital letter, but not the small one, or the other way round.
 _MARKED = r"[A-Z]\p{M}"
+# Words of letters that every Unicode version splits, composes and lowers alike, and marks that may end a word.
+_PLAIN = "[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+_TAIL = ".,;:!?#$%&*)\""
+# The end of a splitting rule under which a plain word and the marks after it are tokenised apart.
+_SPLIT = r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``flat`` one after the other, and where each starts and, at last, ends there."""
+    sizes = ends - starts
+    until = np.concatenate([[0], np.cumsum(sizes)])
+    return flat[np.repeat(starts - until[:-1], sizes) + np.arange(until[-1])], until
 
 
 class Encoder:
@@ -69,8 +84,9 @@ class Encoder:
 
     The tokenizer sees every distinct word of a batch once: its splitting rule
     never joins what stands on both sides of an ASCII blank, and it lowers ASCII
-    letters itself.  Words it has not seen are
-    given to it joined by a character that is a token of its own.  Texts with the strings of special
+    letters itself.  Where its rule also splits letters from marks, a word of plain letters
+    and the marks that end it are two words.  Words it has not seen are
+    given to it joined by a character that is a token of its own, plain ones by blanks, as the last token of each shows where it ends.  Texts with the strings of special
     tokens, with that character, or with a capital letter before a combining mark go to it whole.  A worker keeps one Encoder
     through its tasks (it travels as a broadcast of the path alone)."""
 
@@ -88,37 +104,78 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(self.path)
         self.whole = [_BREAK, *(t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values())]
         self.break_ids = self._encode(_BREAK)
+        self.closing = self._closing()
         self._forget()
 
+    def _closing(self) -> np.ndarray | None:
+        """By id: whether a token ends a word; None if words of letters can't be told so."""
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        rule = json.loads(self.tokenizer.pre_tokenizer.__getstate__())
+        rule = (rule.get("pretokenizers") or [rule])[0]
+        if not suffix or not str((rule.get("pattern") or {}).get("Regex")).endswith(_SPLIT):
+            return None
+        vocab = self.tokenizer.get_vocab()
+        closing = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        closing[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        return closing
+
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.ends = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
+        self.known: dict[str, int] = {"": 0}
+        self.flat, self.ends = np.zeros(0, dtype=np.uint32), np.zeros(2, dtype=np.int64)
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
-    def _learn(self, words: list[str]) -> None:
-        joined = [f" {_BREAK} ".join([*words[i : i + _JOINED], ""]) for i in range(0, len(words), _JOINED)]
+    def _together(self, joined: list[str]) -> np.ndarray:
         found = [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
-        ids = np.concatenate([self.flat[:0], *found])
+        return np.concatenate([self.flat[:0], *found])
+
+    def _learn(self, words: list[str]) -> None:
+        plain = list(filter(re.compile(_PLAIN).fullmatch, words)) if self.closing is not None else []
+        if plain:
+            ids = self._together([" ".join(plain[i : i + _JOINED]) for i in range(0, len(plain), _JOINED)])
+            self._keep(plain, ids, np.flatnonzero(self.closing[ids]) + 1)
+            words = [w for w in words if w not in self.known]
+        ids = self._together([f" {_BREAK} ".join([*words[i : i + _JOINED], ""]) for i in range(0, len(words), _JOINED)])
         (breaks,) = np.nonzero(ids == self.break_ids[0])
-        if len(self.break_ids) != 1 or len(breaks) != len(words):
+        if len(self.break_ids) != 1:
+            raise ValueError("the tokenizer does not keep words apart")
+        self._keep(words, np.delete(ids, breaks), breaks - np.arange(len(breaks)))
+
+    def _keep(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        if len(ends) != len(words):
             raise ValueError("the tokenizer does not keep words apart")
-        ends = breaks - np.arange(len(words))
         self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
         self.ends = np.concatenate([self.ends, len(self.flat) + ends])
-        self.flat = np.concatenate([self.flat, np.delete(ids, breaks)])
-
-    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Where the ids of each word start and end in ``flat``."""
-        new = [w for w in words if w not in self.known]
+        self.flat = np.concatenate([self.flat, ids])
+
+    def _parts(self, words: pa.Array) -> list[pa.DictionaryArray]:
+        """Each word without the marks that end it, and these marks; whole, with "", unless it is plain without them."""
+        heads, tails = words, pa.repeat("", len(words))
+        if self.closing is not None:
+            heads = pc.ascii_rtrim(words, characters=_TAIL)
+            plain = pc.match_substring_regex(heads, f"^{_PLAIN}$")
+            heads = pc.if_else(plain, heads, words)
+            tails = pc.if_else(plain, pc.replace_substring_regex(words, f"^{_PLAIN}", ""), tails)
+        return [heads.dictionary_encode(), tails.dictionary_encode()]
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the words one after the other, where the ids of each start and, at last, end)."""
+        parts = self._parts(words)
+        seen = [part.dictionary.to_numpy(zero_copy_only=False).tolist() for part in parts]
+        new = [w for w in dict.fromkeys(chain(*seen)) if w not in self.known]
         if len(self.known) + len(new) > KNOWN_WORDS:
             self._forget()
-            new = words
+            new = [w for w in dict.fromkeys(chain(*seen)) if w]
         if new:
             self._learn(new)
-        numbers = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
-        return self.ends[numbers], self.ends[numbers + 1]
+        numbers = np.empty((len(words), 2), dtype=np.int64)
+        for i, part in enumerate(parts):
+            found = np.fromiter(map(self.known.__getitem__, seen[i]), dtype=np.int64, count=len(seen[i]))
+            numbers[:, i] = found[part.indices.to_numpy()]
+        numbers = numbers.ravel()
+        ids, until = _gathered(self.flat, self.ends[numbers], self.ends[numbers + 1])
+        return ids, until[::2]
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, their numbers of ids)."""
@@ -132,11 +189,9 @@ class Encoder:
             lowered = pc.if_else(pa.array(apart), "", lowered)
         split = pc.ascii_split_whitespace(lowered)
         words = split.flatten().dictionary_encode()
-        starts, ends = self._words(words.dictionary.to_pylist())
+        known, starts = self._words(words.dictionary)
         at = words.indices.to_numpy()
-        starts, sizes = starts[at], (ends - starts)[at]
-        until = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.flat[np.repeat(starts - until[:-1], sizes) + np.arange(until[-1])]
+        ids, until = _gathered(known, starts[at], starts[at + 1])
         places = split.offsets.to_numpy()
         lengths = np.diff(until[places - places[0]])
         if apart.any():

@@ -143,3 +143,26 @@ def test_batches_are_tokenised_in_pieces(monkeypatch):
     parts = [wavelet.Encoder(PATH).batch(p.column("text")) for p in pieces]
     assert np.concatenate([p[0] for p in parts]).tolist() == ids.tolist()
     assert np.concatenate([p[1] for p in parts]).tolist() == lengths.tolist()
+
+
+def test_words_and_the_marks_after_them_are_learnt_apart():
+    encoder = wavelet.Encoder(PATH)
+    texts = ["straße straße. Straße,*** éa!! Éa Éa.%%%", "straße?", "don't. x2. (straße) 'tis.'s ÷. É́a. İa. ×. ...", "a)\" a<. a.b. ."]
+    ids, sizes = encoder.batch(pa.array(texts))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [plain_ids(t) for t in texts]
+    assert {"straße", "éa", "Éa", ",***", ".%%%"} <= encoder.known.keys()
+    assert not {"straße.", "straße,***", "straße?", "éa!!", "Éa.%%%"} & encoder.known.keys()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abzAÀÉØßéÿ÷×ªµ̸́.,;:!?#$%&*)\"'<|> 2ſ"), max_size=14), min_size=1, max_size=6))
+def test_plain_words_with_marks_equal_the_tokenizer(texts):
+    assert encoded(texts) == [plain_ids(t) for t in texts]
+
+
+def test_a_tokenizer_without_word_ends_takes_words_whole():
+    encoder = wavelet.Encoder(PATH)
+    encoder._load()
+    encoder.closing = None
+    ids, _ = encoder.batch(pa.array(["straße. straße, again"]))
+    assert ids.tolist() == plain_ids("straße. straße, again") and "straße." in encoder.known
